@@ -157,3 +157,57 @@ def with_fixtures(body: str, extra_ctes: list[tuple[str, str]] | None = None) ->
     if not ctes:
         return body
     return "WITH " + ",\n".join(ctes) + "\n" + body
+
+
+# ----------------------------------------------------------------------------
+# Reconciliation, literal form of the source statements
+# ----------------------------------------------------------------------------
+DISC = ", ".join(f"x.discount_code{i}" for i in range(1, 11))
+P_DISC = ", ".join(f"p.discount_code{i}" for i in range(1, 11))
+TS = "'%Y-%m-%d %H:%M:%S'"
+MISSED_SELECT = ("p.extract_ts, p.tran_id, p.tran_ts, p.loyalty_id, p.country, p.store_id, p.currency, "
+                 f"p.itm_sku, p.itm_quantity, p.itm_amount, {P_DISC}, p.orig_tran_id")
+
+
+def candidate_sql(kind: str | None) -> str:
+    """Resolved candidate lines (the inner subquery ``p`` of each branch)."""
+    where_kind = f"split_part(x.hd_order_or_tran_id, '#', 1) = '{kind}'" if kind else \
+        "split_part(x.hd_order_or_tran_id, '#', 1) IN ('SALE', 'RETU', 'VOID')"
+    return f"""SELECT COALESCE(mc.id, ma.memberid) AS memberid,
+       strptime(x.hd_file_extract_date_time, {TS}) AS extract_ts,
+       x.hd_order_or_tran_id AS tran_id,
+       strptime(x.hd_order_date_time, {TS}) AS tran_ts,
+       x.hd_loyalty_id AS loyalty_id,
+       substring(x.country, 1, 2) AS country,
+       x.hd_store_id AS store_id, x.hd_currency AS currency,
+       x.itm_sku AS itm_sku, x.itm_quantity AS itm_quantity, x.itm_amt_after_disc AS itm_amount,
+       {DISC},
+       x.hd_orig_tran_id AS orig_tran_id
+  FROM (SELECT DISTINCT * FROM pos_lines EXCEPT SELECT * FROM pos_lines_history) x
+  LEFT JOIN (SELECT id, consumerid FROM member) mc ON x.hd_loyalty_id = mc.consumerid
+  LEFT JOIN (SELECT memberid, altid FROM member_alt_id) ma ON x.hd_loyalty_id = ma.altid
+ WHERE {where_kind}
+   AND (mc.id IS NOT NULL OR ma.memberid IS NOT NULL)"""
+
+
+_HEADER_ON = """p.memberid = t.memberid AND p.tran_ts = t.date AND p.country = t.country AND
+       p.store_id = t.store AND p.currency = t.currency AND p.tran_id = t.referencenumber AND
+       CAST(p.itm_amount AS REAL) = t.monetaryamount"""
+
+
+def missed_sql(kind: str) -> str:
+    if kind == "SALE":
+        return f"""SELECT {MISSED_SELECT}
+  FROM ({candidate_sql('SALE')}) p
+  LEFT JOIN loyalty_txn t ON {_HEADER_ON} AND t.type = 'PURCHASE'
+ WHERE t.memberid IS NULL"""
+    types = "t2.type = 'RETURN'" if kind == "RETU" else "(t2.type = 'VOID_PURCHASE' OR t2.type = 'VOID_RETURN')"
+    return f"""SELECT {MISSED_SELECT}
+  FROM ({candidate_sql(kind)}) p
+  LEFT JOIN loyalty_txn t ON {_HEADER_ON}
+  LEFT JOIN (SELECT memberid, type, referencenumber FROM loyalty_txn) t2
+    ON p.memberid = t2.memberid AND {types} AND p.orig_tran_id = t2.referencenumber
+ WHERE t.memberid IS NULL AND t2.memberid IS NULL"""
+
+
+MISSED_ALL_SQL = (f"{missed_sql('SALE')}\nUNION ALL\n{missed_sql('RETU')}\nUNION ALL\n{missed_sql('VOID')}")
