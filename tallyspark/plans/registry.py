@@ -142,3 +142,206 @@ def q_agg_missed_by_kind(spark, d):
           "FROM (SELECT count(*) AS missed FROM (" + O.MISSED_ALL_SQL + ") m) c")
 def q_gate_missed_threshold(spark, d):
     return R.gate(R.missed_lines(_inputs(spark, d)), R.DEFAULT_THRESHOLD)
+
+
+# ------------------------------------------------------------------ profiles
+from tallyspark.operators import profiles as P  # noqa: E402
+from tallyspark.operators import quality as C  # noqa: E402
+from tallyspark.operators.backfill import BACKFILL_BY, backfill_ids  # noqa: E402
+from tallyspark.operators import migrate as M  # noqa: E402
+from tallyspark.operators.keys import assign_sequential_ids  # noqa: E402
+
+# Fixed value for the fixtures: the run time standing in for NOW().
+RUN_TS = "2024-03-01 00:00:00"
+PROFILE_COLS = "uuid, email_address, active_flag, is_disabled, last_update_ts"
+
+
+@register("semi_profile_in_zone", f"SELECT * FROM profile_dim WHERE {O.IN_ZONE_WHERE}")
+def q_semi_profile_in_zone(spark, d):
+    return P.profiles_in_zones(FX.profile_dim(spark, d), FX.crm_contact(spark, d))
+
+
+@register("agg_count_distinct",
+          f"SELECT COUNT(*) AS n_rows, COUNT(DISTINCT uuid) AS n_distinct_uuid FROM profile_dim WHERE {O.IN_ZONE_WHERE}")
+def q_agg_count_distinct(spark, d):
+    return P.count_and_distinct(q_semi_profile_in_zone(spark, d), "uuid")
+
+
+@register("agg_multi_distinct",
+          "SELECT COUNT(*) AS n_rows, COUNT(DISTINCT uuid) AS n_distinct_uuid, "
+          "COUNT(DISTINCT email_address) AS n_distinct_email_address FROM profile_dim WHERE active_flag = 1")
+def q_agg_multi_distinct(spark, d):
+    return P.count_and_distinct(P.active(FX.profile_dim(spark, d)), "uuid", "email_address")
+
+
+@register("filter_zone_in", f"SELECT * FROM crm_contact WHERE loyaltyzonecode IN {O.ZONES_SQL}")
+def q_filter_zone_in(spark, d):
+    return P.contacts_in_zones(FX.crm_contact(spark, d))
+
+
+@register("having_rows_per_id",
+          "SELECT uuid, COUNT(email_address) AS n_emails FROM profile_dim GROUP BY uuid HAVING COUNT(email_address) > 1")
+def q_having_rows_per_id(spark, d):
+    return P.having_count(FX.profile_dim(spark, d), "uuid", "email_address", out="n_emails")
+
+
+@register("having_emails_per_id",
+          "SELECT uuid, COUNT(DISTINCT email_address) AS dcnt FROM profile_dim GROUP BY uuid HAVING dcnt > 1")
+def q_having_emails_per_id(spark, d):
+    return P.having_count(FX.profile_dim(spark, d), "uuid", "email_address", distinct=True, out="dcnt")
+
+
+@register("having_ids_per_email",
+          "SELECT email_address, COUNT(DISTINCT uuid) AS dcnt FROM profile_dim GROUP BY email_address HAVING dcnt > 1")
+def q_having_ids_per_email(spark, d):
+    return P.having_count(FX.profile_dim(spark, d), "email_address", "uuid", distinct=True, out="dcnt")
+
+
+@register("limit_grouped",
+          "SELECT uuid, COUNT(email_address) AS n_emails FROM profile_dim GROUP BY uuid "
+          "HAVING COUNT(email_address) > 1 ORDER BY uuid LIMIT 100")
+def q_limit_grouped(spark, d):
+    return q_having_rows_per_id(spark, d).orderBy("uuid").limit(100)
+
+
+@register("scan_limit",
+          "SELECT * FROM profile_dim ORDER BY uuid NULLS FIRST, email_address NULLS FIRST, "
+          "active_flag NULLS FIRST, is_disabled NULLS FIRST, last_update_ts NULLS FIRST LIMIT 100")
+def q_scan_limit(spark, d):
+    p = FX.profile_dim(spark, d)
+    return p.orderBy(*[F.col(c).asc_nulls_first() for c in p.columns]).limit(100)
+
+
+@register("filter_profile_by_email",
+          "SELECT uuid, email_address, is_disabled, active_flag FROM profile_dim WHERE email_address = 'User7@Example.com'")
+def q_filter_profile_by_email(spark, d):
+    return (FX.profile_dim(spark, d).where(F.col("email_address") == "User7@Example.com")
+            .select("uuid", "email_address", "is_disabled", "active_flag"))
+
+
+@register("filter_profile_by_uuid",
+          "SELECT uuid, email_address, is_disabled, active_flag FROM profile_dim WHERE uuid = 'X7'")
+def q_filter_profile_by_uuid(spark, d):
+    return (FX.profile_dim(spark, d).where(F.col("uuid") == "X7")
+            .select("uuid", "email_address", "is_disabled", "active_flag"))
+
+
+@register("join_case_insensitive",
+          f"SELECT {PROFILE_COLS}, p_uid FROM (SELECT * FROM profile_dim WHERE active_flag = 1) a "
+          "JOIN web_user ON lower(email_address) = lower(p_uid)")
+def q_join_case_insensitive(spark, d):
+    return P.match_case_insensitive(P.active(FX.profile_dim(spark, d)), FX.web_user(spark, d),
+                                    "email_address", "p_uid")
+
+
+@register("window_latest_profile", O.LATEST_PROFILE_SQL)
+def q_window_latest_profile(spark, d):
+    return P.latest_profile_per_email(FX.profile_dim(spark, d), FX.web_user(spark, d))
+
+
+@register("check_identity_conflicts", """
+SELECT 'email_active_ids' AS conflict, email_address AS key, count(DISTINCT uuid) AS n
+  FROM profile_dim WHERE email_address IS NOT NULL AND active_flag = 1
+ GROUP BY email_address HAVING count(DISTINCT uuid) > 1
+UNION ALL
+SELECT 'id_one_active_email', uuid, count(DISTINCT email_address)
+  FROM profile_dim GROUP BY uuid
+HAVING count(DISTINCT email_address) > 1
+   AND count(DISTINCT CASE WHEN active_flag = 1 THEN email_address END) = 1""")
+def q_check_identity_conflicts(spark, d):
+    return P.identity_conflicts(FX.profile_dim(spark, d))
+
+
+# ------------------------------------------------------------------ quality checks
+@register("check_unique",
+          "SELECT email_address AS value, count(*) AS n FROM profile_dim WHERE email_address IS NOT NULL "
+          "GROUP BY email_address HAVING count(*) > 1")
+def q_check_unique(spark, d):
+    return C.unique_violations(FX.profile_dim(spark, d), "email_address")
+
+
+_NN_COLS = ["hd_order_or_tran_id", "hd_loyalty_id", "hd_store_id", "country"]
+
+
+@register("check_not_null", " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count(*) FILTER (WHERE {c} IS NULL) AS n_null FROM pos_lines" for c in _NN_COLS))
+def q_check_not_null(spark, d):
+    return C.not_null_counts(FX.pos_lines(spark, d), _NN_COLS)
+
+
+@register("check_primary_key", """
+SELECT referencenumber, type, count(*) AS n, 'duplicate' AS problem FROM loyalty_txn
+ WHERE referencenumber IS NOT NULL AND type IS NOT NULL
+ GROUP BY referencenumber, type HAVING count(*) > 1
+UNION ALL
+SELECT referencenumber, type, count(*), 'null' FROM loyalty_txn
+ WHERE referencenumber IS NULL OR type IS NULL GROUP BY referencenumber, type""")
+def q_check_primary_key(spark, d):
+    return C.primary_key_violations(FX.loyalty_txn(spark, d), ["referencenumber", "type"])
+
+
+@register("check_foreign_key", """
+SELECT c.* FROM member_alt_id c LEFT JOIN (SELECT id FROM member WHERE id % 10 <> 0) p ON c.memberid = p.id
+ WHERE c.memberid IS NOT NULL AND p.id IS NULL""")
+def q_check_foreign_key(spark, d):
+    parent = FX.member(spark, d).where(F.col("id") % 10 != 0)
+    return C.foreign_key_violations(FX.member_alt_id(spark, d), "memberid", parent, "id")
+
+
+# ------------------------------------------------------------------ back-fill
+_CRM_STEP = O.backfill_step_sql("SELECT * FROM member", "SELECT * FROM crm_profile", RUN_TS, BACKFILL_BY)
+
+
+@register("backfill_crm", _CRM_STEP)
+def q_backfill_crm(spark, d):
+    return backfill_ids(FX.member(spark, d), [FX.crm_profile(spark, d)], RUN_TS)
+
+
+@register("backfill_web", O.backfill_step_sql("SELECT * FROM member", "SELECT * FROM web_profile",
+                                              RUN_TS, BACKFILL_BY))
+def q_backfill_web(spark, d):
+    return backfill_ids(FX.member(spark, d), [FX.web_profile(spark, d)], RUN_TS)
+
+
+@register("backfill_chain", O.backfill_step_sql(_CRM_STEP, "SELECT * FROM web_profile", RUN_TS, BACKFILL_BY))
+def q_backfill_chain(spark, d):
+    return backfill_ids(FX.member(spark, d), [FX.crm_profile(spark, d), FX.web_profile(spark, d)], RUN_TS)
+
+
+@register("job_profile_backfill", O.backfill_step_sql(_CRM_STEP, O.LATEST_PROFILE_SQL, RUN_TS, BACKFILL_BY))
+def q_job_profile_backfill(spark, d):
+    """Web source = latest active profile per e-mail among web users (W1)."""
+    web_source = P.latest_profile_per_email(FX.profile_dim(spark, d), FX.web_user(spark, d))
+    return backfill_ids(FX.member(spark, d), [FX.crm_profile(spark, d), web_source], RUN_TS)
+
+
+# ------------------------------------------------------------------ migration
+@register("join_account_txn", "SELECT e.*, a.memberid FROM crm_account_txn e JOIN member_alt_id a ON e.altid = a.altid")
+def q_join_account_txn(spark, d):
+    return M.join_alt_ids(FX.crm_account_txn(spark, d), FX.member_alt_id(spark, d))
+
+
+_TXN_ORDER = [c for c in S.LOYALTY_TXN_COLUMNS if c != "id"]
+
+
+@register("assign_txn_id",
+          "SELECT CAST(1000 + row_number() OVER (ORDER BY "
+          + ", ".join(f"{c} NULLS FIRST" for c in _TXN_ORDER)
+          + ") AS BIGINT) AS id, " + ", ".join(_TXN_ORDER) + " FROM loyalty_txn")
+def q_assign_txn_id(spark, d):
+    return assign_sequential_ids(FX.loyalty_txn(spark, d), _TXN_ORDER, start=S.LOYALTY_TXN_ID_START)
+
+
+@register("migrate_account_txn", O.account_txn_sql(RUN_TS))
+def q_migrate_account_txn(spark, d):
+    return M.account_txn_to_loyalty(FX.crm_account_txn(spark, d), FX.member_alt_id(spark, d), RUN_TS)
+
+
+@register("apply_defaults", O.contact_target_sql(RUN_TS))
+def q_apply_defaults(spark, d):
+    return M.contacts_to_target(FX.crm_contact_stage(spark, d), RUN_TS)
+
+
+@register("agg_running_load_count", O.RUNNING_COUNT_SQL)
+def q_agg_running_load_count(spark, d):
+    return M.running_load_counts(FX.crm_contact_stage(spark, d))
