@@ -20,20 +20,30 @@ from pyspark.sql import functions as F
 LOW_BITS = 33
 
 
-def assign_sequential_ids(df: DataFrame, order: list[str | Column], start: int = 1001,
-                          id_col: str = "id") -> DataFrame:
+def assign_index(df: DataFrame, id_col: str = "_idx", order: list[str | Column] | None = None,
+                 start: int = 0) -> DataFrame:
+    """Gap-free index ``start, start+1, …``; in ``order`` when given (one range
+    shuffle and a local sort), else in the existing partition order (no shuffle)."""
     cols = [c for c in df.columns if c != id_col]
-    ordered = (df.select(*cols).orderBy(*order)
-               .withColumn("_pid", F.spark_partition_id().cast("long"))
-               .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(F.col("_pid"), LOW_BITS)))
-    ordered = ordered.checkpoint(eager=True)
-    counts = ordered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    base = df.select(*cols)
+    if order:
+        base = base.orderBy(*order)
+    placed = (base.withColumn("_pid", F.spark_partition_id().cast("long"))
+              .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(F.col("_pid"), LOW_BITS)))
+    placed = placed.checkpoint(eager=True)
+    counts = placed.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    numbered = ordered.join(F.broadcast(offsets), "_pid")
+    numbered = placed.join(F.broadcast(offsets), "_pid")
     return numbered.select((F.lit(start).cast("long") + F.col("_off") + F.col("_pos")).alias(id_col), *cols)
 
 
+def assign_sequential_ids(df: DataFrame, order: list[str | Column], start: int = 1001,
+                          id_col: str = "id") -> DataFrame:
+    """Identity-style keys from ``start`` in the given order (ties: any order)."""
+    return assign_index(df, id_col=id_col, order=order, start=start)
+
+
 def next_start(existing: DataFrame, id_col: str = "id", default: int = 1001) -> int:
     """First free id after the existing rows (one scalar to the driver)."""
     row = existing.agg(F.max(id_col).alias("m")).first()

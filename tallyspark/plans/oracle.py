@@ -267,3 +267,25 @@ RUNNING_COUNT_SQL = """SELECT country, n_rows,
        CAST(sum(n_rows) OVER (ORDER BY country ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT)
          AS running_rows
   FROM (SELECT country, count(*) AS n_rows FROM crm_contact_stage GROUP BY country) c"""
+
+
+# ----------------------------------------------------------------------------
+# Row JSON (export format: NULL fields kept, timestamps ISO with 'T')
+# ----------------------------------------------------------------------------
+def row_json_sql(source: str) -> str:
+    fields = []
+    for c in S.MISSED_COLUMNS:
+        if c in ("extract_ts", "tran_ts"):
+            fields.append(f"{c} := strftime({c}, '%Y-%m-%dT%H:%M:%S')")
+        else:
+            fields.append(f"{c} := {c}")
+    return f"SELECT CAST(to_json(struct_pack({', '.join(fields)})) AS VARCHAR) AS row_json FROM ({source}) m"
+
+
+def job_summary_sql(threshold: int) -> str:
+    return f"""SELECT i.imported, n.new_lines, m.missed, m.missed < {threshold} AS passed,
+       CASE WHEN m.missed < {threshold} THEN m.missed ELSE 0 END AS exported,
+       CASE WHEN m.missed < {threshold} THEN n.new_lines ELSE 0 END AS archived
+  FROM (SELECT count(*) AS imported FROM pos_lines) i,
+       (SELECT count(*) AS new_lines FROM (SELECT * FROM pos_lines EXCEPT SELECT * FROM pos_lines_history) x) n,
+       (SELECT count(*) AS missed FROM ({MISSED_ALL_SQL}) a) m"""

@@ -345,3 +345,166 @@ def q_apply_defaults(spark, d):
 @register("agg_running_load_count", O.RUNNING_COUNT_SQL)
 def q_agg_running_load_count(spark, d):
     return M.running_load_counts(FX.crm_contact_stage(spark, d))
+
+
+# ------------------------------------------------------------------ sources, sinks, jobs, stream
+import datetime as _dt  # noqa: E402
+
+from tallyspark import sinks as K  # noqa: E402
+from tallyspark import sources as SRC  # noqa: E402
+from tallyspark import streaming as ST  # noqa: E402
+from tallyspark.functions import POS_TS_FORMAT  # noqa: E402
+from tallyspark.plans.contact_job import run_contact_load  # noqa: E402
+from tallyspark.plans.pos_job import archive_lines, run_pos_reconcile  # noqa: E402
+from tallyspark.session import work_dir  # noqa: E402
+
+# Fixed values for the file fixtures: drop prefix and file-name stamps.
+DROP_PREFIX = "POSLOG_DAILY"
+RUN_DT = _dt.datetime(2024, 3, 1, 0, 0)
+CONTACT_COUNTRIES = FX.COUNTRY_BY_NATION_MOD8 + ["NL"]
+
+
+def _write_csv(df: DataFrame, path: str, sep: str, partition_by: str | None = None) -> None:
+    w = (df.write.mode("overwrite").option("header", "true").option("sep", sep)
+         .option("escape", '"').option("timestampNTZFormat", POS_TS_FORMAT)
+         .option("timestampFormat", POS_TS_FORMAT))
+    if partition_by:
+        w = w.partitionBy(partition_by)
+    w.csv(path)
+
+
+def _pos_drop_folder(spark, d) -> str:
+    """A drop folder holding today's batch, yesterday's lines and an unrelated file."""
+    folder = work_dir(spark, "pos-drops")
+    _write_csv(FX.pos_lines(spark, d), f"{folder}/{DROP_PREFIX}_20240201", "|")
+    _write_csv(FX.pos_lines_history(spark, d), f"{folder}/{DROP_PREFIX}_20240131", "|")
+    _write_csv(FX.pos_lines_history(spark, d), f"{folder}/OTHER_EXTRACT_20240201", "|")
+    return folder
+
+
+@register("src_pos_csv", "SELECT * FROM pos_lines")
+def q_src_pos_csv(spark, d):
+    folder = work_dir(spark, "pos-csv")
+    _write_csv(FX.pos_lines(spark, d), f"{folder}/batch", "|")
+    return SRC.read_pos_lines(spark, f"{folder}/batch")
+
+
+@register("src_prefix_files", "SELECT * FROM pos_lines UNION ALL SELECT * FROM pos_lines_history")
+def q_src_prefix_files(spark, d):
+    return SRC.read_pos_drops(spark, _pos_drop_folder(spark, d), DROP_PREFIX).drop("drop_name")
+
+
+@register("src_import_counts", f"""
+SELECT '{DROP_PREFIX}_20240201' AS drop_name, count(*) AS n_rows FROM pos_lines
+UNION ALL SELECT '{DROP_PREFIX}_20240131', count(*) FROM pos_lines_history
+UNION ALL SELECT NULL, (SELECT count(*) FROM pos_lines) + (SELECT count(*) FROM pos_lines_history)""")
+def q_src_import_counts(spark, d):
+    return SRC.import_counts(SRC.read_pos_drops(spark, _pos_drop_folder(spark, d), DROP_PREFIX))
+
+
+@register("src_account_csv", "SELECT * FROM crm_account_txn")
+def q_src_account_csv(spark, d):
+    folder = work_dir(spark, "account-csv")
+    _write_csv(FX.crm_account_txn(spark, d), f"{folder}/accounttransaction_BE", ",")
+    return SRC.read_account_txn(spark, f"{folder}/accounttransaction_BE")
+
+
+def _contact_files(spark, d) -> list[str]:
+    """One contact file set per country, as the CRM export delivers them."""
+    folder = work_dir(spark, "contact-csv")
+    stage = FX.crm_contact_stage(spark, d)
+    _write_csv(stage.withColumn("file_country", F.col("country")), folder, ",", partition_by="file_country")
+    return [f"{folder}/file_country={c}" for c in CONTACT_COUNTRIES]
+
+
+@register("src_contact_csv", "SELECT * FROM crm_contact_stage")
+def q_src_contact_csv(spark, d):
+    return SRC.read_contacts(spark, _contact_files(spark, d))
+
+
+@register("job_contact_load", O.RUNNING_COUNT_SQL)
+def q_job_contact_load(spark, d):
+    target = work_dir(spark, "contact-target") + "/contact"
+    return run_contact_load(spark, _contact_files(spark, d), target, RUN_TS).running_counts
+
+
+@register("sink_overwrite", O.MISSED_ALL_SQL)
+def q_sink_overwrite(spark, d):
+    path = work_dir(spark, "sink-overwrite") + "/missed"
+    m = R.missed_lines(_inputs(spark, d))
+    K.write_overwrite(m, path)
+    K.write_overwrite(m, path)  # a second load replaces, never adds
+    return spark.read.parquet(path)
+
+
+@register("sink_append", O.MISSED_ALL_SQL)
+def q_sink_append(spark, d):
+    path = work_dir(spark, "sink-append") + "/missed"
+    inp = _inputs(spark, d)
+    for kind in ("SALE", "RETU", "VOID"):  # one insert per branch
+        K.write_append(R.missed_lines(inp, kind), path, schema=S.MISSED_SCHEMA)
+    return spark.read.parquet(path)
+
+
+@register("sink_json_lines", O.row_json_sql(O.MISSED_ALL_SQL))
+def q_sink_json_lines(spark, d):
+    out = work_dir(spark, "export")
+    path, _ = K.export_json_lines(R.missed_lines(_inputs(spark, d)), out, "missed_transactions.json", RUN_DT)
+    return spark.read.text(path).select(F.col("value").alias("row_json"))
+
+
+@register("sink_export_count", f"SELECT count(*) AS exported FROM ({O.MISSED_ALL_SQL}) m")
+def q_sink_export_count(spark, d):
+    out = work_dir(spark, "export")
+    _, n = K.export_json_lines(R.missed_lines(_inputs(spark, d)), out, "missed_transactions.json", RUN_DT)
+    return spark.range(1).select(F.lit(n).cast("long").alias("exported"))
+
+
+@register("sink_bulk_payload", O.row_json_sql(O.MISSED_ALL_SQL))
+def q_sink_bulk_payload(spark, d):
+    path = work_dir(spark, "payload") + "/chunks"
+    K.bulk_payload_chunks(R.missed_lines(_inputs(spark, d)), max_rows=1000).write.mode("overwrite").json(path)
+    return K.payload_rows(spark.read.json(path))
+
+
+@register("fn_row_json", O.row_json_sql(O.MISSED_ALL_SQL))
+def q_fn_row_json(spark, d):
+    return R.missed_lines(_inputs(spark, d)).select(row_json(S.MISSED_COLUMNS).alias("row_json"))
+
+
+def _run_job(spark, d):
+    run = work_dir(spark, "pos-run")
+    history_path = f"{run}/history"
+    archive_lines(FX.pos_lines_history(spark, d), history_path)
+    return run_pos_reconcile(spark, FX.pos_lines(spark, d), history_path, FX.member(spark, d),
+                             FX.member_alt_id(spark, d), FX.loyalty_txn(spark, d), f"{run}/work",
+                             f"{run}/out", threshold=R.DEFAULT_THRESHOLD, run_ts=RUN_DT)
+
+
+@register("job_pos_reconcile", O.MISSED_ALL_SQL)
+def q_job_pos_reconcile(spark, d):
+    res = _run_job(spark, d)
+    return spark.read.parquet(res.missed_path).select(*S.MISSED_COLUMNS)
+
+
+@register("job_run_summary", O.job_summary_sql(R.DEFAULT_THRESHOLD))
+def q_job_run_summary(spark, d):
+    r = _run_job(spark, d)
+    return spark.range(1).select(
+        F.lit(r.imported).cast("long").alias("imported"), F.lit(r.new_lines).cast("long").alias("new_lines"),
+        F.lit(r.missed).cast("long").alias("missed"), F.lit(r.passed).alias("passed"),
+        F.lit(r.exported).cast("long").alias("exported"), F.lit(r.archived).cast("long").alias("archived"))
+
+
+@register("stream_ingest_archive", O.MISSED_ALL_SQL)
+def q_stream_ingest_archive(spark, d):
+    """Today's batch arrives as several files; the stream reconciles them one
+    micro-batch at a time and archives consumed files."""
+    root = work_dir(spark, "stream")
+    _write_csv(FX.pos_lines(spark, d).repartition(4), f"{root}/in", "|")
+    history = f"{root}/history"
+    FX.pos_lines_history(spark, d).write.mode("overwrite").parquet(history)
+    ST.reconcile_stream(spark, f"{root}/in", f"{root}/ckpt", f"{root}/out", [history], f"{root}/stream_history",
+                        FX.member(spark, d), FX.member_alt_id(spark, d), FX.loyalty_txn(spark, d),
+                        archive_dir=f"{root}/processed", max_files_per_trigger=1, file_glob="*.csv")
+    return ST.read_stream_output(spark, f"{root}/out")

@@ -1,0 +1,83 @@
+"""Sinks: overwrite / append writers, JSON-lines export, bounded bulk payloads.
+
+Writers return row counts taken with ``observe`` during the write itself, so
+no second pass over the data is needed.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tallyspark.functions import JSON_TS_FORMAT, row_json
+from tallyspark.operators.keys import assign_index
+from tallyspark.operators.migrate import conform
+
+
+def _observed_write(df: DataFrame, name: str):
+    obs = Observation(name)
+    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+
+
+def write_overwrite(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> int:
+    """Truncate-and-load: replace the target's content with ``df``."""
+    d, obs = _observed_write(df, "overwrite")
+    w = d.write.mode("overwrite").format(fmt)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.save(path)
+    return int(obs.get["rows"])
+
+
+def write_append(df: DataFrame, path: str, schema: T.StructType | None = None, fmt: str = "parquet",
+                 partition_by: list[str] | None = None) -> int:
+    """``INSERT INTO target SELECT …``: align to the target layout, then append."""
+    if schema is not None:
+        df = conform(df, schema)
+    d, obs = _observed_write(df, "append")
+    w = d.write.mode("append").format(fmt)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.save(path)
+    return int(obs.get["rows"])
+
+
+def export_name(run_ts: dt.datetime, name: str) -> str:
+    """Run-stamped export name: ``YYYYmmdd_HHMM_<name>``."""
+    return run_ts.strftime("%Y%m%d_%H%M") + "_" + name
+
+
+def export_json_lines(df: DataFrame, out_dir: str, name: str, run_ts: dt.datetime) -> tuple[str, int]:
+    """One JSON object per line, NULL fields kept; returns (path, rows exported)."""
+    path = f"{out_dir.rstrip('/')}/{export_name(run_ts, name)}"
+    d, obs = _observed_write(df, "export")
+    (d.write.mode("overwrite")
+     .option("ignoreNullFields", "false")
+     .option("timestampNTZFormat", JSON_TS_FORMAT)
+     .option("timestampFormat", JSON_TS_FORMAT)
+     .json(path))
+    return path, int(obs.get["rows"])
+
+
+def bulk_payload_chunks(df: DataFrame, max_rows: int = 1000, cols: list[str] | None = None) -> DataFrame:
+    """JSON-array payloads of at most ``max_rows`` rows each: (chunk_id, n_rows, payload).
+
+    Rows get a gap-free index (see ``assign_index``), ``chunk_id = index div
+    max_rows``; each group therefore holds at most ``max_rows`` rows, so no
+    task ever collects more than one bounded chunk.  Rows inside a payload
+    follow the index."""
+    cols = cols or df.columns
+    indexed = assign_index(df.select(row_json(cols).alias("_json")), "_idx")
+    return (indexed.groupBy(F.floor(F.col("_idx") / max_rows).cast("long").alias("chunk_id"))
+            .agg(F.count(F.lit(1)).alias("n_rows"),
+                 F.array_sort(F.collect_list(F.struct("_idx", "_json"))).alias("_rows"))
+            .select("chunk_id", "n_rows",
+                    F.concat(F.lit("["), F.array_join(F.col("_rows._json"), ","), F.lit("]")).alias("payload")))
+
+
+def payload_rows(chunks: DataFrame) -> DataFrame:
+    """The row objects inside payloads, one JSON text per row (for checks)."""
+    return chunks.select(F.explode(F.from_json("payload", "array<string>")).alias("row_json"))

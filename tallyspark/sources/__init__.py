@@ -1,0 +1,101 @@
+"""Delimited-file sources: POS drops, CRM account transactions, CRM contacts.
+
+Rules shared by every reader:
+- an explicit schema, never inference; columns map by position, as the
+  source's column lists do, so header names in the file do not matter;
+- the first line is a header and is skipped;
+- an empty field is NULL.  A *quoted* empty field (``""``) is an empty
+  string in the source system; ``keep_quoted_empty`` reproduces that with a
+  sentinel that is mapped back to ``''`` (Spark would read it as NULL);
+- ``escape='"'`` so doubled quotes inside a quoted field stay one quote.
+"""
+
+from __future__ import annotations
+
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.utils import AnalysisException
+
+from tallyspark import schemas as S
+from tallyspark.functions import POS_TS_FORMAT
+
+QUOTED_EMPTY = "\u0001<empty>\u0001"
+
+
+def _csv_options(sep: str, keep_quoted_empty: bool) -> dict[str, str]:
+    opts = {"sep": sep, "header": "true", "nullValue": "", "escape": '"', "quote": '"',
+            "mode": "FAILFAST", "timestampNTZFormat": POS_TS_FORMAT, "timestampFormat": POS_TS_FORMAT,
+            "multiLine": "false"}
+    if keep_quoted_empty:
+        opts["emptyValue"] = QUOTED_EMPTY
+    return opts
+
+
+def _restore_empty(df: DataFrame, schema: T.StructType) -> DataFrame:
+    cols = []
+    for f in schema.fields:
+        c = F.col(f.name)
+        if isinstance(f.dataType, T.StringType):
+            c = F.when(c == QUOTED_EMPTY, F.lit("")).otherwise(c)
+        cols.append(c.alias(f.name))
+    extra = [F.col(c) for c in df.columns if c not in set(schema.fieldNames())]
+    return df.select(*cols, *extra)
+
+
+def read_delimited(spark: SparkSession, paths: str | list[str], schema: T.StructType, sep: str = ",",
+                   keep_quoted_empty: bool = True, with_source: bool = False) -> DataFrame:
+    reader = spark.read.schema(schema).options(**_csv_options(sep, keep_quoted_empty))
+    df = reader.csv(paths)
+    if with_source:
+        df = df.withColumn("source_file", F.col("_metadata.file_path"))
+    return _restore_empty(df, schema) if keep_quoted_empty else df
+
+
+def read_pos_lines(spark: SparkSession, paths: str | list[str], keep_quoted_empty: bool = True,
+                   with_source: bool = False) -> DataFrame:
+    """Pipe-delimited POS line files (42 text columns)."""
+    return read_delimited(spark, paths, S.POS_SCHEMA, "|", keep_quoted_empty, with_source)
+
+
+def read_account_txn(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Comma-delimited CRM account-transaction export (16 columns)."""
+    return read_delimited(spark, paths, S.ACCOUNT_TXN_SCHEMA, ",")
+
+
+def read_contacts(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Per-country contact files (13 columns), read as one parallel scan."""
+    return read_delimited(spark, list(paths), S.CONTACT_STAGE_SCHEMA, ",")
+
+
+def discover(folder: str, prefix: str) -> str:
+    """Glob for every file or drop folder under ``folder`` whose name starts with ``prefix``."""
+    return f"{folder.rstrip('/')}/{prefix}*"
+
+
+def read_pos_drops(spark: SparkSession, folder: str, prefix: str) -> DataFrame:
+    """All POS drops matching the prefix, with the drop name of each line.
+
+    An empty drop folder gives an empty frame, not an error."""
+    try:
+        df = read_pos_lines(spark, discover(folder, prefix), with_source=True)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
+            empty = spark.createDataFrame([], S.POS_SCHEMA)
+            return empty.withColumn("drop_name", F.lit(None).cast("string"))
+        raise
+    return df.withColumn("drop_name", drop_name(F.col("source_file"), folder)).drop("source_file")
+
+
+def drop_name(file_path: Column, folder: str) -> Column:
+    """First path component below ``folder``: the file itself, or the drop folder
+    that holds it (Spark writers produce folders of part files)."""
+    tail = re.sub(r"^[a-z]+:/*", "/", folder.rstrip("/"))
+    return F.regexp_extract(file_path, re.escape(tail) + r"/([^/]+)", 1)
+
+
+def import_counts(drops: DataFrame) -> DataFrame:
+    """Rows imported per drop and in total (``drop_name`` NULL on the total row)."""
+    return (drops.rollup("drop_name").agg(F.count(F.lit(1)).alias("n_rows")))
