@@ -68,6 +68,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+def local_path(path: str) -> str:
+    """Plain file-system path of a ``file:`` URI (for tests that write files by hand)."""
+    return path[len("file:"):] if path.startswith("file:") else path
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for one run's files, under the shared work root."""
     root = spark.conf.get("tallyspark.work.dir", None)

@@ -22,6 +22,16 @@ def _observed_write(df: DataFrame, name: str):
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
+def _rows(obs: Observation, spark, path: str, fmt: str) -> int:
+    """Rows seen by the write.  When adaptive execution replaced an empty
+    input by an empty relation the observation carries no metrics; count the
+    written files instead (footer metadata for parquet)."""
+    try:
+        return int(obs.get["rows"])
+    except Exception:
+        return spark.read.format(fmt).load(path).count()
+
+
 def write_overwrite(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> int:
     """Truncate-and-load: replace the target's content with ``df``."""
     d, obs = _observed_write(df, "overwrite")
@@ -29,7 +39,7 @@ def write_overwrite(df: DataFrame, path: str, fmt: str = "parquet", partition_by
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)
-    return int(obs.get["rows"])
+    return _rows(obs, df.sparkSession, path, fmt)
 
 
 def write_append(df: DataFrame, path: str, schema: T.StructType | None = None, fmt: str = "parquet",
@@ -42,7 +52,7 @@ def write_append(df: DataFrame, path: str, schema: T.StructType | None = None, f
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)
-    return int(obs.get["rows"])
+    return int(obs.get["rows"])  # appended rows only: no fallback count over the whole target
 
 
 def export_name(run_ts: dt.datetime, name: str) -> str:
@@ -59,7 +69,7 @@ def export_json_lines(df: DataFrame, out_dir: str, name: str, run_ts: dt.datetim
      .option("timestampNTZFormat", JSON_TS_FORMAT)
      .option("timestampFormat", JSON_TS_FORMAT)
      .json(path))
-    return path, int(obs.get["rows"])
+    return path, _rows(obs, df.sparkSession, path, "json")
 
 
 def bulk_payload_chunks(df: DataFrame, max_rows: int = 1000, cols: list[str] | None = None) -> DataFrame:
