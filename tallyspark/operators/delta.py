@@ -11,7 +11,7 @@ EXTRACT_STAMP = "hd_file_extract_date_time"
 
 
 def new_lines(batch: DataFrame, history: DataFrame, cols: list[str] | None = None,
-              prune_on: str | None = EXTRACT_STAMP) -> DataFrame:
+              prune_on: str | None = None) -> DataFrame:
     """Distinct batch lines not already in history (``EXCEPT``: set, NULL-safe).
 
     - Duplicates are removed *before* the anti join: the partial aggregate
@@ -19,12 +19,13 @@ def new_lines(batch: DataFrame, history: DataFrame, cols: list[str] | None = Non
       times ships one row per map task instead of a million to one reducer.
     - Every column is compared with ``<=>``; Catalyst turns the NULL-safe
       equalities into hashable join keys.
-    - ``prune_on``: history rows whose extract stamp is not among the batch's
-      stamps can never be equal to a batch line, so history is first semi-joined
-      to the batch's distinct stamps (one per file drop; Spark broadcasts that
-      list when its runtime size is small).  When history is stored partitioned
-      by the stamp, this lets dynamic partition pruning skip old partitions.
-      The result is exact: NULL stamps are kept on both sides.
+    - ``prune_on`` (e.g. ``EXTRACT_STAMP``): history rows whose stamp is not
+      among the batch's stamps can never equal a batch line, so history is
+      first semi-joined to the batch's distinct stamps (a few per drop; Spark
+      broadcasts that list when its runtime size is small).  Exact: NULL stamps
+      are kept on both sides.  Use it when the batch is materialised (a staged
+      table), since the stamps are a second scan of the batch; the job instead
+      prunes history *partitions* by extract day (``plans.pos_job``).
     """
     cols = cols or batch.columns
     b = batch.select(*cols).dropDuplicates()

@@ -52,11 +52,13 @@ def missed_with_kind(inp: ReconcileInputs, rules=DEFAULT_RULES, new: DataFrame |
 
 def missed_lines(inp: ReconcileInputs, kind: str | None = None, rules=DEFAULT_RULES,
                  new: DataFrame | None = None) -> DataFrame:
-    """Missed lines in the 21-column layout, for one kind or all."""
-    m = missed_with_kind(inp, rules, new)
+    """Missed lines in the 21-column layout, for one kind or all.
+
+    For one kind only that kind's rule is planned: a SALE-only run has no
+    original-transaction join at all."""
     if kind is not None:
-        m = m.where(F.col("kind") == kind)
-    return m.select(*S.MISSED_COLUMNS)
+        rules = tuple(r for r in rules if r.kind == kind)
+    return missed_with_kind(inp, rules, new).select(*S.MISSED_COLUMNS)
 
 
 def missed_by_kind(missed_df: DataFrame) -> DataFrame:

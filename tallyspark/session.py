@@ -27,6 +27,9 @@ SCALE_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "32m",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    # sort-merge → shuffled hash join only when every partition's build side
+    # is below this size (checked at run time by AQE): no sort, bounded memory
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.parquet.filterPushdown": "true",
