@@ -26,13 +26,17 @@ def backfill_ids(member: DataFrame, sources: list[DataFrame], run_ts: dt.datetim
                  by: str = BACKFILL_BY, id_col: str = "consumerid", email_col: str = "email",
                  source_id: str = "uuid", source_email: str = "email") -> DataFrame:
     cols = member.columns
-    m = member.withColumn("_key", F.lower(email_col))
+    # NULL e-mails never match; give each one its own key so they spread over
+    # partitions instead of all hashing to one (the residual keeps it exact)
+    spread = F.concat(F.lit("\u0000"), F.xxhash64(*[F.col(c) for c in cols]).cast("string"))
+    m = member.withColumn("_key", F.coalesce(F.lower(email_col), spread))
     current = F.col(id_col)
     updated = F.lit(False)
     for i, src in enumerate(sources):
         s = (src.groupBy(F.col(source_email).alias(f"_key{i}"))
              .agg(F.min(source_id).alias(f"_id{i}"), F.lit(True).alias(f"_hit{i}")))
-        m = m.join(s, m["_key"] == s[f"_key{i}"], "left").drop(f"_key{i}")
+        on = (m["_key"] == s[f"_key{i}"]) & F.col(email_col).isNotNull()
+        m = m.join(s, on, "left").drop(f"_key{i}")
         take = current.isNull() & F.col(f"_hit{i}").isNotNull()
         current = F.when(take, F.col(f"_id{i}")).otherwise(current)
         updated = updated | take

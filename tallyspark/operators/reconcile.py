@@ -87,10 +87,18 @@ def _type_predicate(rules, kind: Column, typ: Column) -> Column | None:
     return reduce(lambda a, b: a | b, terms)
 
 
-def missed(candidates: DataFrame, txn: DataFrame, rules=DEFAULT_RULES) -> DataFrame:
-    """Candidates (with ``memberid`` and ``kind``) that no loyalty transaction covers."""
+def missed(candidates: DataFrame, txn: DataFrame, rules=DEFAULT_RULES,
+           header_txn: DataFrame | None = None) -> DataFrame:
+    """Candidates (with ``memberid`` and ``kind``) that no loyalty transaction covers.
+
+    ``header_txn`` may be a pruned subset of ``txn`` for the header match (e.g.
+    only the candidates' transaction days); the original-transaction match
+    always uses ``txn`` (an original sale can be from any day)."""
     c = candidates.withColumn("amount_real", amount_real("itm_amount"))
-    t = txn.select(*[F.col(tc).alias(f"_t_{tc}") for _, tc in HEADER_KEYS], F.col("type").alias("_t_type"))
+    # a transaction with a NULL key part can never match (plain equality): drop it
+    # before the shuffle rather than ship it
+    t = ((header_txn if header_txn is not None else txn).where(reduce(lambda a, b: a & b, [F.col(tc).isNotNull() for _, tc in HEADER_KEYS]))
+         .select(*[F.col(tc).alias(f"_t_{tc}") for _, tc in HEADER_KEYS], F.col("type").alias("_t_type")))
     cond = reduce(lambda a, b: a & b, [c[cc] == t[f"_t_{tc}"] for cc, tc in HEADER_KEYS])
     pred = _type_predicate(rules, c["kind"], t["_t_type"])
     if pred is not None:
@@ -104,7 +112,8 @@ def missed(candidates: DataFrame, txn: DataFrame, rules=DEFAULT_RULES) -> DataFr
         kinds_of_type = F.filter(
             F.array(*[F.when(F.col("type").isin(list(r.original_types)), F.lit(r.kind)) for r in with_orig]),
             lambda x: x.isNotNull())
-        t2 = (txn.where(F.col("type").isin(all_types))
+        t2 = (txn.where(F.col("type").isin(all_types) & F.col("memberid").isNotNull()
+                        & F.col("referencenumber").isNotNull())
               .select(F.col("memberid").alias("_o_memberid"),
                       F.col("referencenumber").alias("_o_ref"),
                       F.explode(kinds_of_type).alias("_o_kind"))

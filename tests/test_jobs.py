@@ -82,3 +82,15 @@ def test_stream_equals_batch_and_archives_files(spark):
     assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
     moved = [f for _, _, fs in os.walk(local_path(f"{root}/processed")) for f in fs if f.endswith(".csv")]
     assert len(moved) >= 2   # the last batch's files move when a later batch commits
+
+
+def test_partitioned_transactions_are_pruned_by_day(spark, run_dir):
+    d = SF_SMALL
+    txn_path = f"{run_dir}/txn"
+    (FX.loyalty_txn(spark, d).withColumn("txn_day", F.to_date("date"))
+     .write.partitionBy("txn_day").parquet(txn_path))
+    txn = spark.read.parquet(txn_path)
+    r = run_pos_reconcile(spark, FX.pos_lines(spark, d), f"{run_dir}/history", FX.member(spark, d),
+                          FX.member_alt_id(spark, d), txn, f"{run_dir}/work", f"{run_dir}/out",
+                          run_ts=RUN, txn_day_col="txn_day")
+    assert r.missed_by_kind == {"SALE": 784, "RETU": 462, "VOID": 439}
