@@ -35,7 +35,8 @@ def new_lines(batch: DataFrame, history: DataFrame, cols: list[str] | None = Non
         hp = F.col(f"_h_{prune_on}")
         h = (h.join(stamps, hp == stamps["_stamp"], "left_semi")
              .unionByName(h.where(hp.isNull())))
-    cond = [b[c].eqNullSafe(h[f"_h_{c}"]) for c in cols]
+    # history columns carry a prefix, so unresolved names are unambiguous
+    cond = [F.col(c).eqNullSafe(F.col(f"_h_{c}")) for c in cols]
     return b.join(h, on=reduce(lambda x, y: x & y, cond), how="left_anti")
 
 

@@ -99,8 +99,8 @@ def missed(candidates: DataFrame, txn: DataFrame, rules=DEFAULT_RULES,
     # before the shuffle rather than ship it
     t = ((header_txn if header_txn is not None else txn).where(reduce(lambda a, b: a & b, [F.col(tc).isNotNull() for _, tc in HEADER_KEYS]))
          .select(*[F.col(tc).alias(f"_t_{tc}") for _, tc in HEADER_KEYS], F.col("type").alias("_t_type")))
-    cond = reduce(lambda a, b: a & b, [c[cc] == t[f"_t_{tc}"] for cc, tc in HEADER_KEYS])
-    pred = _type_predicate(rules, c["kind"], t["_t_type"])
+    cond = reduce(lambda a, b: a & b, [F.col(cc) == F.col(f"_t_{tc}") for cc, tc in HEADER_KEYS])
+    pred = _type_predicate(rules, F.col("kind"), F.col("_t_type"))
     if pred is not None:
         cond = cond & pred
     out = c.join(t, cond, "left_anti")
@@ -116,9 +116,8 @@ def missed(candidates: DataFrame, txn: DataFrame, rules=DEFAULT_RULES,
                         & F.col("referencenumber").isNotNull())
               .select(F.col("memberid").alias("_o_memberid"),
                       F.col("referencenumber").alias("_o_ref"),
-                      F.explode(kinds_of_type).alias("_o_kind"))
-              .dropDuplicates())
-        cond2 = ((out["memberid"] == t2["_o_memberid"]) & (out["orig_tran_id"] == t2["_o_ref"])
-                 & (out["kind"] == t2["_o_kind"]))
+                      F.explode(kinds_of_type).alias("_o_kind")))
+        cond2 = ((F.col("memberid") == F.col("_o_memberid")) & (F.col("orig_tran_id") == F.col("_o_ref"))
+                 & (F.col("kind") == F.col("_o_kind")))
         out = out.join(t2, cond2, "left_anti")
     return out.drop("amount_real")

@@ -10,8 +10,10 @@ keep the line when either side hit):
 - a NULL id never resolves.
 
 Instead of joining the (large) line table twice, the dimension side is folded
-once into a lookup of ``(lookup_id, memberid, copies)`` rows and the lines are
-inner-joined once; ``copies`` restores the fan-out exactly.  Member ids are
+once into a lookup with one ``(lookup_id, memberid)`` row per output copy:
+direct hits left-joined to the alternate rows of the same id (``d × max(a, 1)``
+rows), plus alternate-only ids.  Lines then inner-join the lookup once and the
+fan-out of the two-join form comes out of the join itself.  Member ids are
 primary keys (never NULL), as the foreign key on the transaction table states.
 """
 
@@ -22,16 +24,15 @@ from pyspark.sql import functions as F
 
 
 def member_lookup(member: DataFrame, alt: DataFrame) -> DataFrame:
+    """One row per resolved copy: (lookup_id, memberid).  Dimension-sized."""
     direct = (member.where(F.col("consumerid").isNotNull())
               .select(F.col("consumerid").alias("lookup_id"), F.col("id").alias("memberid")))
     alt_rows = (alt.where(F.col("altid").isNotNull())
                 .select(F.col("altid").alias("lookup_id"), "memberid"))
-    alt_n = alt_rows.groupBy("lookup_id").agg(F.count(F.lit(1)).alias("n_alt"))
-    direct_hits = (direct.join(alt_n, "lookup_id", "left")
-                   .select("lookup_id", "memberid", F.coalesce("n_alt", F.lit(1)).alias("copies")))
+    # every alternate row multiplies a direct hit, whatever its member id
+    direct_hits = direct.join(alt_rows.select("lookup_id"), "lookup_id", "left")
     alt_only = (alt_rows.where(F.col("memberid").isNotNull())
-                .join(direct.select("lookup_id"), "lookup_id", "left_anti")
-                .select("lookup_id", "memberid", F.lit(1).cast("long").alias("copies")))
+                .join(direct.select("lookup_id"), "lookup_id", "left_anti"))
     return direct_hits.unionByName(alt_only)
 
 
@@ -41,6 +42,4 @@ def resolve_members(lines: DataFrame, member: DataFrame, alt: DataFrame,
     lookup = member_lookup(member, alt)
     resolved = (lines.where(F.col(key).isNotNull())
                 .join(lookup, F.col(key) == lookup["lookup_id"], "inner"))
-    # restore the fan-out of the literal two-join form
-    resolved = resolved.withColumn("_copy", F.explode(F.array_repeat(F.lit(True), F.col("copies").cast("int"))))
-    return resolved.drop("lookup_id", "copies", "_copy").withColumnRenamed("memberid", out)
+    return resolved.drop("lookup_id").withColumnRenamed("memberid", out)
