@@ -28,7 +28,10 @@ def test_no_python_udf_anywhere(spark):
 def test_missed_uses_anti_joins_and_pruned_scans(spark):
     p = plan(REG.QUERIES["missed_all"](spark, SF_SMALL))
     assert p.count("LeftAnti") >= 3          # batch difference + header match + original-tran match
-    assert "LeftOuter" not in p              # the literal LEFT JOIN … IS NULL form is gone
+    # the literal LEFT JOIN … IS NULL form is gone: the only outer join left is
+    # the dimension-side fan-out inside the member lookup (direct × alternate rows)
+    assert p.count("LeftOuter") <= 2
+    assert "isnull(memberid" not in p
     assert "ReadSchema: struct<c_custkey:bigint>" in p   # member lookups read one column
     assert "ReadSchema: struct<event_id" not in p
 
@@ -36,7 +39,9 @@ def test_missed_uses_anti_joins_and_pruned_scans(spark):
 def test_kind_filter_reaches_candidates(spark):
     p = plan(REG.QUERIES["missed_sale"](spark, SF_SMALL))
     # the SALE filter is applied to the batch lines, below the member join
-    assert "split_part" in p and "SALE" in p
+    # (Spark prints split_part as element_at(stringsplitsql(...)))
+    conditions = [line for line in p.split("\n") if line.startswith("Condition") and "= SALE)" in line]
+    assert conditions and all("split" in c for c in conditions)
 
 
 def test_latest_profile_is_one_aggregate_without_sort(spark):
