@@ -2,7 +2,8 @@
 without funnelling the table through one partition.
 
 1. ``orderBy`` range-partitions and sorts: partition *p* holds a contiguous,
-   sorted slice of the key order.
+   sorted slice of the key order (a per-row tiebreaker keeps a hot key from
+   landing in one partition).
 2. The position inside the slice is the low 33 bits of
    ``monotonically_increasing_id`` (documented layout: partition id in the upper
    bits, record number within the partition in the lower 33 bits).
@@ -27,7 +28,10 @@ def assign_index(df: DataFrame, id_col: str = "_idx", order: list[str | Column]
     cols = [c for c in df.columns if c != id_col]
     base = df.select(*cols)
     if order:
-        base = base.orderBy(*order)
+        # ties may be numbered in any order: a per-row tiebreaker lets the range
+        # partitioner split a hot sort key (or many identical rows) over partitions
+        base = (base.withColumn("_tb", F.monotonically_increasing_id())
+                .orderBy(*order, "_tb").drop("_tb"))
     placed = (base.withColumn("_pid", F.spark_partition_id().cast("long"))
               .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(F.col("_pid"), LOW_BITS)))
     placed = placed.checkpoint(eager=True)

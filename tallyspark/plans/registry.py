@@ -503,13 +503,13 @@ def q_stream_ingest_archive(spark, d):
     root = work_dir(spark, "stream")
     _write_csv(FX.pos_lines(spark, d).repartition(4), f"{root}/in", "|")
     history = f"{root}/history"
-    FX.pos_lines_history(spark, d).write.mode("overwrite").parquet(history)
+    archive_lines(FX.pos_lines_history(spark, d), history)
     # the lookups are tables at rest, read by every micro-batch
     tables = {}
     for name in ("member", "member_alt_id", "loyalty_txn"):
         FX.FIXTURES[name](spark, d).write.mode("overwrite").parquet(f"{root}/{name}")
         tables[name] = spark.read.parquet(f"{root}/{name}")
-    ST.reconcile_stream(spark, f"{root}/in", f"{root}/ckpt", f"{root}/out", [history], f"{root}/stream_history",
+    ST.reconcile_stream(spark, f"{root}/in", f"{root}/ckpt", f"{root}/out", history,
                         tables["member"], tables["member_alt_id"], tables["loyalty_txn"],
-                        archive_dir=f"{root}/processed", max_files_per_trigger=1, file_glob="*.csv")
+                        archive_dir=f"{root}/processed", max_files_per_trigger=2, file_glob="*.csv")
     return ST.read_stream_output(spark, f"{root}/out")

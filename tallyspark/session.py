@@ -20,6 +20,8 @@ SCALE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a hot join key even when that costs an extra shuffle downstream
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     # Broadcast is decided by Spark from plan statistics and, under AQE, from
     # the runtime size of the finished shuffle stage: a checked size bound with

@@ -1,14 +1,17 @@
 """Incremental ingest of POS drops with Structured Streaming.
 
 A file-source stream over the drop folder replaces the source job's list /
-import / move loop: each micro-batch of new files is reconciled by the batch
-operators inside ``foreachBatch``, and ``cleanSource=archive`` moves consumed
-files to the processed folder (Spark moves a batch's files once a later batch
-commits, so the last batch's files may stay until the next run).
-
-Exactly-once by construction: each micro-batch writes its missed lines to
-``epoch=<id>`` and its new lines to history ``epoch=<id>`` with overwrite, so a
-replayed epoch rewrites the same folders.  Re-delivered lines need no
+import / move loop.  Each micro-batch of new files is handed to the batch job
+(``plans.pos_job.run_pos_reconcile``) unchanged: staged, differenced against
+history (pruned to the batch's extract days), reconciled, gated, exported and
+archived.  ``cleanSource=archive`` moves consumed files to the processed folder
+(Spark moves a batch's files once a later batch commits, so the last batch's
+files may stay until the next run).
+
+Replays are safe: a replayed epoch rewrites its own run folder, and its lines
+are already in history if the first attempt archived them, so nothing is
+exported or archived twice.  A tripped gate raises: the epoch is not committed
+and its files are offered again on the next start.  Re-delivered lines need no
 watermark: the batch difference against history removes them.
 """
 
@@ -18,8 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark import schemas as S
-from tallyspark.operators.delta import new_lines
-from tallyspark.operators.reconcile import DEFAULT_RULES, missed, resolved_candidates
+from tallyspark.operators.reconcile import DEFAULT_RULES
+from tallyspark.plans.pos_job import run_pos_reconcile
 from tallyspark.sources import _csv_options, _restore_empty
 
 
@@ -34,54 +37,38 @@ def pos_drop_stream(spark: SparkSession, in_dir: str, archive_dir: str | None =
     return _restore_empty(reader.csv(in_dir), S.POS_SCHEMA)
 
 
-def _read_history(spark: SparkSession, history_dirs: list[str]) -> DataFrame:
-    frames = []
-    for d in history_dirs:
-        try:
-            frames.append(spark.read.parquet(d).select(*S.POS_COLUMNS))
-        except Exception as e:  # an empty history folder has no files yet
-            if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e) or "does not exist" in str(e):
-                continue
-            raise
-    if not frames:
-        return spark.createDataFrame([], S.POS_SCHEMA)
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
-
-
-def reconcile_stream(spark: SparkSession, in_dir: str, checkpoint_dir: str, out_dir: str,
-                     history_dirs: list[str], stream_history_dir: str, member: DataFrame, alt: DataFrame,
-                     txn: DataFrame, archive_dir: str | None = None, max_files_per_trigger: int | None = 1,
-                     rules=DEFAULT_RULES, file_glob: str = "*"):
+class GateTripped(RuntimeError):
+    pass
+
+
+def reconcile_stream(spark: SparkSession, in_dir: str, checkpoint_dir: str, out_dir: str, history_path: str,
+                     member: DataFrame, alt: DataFrame, txn: DataFrame, archive_dir: str | None = None,
+                     max_files_per_trigger: int | None = 1, rules=DEFAULT_RULES, file_glob: str = "*",
+                     threshold: int | None = None, txn_day_col: str | None = None):
     """Run the stream over every file present now (``availableNow``) and stop.
 
-    ``history_dirs`` are earlier history tables; ``stream_history_dir`` receives
-    this stream's archived lines (and is read back by later micro-batches)."""
+    Missed lines of epoch *n* are staged under ``out_dir/epoch=n/work/missed``;
+    ``threshold=None`` disables the gate."""
+    results = {}
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
-        history = _read_history(spark, list(history_dirs) + [stream_history_dir])
-        new = new_lines(batch.select(*S.POS_COLUMNS), history, cols=S.POS_COLUMNS)
-        new_path = f"{checkpoint_dir.rstrip('/')}/_new/epoch={epoch_id}"
-        new.write.mode("overwrite").parquet(new_path)
-        new_df = spark.read.parquet(new_path)
-        m = missed(resolved_candidates(new_df, member, alt, rules), txn, rules)
-        m.select(*S.MISSED_COLUMNS).write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/epoch={epoch_id}")
-        # archive last, idempotent per epoch
-        new_df.write.mode("overwrite").parquet(f"{stream_history_dir.rstrip('/')}/epoch={epoch_id}")
-
-    # seed this stream's history with an empty partition so it is always readable
-    spark.createDataFrame([], S.POS_SCHEMA).write.mode("overwrite").parquet(
-        f"{stream_history_dir.rstrip('/')}/epoch=-1")
+        run = f"{out_dir.rstrip('/')}/epoch={epoch_id}"
+        res = run_pos_reconcile(spark, batch, history_path, member, alt, txn, f"{run}/work", f"{run}/export",
+                                threshold=threshold if threshold is not None else 2 ** 62,
+                                rules=rules, txn_day_col=txn_day_col)
+        results[epoch_id] = res
+        if not res.passed:
+            raise GateTripped(f"epoch {epoch_id}: {res.missed} missed lines, threshold {threshold}")
+
     q = (pos_drop_stream(spark, in_dir, archive_dir, max_files_per_trigger, file_glob)
          .writeStream.foreachBatch(per_batch)
          .option("checkpointLocation", f"{checkpoint_dir.rstrip('/')}/stream")
          .trigger(availableNow=True)
          .start())
     q.awaitTermination()
-    return q
+    return results
 
 
 def read_stream_output(spark: SparkSession, out_dir: str) -> DataFrame:
-    return spark.read.parquet(out_dir).select(*S.MISSED_COLUMNS)
+    """Missed lines staged by every epoch."""
+    return spark.read.parquet(f"{out_dir.rstrip('/')}/epoch=*/work/missed").select(*S.MISSED_COLUMNS)

@@ -71,11 +71,13 @@ def test_stream_equals_batch_and_archives_files(spark):
     root = work_dir(spark, "test-stream")
     d = SF_SMALL
     REG._write_csv(FX.pos_lines(spark, d).repartition(3), f"{root}/in", "|")
-    FX.pos_lines_history(spark, d).write.parquet(f"{root}/history")
-    ST.reconcile_stream(spark, f"{root}/in", f"{root}/ckpt", f"{root}/out", [f"{root}/history"],
-                        f"{root}/stream_history", FX.member(spark, d), FX.member_alt_id(spark, d),
-                        FX.loyalty_txn(spark, d), archive_dir=f"{root}/processed", max_files_per_trigger=1,
-                        file_glob="*.csv")
+    archive_lines(FX.pos_lines_history(spark, d), f"{root}/history")
+    results = ST.reconcile_stream(spark, f"{root}/in", f"{root}/ckpt", f"{root}/out", f"{root}/history",
+                                  FX.member(spark, d), FX.member_alt_id(spark, d), FX.loyalty_txn(spark, d),
+                                  archive_dir=f"{root}/processed", max_files_per_trigger=1, file_glob="*.csv",
+                                  threshold=10000)
+    assert len(results) == 3 and all(r.passed for r in results.values())
+    assert sum(r.archived for r in results.values()) == 5100   # every new line archived once
     streamed = ST.read_stream_output(spark, f"{root}/out")
     batch = REG.QUERIES["missed_all"](spark, d)
     assert streamed.count() == 1685
@@ -94,3 +96,19 @@ def test_partitioned_transactions_are_pruned_by_day(spark, run_dir):
                           FX.member_alt_id(spark, d), txn, f"{run_dir}/work", f"{run_dir}/out",
                           run_ts=RUN, txn_day_col="txn_day")
     assert r.missed_by_kind == {"SALE": 784, "RETU": 462, "VOID": 439}
+
+
+def test_stream_gate_stops_without_committing(spark):
+    root = work_dir(spark, "test-stream-gate")
+    d = SF_SMALL
+    REG._write_csv(FX.pos_lines(spark, d).repartition(2), f"{root}/in", "|")
+    archive_lines(FX.pos_lines_history(spark, d), f"{root}/history")
+    args = (spark, f"{root}/in", f"{root}/ckpt", f"{root}/out", f"{root}/history",
+            FX.member(spark, d), FX.member_alt_id(spark, d), FX.loyalty_txn(spark, d))
+    with pytest.raises(Exception):
+        ST.reconcile_stream(*args, max_files_per_trigger=1, file_glob="*.csv", threshold=10)
+    before = spark.read.parquet(f"{root}/history").count()
+    # the same files are offered again once the limit allows them
+    results = ST.reconcile_stream(*args, max_files_per_trigger=1, file_glob="*.csv", threshold=10000)
+    assert sum(r.missed for r in results.values()) == 1685
+    assert spark.read.parquet(f"{root}/history").count() == before + 5100
