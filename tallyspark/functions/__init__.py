@@ -22,9 +22,12 @@ def parse_pos_ts(c, strict: bool = True) -> Column:
     Strict (default) fails the job on bad text, as the source statement did;
     lenient returns NULL so the caller can route the line to a reject table.
     """
+    strict_parse = F.to_timestamp_ntz(_c(c), F.lit(POS_TS_FORMAT))
     if strict:
-        return F.to_timestamp_ntz(_c(c), F.lit(POS_TS_FORMAT))
-    return F.try_to_timestamp(_c(c), F.lit(POS_TS_FORMAT)).cast("timestamp_ntz")
+        return strict_parse
+    # try_to_timestamp only tells whether the text parses; the value itself comes
+    # from the zone-less parser, so wall-clock times in a DST gap stay as written
+    return F.when(F.try_to_timestamp(_c(c), F.lit(POS_TS_FORMAT)).isNotNull(), strict_parse)
 
 
 def tran_kind(c) -> Column:

@@ -18,7 +18,6 @@ watermark: the batch difference against history removes them.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tallyspark import schemas as S
 from tallyspark.operators.reconcile import DEFAULT_RULES

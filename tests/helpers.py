@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import types as T
 
 from tallyspark import schemas as S
 

@@ -1,9 +1,6 @@
 """End-to-end job properties on the sf0.001 fixtures (missed = 1,685 < 10,000)."""
 
-import contextlib
 import datetime as dt
-import io
-import json
 import os
 
 import pytest

@@ -104,3 +104,27 @@ def test_quality_checks(spark):
     assert nn == {"id": 1, "email": 1}
     parent = spark.createDataFrame([(1,), (2,)], "id int")
     assert sorted(r["id"] for r in foreign_key_violations(df, "id", parent, "id").collect()) == [3]
+
+
+def test_top_k_per_key(spark):
+    prof = _profiles(spark, [("u1", "e", 1, 0, T0), ("u2", "e", 1, 0, T1), ("u3", "e", 1, 0, None),
+                             ("u4", "f", 1, 0, T0)])
+    got = P.top_k_per_key(prof, "email_address", [F.col("last_update_ts").desc_nulls_last()], 2)
+    assert sorted(r["uuid"] for r in got.collect()) == ["u1", "u2", "u4"]
+
+
+def test_contact_load_job(spark):
+    import tempfile
+    from tallyspark.plans.contact_job import run_contact_load
+    d = tempfile.mkdtemp()
+    rows = [("a@x.com", "A1", "BE"), ("a@x.com", "A2", "BE"), (None, "A3", "CZ"), ("c@x.com", "A4", None)]
+    stage = spark.createDataFrame([(e, a, None, c) + (None,) * 9 for e, a, c in rows], S.CONTACT_STAGE_SCHEMA)
+    for c in ("BE", "CZ", "XX"):
+        part = stage.where(F.col("country") == c) if c != "XX" else stage.where(F.col("country").isNull())
+        part.write.option("header", "true").csv(f"{d}/{c}")
+    res = run_contact_load(spark, [f"{d}/BE", f"{d}/CZ", f"{d}/XX"], f"{d}/target", "2024-03-01 00:00:00")
+    assert res.loaded == 4
+    assert {r["column"]: r["n_null"] for r in res.null_counts.collect()} == {"email": 1, "country": 1}
+    assert [(r["value"], r["n"]) for r in res.duplicates["email"].collect()] == [("a@x.com", 2)]
+    counts = {r["country"]: (r["n_rows"], r["running_rows"]) for r in res.running_counts.collect()}
+    assert counts == {None: (1, 1), "BE": (2, 3), "CZ": (1, 4)}

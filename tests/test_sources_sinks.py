@@ -101,3 +101,14 @@ def test_payload_chunks_are_bounded_and_complete(spark):
     assert keys == list(range(2500))
     for r in chunks.collect():
         assert len(json.loads(r["payload"])) == r["n_rows"]
+
+
+def test_lenient_parse_ignores_session_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        df = spark.createDataFrame([("2024-03-10 02:30:00",), ("bad",)], "t string")   # inside the DST gap
+        got = [r[0] for r in df.select(parse_pos_ts("t", strict=False)).collect()]
+        assert got == [dt.datetime(2024, 3, 10, 2, 30), None]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
