@@ -17,8 +17,8 @@ def new_lines(batch: DataFrame, history: DataFrame, cols: list[str] | None = Non
     - Duplicates are removed *before* the anti join: the partial aggregate
       collapses re-delivered copies map-side, so a line repeated a million
       times ships one row per map task instead of a million to one reducer.
-    - Every column is compared with ``<=>``; Catalyst turns the NULL-safe
-      equalities into hashable join keys.
+    - Every column is compared with ``<=>`` (Spark's ``EXCEPT`` rewrite); the
+      NULL-safe equalities become hashable join keys.
     - ``prune_on`` (e.g. ``EXTRACT_STAMP``): history rows whose stamp is not
       among the batch's stamps can never equal a batch line, so history is
       first semi-joined to the batch's distinct stamps (a few per drop; Spark
@@ -29,15 +29,14 @@ def new_lines(batch: DataFrame, history: DataFrame, cols: list[str] | None = Non
     """
     cols = cols or batch.columns
     b = batch.select(*cols).dropDuplicates()
-    h = history.select(*[F.col(c).alias(f"_h_{c}") for c in cols])
+    h = history.select(*cols)
     if prune_on is not None and prune_on in cols:
         stamps = b.select(F.col(prune_on).alias("_stamp")).where(F.col("_stamp").isNotNull()).distinct()
-        hp = F.col(f"_h_{prune_on}")
-        h = (h.join(stamps, hp == stamps["_stamp"], "left_semi")
-             .unionByName(h.where(hp.isNull())))
-    # history columns carry a prefix, so unresolved names are unambiguous
-    cond = [F.col(c).eqNullSafe(F.col(f"_h_{c}")) for c in cols]
-    return b.join(h, on=reduce(lambda x, y: x & y, cond), how="left_anti")
+        h = (h.join(stamps, F.col(prune_on) == F.col("_stamp"), "left_semi")
+             .unionByName(h.where(F.col(prune_on).isNull())))
+    # EXCEPT DISTINCT: Catalyst rewrites it to a NULL-safe anti join on every
+    # column and drops its own distinct, since the left side already is one
+    return b.subtract(h)
 
 
 def archived_history(batch: DataFrame, history: DataFrame) -> DataFrame:
