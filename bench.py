@@ -58,7 +58,8 @@ def main() -> None:
     from tallyspark.plans.registry import ORACLE, QUERIES
     from tallyspark.session import build_session
 
-    spark = build_session(master=f"local[{CPUS}]", shuffle_partitions=CPUS,
+    # start with a few partitions per core and let AQE coalesce
+    spark = build_session(master=f"local[{CPUS}]", shuffle_partitions=4 * CPUS,
                           extra={"spark.driver.memory": "16g"})
     # warm-up on the smallest scale (JIT, class loading); not timed
     warm = "/root/testdata/sf0.001"

@@ -17,8 +17,9 @@ def new_lines(batch: DataFrame, history: DataFrame, cols: list[str] | None = Non
     - Duplicates are removed *before* the anti join: the partial aggregate
       collapses re-delivered copies map-side, so a line repeated a million
       times ships one row per map task instead of a million to one reducer.
-    - Every column is compared with ``<=>`` (Spark's ``EXCEPT`` rewrite); the
-      NULL-safe equalities become hashable join keys.
+    - The whole row is one join key, ``struct(cols)``: struct equality is
+      field-wise with NULL equal to NULL (``EXCEPT`` semantics) and hashes and
+      sorts as a single key instead of two expressions per column.
     - ``prune_on`` (e.g. ``EXTRACT_STAMP``): history rows whose stamp is not
       among the batch's stamps can never equal a batch line, so history is
       first semi-joined to the batch's distinct stamps (a few per drop; Spark
@@ -34,9 +35,11 @@ def new_lines(batch: DataFrame, history: DataFrame, cols: list[str] | None = Non
         stamps = b.select(F.col(prune_on).alias("_stamp")).where(F.col("_stamp").isNotNull()).distinct()
         h = (h.join(stamps, F.col(prune_on) == F.col("_stamp"), "left_semi")
              .unionByName(h.where(F.col(prune_on).isNull())))
-    # EXCEPT DISTINCT: Catalyst rewrites it to a NULL-safe anti join on every
-    # column and drops its own distinct, since the left side already is one
-    return b.subtract(h)
+    # one join key: struct equality compares field by field with NULL = NULL,
+    # i.e. EXCEPT semantics, hashed and sorted as a single key
+    row = F.struct(*[F.col(c) for c in cols])
+    keyed = b.withColumn("_row", row)
+    return keyed.join(h.select(row.alias("_hrow")), F.col("_row") == F.col("_hrow"), "left_anti").drop("_row")
 
 
 def archived_history(batch: DataFrame, history: DataFrame) -> DataFrame:
