@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 BACKFILL_BY = "profile back-fill"
 
 
-def backfill_ids(member: DataFrame, sources: list[DataFrame], run_ts: dt.datetime | str,
+def backfill_ids(member: DataFrame, sources: list[DataFrame], run_ts: dt.datetime | str | None = None,
                  by: str = BACKFILL_BY, id_col: str = "consumerid", email_col: str = "email",
                  source_id: str = "uuid", source_email: str = "email") -> DataFrame:
     cols = member.columns
@@ -40,7 +40,12 @@ def backfill_ids(member: DataFrame, sources: list[DataFrame], run_ts: dt.datetim
         take = current.isNull() & F.col(f"_hit{i}").isNotNull()
         current = F.when(take, F.col(f"_id{i}")).otherwise(current)
         updated = updated | take
-    ts = F.lit(run_ts).cast("timestamp_ntz") if not isinstance(run_ts, str) else F.to_timestamp_ntz(F.lit(run_ts))
+    if run_ts is None:
+        ts = F.localtimestamp()              # NOW(), one value per query
+    elif isinstance(run_ts, str):
+        ts = F.to_timestamp_ntz(F.lit(run_ts))
+    else:
+        ts = F.lit(run_ts.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
     out = m.select(*[
         current.alias(c) if c == id_col
         else F.when(updated, ts).otherwise(F.col(c)).alias(c) if c == "lastupdatedat"

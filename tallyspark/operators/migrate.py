@@ -57,6 +57,10 @@ def conform(df: DataFrame, schema: T.StructType, values: dict[str, Column] | Non
 
 
 def _ts(run_ts) -> Column:
+    """Run time as a zone-less timestamp; ``None`` means now (the source's ``NOW()``),
+    taken once per query so every row gets the same value."""
+    if run_ts is None:
+        return F.localtimestamp()
     if isinstance(run_ts, str):
         return F.to_timestamp_ntz(F.lit(run_ts))
     if isinstance(run_ts, dt.datetime):
@@ -64,15 +68,15 @@ def _ts(run_ts) -> Column:
     return run_ts
 
 
-def txn_defaults(run_ts) -> dict[str, Column]:
+def txn_defaults(run_ts=None) -> dict[str, Column]:
     return {"createdat": _ts(run_ts), "lastupdatedat": _ts(run_ts)}
 
 
-def contact_defaults(run_ts) -> dict[str, Column]:
+def contact_defaults(run_ts=None) -> dict[str, Column]:
     return {"crmid_reused": F.lit(False), "createdat": _ts(run_ts), "lastupdatedat": _ts(run_ts)}
 
 
-def account_txn_to_loyalty(staged: DataFrame, alt: DataFrame, run_ts, start: int = S.LOYALTY_TXN_ID_START,
+def account_txn_to_loyalty(staged: DataFrame, alt: DataFrame, run_ts=None, start: int = S.LOYALTY_TXN_ID_START,
                            order: list[str] | None = None) -> DataFrame:
     """Staged account transactions → loyalty-transaction rows with fresh ids."""
     j = join_alt_ids(staged, alt)
@@ -81,7 +85,7 @@ def account_txn_to_loyalty(staged: DataFrame, alt: DataFrame, run_ts, start: int
     return assign_sequential_ids(laid_out, order or ["referencenumber", "memberid"], start=start)
 
 
-def contacts_to_target(stage: DataFrame, run_ts) -> DataFrame:
+def contacts_to_target(stage: DataFrame, run_ts=None) -> DataFrame:
     """Staged contacts → 20-column contact layout with column defaults."""
     return conform(stage, S.CONTACT_SCHEMA, defaults=contact_defaults(run_ts))
 

@@ -128,3 +128,15 @@ def test_contact_load_job(spark):
     assert [(r["value"], r["n"]) for r in res.duplicates["email"].collect()] == [("a@x.com", 2)]
     counts = {r["country"]: (r["n_rows"], r["running_rows"]) for r in res.running_counts.collect()}
     assert counts == {None: (1, 1), "BE": (2, 3), "CZ": (1, 4)}
+
+
+def test_run_time_defaults_to_now(spark):
+    stage = spark.createDataFrame([("e@x.com",)], "email string")
+    r = contacts_to_target(stage).first()
+    assert r["createdat"] is not None and r["createdat"] == r["lastupdatedat"]
+    m = _member(spark, [(1, None, "a@x.com")])
+    src = spark.createDataFrame([("P1", "a@x.com")], S.SOURCE_PROFILE_SCHEMA)
+    got = backfill_ids(m, [src]).first()
+    assert got["consumerid"] == "P1" and got["lastupdatedat"] > T0
+    dtd = backfill_ids(m, [src], dt.datetime(2024, 5, 6, 7, 8, 9)).first()
+    assert dtd["lastupdatedat"] == dt.datetime(2024, 5, 6, 7, 8, 9)
