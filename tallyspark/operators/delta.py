@@ -17,6 +17,7 @@ def new_lines(batch: DataFrame, history: DataFrame, cols: list[str] | None = Non
     - Duplicates are removed *before* the anti join: the partial aggregate
       collapses re-delivered copies map-side, so a line repeated a million
       times ships one row per map task instead of a million to one reducer.
+      The distinct and the join share one key and one shuffle.
     - The whole row is one join key, ``struct(cols)``: struct equality is
       field-wise with NULL equal to NULL (``EXCEPT`` semantics) and hashes and
       sorts as a single key instead of two expressions per column.
@@ -29,17 +30,19 @@ def new_lines(batch: DataFrame, history: DataFrame, cols: list[str] | None = Non
       prunes history *partitions* by extract day (``plans.pos_job``).
     """
     cols = cols or batch.columns
-    b = batch.select(*cols).dropDuplicates()
+    row = F.struct(*[F.col(c) for c in cols])
     h = history.select(*cols)
     if prune_on is not None and prune_on in cols:
-        stamps = b.select(F.col(prune_on).alias("_stamp")).where(F.col("_stamp").isNotNull()).distinct()
+        stamps = (batch.select(F.col(prune_on).alias("_stamp")).where(F.col("_stamp").isNotNull())
+                  .distinct())
         h = (h.join(stamps, F.col(prune_on) == F.col("_stamp"), "left_semi")
              .unionByName(h.where(F.col(prune_on).isNull())))
-    # one join key: struct equality compares field by field with NULL = NULL,
-    # i.e. EXCEPT semantics, hashed and sorted as a single key
-    row = F.struct(*[F.col(c) for c in cols])
-    keyed = b.withColumn("_row", row)
-    return keyed.join(h.select(row.alias("_hrow")), F.col("_row") == F.col("_hrow"), "left_anti").drop("_row")
+    # each line travels as one struct: the distinct and the anti join then hash
+    # the same key, so the join reuses the distinct's partitioning (one shuffle
+    # of the batch, not two) and no column is shipped twice
+    b = batch.select(row.alias("_row")).dropDuplicates()
+    return (b.join(h.select(row.alias("_hrow")), F.col("_row") == F.col("_hrow"), "left_anti")
+            .select("_row.*"))
 
 
 def archived_history(batch: DataFrame, history: DataFrame) -> DataFrame:
