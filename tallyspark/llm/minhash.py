@@ -1,14 +1,15 @@
 """Near-duplicate documents: MinHash minima, banding, verification, alternating large-star and small-star.
 
-1. ``signatures``: a document's set is its distinct ``WORDS``-word shingles (lower-cased A-Z).  ROWS * BANDS
-   universal hashes x -> a * x + b (mod 2**32) give its minima; each band of ROWS minima becomes one key.  A pair of
-   similarity s shares a band with probability 1 - (1 - s**ROWS)**BANDS: 1 - 3e-7 at s = 0.85.  Two bits of 128
-   of the minima make a sketch of 256 bits.
+1. ``signatures``: a document's set is its distinct ``WORDS``-word shingles (lower-cased A-Z).  MINIMA universal
+   hashes x -> a * x + b (mod 2**32) give its minima; each of BANDS bands of ROWS minima becomes one key.  A pair of
+   similarity s shares a band with probability 1 - (1 - s**ROWS)**BANDS: 1 - 3e-7 at s = 0.85.  Four bits of each
+   of the minima make a sketch of 1536 bits.
 2. Documents with equal sets become one class, stood for by its smallest doc_id, before anything is paired.
-3. Links in two steps.  First every class of a bucket against the bucket's smallest class: as many pairs as rows.  After
-   components of these, only pairs of different components that still share a bucket are left; a group of near copies has
-   none or few.  Both steps drop a pair only if the sketch shows a similarity below ``FLOOR`` (over 6 standard
-   deviations off) or the set sizes rule it out; the others are compared on their full sets.  No cap on buckets.
+3. Links in rounds.  In STAR_ROUNDS rounds every class is paired with one component of its buckets, by that component's
+   smallest class: as many pairs as classes.  After each round buckets whose classes are all in one component are done;
+   a group of near copies has few others.  The last round takes every pair left, that is of different components in
+   one bucket.  A pair is dropped only if set sizes or distances known exactly rule it out or the sketch shows a
+   similarity over DEVIATIONS standard deviations too low; the others are compared on their full sets.  No cap on buckets.
 4. ``components`` alternates large-star and small-star until the links no longer change.  Each round is two
    aggregations with a join on the minima, written to the shared folder.
 """
@@ -16,6 +17,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,12 +29,16 @@ from .common import Hasher, in_blocks, mixed, utf8, windows, written
 
 WORDS = 5
 ROWS, BANDS = 6, 32
-FLOOR = 0.62
-SKETCH = ["s0", "s1", "s2", "s3"]
+STAR_ROUNDS = 2
+MINIMA = 2 * ROWS * BANDS
+SKETCH = [f"s{i}" for i in range(MINIMA // 16)]  # four bits of each of the minima, 16 in a word
+DEVIATIONS = 4.5
+_LOWEST = 0x1111111111111111
+BLOCK = 4096  # nodes of a bucket on either side of one comparison
 _random = np.random.default_rng(20240611)
-MULTIPLY = (_random.integers(0, 1 << 31, ROWS * BANDS, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
-ADD = _random.integers(0, 1 << 32, ROWS * BANDS, dtype=np.uint32)
-CHUNK = 256  # shingles hashed at a time
+MULTIPLY = (_random.integers(0, 1 << 31, MINIMA, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
+ADD = _random.integers(0, 1 << 32, MINIMA, dtype=np.uint32)
+CHUNK = 128  # shingles hashed at a time
 
 
 def shingle_set(h: np.ndarray) -> np.ndarray:
@@ -49,8 +55,8 @@ def sets_of(column: pa.Array, hasher: Hasher) -> Iterator[np.ndarray]:
 
 
 def minima(shingles: np.ndarray) -> np.ndarray:
-    x, out = (shingles >> np.uint64(32)).astype(np.uint32), np.full(ROWS * BANDS, 0xFFFFFFFF, np.uint32)
-    room = np.empty((CHUNK, ROWS * BANDS), np.uint32)
+    x, out = (shingles >> np.uint64(32)).astype(np.uint32), np.full(MINIMA, 0xFFFFFFFF, np.uint32)
+    room = np.empty((CHUNK, MINIMA), np.uint32)
     for i in range(0, len(x), CHUNK):
         part = x[i:i + CHUNK, None]
         h = np.multiply(part, MULTIPLY, out=room[:len(part)])
@@ -61,19 +67,18 @@ def minima(shingles: np.ndarray) -> np.ndarray:
 
 def band_keys(low: np.ndarray) -> np.ndarray:
     h = np.arange(1, BANDS + 1, dtype=np.uint64)
-    for column in low.reshape(BANDS, ROWS).T:
+    for column in low[:ROWS * BANDS].reshape(BANDS, ROWS).T:
         h = mixed(h * np.uint64(0x9E3779B97F4A7C15) + column)
     return h.view(np.int64)
 
 
 def sketch_bits(low: np.ndarray) -> np.ndarray:
-    """Two bits of each of 128 minima, in four 64-bit words."""
-    two = (mixed(low[:128].astype(np.uint64) + np.uint64(1)) & np.uint64(3)).reshape(4, 32)
-    return (two << (np.arange(32, dtype=np.uint64) * np.uint64(2))).sum(axis=1, dtype=np.uint64).view(np.int64)
+    four = (mixed(low.astype(np.uint64) + np.uint64(1)) & np.uint64(15)).reshape(len(SKETCH), 16)
+    return (four << (np.arange(16, dtype=np.uint64) * np.uint64(4))).sum(axis=1, dtype=np.uint64).view(np.int64)
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, h0, h1: digest of the set, bands array<long>, s0 to s3); a text without words has no bands."""
+    """(doc_id, n_shingles, h0, h1: digest of the set, bands array<long>, the SKETCH words); a text without words has no bands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, none = Hasher(), np.zeros(0, np.int64)
@@ -84,16 +89,16 @@ def signatures(docs: DataFrame) -> DataFrame:
                 digest.append(np.frombuffer(hashlib.blake2b(own.tobytes(), digest_size=16).digest(), np.int64))
                 low = minima(own) if len(own) else None
                 bands.append(none if low is None else band_keys(low))
-                bits.append(np.zeros(4, np.int64) if low is None else sketch_bits(low))
+                bits.append(np.zeros(len(SKETCH), np.int64) if low is None else sketch_bits(low))
             ends = np.concatenate([[0], np.cumsum([len(b) for b in bands])])
-            digest, bits = np.array(digest, np.int64).reshape(-1, 2), np.array(bits, np.int64).reshape(-1, 4)
+            digest, bits = np.array(digest, np.int64).reshape(-1, 2), np.array(bits, np.int64).reshape(-1, len(SKETCH))
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([none, *bands])))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), *map(pa.array, digest.T.copy()), lists, *map(pa.array, bits.T.copy())],
                 ["doc_id", "n_shingles", "h0", "h1", "bands", *SKETCH])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        run, "doc_id long, n_shingles long, h0 long, h1 long, bands array<long>, s0 long, s1 long, s2 long, s3 long")
+        run, "doc_id long, n_shingles long, h0 long, h1 long, bands array<long>, " + ", ".join(f"{x} long" for x in SKETCH))
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
@@ -113,13 +118,22 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, h0 long, h1 long, shingles array<long>")
 
 
-def sketch_passes() -> Column:
-    """Whether the sketches a.s*, b.s* leave a similarity of FLOOR or more possible: of 128 two-bit places, those that differ."""
-    mask, differ = 0x5555555555555555, F.lit(0)
+def most_differing(threshold: int) -> int:
+    """Places of the sketches of two linked documents that may differ: DEVIATIONS standard deviations more than
+    a pair on the threshold has on average (one such pair in 300,000 has more)."""
+    share = threshold / 100
+    equal, n = share + (1 - share) / 16, MINIMA
+    return math.floor(n * (1 - equal) + DEVIATIONS * math.sqrt(n * equal * (1 - equal)))
+
+
+def sketch_passes(threshold: int) -> Column:
+    """Whether the sketches a_s*, b_s* leave a link possible."""
+    differ = F.lit(0)
     for s in SKETCH:
         x = F.col(f"a_{s}").bitwiseXOR(F.col(f"b_{s}"))
-        differ = differ + F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(mask)))
-    return differ <= F.lit(int(128 * 0.75 * (1 - FLOOR)))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+        differ = differ + F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 2)).bitwiseAND(F.lit(_LOWEST)))
+    return differ <= F.lit(most_differing(threshold))
 
 
 def sizes_pass(threshold: int) -> Column:
@@ -130,17 +144,90 @@ def side(nodes: DataFrame, which: str) -> DataFrame:
     return nodes.select(F.col("node").alias(which), F.col("n_shingles").alias(f"{which}_n"), *[F.col(s).alias(f"{which}_{s}") for s in SKETCH])
 
 
-def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, threshold: int) -> DataFrame:
-    """The pairs (a, b) whose full sets have 100 * intersection >= threshold * union.  The sets of the classes
-    that still occur in a pair are made again from their texts; no others are moved."""
+def compared(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(a, b, common, union) of the pairs' full sets.  The sets of the classes that still occur in a pair are
+    made again from their texts; no others are moved."""
     wanted = written(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "wanted")
-    sets = (shingle_sets(docs.join(wanted, "doc_id", "left_semi")).join(
-        nodes.select(F.col("node").alias("doc_id"), "h0", "h1"), ["doc_id", "h0", "h1"], "left_semi").select("doc_id", "shingles"))
-    sets = written(sets, "sets")
+    sets = written(shingle_sets(docs.join(wanted, "doc_id", "left_semi")).join(
+        nodes.select(F.col("node").alias("doc_id"), "h0", "h1"), ["doc_id", "h0", "h1"], "left_semi").select("doc_id", "shingles"), "sets")
     one = lambda x: sets.select(F.col("doc_id").alias(x), F.col("shingles").alias(f"{x}_set"))
-    both = F.size(F.array_intersect("a_set", "b_set"))
-    return (pairs.join(one("a"), "a").join(one("b"), "b")
-            .where(both * 100 >= (F.size("a_set") + F.size("b_set") - both) * threshold).select("a", "b").distinct())
+    both = pairs.join(one("a"), "a").join(one("b"), "b").select("a", "b", F.size(F.array_intersect("a_set", "b_set")).alias("common"),
+                                                                (F.size("a_set") + F.size("b_set")).alias("sizes"))
+    return both.select("a", "b", "common", (F.col("sizes") - F.col("common")).alias("union")).distinct()
+
+
+_FIELDS = ["key", "i", "j", "side", "node", "root", "pivot", "n_shingles", *SKETCH]
+
+
+def cross_pairs(placed: DataFrame, nodes: DataFrame, known: DataFrame, threshold: int) -> DataFrame:
+    """All pairs (a, b) of nodes of different components in one bucket (key, node, root) that sketch, sizes and the
+    triangle inequality let through.
+
+    One of the two is outside the bucket's most frequent component, so such nodes stand on one side and all on the
+    other.  Both sides are dealt into blocks of about BLOCK nodes and each pair of blocks is compared by itself, so no task
+    holds a large bucket.  A pair counts in the first bucket that it shares.  ``known`` (node, pivot, far: the Jaccard
+    distance) is from the first round: distances of two nodes to one pivot that differ by more than a link's distance show
+    that there is no link.
+    """
+    counts = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
+    size = counts.groupBy("key").agg(F.max("n").alias("n"), F.sum("n").alias("all"))
+    size = (counts.join(size, ["key", "n"]).groupBy("key", "n", "all").agg(F.min("root").alias("main"))
+            .select("key", "main", F.ceil(F.col("all") / BLOCK).alias("rights"), F.ceil((F.col("all") - F.col("n")) / BLOCK).alias("lefts")))
+    rows = written(placed.join(size, "key").join(nodes, "node").join(known, "node", "left"), "placed")
+    block = lambda n: F.pmod(F.xxhash64("node"), F.col(n))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    left = rows.where("root <> main").withColumn("i", block("lefts")).withColumn("j", every("rights")).withColumn("side", F.lit(0).cast("long"))
+    right = rows.withColumn("j", block("rights")).withColumn("i", every("lefts")).withColumn("side", F.lit(1).cast("long"))
+    both = left.unionByName(right).select(*[F.coalesce(c, F.lit(-1).cast("long")).alias(c) for c in _FIELDS], F.coalesce("far", F.lit(0.0)).alias("far"), "bands")
+    most, far_most, mask = most_differing(threshold), 1 - threshold / 100 + 1e-9, np.uint64(_LOWEST)
+    first_sketch = _FIELDS.index(SKETCH[0])
+
+    def compare(x: np.ndarray, far: np.ndarray, bands: np.ndarray) -> Iterator[np.ndarray]:
+        lefts = np.flatnonzero(x[:, 3] == 0)
+        rights = np.flatnonzero(x[:, 3] == 1)
+        sketches = x[:, first_sketch:].view(np.uint64)
+        for one in lefts:
+            n, m = x[rights, 7], x[one, 7]
+            ok = (x[rights, 5] != x[one, 5]) & (np.minimum(n, m) * 100 >= np.maximum(n, m) * threshold)
+            ok &= (x[rights, 6] != x[one, 6]) | (x[one, 6] < 0) | (np.abs(far[rights] - far[one]) <= far_most)
+            rest = rights[ok]
+            d = sketches[rest] ^ sketches[one]
+            d |= d >> np.uint64(1)
+            d |= d >> np.uint64(2)
+            rest = rest[np.bitwise_count(d & mask).sum(axis=1) <= most]
+            equal = bands[rest] == bands[one]
+            rest = rest[bands[one][equal.argmax(axis=1)] == x[one, 0]]
+            if len(rest):
+                yield np.column_stack([np.minimum(x[rest, 4], x[one, 4]), np.maximum(x[rest, 4], x[one, 4])])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # of the last block pair, which may go on
+
+        def closed(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+            x, far, bands = (np.concatenate(p) for p in zip(*parts, strict=True))
+            edges = np.append(np.flatnonzero(np.append(True, (x[1:, :3] != x[:-1, :3]).any(axis=1))), len(x))
+            found = [p for a, b in zip(edges[:-1], edges[1:], strict=True) for p in compare(x[a:b], far[a:b], bands[a:b])]
+            if found:
+                out = np.concatenate(found)
+                yield pa.RecordBatch.from_arrays([pa.array(out[:, 0]), pa.array(out[:, 1])], ["a", "b"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns[:len(_FIELDS)]])
+            bands = batch.column(len(_FIELDS) + 1).flatten().to_numpy().reshape(-1, BANDS)
+            last = int(np.flatnonzero((x[:, :3] != x[-1, :3]).any(axis=1)).max(initial=-1)) + 1  # the batch's last block pair begins here
+            part = (x, batch.column(len(_FIELDS)).to_numpy(), bands)
+            if held and (last or (held[0][0][0, :3] != x[0, :3]).any()):
+                yield from closed([*held, tuple(p[:last] for p in part)])
+                held = []
+            elif last:
+                yield from closed([tuple(p[:last] for p in part)])
+            held.append(tuple(p[last:] for p in part))
+        if held:
+            yield from closed(held)
+
+    return (both.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "side").mapInArrow(run, "a long, b long").distinct())
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -184,30 +271,32 @@ def near_duplicates(docs: DataFrame, threshold: int = 85) -> DataFrame:
     slim = nodes.drop("bands")
 
     rows = nodes.select("node", F.explode("bands").alias("key"))
-    buckets = rows.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high").select("key", "low")
-    in_bucket = written(rows.join(buckets, "key"), "buckets")
-
-    def candidates(pairs: DataFrame) -> DataFrame:
-        return written(pairs.distinct().join(side(slim, "a"), "a").where("a_n > 0").join(side(slim, "b"), "b")
-                       .where(sizes_pass(threshold) & sketch_passes()).select("a", "b").distinct(), "candidates")
-
-    first = verified(candidates(in_bucket.where("node <> low").select(F.col("low").alias("a"), F.col("node").alias("b"))), docs, slim, threshold)
+    shared = rows.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high").select("key")
+    in_bucket = written(rows.join(shared, "key", "left_semi"), "buckets")
     # a doc_id of several texts ties its classes together
     several = member.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("doc_id", "a")
-    again = member.join(several, "doc_id").where("node <> a").select("a", F.col("node").alias("b"))
-    found = components(first.union(again))
-    found = written(found, "components")
-
-    # pairs of a bucket that are in different components still
-    placed = in_bucket.join(found, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-    mixed_up = placed.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key")
-    placed = written(placed.join(mixed_up, "key", "left_semi").join(slim, "node"), "open")
-    named = lambda x: placed.select("key", F.col("node").alias(x), F.col("root").alias(f"{x}_root"), F.col("n_shingles").alias(f"{x}_n"),
-                                    *[F.col(s).alias(f"{x}_{s}") for s in SKETCH])
-    rest = named("a").join(named("b"), "key").where((F.col("a") < F.col("b")) & (F.col("a_root") != F.col("b_root")) & sizes_pass(threshold) & sketch_passes())
-    rest = written(rest.select("a", "b").distinct(), "candidates")
-    second = verified(rest, docs, slim, threshold)
-    found = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).union(second))
+    found = written(components(member.join(several, "doc_id").where("node <> a").select("a", F.col("node").alias("b"))), "components")
+
+    for turn in range(STAR_ROUNDS + 1):
+        # what is left are buckets with nodes of several components
+        placed = in_bucket.join(found, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+        ends = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+        in_bucket = written(placed.join(ends, "key"), "open")
+        if turn < STAR_ROUNDS:
+            pivot = F.when(F.col("root") != F.col("low"), F.col("low")).otherwise(F.col("high"))
+            pairs = in_bucket.groupBy("node").agg((F.min if turn == 0 else F.max)(pivot).alias("b")).select(F.col("node").alias("a"), "b")
+            pairs = (pairs.join(side(slim, "a"), "a").join(side(slim, "b"), "b").where(sizes_pass(threshold) & sketch_passes(threshold))
+                     .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+        else:
+            pairs = cross_pairs(in_bucket.select("key", "node", "root"), nodes, known, threshold)
+        pairs = written(compared(written(pairs, "candidates"), docs, slim), "compared")
+        if turn == 0:
+            far = (1 - F.col("common") / F.col("union")).alias("far")
+            known = written(pairs.select(F.col("a").alias("pivot"), F.col("b").alias("node"), far).union(pairs.select("b", "a", far))
+                            .groupBy("node").agg(F.min(F.struct("pivot", "far")).alias("x")).select("node", "x.*"), "known")
+        links = pairs.where(F.col("common") * 100 >= F.col("union") * threshold).select("a", "b")
+        found = written(components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).union(links)), "components")
+        in_bucket = in_bucket.select("key", "node")
 
     reached = (member.join(found, "node", "left").groupBy("doc_id").agg(F.min(F.coalesce("root", "node")).alias("component_id")))
     out = sig.select("doc_id", "n_shingles").join(reached, "doc_id", "left")
