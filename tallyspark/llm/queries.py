@@ -8,11 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, minhash, quality_rules, sharding
+from . import ann, bpe, chat, license_scan, minhash, mixing, quality_gam, quality_rules, sharding, warc
 
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
 SHARDS = 8
 NEAR = 85  # per cent of the union that linked documents share
+CONTROL_CASE = -7, "</s>[INST] ok [/INST]"  # a conversation that says nothing but control strings
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,11 +25,53 @@ def op1_shard_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), SHARDS)
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence of every document, its own notice's or inherited.
+
+    A document's path follows from its columns: corpus / source / doc_id div 4096 / doc_id div 64 / name.  Every 64th is its
+    folder's LICENSE, and every 4096th is, one level up, that of the folders below.
+    """
+    n = F.col("doc_id")
+    top, folder = F.floor(n / 4096).cast("string"), F.floor(n / 64).cast("string")
+    place = F.when(n % 4096 == 0, F.concat(top, F.lit("/LICENSE"))).when(n % 64 == 0, F.concat_ws("/", top, folder, F.lit("LICENSE"))).otherwise(
+        F.concat(top, F.lit("/"), folder, F.lit("/"), n.cast("string"), F.lit(".txt")))
+    files = table(spark, sf_dir, "documents").select("doc_id", F.concat_ws("/", F.lit("corpus"), F.coalesce("source", F.lit("unknown")), place).alias("path"), "text")
+    return license_scan.licences(files)
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, failed rules and verdict of every document under thresholds from sketches by language and source."""
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op4_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written as ARC, converted to WARC with equal payloads stored once, and read back."""
+    return warc.archive_pages(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "date")
+
+
+def op5_chat_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, and one of control strings, as token ids with a loss mask, read back from these as digests."""
+    path, (odd, said) = public_tokenizers.path(BPE_RANKS), CONTROL_CASE
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    case = spark.createDataFrame([(odd, 0, "user", said), (odd, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    made = chat.format_chats(turns.unionByName(case), path, public_tokenizers.PATTERN)
+    loss = F.array_join("loss_texts", "")
+    turn_lines = F.array_join(F.transform(F.arrays_zip("roles", "texts"), lambda t: F.concat(t["roles"], F.lit("\n"), t["texts"], F.lit("\n"))), "")
+    return chat.read_back(made, path).select(
+        "conv_id", F.size("roles").cast("long").alias("n_turns"), F.sha2(turn_lines.cast("binary"), 256).alias("turns_sha256"),
+        F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss.cast("binary"), 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+def op6_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document when sources are brought to their targets."""
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+def op7_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest embeddings of every hundredth one."""
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document's whole text, and the bytes that they decode to, as digests."""
     path = public_tokenizers.path(BPE_RANKS)
@@ -46,7 +89,21 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), NEAR)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_shard_tree, op3_quality_rules, op8_byte_bpe, op9_minhash_near_dedup)}
+def op10_additive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document by the additive model."""
+    docs = table(spark, sf_dir, "documents")
+    return quality_gam.score(docs, quality_gam.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages of corpus_pipeline over all documents."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
+    op1_shard_tree, op2_license_scan, op3_quality_rules, op4_arc_to_warc, op5_chat_tokens, op6_entropy_mix, op7_projection_forest, op8_byte_bpe,
+    op9_minhash_near_dedup, op10_additive_quality, pipeline)}
 
 ORACLE: dict[str, str] = {}
