@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .common import written
 
-SAMPLE, TREES, LEAF, SHARE, PART, K = 16_384, 6, 128, 0.5, 4096, 10
+SAMPLE, TREES, LEAF, SHARE, PART, K = 16_384, 6, 128, 1.5, 4096, 10
 
 
 def usable(vector: Column) -> Column:
