@@ -147,7 +147,7 @@ def side(nodes: DataFrame, which: str) -> DataFrame:
 def compared(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """(a, b, common, union) of the pairs' full sets.  The sets of the classes that still occur in a pair are
     made again from their texts; no others are moved."""
-    wanted = written(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "wanted")
+    wanted = written(pairs.select(F.col("a").alias("doc_id")).distinct().union(pairs.select("b").distinct()).distinct(), "wanted")
     sets = written(shingle_sets(docs.join(wanted, "doc_id", "left_semi")).join(
         nodes.select(F.col("node").alias("doc_id"), "h0", "h1"), ["doc_id", "h0", "h1"], "left_semi").select("doc_id", "shingles"), "sets")
     one = lambda x: sets.select(F.col("doc_id").alias(x), F.col("shingles").alias(f"{x}_set"))
