@@ -35,7 +35,7 @@ HEADLINE = [
     "check_identity_conflicts", "backfill_chain", "job_profile_backfill", "migrate_account_txn",
     "assign_txn_id", "job_contact_load", "check_primary_key",
 ]
-LITERAL = ["missed_sale", "missed_return", "missed_void", "missed_all", "window_latest_profile"]
+LITERAL = ["missed_sale", "missed_return", "missed_void", "missed_all"]
 
 
 def _sf_value(path: str) -> float | str:
@@ -82,8 +82,7 @@ def main() -> None:
     idiomatic_warm: dict[str, float] = {}
     for name in LITERAL:
         body = {"missed_sale": O.missed_sql("SALE"), "missed_return": O.missed_sql("RETU"),
-                "missed_void": O.missed_sql("VOID"), "missed_all": O.MISSED_ALL_SQL,
-                "window_latest_profile": O.LATEST_PROFILE_SQL}[name]
+                "missed_void": O.missed_sql("VOID"), "missed_all": O.MISSED_ALL_SQL}[name]
         best_i, best_l = float("inf"), float("inf")
         for _ in range(2):
             t0 = time.perf_counter()
@@ -98,7 +97,6 @@ def main() -> None:
     # operators over inputs staged once as parquet (tables at rest), idiomatic
     # vs literal on identical tables; best of two each
     from tallyspark.operators.backfill import backfill_ids
-    from tallyspark.operators import profiles as P
     from tallyspark.plans import reconcile as R
     from tallyspark.session import work_dir
     stage_dir = work_dir(spark, "bench-staged")
@@ -117,8 +115,6 @@ def main() -> None:
                             "SELECT DISTINCT * FROM pos_lines EXCEPT SELECT * FROM pos_lines_history"),
         "missed_sale": (lambda: R.missed_lines(inp, "SALE"), O.missed_sql("SALE")),
         "missed_all": (lambda: R.missed_lines(inp), O.MISSED_ALL_SQL),
-        "window_latest_profile": (lambda: P.latest_profile_per_email(staged["profile_dim"], staged["web_user"]),
-                                  O.LATEST_PROFILE_SQL),
         "backfill_chain": (lambda: backfill_ids(staged["member"], [staged["crm_profile"], staged["web_profile"]],
                                                 "2024-03-01 00:00:00"),
                            O.backfill_step_sql(O.backfill_step_sql("SELECT * FROM member", "SELECT * FROM crm_profile",

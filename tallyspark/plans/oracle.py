@@ -152,65 +152,81 @@ def with_fixtures(body: str, extra_ctes: list[tuple[str, str]] | None = None) ->
     for name in FIXTURE_SQL:
         if name != "pos_base" and re.search(rf"\b{name}\b", text):
             add(name)
-    ctes = [f"{n} AS ({FIXTURE_SQL[n]}\n)" for n in needed]
+    ctes = [f"{n} AS MATERIALIZED ({FIXTURE_SQL[n]}\n)" for n in needed]
     ctes += [f"{n} AS ({sql}\n)" for n, sql in extra_ctes]
     if not ctes:
         return body
+    if body.lstrip().startswith("WITH "):
+        body = f"SELECT * FROM (\n{body}\n) q"
     return "WITH " + ",\n".join(ctes) + "\n" + body
 
 
 # ----------------------------------------------------------------------------
-# Reconciliation, literal form of the source statements
+# Reconciliation: a chain of steps, one resolve step for every kind
 # ----------------------------------------------------------------------------
-DISC = ", ".join(f"x.discount_code{i}" for i in range(1, 11))
-P_DISC = ", ".join(f"p.discount_code{i}" for i in range(1, 11))
 TS = "'%Y-%m-%d %H:%M:%S'"
-MISSED_SELECT = ("p.extract_ts, p.tran_id, p.tran_ts, p.loyalty_id, p.country, p.store_id, p.currency, "
-                 f"p.itm_sku, p.itm_quantity, p.itm_amount, {P_DISC}, p.orig_tran_id")
+KINDS = ("SALE", "RETU", "VOID")
+#: transaction types that settle a line through its original transaction (fixed values)
+SETTLING = {"RETU": ("RETURN",), "VOID": ("VOID_PURCHASE", "VOID_RETURN")}
+_DISCOUNTS = [f"discount_code{i}" for i in range(1, 11)]
+MISSED_FIELDS = ["extract_ts", "tran_id", "tran_ts", "loyalty_id", "country", "store_id", "currency", "itm_sku", "itm_quantity", "itm_amount",
+                 *_DISCOUNTS, "orig_tran_id"]
+MISSED_SELECT = ", ".join(f"p.{c}" for c in MISSED_FIELDS)
+
+#: candidate columns as expressions of a POS line ``x``
+CANDIDATE_FIELDS = ",\n       ".join([
+    f"strptime(x.hd_file_extract_date_time, {TS}) AS extract_ts", "x.hd_order_or_tran_id AS tran_id",
+    f"strptime(x.hd_order_date_time, {TS}) AS tran_ts", "x.hd_loyalty_id AS loyalty_id", "substring(x.country, 1, 2) AS country",
+    "x.hd_store_id AS store_id", "x.hd_currency AS currency", "x.itm_sku AS itm_sku", "x.itm_quantity AS itm_quantity",
+    "x.itm_amt_after_disc AS itm_amount", *[f"x.{c}" for c in _DISCOUNTS], "x.hd_orig_tran_id AS orig_tran_id"])
+
+
+def _steps(kinds: tuple[str, ...]) -> str:
+    """fresh: lines that history lacks; owner: every loyalty id's member as often as it matches, that of the member
+    table before the alternate one; candidate: fresh lines of the kinds whose loyalty id has an owner."""
+    wanted = ", ".join(f"'{k}'" for k in kinds)
+    return f"""fresh AS (
+  SELECT * FROM pos_lines EXCEPT SELECT * FROM pos_lines_history
+), owner AS (
+  SELECT coalesce(d.consumerid, i.altid) AS loyalty, coalesce(d.id, i.memberid) AS memberid
+    FROM (SELECT consumerid, id FROM member WHERE consumerid IS NOT NULL) d
+    FULL OUTER JOIN (SELECT altid, memberid FROM member_alt_id WHERE altid IS NOT NULL) i ON d.consumerid = i.altid
+), candidate AS (
+  SELECT split_part(x.hd_order_or_tran_id, '#', 1) AS kind, owner.memberid AS memberid,
+       {CANDIDATE_FIELDS}
+    FROM owner JOIN fresh x ON x.hd_loyalty_id = owner.loyalty
+   WHERE owner.memberid IS NOT NULL AND split_part(x.hd_order_or_tran_id, '#', 1) IN ({wanted})
+)"""
 
 
 def candidate_sql(kind: str | None) -> str:
-    """Resolved candidate lines (the inner subquery ``p`` of each branch)."""
-    where_kind = f"split_part(x.hd_order_or_tran_id, '#', 1) = '{kind}'" if kind else \
-        "split_part(x.hd_order_or_tran_id, '#', 1) IN ('SALE', 'RETU', 'VOID')"
-    return f"""SELECT COALESCE(mc.id, ma.memberid) AS memberid,
-       strptime(x.hd_file_extract_date_time, {TS}) AS extract_ts,
-       x.hd_order_or_tran_id AS tran_id,
-       strptime(x.hd_order_date_time, {TS}) AS tran_ts,
-       x.hd_loyalty_id AS loyalty_id,
-       substring(x.country, 1, 2) AS country,
-       x.hd_store_id AS store_id, x.hd_currency AS currency,
-       x.itm_sku AS itm_sku, x.itm_quantity AS itm_quantity, x.itm_amt_after_disc AS itm_amount,
-       {DISC},
-       x.hd_orig_tran_id AS orig_tran_id
-  FROM (SELECT DISTINCT * FROM pos_lines EXCEPT SELECT * FROM pos_lines_history) x
-  LEFT JOIN (SELECT id, consumerid FROM member) mc ON x.hd_loyalty_id = mc.consumerid
-  LEFT JOIN (SELECT memberid, altid FROM member_alt_id) ma ON x.hd_loyalty_id = ma.altid
- WHERE {where_kind}
-   AND (mc.id IS NOT NULL OR ma.memberid IS NOT NULL)"""
-
-
-_HEADER_ON = """p.memberid = t.memberid AND p.tran_ts = t.date AND p.country = t.country AND
-       p.store_id = t.store AND p.currency = t.currency AND p.tran_id = t.referencenumber AND
-       CAST(p.itm_amount AS REAL) = t.monetaryamount"""
+    """Fresh lines with the member that they belong to."""
+    return f"WITH {_steps((kind,) if kind else KINDS)}\nSELECT * FROM candidate"
+
+
+def _missed(kinds: tuple[str, ...]) -> str:
+    """Candidates that no booked transaction accounts for, neither one with the same header (of a purchase, for a
+    sale) nor one that refers to the line's original transaction."""
+    header = " AND ".join(f"booked.{t} = p.{c}" for t, c in (("memberid", "memberid"), ("date", "tran_ts"), ("country", "country"), ("store", "store_id"),
+                                                            ("currency", "currency"), ("referencenumber", "tran_id")))
+    by_origin = "\n".join(
+        f"""   AND NOT EXISTS (SELECT 1 FROM loyalty_txn settled
+                    WHERE p.kind = '{k}' AND settled.memberid = p.memberid AND settled.referencenumber = p.orig_tran_id
+                      AND settled.type IN ({", ".join(f"'{t}'" for t in SETTLING[k])}))""" for k in kinds if k in SETTLING)
+    return f"""WITH {_steps(kinds)}
+SELECT {MISSED_SELECT}
+  FROM candidate p
+ WHERE NOT EXISTS (SELECT 1 FROM loyalty_txn booked
+                    WHERE {header} AND booked.monetaryamount = CAST(p.itm_amount AS REAL)
+                      AND (p.kind <> 'SALE' OR booked.type = 'PURCHASE'))
+{by_origin}"""
 
 
 def missed_sql(kind: str) -> str:
-    if kind == "SALE":
-        return f"""SELECT {MISSED_SELECT}
-  FROM ({candidate_sql('SALE')}) p
-  LEFT JOIN loyalty_txn t ON {_HEADER_ON} AND t.type = 'PURCHASE'
- WHERE t.memberid IS NULL"""
-    types = "t2.type = 'RETURN'" if kind == "RETU" else "(t2.type = 'VOID_PURCHASE' OR t2.type = 'VOID_RETURN')"
-    return f"""SELECT {MISSED_SELECT}
-  FROM ({candidate_sql(kind)}) p
-  LEFT JOIN loyalty_txn t ON {_HEADER_ON}
-  LEFT JOIN (SELECT memberid, type, referencenumber FROM loyalty_txn) t2
-    ON p.memberid = t2.memberid AND {types} AND p.orig_tran_id = t2.referencenumber
- WHERE t.memberid IS NULL AND t2.memberid IS NULL"""
+    return _missed((kind,))
 
 
-MISSED_ALL_SQL = (f"{missed_sql('SALE')}\nUNION ALL\n{missed_sql('RETU')}\nUNION ALL\n{missed_sql('VOID')}")
+MISSED_ALL_SQL = _missed(KINDS)
 
 
 # ----------------------------------------------------------------------------
@@ -220,13 +236,12 @@ ZONES_SQL = "('BEL', 'CZE', 'DEU', 'ESP', 'FRA', 'GBR', 'ITA', 'NLD')"
 IN_ZONE_WHERE = (f"active_flag = 1 AND email_address IN "
                  f"(SELECT email FROM crm_contact WHERE loyaltyzonecode IN {ZONES_SQL})")
 
-LATEST_PROFILE_SQL = """SELECT uuid, email
-  FROM (SELECT uuid, email,
-               ROW_NUMBER() OVER (PARTITION BY email ORDER BY last_update_ts DESC NULLS LAST, uuid DESC) AS rownum
-          FROM (SELECT DISTINCT uuid, lower(email_address) AS email, last_update_ts
-                  FROM (SELECT * FROM profile_dim WHERE active_flag = 1) a
-                  JOIN web_user ON lower(email_address) = lower(p_uid)) d) r
- WHERE rownum = 1"""
+#: of each e-mail that a web user has, the active profile that changed last; undated ones come last, ties go to the larger uuid
+LATEST_PROFILE_SQL = """SELECT arg_max(struct_pack(u := p.uuid), struct_pack(dated := p.last_update_ts IS NOT NULL, at := coalesce(p.last_update_ts, TIMESTAMP '1000-01-01'), u := p.uuid)).u AS uuid,
+       lower(p.email_address) AS email
+  FROM profile_dim p
+ WHERE p.active_flag = 1 AND EXISTS (SELECT 1 FROM web_user w WHERE lower(w.p_uid) = lower(p.email_address))
+ GROUP BY lower(p.email_address)"""
 
 
 def backfill_step_sql(member_sql: str, source_sql: str, run_ts: str, by: str) -> str:
@@ -242,16 +257,15 @@ def backfill_step_sql(member_sql: str, source_sql: str, run_ts: str, by: str) ->
 
 
 def account_txn_sql(run_ts: str) -> str:
-    return """SELECT CAST(1000 + row_number() OVER (ORDER BY e.accounttransactionid NULLS FIRST,
-                                                 a.memberid NULLS FIRST) AS BIGINT) AS id,
-       a.memberid, CAST(NULL AS INTEGER) AS benefitid, e.country,
-       e.accounttransactionid AS referencenumber, e.accounttransactiondate AS date,
-       CAST(NULL AS VARCHAR) AS channel, CAST(NULL AS VARCHAR) AS store, CAST(NULL AS VARCHAR) AS associate,
-       CAST(NULL AS REAL) AS monetaryamount, CAST(NULL AS VARCHAR) AS currency,
-       e.accounttransactionvalue AS points, e.accounttransactionvaluevalidityenddate AS expirydate,
-       e.rulesourceactionloyaltyzonecode AS type, e.createddate AS createdat,
-       e.updateddate AS lastupdatedat, e.lastupdatedby
-  FROM crm_account_txn AS e JOIN member_alt_id AS a ON e.altid = a.altid"""
+    empty = {"benefitid": "INTEGER", "channel": "VARCHAR", "store": "VARCHAR", "associate": "VARCHAR", "monetaryamount": "REAL", "currency": "VARCHAR"}
+    taken = {"memberid": "owner.memberid", "country": "txn.country", "referencenumber": "txn.accounttransactionid", "date": "txn.accounttransactiondate",
+             "points": "txn.accounttransactionvalue", "expirydate": "txn.accounttransactionvaluevalidityenddate", "type": "txn.rulesourceactionloyaltyzonecode",
+             "createdat": "txn.createddate", "lastupdatedat": "txn.updateddate", "lastupdatedby": "txn.lastupdatedby"}
+    columns = ", ".join([*(f"{v} AS {k}" for k, v in taken.items()), *(f"CAST(NULL AS {v}) AS {k}" for k, v in empty.items())])
+    return f"""WITH moved AS (
+  SELECT {columns} FROM member_alt_id owner JOIN crm_account_txn txn USING (altid)
+)
+SELECT CAST(1000 + row_number() OVER (ORDER BY referencenumber NULLS FIRST, memberid NULLS FIRST) AS BIGINT) AS id, * FROM moved"""
 
 
 def contact_target_sql(run_ts: str, source: str = "crm_contact_stage") -> str:

@@ -62,13 +62,8 @@ def q_agg_count(spark, d):
 
 
 # ------------------------------------------------------------------ projections / functions
-_PROJ_SQL = O.candidate_sql(None).split("FROM (SELECT DISTINCT", 1)[0]
-
-
 @register("proj_pos_candidate",
-          "SELECT " + O.MISSED_SELECT.replace("p.", "") + " FROM ("
-          + _PROJ_SQL.replace("COALESCE(mc.id, ma.memberid) AS memberid,", "")
-          + "FROM (SELECT DISTINCT * FROM pos_lines EXCEPT SELECT * FROM pos_lines_history) x) q")
+          f"SELECT {O.CANDIDATE_FIELDS} FROM (SELECT * FROM pos_lines EXCEPT SELECT * FROM pos_lines_history) x")
 def q_proj_pos_candidate(spark, d):
     return candidate_layout(R.new_batch_lines(_inputs(spark, d)))
 
@@ -472,24 +467,49 @@ def q_fn_row_json(spark, d):
     return R.missed_lines(_inputs(spark, d)).select(row_json(S.MISSED_COLUMNS).alias("row_json"))
 
 
-def _run_job(spark, d):
+def _run_job(spark, d, threshold=None):
+    """The job over the whole tables; without a threshold the gate is open and every step runs."""
     run = work_dir(spark, "pos-run")
     history_path = f"{run}/history"
-    archive_lines(FX.pos_lines_history(spark, d), history_path)
-    return run_pos_reconcile(spark, FX.pos_lines(spark, d), history_path, FX.member(spark, d),
-                             FX.member_alt_id(spark, d), FX.loyalty_txn(spark, d), f"{run}/work",
-                             f"{run}/out", threshold=R.DEFAULT_THRESHOLD, run_ts=RUN_DT)
+    archive_lines(FX.pos_lines_history(spark, d), history_path, "before")
+    result = run_pos_reconcile(spark, FX.pos_lines(spark, d), history_path, FX.member(spark, d),
+                               FX.member_alt_id(spark, d), FX.loyalty_txn(spark, d), f"{run}/work",
+                               f"{run}/out", threshold, run_ts=RUN_DT, batch_id="today")
+    return result, history_path
 
 
 @register("job_pos_reconcile", O.MISSED_ALL_SQL)
 def q_job_pos_reconcile(spark, d):
-    res = _run_job(spark, d)
-    return spark.read.parquet(res.missed_path).select(*S.MISSED_COLUMNS)
+    return spark.read.parquet(_run_job(spark, d)[0].missed_path).select(*S.MISSED_COLUMNS)
+
+
+@register("job_pos_archive", "SELECT * FROM pos_lines_history UNION ALL "
+          "(SELECT * FROM pos_lines EXCEPT SELECT * FROM pos_lines_history)")
+def q_job_pos_archive(spark, d):
+    """History after a run that passed the gate."""
+    return spark.read.parquet(_run_job(spark, d)[1]).select(*S.POS_COLUMNS)
+
+
+@register("job_pos_export", O.row_json_sql(O.MISSED_ALL_SQL))
+def q_job_pos_export(spark, d):
+    """The rows inside the payload of a run that passed the gate."""
+    return K.payload_rows(spark.read.json(_run_job(spark, d)[0].payload_path))
+
+
+@register("job_pos_gate_tripped", "SELECT count(*) AS history, false AS passed, CAST(0 AS BIGINT) AS exported, CAST(0 AS BIGINT) AS archived "
+          "FROM pos_lines_history")
+def q_job_pos_gate_tripped(spark, d):
+    """A run that any missed line stops: history stays as it was, nothing is exported."""
+    r, history_path = _run_job(spark, d, threshold=0)
+    return spark.read.parquet(history_path).agg(F.count(F.lit(1)).alias("history")).select(
+        "history", F.lit(r.passed).alias("passed"), F.lit(r.exported).cast("long").alias("exported"), F.lit(r.archived).cast("long").alias("archived"))
 
 
-@register("job_run_summary", O.job_summary_sql(R.DEFAULT_THRESHOLD))
+@register("job_run_summary", f"SELECT (SELECT count(*) FROM pos_lines) AS imported, n.new_lines, m.missed, true AS passed, m.missed AS exported, "
+          f"n.new_lines AS archived FROM (SELECT count(*) AS new_lines FROM (SELECT * FROM pos_lines EXCEPT SELECT * FROM pos_lines_history) x) n, "
+          f"(SELECT count(*) AS missed FROM ({O.MISSED_ALL_SQL}) y) m")
 def q_job_run_summary(spark, d):
-    r = _run_job(spark, d)
+    r, _ = _run_job(spark, d)
     return spark.range(1).select(
         F.lit(r.imported).cast("long").alias("imported"), F.lit(r.new_lines).cast("long").alias("new_lines"),
         F.lit(r.missed).cast("long").alias("missed"), F.lit(r.passed).alias("passed"),
@@ -501,9 +521,9 @@ def q_stream_ingest_archive(spark, d):
     """Today's batch arrives as several files; the stream reconciles them one
     micro-batch at a time and archives consumed files."""
     root = work_dir(spark, "stream")
-    _write_csv(FX.pos_lines(spark, d).repartition(4), f"{root}/in", "|")
+    _write_csv(FX.pos_lines(spark, d), f"{root}/in", "|")
     history = f"{root}/history"
-    archive_lines(FX.pos_lines_history(spark, d), history)
+    archive_lines(FX.pos_lines_history(spark, d), history, "before")
     # the lookups are tables at rest, read by every micro-batch
     tables = {}
     for name in ("member", "member_alt_id", "loyalty_txn"):
@@ -511,5 +531,5 @@ def q_stream_ingest_archive(spark, d):
         tables[name] = spark.read.parquet(f"{root}/{name}")
     ST.reconcile_stream(spark, f"{root}/in", f"{root}/ckpt", f"{root}/out", history,
                         tables["member"], tables["member_alt_id"], tables["loyalty_txn"],
-                        archive_dir=f"{root}/processed", max_files_per_trigger=2, file_glob="*.csv")
+                        archive_dir=f"{root}/processed", file_glob="*.csv")
     return ST.read_stream_output(spark, f"{root}/out")

@@ -8,16 +8,20 @@ archived.  ``cleanSource=archive`` moves consumed files to the processed folder
 (Spark moves a batch's files once a later batch commits, so the last batch's
 files may stay until the next run).
 
-Replays are safe: a replayed epoch rewrites its own run folder, and its lines
-are already in history if the first attempt archived them, so nothing is
-exported or archived twice.  A tripped gate raises: the epoch is not committed
+Replays are safe: an epoch is a batch of its own name; its archive is no history
+to it, so a replay finds the same lines and writes the same files and partitions
+again.  A tripped gate raises: the epoch is not committed
 and its files are offered again on the next start.  Re-delivered lines need no
 watermark: the batch difference against history removes them.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.utils import AnalysisException
 
 from tallyspark import schemas as S
 from tallyspark.operators.reconcile import DEFAULT_RULES
@@ -42,19 +46,27 @@ class GateTripped(RuntimeError):
 
 def reconcile_stream(spark: SparkSession, in_dir: str, checkpoint_dir: str, out_dir: str, history_path: str,
                      member: DataFrame, alt: DataFrame, txn: DataFrame, archive_dir: str | None = None,
-                     max_files_per_trigger: int | None = 1, rules=DEFAULT_RULES, file_glob: str = "*",
+                     max_files_per_trigger: int | None = None, rules=DEFAULT_RULES, file_glob: str = "*",
                      threshold: int | None = None, txn_day_col: str | None = None):
     """Run the stream over every file present now (``availableNow``) and stop.
 
     Missed lines of epoch *n* are staged under ``out_dir/epoch=n/work/missed``;
     ``threshold=None`` disables the gate."""
     results = {}
+    stream = hashlib.sha1(checkpoint_dir.rstrip("/").encode()).hexdigest()[:12]  # one stream, one checkpoint folder
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
         run = f"{out_dir.rstrip('/')}/epoch={epoch_id}"
+        # the first attempt's time stamp, so that a replay writes the same names
+        try:
+            started = spark.read.schema("at timestamp_ntz").parquet(f"{run}/started").first()["at"]
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            started = dt.datetime.now().replace(microsecond=0)
+            spark.createDataFrame([(started,)], "at timestamp_ntz").write.mode("overwrite").parquet(f"{run}/started")
         res = run_pos_reconcile(spark, batch, history_path, member, alt, txn, f"{run}/work", f"{run}/export",
-                                threshold=threshold if threshold is not None else 2 ** 62,
-                                rules=rules, txn_day_col=txn_day_col)
+                                threshold, run_ts=started, rules=rules, batch_id=f"{stream}-{epoch_id}", txn_day_col=txn_day_col)
         results[epoch_id] = res
         if not res.passed:
             raise GateTripped(f"epoch {epoch_id}: {res.missed} missed lines, threshold {threshold}")

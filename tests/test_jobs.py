@@ -28,7 +28,7 @@ def _job(spark, run, threshold=10000, **kw):
 @pytest.fixture()
 def run_dir(spark):
     run = work_dir(spark, "test-run")
-    archive_lines(FX.pos_lines_history(spark, SF_SMALL), f"{run}/history")
+    archive_lines(FX.pos_lines_history(spark, SF_SMALL), f"{run}/history", "before")
     return run
 
 
@@ -58,17 +58,58 @@ def test_tripped_gate_leaves_history_untouched(spark, run_dir):
 
 
 def test_strict_archive_variant(spark, run_dir):
-    _job(spark, run_dir)
-    # nothing new, nothing missed: strict variant archives nothing either way
-    r = _job(spark, run_dir, archive_only_if_missed=True)
-    assert r.archived == 0
+    # lines that are new but none of them missed: a batch without the three kinds
+    batch = FX.pos_lines(spark, SF_SMALL).withColumn("hd_order_or_tran_id", F.concat(F.lit("OTHER#"), F.col("hd_order_or_tran_id")))
+    args = (f"{run_dir}/history", FX.member(spark, SF_SMALL), FX.member_alt_id(spark, SF_SMALL), FX.loyalty_txn(spark, SF_SMALL), f"{run_dir}/w", f"{run_dir}/o")
+    strict = run_pos_reconcile(spark, batch, *args, threshold=None, archive_only_if_missed=True)
+    assert strict.new_lines > 0 and strict.missed == 0 and strict.archived == 0
+    assert run_pos_reconcile(spark, batch, *args, threshold=None).archived == strict.new_lines
+
+
+def test_repeated_batch_writes_the_same_again(spark, run_dir):
+    first = _job(spark, run_dir, batch_id="b1")
+    lines = spark.read.parquet(f"{run_dir}/history").count()
+    again = _job(spark, run_dir, batch_id="b1")   # as after a crash behind the archive step
+    assert (again.new_lines, again.missed, again.exported, again.archived) == (5100, 1685, 1685, 5100)
+    assert again.export_path == first.export_path and spark.read.text(first.export_path).count() == 1685
+    assert spark.read.parquet(f"{run_dir}/history").count() == lines
+
+
+def test_two_batches_of_one_minute_keep_both_exports(spark, run_dir):
+    first = _job(spark, run_dir, batch_id="b1")
+    more = FX.pos_lines(spark, SF_SMALL).withColumn("hd_store_id", F.lit("another"))
+    second = run_pos_reconcile(spark, more, f"{run_dir}/history", FX.member(spark, SF_SMALL), FX.member_alt_id(spark, SF_SMALL),
+                               FX.loyalty_txn(spark, SF_SMALL), f"{run_dir}/work2", f"{run_dir}/out", threshold=None, run_ts=RUN, batch_id="b2")
+    assert second.exported > 0 and first.export_path != second.export_path
+    assert spark.read.text(first.export_path).count() == 1685 and spark.read.text(second.export_path).count() == second.exported
+
+
+def test_odd_empty_and_null_stamps_are_not_new_twice(spark, run_dir):
+    stamps = F.element_at(F.array(F.lit("0123"), F.lit("1.50"), F.lit(""), F.lit(None).cast("string"), F.concat(F.lit("day "), F.col("hd_store_id"))),
+                          (F.pmod(F.xxhash64("hd_order_or_tran_id"), F.lit(5)) + 1).cast("int"))
+    batch = FX.pos_lines(spark, SF_SMALL).withColumn("hd_file_extract_date_time", stamps)
+    args = (f"{run_dir}/odd", FX.member(spark, SF_SMALL), FX.member_alt_id(spark, SF_SMALL), FX.loyalty_txn(spark, SF_SMALL), f"{run_dir}/w", f"{run_dir}/o")
+    new = new_lines_of(spark, batch, args)
+    assert new > 0 and new_lines_of(spark, batch, args) == 0
+
+
+def new_lines_of(spark, batch, args):
+    from tallyspark.plans.pos_job import archive_lines, history_for_batch, read_history
+
+    history = read_history(spark, args[0])
+    found = batch.dropDuplicates() if history is None else new_lines(batch, history_for_batch(history, batch), cols=S.POS_COLUMNS, prune_on=None)
+    found = found.select(*S.POS_COLUMNS)
+    n = found.count()
+    if n:
+        archive_lines(found, args[0], "odd")
+    return n
 
 
 def test_stream_equals_batch_and_archives_files(spark):
     root = work_dir(spark, "test-stream")
     d = SF_SMALL
     REG._write_csv(FX.pos_lines(spark, d).repartition(3), f"{root}/in", "|")
-    archive_lines(FX.pos_lines_history(spark, d), f"{root}/history")
+    archive_lines(FX.pos_lines_history(spark, d), f"{root}/history", "before")
     results = ST.reconcile_stream(spark, f"{root}/in", f"{root}/ckpt", f"{root}/out", f"{root}/history",
                                   FX.member(spark, d), FX.member_alt_id(spark, d), FX.loyalty_txn(spark, d),
                                   archive_dir=f"{root}/processed", max_files_per_trigger=1, file_glob="*.csv",
@@ -91,7 +132,7 @@ def test_partitioned_transactions_are_pruned_by_day(spark, run_dir):
     txn = spark.read.parquet(txn_path)
     r = run_pos_reconcile(spark, FX.pos_lines(spark, d), f"{run_dir}/history", FX.member(spark, d),
                           FX.member_alt_id(spark, d), txn, f"{run_dir}/work", f"{run_dir}/out",
-                          run_ts=RUN, txn_day_col="txn_day")
+                          threshold=None, run_ts=RUN, txn_day_col="txn_day")
     assert r.missed_by_kind == {"SALE": 784, "RETU": 462, "VOID": 439}
 
 
@@ -99,7 +140,7 @@ def test_stream_gate_stops_without_committing(spark):
     root = work_dir(spark, "test-stream-gate")
     d = SF_SMALL
     REG._write_csv(FX.pos_lines(spark, d).repartition(2), f"{root}/in", "|")
-    archive_lines(FX.pos_lines_history(spark, d), f"{root}/history")
+    archive_lines(FX.pos_lines_history(spark, d), f"{root}/history", "before")
     args = (spark, f"{root}/in", f"{root}/ckpt", f"{root}/out", f"{root}/history",
             FX.member(spark, d), FX.member_alt_id(spark, d), FX.loyalty_txn(spark, d))
     with pytest.raises(Exception):
