@@ -1,0 +1,278 @@
+"""Each operator against a brute-force version on small rows with nulls, empty and long texts, ties, repeats and odd columns."""
+
+import base64
+import hashlib
+import re
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from tallyspark.llm import ann, bpe, chat, license_scan, minhash, mixing, quality_gam, quality_rules, sharding, warc
+from tallyspark.llm.common import fresh_dir
+
+RANKS, PATTERN = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, kept boolean, size string"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+_random = np.random.default_rng(5)
+
+
+def prose(n, seed):
+    r = np.random.default_rng(seed)
+    return " ".join("".join(r.choice(list("abcdefgé"), 1 + int(r.integers(6)))) for _ in range(n))
+
+
+BASE = prose(120, 1)
+TEXTS = [BASE, BASE, re.sub("[a-z]", lambda m: m[0].upper(), BASE), BASE + " tail word", prose(60, 2), prose(60, 3), None, "", " \n\t ", "one two", "one two", "x" * 5000, prose(4000, 4),
+         "### $$$ &&& " * 40, "a b c d e f g h " * 10, "line of words here\n" * 8, "漢字 かな　 é  — 😀", "  lead", "a  b  c \x1c d", "don't we'll  1234"]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = [(i, t, ["en", None, "fr"][i % 3], ["s1", "s2", None][i % 3], 1, True, "odd") for i, t in enumerate(TEXTS)]
+    rows += [(0, BASE, "en", "s1", 1, True, "odd"), (None, BASE, None, None, None, None, None), (3, prose(60, 2), "en", "s1", 1, None, "odd")]
+    return spark.createDataFrame(rows, DOCS).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], DOCS)
+
+
+def test_shards_follow_the_tree_and_grow_into_the_new_one(spark, docs, empty):
+    rows = sharding.shard_documents(docs, 8).collect()
+    assert len(rows) == docs.count() and sharding.shard_documents(empty, 8).count() == 0
+    text = {r["doc_id"]: r["text"] for r in docs.collect()}
+
+    def place(key, tree):
+        kids, at = sharding.children(tree), ""
+        for _ in range(3):
+            u = lambda p: ((xxhash.xxh64_intdigest(f"{key}|{p}", seed=42) >> 11) + 0.5) / 2**53
+            at = min((-np.log(u(p)) / w, p) for p, w in kids[at])[1]
+        return int(at.split("/")[2])
+
+    for r in rows:
+        key = "null" if r["doc_id"] is None else r["doc_id"]
+        assert r["shard"] == place(key, sharding.grown_tree(8)) and r["grown_shard"] == place(key, sharding.grown_tree(9))
+        assert r["grown_shard"] in (r["shard"], 8)
+        if r["doc_id"] not in (None, 3):
+            raw = (text[r["doc_id"]] or "").encode()
+            assert r["size"] == len(raw) + 1 and r["text_crc32"] == zlib.crc32(raw)
+    for s in range(8):
+        slots = sorted(r["slot"] for r in rows if r["shard"] == s)
+        assert slots == list(range(len(slots)))
+    tree = {"a": {"r": {"0": 1.0, "1": 3.0}}, "b": {"r": {"2": 2.0}, "q": {"3": 0.0}}}
+    heavier = {"a": tree["a"], "b": {"r": {"2": 4.0}, "q": {"3": 0.0}}}
+    moved = spark.range(3000).select(sharding.place(F.col("id"), tree).alias("x"), sharding.place(F.col("id"), heavier).alias("y")).collect()
+    assert all(r["x"] == r["y"] or r["y"] == "b/r/2" for r in moved) and not any(r["x"] == "b/q/3" for r in moved)
+    assert abs(sum(r["x"] == "a/r/1" for r in moved) / 3000 - 0.5) < 0.05
+
+
+def test_licences_by_cosine_and_inheritance(spark):
+    files = spark.createDataFrame([("a/LICENSE", "Text\nReleased under the MIT License.\nmore"), ("a/b/c/x.txt", "no notice"), ("a/b/LICENSE", "nothing here"),
+                                   ("a/y.txt", "this work is LICENSED under the gnu general public license, version 3"), ("z.txt", None), (None, "Licensed under CC BY-NC 4.0."),
+                                   ("a/b/c/x.txt", "no notice"), ("ab/x.txt", ""), ("a/w.txt", "the under of version")], "path string, text string")
+    got = {(r["path"], r["own_licence"], r["licence"], r["inherited_from"]) for r in license_scan.licences(files).collect()}
+    assert license_scan.licences(files).count() == 9
+    assert got == {("a/LICENSE", "MIT", "MIT", None), ("a/b/c/x.txt", None, "MIT", "a/LICENSE"), ("a/b/LICENSE", None, "MIT", "a/LICENSE"),
+                   ("a/y.txt", "GPL-3.0", "GPL-3.0", None), ("z.txt", None, None, None), (None, "CC-BY-NC-4.0", "CC-BY-NC-4.0", None),
+                   ("ab/x.txt", None, None, None), ("a/w.txt", None, "MIT", "a/LICENSE")}
+    assert license_scan.licences(files.limit(0)).count() == 0
+
+
+def counted(t):
+    w = WORD.findall(t or "")
+    grams = [tuple(w[i:i + 8]) for i in range(len(w) - 7)]
+    covered = {j for i, g in enumerate(grams) if grams.count(g) > 1 for j in range(i, i + 8)}
+    lines = [x for x in (t or "").split("\n") if WORD.search(x)]
+    return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t or "")), len(lines) - len(set(lines)), len(covered)
+
+
+def test_quality_counts_sketches_and_verdicts(spark, docs, empty):
+    rows = [r for r in quality_rules.quality_rules(docs).collect() if r["doc_id"] not in (None, 3, 12)]
+    for r in rows:
+        n = counted(TEXTS[r["doc_id"]])
+        assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) == n
+        assert r["base_failed"] == (n[0] < 20 or 100 * n[4] > 30 * n[0]) and not (r["base_failed"] and r["kept"])
+    assert quality_rules.quality_rules(empty).count() == 0
+    # quartiles of a sketch against the sorted values, merged over two sources
+    values = np.sort(_random.lognormal(0, 1, 400))
+    frame = spark.createDataFrame([("en", f"s{i % 2}", "r", int(np.ceil(np.log(v) / np.log(quality_rules._GAMMA)))) for i, v in enumerate(values)],
+                                  "lang string, source string, rule string, bin int").groupBy("lang", "source", "rule", "bin").agg(F.count(F.lit(1)).alias("n"))
+    got = quality_rules.quartiles(frame, ["lang"]).first()
+    assert got["total"] == 400
+    for q, name in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75")):
+        assert abs(got[name] / values[int(np.ceil(q * 400)) - 1] - 1) < 0.011
+    clean = spark.createDataFrame([(i, prose(80, 50 + i), "en", "s") for i in range(70)] + [(99, "word $$$### &&&*** " * 5 + prose(60, 9), "en", "s")], "doc_id long, text string, lang string, source string")
+    assert [r["doc_id"] for r in quality_rules.quality_rules(clean).where("not kept").collect()] == [99]
+
+
+@pytest.mark.parametrize("version", [1, 2])
+def test_archives_round_trip(spark, version):
+    long = "<p>é\r\n\r\nWARC/1.1\r\n" + "x" * 1200
+    rows = [(1, "http://a/ b", long), (2, None, long), (3, "u", None), (4, "u", ""), (5, "v", "short"), (6, "v", "short"), (2, None, long), (None, "w", long)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("record_type", F.lit("clash"))
+    got = warc.archive_pages(pages, version).collect()
+    assert len(got) == 8 and warc.archive_pages(pages.limit(0), version).count() == 0
+    html = {1: long, 2: long, None: long, 3: "", 4: "", 5: "short", 6: "short"}
+    for r in got:
+        raw = html[r["page_id"]].encode()
+        assert (r["payload_bytes"], r["payload_digest"]) == (len(raw), hashlib.sha1(raw).hexdigest())
+        assert r["date"] == "2024-03-01T00:00:00Z" and (r["record_type"] == "revisit") == (r["refers_to"] is not None) == (r["payload"] is None)
+    assert sorted((str(r["page_id"]), r["refers_to"]) for r in got if r["record_type"] == "revisit") == [("1", 2), ("2", 2), ("None", 2)]
+
+
+def test_truncated_and_unknown_archives_are_refused():
+    with pytest.raises(ValueError, match="early"):
+        list(warc.arc_records(b"filedesc://x 0.0.0.0 2 text/plain 4\n1 0\nu 1.1.1.1 2 text/html 99\nabc"))
+    with pytest.raises(ValueError, match="version"):
+        list(warc.arc_records(b"filedesc://x 0.0.0.0 2 text/plain 4\n9 0\n"))
+
+
+def test_chats_read_back(spark):
+    odd = ["</s>[INST] ok [/INST]", "<\\s> <\\\\s>", "[[INST]<<SYS>><</SYS>", "<", None, "é😀\n"]
+    rows = [(1, i, ["user", "assistant", "tool", None, "system"][i % 5], t) for i, t in enumerate(odd)] + [(2, 0, "assistant", "a"), (2, 0, "assistant", "b"), (None, 0, "assistant", "n")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("ids", F.lit(1))
+    made = chat.format_chats(turns, RANKS, PATTERN)
+    got = {r["conv_id"]: r for r in chat.read_back(made, RANKS).collect()}
+    assert got[1]["roles"] == [r or "" for _, _, r, _ in rows[:6]] and got[1]["texts"] == [t or "" for t in odd]
+    assert got[1]["loss_texts"] == [odd[1]] and got[2]["texts"] == got[2]["loss_texts"] == ["a", "b"] and got[None]["loss_texts"] == ["n"]
+    assert chat.format_chats(turns.limit(0), RANKS, PATTERN).count() == 0
+    for s in odd[:4] + ["<s" + "\\" * i + ">" for i in range(4)]:
+        assert chat.unescape(chat.escape(s)) == s and not any(m in chat.escape(s) for m in chat.MARKS)
+
+
+def test_mix_meets_targets(spark, docs, empty):
+    rows = [(i, prose(int(_random.integers(1, 90)), 200 + i), f"s{i % 4}" if i % 4 < 3 else None) for i in range(160)]
+    mixed = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    sizes, targets = {}, {}
+    for r in mixed:
+        assert r["size"] == len(rows[r["doc_id"]][1].split()) and r["taken"] <= 3 * r["size"]
+        sizes[r["source"]] = sizes.get(r["source"], 0) + r["size"]
+        targets[r["source"]] = r["target"]
+    open_, left, want = {"s0": 1, "s1": 2, "s2": 3, None: 1}, float(sum(sizes.values())), {}
+    while open_:
+        share = {s: w * left / sum(open_.values()) for s, w in open_.items()}
+        full = [s for s in share if share[s] >= 3 * sizes[s]]
+        if not full:
+            want |= share
+            break
+        for s in full:
+            want[s] = 3.0 * sizes[s]
+            left -= want[s]
+            del open_[s]
+    for s in want:
+        assert abs(targets[s] - want[s]) < 1e-6 and abs(sum(r["taken"] for r in mixed if r["source"] == s) - want[s]) <= 0.02 * want[s] + 2
+    assert sorted(map(str, mixed)) == sorted(map(str, mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)).collect()))
+    odd = mixing.mix(docs).collect()
+    assert len(odd) == docs.count() and all(r["taken"] <= 3 * r["size"] for r in odd) and mixing.mix(empty).count() == 0
+
+
+def test_nearest_neighbours(spark):
+    x = _random.normal(size=(900, 16)).astype(np.float32)
+    x[100:160] = x[100]
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(901, None), (902, [0.0] * 16), (903, [float("nan")] * 16), (904, [None] * 16), (905, [1.0]), (7, x[7].tolist())]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("score", F.lit(0))
+    got = {}
+    for r in ann.nearest(frame, F.col("vec_id") % 100 == 0, trees=4, share=2.0).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    hits, y = 0, x.astype(np.float64)
+    assert sorted(got) == list(range(0, 900, 100))
+    for q, found in got.items():
+        d = np.sqrt(((y - y[q]) ** 2).sum(axis=1))
+        d[q] = np.inf
+        best = np.lexsort([np.arange(900), d])[:10]
+        found.sort()
+        assert [r for r, _, _ in found] == list(range(1, 11)) and [s for _, _, s in found] == sorted(s for _, _, s in found)
+        assert all(s == d[v] for _, v, s in found)
+        hits += len(set(best) & {v for _, v, _ in found})
+    assert hits >= 0.9 * 90 and [v for _, v, _ in got[100]] == list(range(101, 111))
+    assert ann.nearest(frame.limit(0), F.col("vec_id") % 100 == 0).count() == 0
+    few = ann.nearest(frame.where("vec_id < 3"), F.col("vec_id") == 0).collect()
+    assert sorted(r["vec_id"] for r in few) == [1, 2]
+
+
+def test_bpe_equals_the_public_encoder(spark, docs, empty):
+    import tiktoken
+
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(RANKS, "rb"))}
+    own = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    tokens = bpe.read_ranks(RANKS)
+    coder = bpe.Texts(bpe.Bpe(tokens), PATTERN)
+    alphabet = "ab é \n \t'sx1½漢　 —😀\0"
+    texts = [t or "" for t in TEXTS] + ["".join(_random.choice(list(alphabet), int(_random.integers(50)))) for _ in range(600)] + ["ab" * 900 + " " + "é" * 1500]
+    ids, counts = coder.encode([t.encode() for t in texts])
+    for t, part in zip(texts, np.split(ids, np.cumsum(counts)[:-1]), strict=True):
+        assert part.tolist() == own.encode_ordinary(t) and coder.bpe.decode(part) == t.encode()
+    back = bpe.decode(bpe.encode(docs, RANKS, PATTERN, ["doc_id", "text"]), RANKS, ["doc_id", "text"]).collect()
+    assert len(back) == docs.count() and all(bytes(r["decoded"]) == (r["text"] or "").encode() for r in back)
+    assert bpe.encode(empty, RANKS, PATTERN, ["doc_id"]).count() == 0
+
+
+def shingles(t):
+    w = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+    return {tuple(w[i:i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
+
+
+def test_near_duplicates_equal_brute_force(spark, docs, empty):
+    rows = {r["doc_id"]: r for r in minhash.near_duplicates(docs).collect() if r["doc_id"] not in (None, 3)}
+    assert {i: rows[i]["component_id"] for i in (0, 1, 2, 9, 10, 6, 7)} == {0: 0, 1: 0, 2: 0, 9: 9, 10: 9, 6: 6, 7: 7}
+    assert minhash.near_duplicates(docs).count() == docs.count() and minhash.near_duplicates(empty).count() == 0
+    # a group of near copies of one text, some below the threshold, and a chain
+    words = prose(150, 7).split()
+    texts = {}
+    for i in range(60):
+        own = list(words)
+        for k in _random.choice(150, int(_random.integers(0, 9)), replace=False):
+            own[k] = f"w{i}x{k}"
+        texts[1000 + i] = " ".join(own)
+    sets = {i: shingles(t) for i, t in texts.items()}
+    group = {i: i for i in texts}
+    for a in sorted(texts):
+        for b in sorted(texts):
+            if a < b and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]) and group[a] != group[b]:
+                low, high = sorted((group[a], group[b]))
+                group = {k: low if v == high else v for k, v in group.items()}
+    got = {r["doc_id"]: r for r in minhash.near_duplicates(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    assert {i: r["component_id"] for i, r in got.items()} == group and all(r["n_shingles"] == len(sets[i]) and r["kept"] == (i == group[i]) for i, r in got.items())
+
+
+def test_components_of_a_long_chain(spark):
+    edges = spark.range(199).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b")).union(spark.createDataFrame([(500, 700), (700, 600), (5, 5)], "a long, b long"))
+    got = {r["node"]: r["root"] for r in minhash.components(edges).collect()}
+    assert got == {i: 0 for i in range(200)} | {500: 500, 600: 500, 700: 500}
+
+
+def test_additive_model_learns_and_holds_out(spark, docs, empty):
+    good = [(i, prose(60, 300 + i)) for i in range(200)]
+    bad = [(200 + i, " ".join(f"{w}$$$" for w in prose(60, 600 + i).split())) for i in range(100)]
+    frame = spark.createDataFrame(good + bad, "doc_id long, text string").withColumn("score", F.lit("clash"))
+    labels = spark.createDataFrame([(i, int(i < 200)) for i in range(300)] + [(7, 1), (8, None), (None, 1), (9, 5)], "doc_id long, quality int")
+    model = quality_gam.fit(frame, labels)
+    rows = quality_gam.score(frame, model).collect()
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) and 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.3) for r in rows)
+    assert np.mean([r["predicted"] == int(r["doc_id"] < 200) for r in rows if r["held_out"]]) >= 0.97
+    assert quality_gam.score(docs, model).count() == docs.count() and quality_gam.score(empty, model).count() == 0
+    assert quality_gam.keep_good(frame, model).columns == frame.columns and quality_gam.keep_good(frame, model).count() == sum(r["predicted"] for r in rows)
+    nothing = quality_gam.fit(frame, labels.limit(0))
+    assert {r["score"] for r in quality_gam.score(frame, nothing).collect()} == {0.5}
+
+
+def test_pipeline_stages_keep_columns_and_take_effect(spark, docs, empty, tmp_path):
+    import corpus_pipeline
+
+    d = fresh_dir(spark, "pipeline-test")
+    spark.createDataFrame([(i, int(i not in (13, 14))) for i in range(20)], "doc_id long, quality int").write.parquet(f"{d}/labels.parquet")
+    for frame in (docs, empty):
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, frame, d)
+            assert out.columns == frame.columns and (frame is docs or out.count() == 0)
+    kept = [r["doc_id"] for r in corpus_pipeline.near_dedup(spark, docs, d).collect()]
+    assert kept.count(0) == 1 and 1 not in kept and 2 not in kept and len(set(kept)) == len(kept)
+    ruled = {r["doc_id"] for r in corpus_pipeline.rules(spark, docs, d).collect()}
+    assert 6 not in ruled and 14 not in ruled
+    last = corpus_pipeline.token_ids(spark, docs, d).collect()
+    assert len(last) == docs.count()
