@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from tallyspark import schemas as S
 
 # Fixed values for the bindings (FIXTURES.md part C).
-EXTRACT_TS_TEXT = "2024-02-01 00:00:00"
 ZONE_BY_NATION_MOD10 = ["BEL", "CZE", "DEU", "ESP", "FRA", "GBR", "ITA", "NLD"]  # else USA
 COUNTRY_BY_NATION_MOD8 = ["BE", "CZ", "DE", "ES", "FR", "GB", "IT"]  # else NL
 POS_COUNTRY_BY_NATION_MOD4 = ["GBR", "BEL", "DEU", "FRA"]
@@ -80,7 +79,7 @@ def pos_base(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when(F.col("l_returnflag") == "R", "RETU").otherwise("VOID"))
     line_ref = F.concat(_s("l_orderkey"), F.lit("-"), _s("l_linenumber"))
     values = {
-        "hd_file_extract_date_time": F.lit(EXTRACT_TS_TEXT),
+        "hd_file_extract_date_time": F.when(F.col("l_partkey") % 50 != 0, F.concat(F.substring(_s("o_orderdate"), 1, 8), F.lit("01 00:00:00"))),
         "hd_order_or_tran_id": F.concat(kind, F.lit("#"), line_ref),
         "hd_order_date_time": _s("o_orderdate"),
         "hd_loyalty_id": (F.when(F.col("o_custkey") % 5 == 0, F.lit(None).cast("string"))
@@ -180,16 +179,16 @@ def loyalty_txn(spark: SparkSession, sf_dir: str) -> DataFrame:
 def profile_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
     main = e.select(
-        F.concat(F.lit("U"), _s((F.col("user_id") + F.col("event_id") % 3) % 140)).alias("uuid"),
+        F.concat(F.lit("U"), _s(F.expr("event_id div 10 + event_id % 3"))).alias("uuid"),
         F.when(F.col("event_id") % 13 != 0,
-               _email((F.col("user_id") * 7 + F.col("event_id") % 2) % 200)).alias("email_address"),
+               _email(F.expr("event_id div 8 + event_id % 2"))).alias("email_address"),
         F.when(F.col("event_type") == "error", 0).otherwise(1).cast("int").alias("active_flag"),
         F.when(F.col("event_type") == "signup", 1).otherwise(0).cast("int").alias("is_disabled"),
         F.col("ts").alias("last_update_ts"))
-    small = e.where(F.col("event_id") < 40)
+    twice = e.where(F.col("event_id") % 250 == 7)
 
     def pair(suffix: str, active: int) -> DataFrame:
-        return small.select(
+        return twice.select(
             F.concat(F.lit("X"), _s("event_id")).alias("uuid"),
             F.concat(F.lit("x"), _s("event_id"), F.lit(suffix)).alias("email_address"),
             F.lit(active).cast("int").alias("active_flag"),
@@ -233,7 +232,7 @@ def web_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- CRM migration
 @memoized
 def crm_account_txn(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders").where(F.col("o_orderkey") % 3 == 0)
+    o = table(spark, sf_dir, "orders")
     values = {
         "altid": F.concat(F.lit("A"), _s("o_custkey")),
         "country": F.lit("BE"),

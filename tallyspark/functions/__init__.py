@@ -54,12 +54,3 @@ def row_json(cols: list[str]) -> Column:
                      {"ignoreNullFields": "false",
                       "timestampNTZFormat": JSON_TS_FORMAT,
                       "timestampFormat": JSON_TS_FORMAT})
-
-
-def run_stamp(ts) -> Column:
-    """Run stamp used as the export name prefix."""
-    return F.date_format(_c(ts), RUN_STAMP_FORMAT)
-
-
-def lower_email(c) -> Column:
-    return F.lower(_c(c))

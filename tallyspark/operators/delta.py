@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,8 +47,3 @@ def new_lines(batch: DataFrame, history: DataFrame, cols: list[str] | None = Non
 def archived_history(batch: DataFrame, history: DataFrame) -> DataFrame:
     """History after the archive step: history ∪all (batch EXCEPT history)."""
     return history.unionByName(new_lines(batch, history, cols=history.columns))
-
-
-def union_branches(frames: list[DataFrame]) -> DataFrame:
-    """Bag union of branch outputs (one insert per branch in the source job)."""
-    return reduce(lambda a, b: a.unionByName(b), frames)

@@ -66,8 +66,8 @@ def top_k_per_key(df: DataFrame, key: str, order: list[Column], k: int) -> DataF
 
 def latest_profile_per_email(profiles: DataFrame, web_users: DataFrame) -> DataFrame:
     """Latest active profile per lower-cased e-mail among web users: (uuid, email)."""
-    joined = match_case_insensitive(active(profiles), web_users, "email_address", "p_uid")
-    return latest_per_key(joined, F.lower("email_address"), "last_update_ts", "uuid", key_name="email")
+    known = match_case_insensitive(active(profiles), web_users, "email_address", "p_uid", how="left_semi")
+    return latest_per_key(known, F.lower("email_address"), "last_update_ts", "uuid", key_name="email")
 
 
 def identity_conflicts(profiles: DataFrame, id_col: str = "uuid", email_col: str = "email_address",

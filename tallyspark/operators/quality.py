@@ -15,11 +15,8 @@ from pyspark.sql import functions as F
 def primary_key_violations(df: DataFrame, keys: list[str]) -> DataFrame:
     """(keys..., n, problem): keys seen more than once, and rows with a NULL key part."""
     any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    dup = (df.where(~any_null).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-           .where(F.col("n") > 1).withColumn("problem", F.lit("duplicate")))
-    nul = (df.where(any_null).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-           .withColumn("problem", F.lit("null")))
-    return dup.unionByName(nul)
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where((F.col("n") > 1) | any_null)
+    return counted.withColumn("problem", F.when(any_null, "null").otherwise("duplicate"))
 
 
 def unique_violations(df: DataFrame, col: str) -> DataFrame:

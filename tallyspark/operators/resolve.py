@@ -10,9 +10,9 @@ keep the line when either side hit):
 - a NULL id never resolves.
 
 Instead of joining the (large) line table twice, the dimension side is folded
-once into a lookup with one ``(lookup_id, memberid)`` row per output copy:
-direct hits left-joined to the alternate rows of the same id (``d × max(a, 1)``
-rows), plus alternate-only ids.  Lines then inner-join the lookup once and the
+once into a lookup with one ``(lookup_id, memberid)`` row per output copy: the
+full outer join of direct ids and alternate rows gives ``d × max(a, 1)`` rows for a
+direct hit and the alternate rows of other ids, and reads each table once.  Lines then inner-join the lookup once and the
 fan-out of the two-join form comes out of the join itself.  Member ids are
 primary keys (never NULL), as the foreign key on the transaction table states.
 """
@@ -30,10 +30,8 @@ def member_lookup(member: DataFrame, alt: DataFrame) -> DataFrame:
     alt_rows = (alt.where(F.col("altid").isNotNull())
                 .select(F.col("altid").alias("lookup_id"), "memberid"))
     # every alternate row multiplies a direct hit, whatever its member id
-    direct_hits = direct.join(alt_rows.select("lookup_id"), "lookup_id", "left")
-    alt_only = (alt_rows.where(F.col("memberid").isNotNull())
-                .join(direct.select("lookup_id"), "lookup_id", "left_anti"))
-    return direct_hits.unionByName(alt_only)
+    both = direct.join(alt_rows.withColumnRenamed("memberid", "_alt"), "lookup_id", "full")
+    return both.select("lookup_id", F.coalesce("memberid", "_alt").alias("memberid")).where(F.col("memberid").isNotNull())
 
 
 def resolve_members(lines: DataFrame, member: DataFrame, alt: DataFrame,

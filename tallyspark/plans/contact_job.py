@@ -7,6 +7,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyspark import schemas as S
 from tallyspark.operators.migrate import contacts_to_target, running_load_counts
@@ -33,3 +34,12 @@ def run_contact_load(spark: SparkSession, paths: list[str], target_path: str, ru
         running_counts=running_load_counts(target, "country"),
         null_counts=not_null_counts(target, S.CONTACT_NOT_NULL),
         duplicates={c: unique_violations(target, c) for c in S.CONTACT_UNIQUE})
+
+
+def constraint_report(load: ContactLoad) -> DataFrame:
+    """(kind, column_name, n): NULLs of each NOT NULL column, repeated values of each UNIQUE column."""
+    out = load.null_counts.select(F.lit("not_null").alias("kind"), F.col("column").alias("column_name"), F.col("n_null").alias("n"))
+    for column, repeated in load.duplicates.items():
+        counted = repeated.agg(F.count(F.lit(1)).alias("n"))
+        out = out.unionByName(counted.select(F.lit("unique").alias("kind"), F.lit(column).alias("column_name"), "n"))
+    return out

@@ -12,7 +12,7 @@ from __future__ import annotations
 import re
 
 from tallyspark import schemas as S
-from tallyspark.fixtures import EXTRACT_TS_TEXT, SEED_MEMBER_BY, SEED_MEMBER_TS
+from tallyspark.fixtures import SEED_MEMBER_BY, SEED_MEMBER_TS
 
 
 def _s(x: str) -> str:
@@ -24,7 +24,7 @@ def _email(k: str) -> str:
 
 
 _POS_VALUES = {
-    "hd_file_extract_date_time": f"'{EXTRACT_TS_TEXT}'",
+    "hd_file_extract_date_time": f"case when l_partkey % 50 <> 0 then concat(substring({_s('o_orderdate')}, 1, 8), '01 00:00:00') end",
     "hd_order_or_tran_id": ("concat(case l_returnflag when 'N' then 'SALE' when 'R' then 'RETU' "
                             f"else 'VOID' end, '#', {_s('l_orderkey')}, '-', {_s('l_linenumber')})"),
     "hd_order_date_time": _s("o_orderdate"),
@@ -87,18 +87,18 @@ FIXTURE_SQL: dict[str, str] = {
          case p_flag_ when 'R' then 'RETURN' else 'VOID_RETURN' end, null, null, null
   FROM pos_base WHERE p_flag_ <> 'N' AND p_partkey_ % 3 = 1""",
     "profile_dim": f"""
-  SELECT concat('U', {_s('(user_id + event_id % 3) % 140')}) AS uuid,
-         case when event_id % 13 <> 0 then {_email('(user_id * 7 + event_id % 2) % 200')} end AS email_address,
+  SELECT concat('U', {_s('event_id // 10 + event_id % 3')}) AS uuid,
+         case when event_id % 13 <> 0 then {_email('event_id // 8 + event_id % 2')} end AS email_address,
          case when event_type = 'error' then 0 else 1 end AS active_flag,
          case when event_type = 'signup' then 1 else 0 end AS is_disabled,
          ts AS last_update_ts
   FROM events
   UNION ALL
   SELECT concat('X', {_s('event_id')}), concat('x', {_s('event_id')}, 'a@example.com'), 1, 0, ts
-  FROM events WHERE event_id < 40
+  FROM events WHERE event_id % 250 = 7
   UNION ALL
   SELECT concat('X', {_s('event_id')}), concat('x', {_s('event_id')}, 'b@example.com'), 0, 0, ts
-  FROM events WHERE event_id < 40""",
+  FROM events WHERE event_id % 250 = 7""",
     "web_user": f"SELECT concat('USER', {_s('c_custkey')}, '@EXAMPLE.COM') AS p_uid FROM customer WHERE c_custkey % 3 <> 1",
     "crm_contact": f"""
   SELECT {_email('c_custkey')} AS email,
@@ -120,7 +120,7 @@ FIXTURE_SQL: dict[str, str] = {
          cast(null as varchar) AS isdeleted, cast(null as timestamp) AS deleteddate,
          o_orderdate AS createddate, o_orderdate AS updateddate,
          cast(null as varchar) AS segmentcode, cast(null as varchar) AS lastupdatedby
-  FROM orders WHERE o_orderkey % 3 = 0""",
+  FROM orders""",
     "crm_contact_stage": f"""
   SELECT {_email('c_custkey')} AS email, concat('A', {_s('c_custkey')}) AS altid,
          cast(null as varchar) AS idtype,
@@ -256,7 +256,8 @@ def backfill_step_sql(member_sql: str, source_sql: str, run_ts: str, by: str) ->
   FROM ({member_sql}) m LEFT JOIN ({source_sql}) s ON lower(m.email) = s.email"""
 
 
-def account_txn_sql(run_ts: str) -> str:
+def account_txn_sql(run_ts: str, first: str = "") -> str:
+    """Migrated rows, numbered by ``first`` (an ORDER BY prefix) and then by reference number and member."""
     empty = {"benefitid": "INTEGER", "channel": "VARCHAR", "store": "VARCHAR", "associate": "VARCHAR", "monetaryamount": "REAL", "currency": "VARCHAR"}
     taken = {"memberid": "owner.memberid", "country": "txn.country", "referencenumber": "txn.accounttransactionid", "date": "txn.accounttransactiondate",
              "points": "txn.accounttransactionvalue", "expirydate": "txn.accounttransactionvaluevalidityenddate", "type": "txn.rulesourceactionloyaltyzonecode",
@@ -265,11 +266,11 @@ def account_txn_sql(run_ts: str) -> str:
     return f"""WITH moved AS (
   SELECT {columns} FROM member_alt_id owner JOIN crm_account_txn txn USING (altid)
 )
-SELECT CAST(1000 + row_number() OVER (ORDER BY referencenumber NULLS FIRST, memberid NULLS FIRST) AS BIGINT) AS id, * FROM moved"""
+SELECT CAST(1000 + row_number() OVER (ORDER BY {first}referencenumber NULLS FIRST, memberid NULLS FIRST) AS BIGINT) AS id, * FROM moved"""
 
 
 def contact_target_sql(run_ts: str, source: str = "crm_contact_stage") -> str:
-    return f"""SELECT email, CAST(NULL AS VARCHAR) AS consumerid, CAST(NULL AS VARCHAR) AS hybrisid, altid, idtype,
+    return f"""SELECT email, CAST(NULL AS VARCHAR) AS consumerid, CAST(NULL AS VARCHAR) AS shopid, altid, idtype,
        country, preferredlanguage, firstname, lastname, birthday, joindate,
        CAST(NULL AS TIMESTAMP) AS subscribedate, CAST(NULL AS VARCHAR) AS status, totalpoints, gender,
        segmentcode, false AS crmid_reused, TIMESTAMP '{run_ts}' AS createdat,
@@ -296,6 +297,17 @@ def row_json_sql(source: str) -> str:
     return f"SELECT CAST(to_json(struct_pack({', '.join(fields)})) AS VARCHAR) AS row_json FROM ({source}) m"
 
 
+def conflicts_sql(source: str) -> str:
+    return f"""SELECT 'email_active_ids' AS conflict, email_address AS key, count(DISTINCT uuid) AS n
+  FROM {source} WHERE email_address IS NOT NULL AND active_flag = 1
+ GROUP BY email_address HAVING count(DISTINCT uuid) > 1
+UNION ALL
+SELECT 'id_one_active_email', uuid, count(DISTINCT email_address)
+  FROM {source} GROUP BY uuid
+HAVING count(DISTINCT email_address) > 1
+   AND count(DISTINCT CASE WHEN active_flag = 1 THEN email_address END) = 1"""
+
+
 def job_summary_sql(threshold: int) -> str:
     return f"""SELECT i.imported, n.new_lines, m.missed, m.missed < {threshold} AS passed,
        CASE WHEN m.missed < {threshold} THEN m.missed ELSE 0 END AS exported,

@@ -234,15 +234,7 @@ def q_window_latest_profile(spark, d):
     return P.latest_profile_per_email(FX.profile_dim(spark, d), FX.web_user(spark, d))
 
 
-@register("check_identity_conflicts", """
-SELECT 'email_active_ids' AS conflict, email_address AS key, count(DISTINCT uuid) AS n
-  FROM profile_dim WHERE email_address IS NOT NULL AND active_flag = 1
- GROUP BY email_address HAVING count(DISTINCT uuid) > 1
-UNION ALL
-SELECT 'id_one_active_email', uuid, count(DISTINCT email_address)
-  FROM profile_dim GROUP BY uuid
-HAVING count(DISTINCT email_address) > 1
-   AND count(DISTINCT CASE WHEN active_flag = 1 THEN email_address END) = 1""")
+@register("check_identity_conflicts", O.conflicts_sql("profile_dim"))
 def q_check_identity_conflicts(spark, d):
     return P.identity_conflicts(FX.profile_dim(spark, d))
 
@@ -276,11 +268,12 @@ def q_check_primary_key(spark, d):
 
 
 @register("check_foreign_key", """
-SELECT c.* FROM member_alt_id c LEFT JOIN (SELECT id FROM member WHERE id % 10 <> 0) p ON c.memberid = p.id
- WHERE c.memberid IS NOT NULL AND p.id IS NULL""")
+SELECT c.* FROM (SELECT CASE WHEN memberid % 10 = 0 THEN -memberid ELSE memberid END AS memberid, altid FROM member_alt_id) c
+  LEFT JOIN member p ON c.memberid = p.id WHERE c.memberid IS NOT NULL AND p.id IS NULL""")
 def q_check_foreign_key(spark, d):
-    parent = FX.member(spark, d).where(F.col("id") % 10 != 0)
-    return C.foreign_key_violations(FX.member_alt_id(spark, d), "memberid", parent, "id")
+    """Every tenth member id of the child table is put where no member is."""
+    child = FX.member_alt_id(spark, d).withColumn("memberid", F.when(F.col("memberid") % 10 == 0, -F.col("memberid")).otherwise(F.col("memberid")))
+    return C.foreign_key_violations(child, "memberid", FX.member(spark, d), "id")
 
 
 # ------------------------------------------------------------------ back-fill
@@ -310,6 +303,17 @@ def q_job_profile_backfill(spark, d):
     return backfill_ids(FX.member(spark, d), [FX.crm_profile(spark, d), web_source], RUN_TS)
 
 
+_BACKFILLED = O.backfill_step_sql(_CRM_STEP, O.LATEST_PROFILE_SQL, RUN_TS, BACKFILL_BY)
+
+
+@register("job_profile_conflicts", O.conflicts_sql(
+    f"(SELECT uuid, email_address, active_flag FROM profile_dim UNION ALL SELECT consumerid, email, 1 FROM ({_BACKFILLED}) m)"))
+def q_job_profile_conflicts(spark, d):
+    """Identity conflicts among the profiles and the members as the back-fill leaves them."""
+    filled = q_job_profile_backfill(spark, d).select(F.col("consumerid").alias("uuid"), F.col("email").alias("email_address"), F.lit(1).alias("active_flag"))
+    return P.identity_conflicts(FX.profile_dim(spark, d).select("uuid", "email_address", "active_flag").unionByName(filled))
+
+
 # ------------------------------------------------------------------ migration
 @register("join_account_txn", "SELECT e.*, a.memberid FROM crm_account_txn e JOIN member_alt_id a ON e.altid = a.altid")
 def q_join_account_txn(spark, d):
@@ -349,7 +353,8 @@ from tallyspark import sinks as K  # noqa: E402
 from tallyspark import sources as SRC  # noqa: E402
 from tallyspark import streaming as ST  # noqa: E402
 from tallyspark.functions import POS_TS_FORMAT  # noqa: E402
-from tallyspark.plans.contact_job import run_contact_load  # noqa: E402
+from tallyspark.plans.account_job import run_account_migration  # noqa: E402
+from tallyspark.plans.contact_job import constraint_report, run_contact_load  # noqa: E402
 from tallyspark.plans.pos_job import archive_lines, run_pos_reconcile  # noqa: E402
 from tallyspark.session import work_dir  # noqa: E402
 
@@ -404,10 +409,10 @@ def q_src_account_csv(spark, d):
     return SRC.read_account_txn(spark, f"{folder}/accounttransaction_BE")
 
 
-def _contact_files(spark, d) -> list[str]:
+def _contact_files(spark, d, stage: DataFrame | None = None) -> list[str]:
     """One contact file set per country, as the CRM export delivers them."""
     folder = work_dir(spark, "contact-csv")
-    stage = FX.crm_contact_stage(spark, d)
+    stage = FX.crm_contact_stage(spark, d) if stage is None else stage
     _write_csv(stage.withColumn("file_country", F.col("country")), folder, ",", partition_by="file_country")
     return [f"{folder}/file_country={c}" for c in CONTACT_COUNTRIES]
 
@@ -423,6 +428,50 @@ def q_job_contact_load(spark, d):
     return run_contact_load(spark, _contact_files(spark, d), target, RUN_TS).running_counts
 
 
+_UNTIDY = ("(SELECT CASE WHEN totalpoints < 0 THEN NULL ELSE email END AS email, country FROM crm_contact_stage "
+           "UNION ALL SELECT email, country FROM crm_contact_stage WHERE country = 'BE') c")
+
+
+@register("job_contact_checks", f"""
+SELECT 'not_null' AS kind, 'email' AS column_name, count(*) FILTER (WHERE email IS NULL) AS n FROM {_UNTIDY}
+UNION ALL SELECT 'not_null', 'country', count(*) FILTER (WHERE country IS NULL) FROM {_UNTIDY}
+UNION ALL SELECT 'unique', 'email', count(*) FROM (SELECT email FROM {_UNTIDY} WHERE email IS NOT NULL GROUP BY email HAVING count(*) > 1) x
+UNION ALL SELECT 'unique', 'consumerid', 0 UNION ALL SELECT 'unique', 'shopid', 0""")
+def q_job_contact_checks(spark, d):
+    """Constraint report of a load of every contact, some without an e-mail and one country delivered twice."""
+    stage = FX.crm_contact_stage(spark, d)
+    untidy = stage.withColumn("email", F.when(F.col("totalpoints") >= 0, F.col("email"))).unionByName(stage.where(F.col("country") == "BE"))
+    target = work_dir(spark, "contact-target") + "/contact"
+    return constraint_report(run_contact_load(spark, _contact_files(spark, d, untidy), target, RUN_TS))
+
+
+def _run_account_loads(spark, d):
+    """The account transactions of even numbers and then those of odd numbers, loaded into one target."""
+    run, staged = work_dir(spark, "account-run"), FX.crm_account_txn(spark, d)
+    for load in (0, 1):
+        _write_csv(staged.where(F.col("accounttransactionid").cast("long") % 2 == load), f"{run}/in{load}", ",")
+        result = run_account_migration(spark, f"{run}/in{load}", FX.member_alt_id(spark, d), FX.member(spark, d), f"{run}/target",
+                                       f"{run}/work{load}", RUN_TS, f"load{load}")
+    return result
+
+
+@register("job_account_migration", O.account_txn_sql(RUN_TS, "CAST(referencenumber AS BIGINT) % 2, "))
+def q_job_account_migration(spark, d):
+    """The target after two loads: the second one's ids continue the first one's."""
+    return _run_account_loads(spark, d).target.select(*S.LOYALTY_TXN_COLUMNS)
+
+
+@register("job_account_checks", """
+SELECT count(*) AS loaded, CAST(0 AS BIGINT) AS key_violations, count(*) - count(m.id) AS orphans
+  FROM (SELECT a.memberid FROM member_alt_id a JOIN crm_account_txn t ON a.altid = t.altid) x LEFT JOIN member m ON x.memberid = m.id""")
+def q_job_account_checks(spark, d):
+    """Rows of the target, its primary-key violations and its rows without a member."""
+    r = _run_account_loads(spark, d)
+    counted = lambda df, name: df.agg(F.count(F.lit(1)).alias(name))
+    return (counted(r.target, "loaded").withColumn("one", F.lit(1)).join(counted(r.key_violations, "key_violations").withColumn("one", F.lit(1)), "one")
+            .join(counted(r.orphans, "orphans").withColumn("one", F.lit(1)), "one").drop("one"))
+
+
 @register("sink_overwrite", O.MISSED_ALL_SQL)
 def q_sink_overwrite(spark, d):
     path = work_dir(spark, "sink-overwrite") + "/missed"

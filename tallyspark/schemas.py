@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 # ---------------------------------------------------------------------------
 POS_HEADER_COLUMNS = [
     "hd_file_extract_date_time", "hd_order_or_tran_id", "hd_order_date_time", "hd_loyalty_id",
-    "hd_ean", "hd_hybrisprimaryid", "hd_channel_type", "hd_brand",
+    "hd_ean", "hd_shopprimaryid", "hd_channel_type", "hd_brand",
     "hd_store_id", "hd_register_id", "hd_tendered_amt", "hd_shipping_cost",
     "hd_order_total_disc_amt", "hd_tax_amt", "hd_currency", "hd_tendered_giftcard_amt",
     "itm_sku", "itm_quantity", "itm_amt", "itm_amt_after_disc",
@@ -103,7 +103,7 @@ CONTACT_STAGE_SCHEMA = T.StructType([
 CONTACT_SCHEMA = T.StructType([
     T.StructField("email", T.StringType()),            # NOT NULL, UNIQUE
     T.StructField("consumerid", T.StringType()),       # UNIQUE
-    T.StructField("hybrisid", T.StringType()),         # UNIQUE
+    T.StructField("shopid", T.StringType()),         # UNIQUE
     T.StructField("altid", T.StringType()),
     T.StructField("idtype", T.StringType()),
     T.StructField("country", T.StringType()),          # NOT NULL
@@ -123,7 +123,7 @@ CONTACT_SCHEMA = T.StructType([
     T.StructField("lastupdatedby", T.StringType()),
 ])
 CONTACT_NOT_NULL = ["email", "country"]
-CONTACT_UNIQUE = ["email", "consumerid", "hybrisid"]
+CONTACT_UNIQUE = ["email", "consumerid", "shopid"]
 
 # staged CRM account-transaction file (16 columns, comma separated, header)
 ACCOUNT_TXN_SCHEMA = T.StructType([

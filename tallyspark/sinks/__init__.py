@@ -26,10 +26,8 @@ def _rows(obs: Observation, spark, path: str, fmt: str) -> int:
     """Rows seen by the write.  When adaptive execution replaced an empty
     input by an empty relation the observation carries no metrics; count the
     written files instead (footer metadata for parquet)."""
-    try:
-        return int(obs.get["rows"])
-    except Exception:
-        return spark.read.format(fmt).load(path).count()
+    seen = obs.get.get("rows")
+    return spark.read.format(fmt).load(path).count() if seen is None else int(seen)
 
 
 def write_overwrite(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> int:
@@ -52,7 +50,7 @@ def write_append(df: DataFrame, path: str, schema: T.StructType | None = None, f
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)
-    return int(obs.get["rows"])  # appended rows only: no fallback count over the whole target
+    return int(obs.get.get("rows", 0))  # appended rows only: no fallback count over the whole target
 
 
 def export_name(run_ts: dt.datetime, name: str) -> str:

@@ -25,10 +25,10 @@ from tallyspark.functions import POS_TS_FORMAT
 QUOTED_EMPTY = "\u0001<empty>\u0001"
 
 
-def _csv_options(sep: str, keep_quoted_empty: bool) -> dict[str, str]:
+def _csv_options(sep: str, keep_quoted_empty: bool, multi_line: bool = False) -> dict[str, str]:
     opts = {"sep": sep, "header": "true", "nullValue": "", "escape": '"', "quote": '"',
             "mode": "FAILFAST", "timestampNTZFormat": POS_TS_FORMAT, "timestampFormat": POS_TS_FORMAT,
-            "multiLine": "false"}
+            "multiLine": str(multi_line).lower()}
     if keep_quoted_empty:
         opts["emptyValue"] = QUOTED_EMPTY
     return opts
@@ -46,8 +46,9 @@ def _restore_empty(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def read_delimited(spark: SparkSession, paths: str | list[str], schema: T.StructType, sep: str = ",",
-                   keep_quoted_empty: bool = True, with_source: bool = False) -> DataFrame:
-    reader = spark.read.schema(schema).options(**_csv_options(sep, keep_quoted_empty))
+                   keep_quoted_empty: bool = True, with_source: bool = False, multi_line: bool = False) -> DataFrame:
+    """``multi_line`` accepts line breaks inside quoted fields; a file is then read whole by one task."""
+    reader = spark.read.schema(schema).options(**_csv_options(sep, keep_quoted_empty, multi_line))
     df = reader.csv(paths)
     if with_source:
         df = df.withColumn("source_file", F.col("_metadata.file_path"))
@@ -55,9 +56,9 @@ def read_delimited(spark: SparkSession, paths: str | list[str], schema: T.Struct
 
 
 def read_pos_lines(spark: SparkSession, paths: str | list[str], keep_quoted_empty: bool = True,
-                   with_source: bool = False) -> DataFrame:
+                   with_source: bool = False, multi_line: bool = False) -> DataFrame:
     """Pipe-delimited POS line files (42 text columns)."""
-    return read_delimited(spark, paths, S.POS_SCHEMA, "|", keep_quoted_empty, with_source)
+    return read_delimited(spark, paths, S.POS_SCHEMA, "|", keep_quoted_empty, with_source, multi_line)
 
 
 def read_account_txn(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -72,7 +73,8 @@ def read_contacts(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 def discover(folder: str, prefix: str) -> str:
     """Glob for every file or drop folder under ``folder`` whose name starts with ``prefix``."""
-    return f"{folder.rstrip('/')}/{prefix}*"
+    literal = lambda x: re.sub(r"([\\\[\]{}*?])", r"\\\1", x)
+    return f"{literal(folder.rstrip('/'))}/{literal(prefix)}*"
 
 
 def read_pos_drops(spark: SparkSession, folder: str, prefix: str) -> DataFrame:
@@ -82,7 +84,7 @@ def read_pos_drops(spark: SparkSession, folder: str, prefix: str) -> DataFrame:
     try:
         df = read_pos_lines(spark, discover(folder, prefix), with_source=True)
     except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
+        if e.getCondition() == "PATH_NOT_FOUND":
             empty = spark.createDataFrame([], S.POS_SCHEMA)
             return empty.withColumn("drop_name", F.lit(None).cast("string"))
         raise
@@ -93,9 +95,11 @@ def drop_name(file_path: Column, folder: str) -> Column:
     """First path component below ``folder``: the file itself, or the drop folder
     that holds it (Spark writers produce folders of part files)."""
     tail = re.sub(r"^[a-z]+:/*", "/", folder.rstrip("/"))
-    return F.regexp_extract(file_path, re.escape(tail) + r"/([^/]+)", 1)
+    plain = F.url_decode(F.regexp_replace(file_path, r"\+", "%2B"))  # the path is a URI, in which + stands for itself
+    return F.regexp_extract(plain, re.escape(tail) + r"/([^/]+)", 1)
 
 
 def import_counts(drops: DataFrame) -> DataFrame:
     """Rows imported per drop and in total (``drop_name`` NULL on the total row)."""
-    return (drops.rollup("drop_name").agg(F.count(F.lit(1)).alias("n_rows")))
+    per = drops.groupBy("drop_name").agg(F.count(F.lit(1)).alias("n"))
+    return per.rollup("drop_name").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"))

@@ -162,3 +162,33 @@ def test_job_reads_new_lines_once_from_its_staged_table(spark, run_dir):
     again = missed_op(resolved_candidates(staged_new, FX.member(spark, SF_SMALL), FX.member_alt_id(spark, SF_SMALL)),
                       FX.loyalty_txn(spark, SF_SMALL))
     assert again.count() == r.missed == 1685
+
+
+def test_account_loads_continue_ids_and_repeat(spark, run_dir):
+    from tallyspark.plans.account_job import run_account_migration
+
+    staged = FX.crm_account_txn(spark, SF_SMALL)
+
+    def load(part, name):
+        REG._write_csv(staged.where(F.col("accounttransactionid").cast("long") % 2 == part), f"{run_dir}/in{part}", ",")
+        return run_account_migration(spark, f"{run_dir}/in{part}", FX.member_alt_id(spark, SF_SMALL), FX.member(spark, SF_SMALL),
+                                     f"{run_dir}/target", f"{run_dir}/work-{name}", RUN, name)
+
+    first, second = load(0, "a"), load(1, "b")
+    assert first.first_id == S.LOYALTY_TXN_ID_START and second.first_id == S.LOYALTY_TXN_ID_START + first.loaded
+    rows = lambda: sorted(map(tuple, second.target.select("id", "referencenumber", "memberid").collect()))
+    before = rows()
+    assert [r[0] for r in before] == list(range(S.LOYALTY_TXN_ID_START, S.LOYALTY_TXN_ID_START + first.loaded + second.loaded))
+    again = load(1, "b")
+    assert again.first_id == second.first_id and again.key_violations.count() == 0
+    assert sorted(map(tuple, again.target.select("id", "referencenumber", "memberid").collect())) == before
+    with pytest.raises(ValueError):
+        load(0, "a/b")
+
+
+def test_profile_keys_grow_with_the_table(spark):
+    from conftest import SF_SMALL as small
+
+    few = FX.profile_dim(spark, small).agg(F.count_distinct("uuid"), F.count_distinct("email_address")).first()
+    many = FX.profile_dim(spark, "/root/testdata/sf0.01").agg(F.count_distinct("uuid"), F.count_distinct("email_address")).first()
+    assert many[0] > 8 * few[0] and many[1] > 8 * few[1]

@@ -112,3 +112,21 @@ def test_lenient_parse_ignores_session_zone(spark):
         assert got == [dt.datetime(2024, 3, 10, 2, 30), None]
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_drop_names_of_escaped_paths(spark):
+    d = tempfile.mkdtemp() + "/in drops+[1]"
+    _write(f"{d}/POS A+B_1.csv", _pos_text([_row(hd_order_or_tran_id="SALE#1")]))
+    _write(f"{d}/POS A+B_2.csv", _pos_text([_row(hd_order_or_tran_id="SALE#2"), _row(hd_order_or_tran_id="SALE#3")]))
+    _write(f"{d}/OTHER.csv", _pos_text([_row(hd_order_or_tran_id="SALE#4")]))
+    counts = {r["drop_name"]: r["n_rows"] for r in import_counts(read_pos_drops(spark, d, "POS A+B")).collect()}
+    assert counts == {"POS A+B_1.csv": 1, "POS A+B_2.csv": 2, None: 3}
+
+
+def test_quoted_line_breaks(spark):
+    d = tempfile.mkdtemp()
+    _write(f"{d}/f.csv", _pos_text([_row(hd_order_or_tran_id="SALE#1", hd_brand='"two\nlines"'), _row(hd_order_or_tran_id="SALE#2")]))
+    rows = {r["hd_order_or_tran_id"]: r["hd_brand"] for r in read_pos_lines(spark, f"{d}/f.csv", multi_line=True).collect()}
+    assert rows == {"SALE#1": "two\nlines", "SALE#2": None}
+    with pytest.raises(Exception):  # the splitting reader refuses such a file
+        read_pos_lines(spark, f"{d}/f.csv").collect()
