@@ -27,8 +27,8 @@ from .common import Hasher, gather, in_blocks, utf8
 NONE = np.int32(2**31 - 1)  # rank of a pair that does not merge
 WIDE = 1024
 CELLS = 1 << 18  # of a matrix
-BLOCK = 1 << 22  # bytes of text looked up together
-UNITS = 600_000  # distinct units remembered in a task, about
+BLOCK = 1 << 20  # bytes of text looked up together
+UNITS = 300_000  # distinct units remembered in a task, about
 
 
 def read_ranks(path: str) -> list[bytes]:
