@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType
 
-from .common import Hasher, gather, in_blocks, utf8
+from .common import Hasher, gather, text_blocks
 
 NONE = np.int32(2**31 - 1)  # rank of a pair that does not merge
 WIDE = 1024
@@ -328,9 +328,8 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, keep: list[str], text:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Texts(Bpe(*given.value), pattern)
         for batch in batches:
-            texts = [utf8(t.as_py()) for t in batch.column(len(keep))]
-            for i, j in in_blocks(texts, BLOCK):
-                ids, counts = coder.encode(texts[i:j])
+            for i, j, texts in text_blocks(batch.column(len(keep)), BLOCK):
+                ids, counts = coder.encode(texts)
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(ids, pa.int32()))
                 yield pa.RecordBatch.from_arrays([*(c.slice(i, j - i) for c in batch.columns[:-1]), lists], [*keep, out])
 

@@ -7,6 +7,8 @@ import tempfile
 import uuid
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -116,16 +118,15 @@ class Hasher:
         return np.split(self.ranges(a, starts, ends), np.searchsorted(starts, np.cumsum(lengths)[:-1]))
 
 
-def in_blocks(texts: list[bytes], size: int = 1 << 20):
-    """Runs (i, j) of texts of about ``size`` bytes; a longer text is a run of its own, whole."""
-    first = total = 0
-    for i, t in enumerate(texts):
-        if i > first and total + len(t) > size:
-            yield first, i
-            first, total = i, 0
-        total += len(t)
-    if first < len(texts):
-        yield first, len(texts)
+def text_blocks(column: pa.Array, size: int = 1 << 20):
+    """Runs (i, j, texts) of a string column: its rows i to j as UTF-8, about ``size`` bytes and whole texts.  Only one run's
+    texts exist at a time."""
+    lengths = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    ends, i = np.cumsum(lengths), 0
+    while i < len(column):
+        j = max(i + 1, int(np.searchsorted(ends, ends[i] - lengths[i] + size, side="right")))
+        yield i, j, [utf8(t.as_py()) for t in column.slice(i, j - i)]
+        i = j
 
 
 def gather(flat: np.ndarray, start: np.ndarray, width: np.ndarray) -> np.ndarray:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Hasher, in_blocks, mixed, utf8, windows, written
+from .common import Hasher, mixed, text_blocks, windows, written
 
 WORDS = 5
 ROWS, BANDS = 6, 32
@@ -49,9 +49,8 @@ def shingle_set(h: np.ndarray) -> np.ndarray:
 
 
 def sets_of(column: pa.Array, hasher: Hasher) -> Iterator[np.ndarray]:
-    texts = [utf8(t.as_py()).lower() for t in column]  # of bytes: lowers A-Z only
-    for i, j in in_blocks(texts):
-        yield from map(shingle_set, hasher.words(texts[i:j]))
+    for _, _, texts in text_blocks(column):
+        yield from map(shingle_set, hasher.words([t.lower() for t in texts]))  # of bytes: lowers A-Z only
 
 
 def minima(shingles: np.ndarray) -> np.ndarray:

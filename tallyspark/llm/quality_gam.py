@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Hasher, in_blocks, utf8
+from .common import Hasher, text_blocks
 from .quality_rules import COUNTS, count_text
 
 BOUND = 20_000  # labelled documents to learn from
@@ -49,15 +49,15 @@ def featured(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
         for batch in batches:
-            x = feature_matrix([utf8(t.as_py()) for t in batch.column(len(keep))], hasher)
+            x = feature_matrix(batch.column(len(keep)), hasher)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(list(x), pa.list_(pa.float64()))], [*keep, "features"])
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema), "features array<double>"])
     return docs.select(*keep, docs[text].alias("__text")).mapInArrow(run, schema)
 
 
-def feature_matrix(texts: list[bytes], hasher: Hasher) -> np.ndarray:
-    rows = [features_of(t, h) for i, j in in_blocks(texts) for t, h in zip(texts[i:j], hasher.words(texts[i:j]), strict=True)]
+def feature_matrix(column: pa.Array, hasher: Hasher) -> np.ndarray:
+    rows = [features_of(t, h) for _, _, texts in text_blocks(column) for t, h in zip(texts, hasher.words(texts), strict=True)]
     return np.array(rows, np.float64).reshape(len(rows), len(FEATURES))
 
 
@@ -189,7 +189,7 @@ def score(docs: DataFrame, model: Gam) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
         for batch in batches:
-            p = model.scores(feature_matrix([utf8(t.as_py()) for t in batch.column(2)], hasher))
+            p = model.scores(feature_matrix(batch.column(2), hasher))
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(p)], ["doc_id", "held_out", "score"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -204,7 +204,7 @@ def keep_good(docs: DataFrame, model: Gam) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
         for batch in batches:
-            p = model.scores(feature_matrix([utf8(t.as_py()) for t in batch.column(at)], hasher))
+            p = model.scores(feature_matrix(batch.column(at), hasher))
             yield batch.filter(pa.array(p >= THRESHOLD))
 
     return docs.mapInArrow(run, docs.schema)

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
-from .common import Hasher, in_blocks, utf8, windows, written
+from .common import Hasher, text_blocks, windows, written
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_digits", "n_same"]
 SYMBOLS = b"#*$%&|<>"
@@ -70,8 +70,7 @@ def measure(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
         for batch in batches:
-            texts = [utf8(t.as_py()) for t in batch.column(len(keep))]
-            rows = [count_text(t, h) for i, j in in_blocks(texts) for t, h in zip(texts[i:j], hasher.words(texts[i:j]), strict=True)]
+            rows = [count_text(t, h) for _, _, texts in text_blocks(batch.column(len(keep))) for t, h in zip(texts, hasher.words(texts), strict=True)]
             counted = np.array(rows, np.int64).reshape(len(rows), len(COUNTS))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *(pa.array(counted[:, i]) for i in range(len(COUNTS)))], [*keep, *COUNTS])
 
