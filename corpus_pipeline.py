@@ -7,13 +7,12 @@ learnt classifier nor the merges of the encoder, so the tests hold each stage ag
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import bpe, minhash, mixing, quality_gam, quality_rules
+from tallyspark.llm import minhash, mixing, quality_gam, quality_rules
 from tallyspark.llm.common import written
-from tallyspark.llm.queries import BPE_RANKS, NEAR, digests, table
+from tallyspark.llm.queries import NEAR, round_trip, table
 
 _KEY = ["__doc", "__mark", "__check"]
 
@@ -61,9 +60,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Digests of the ids of each row and of the bytes that they decode to."""
-    path = public_tokenizers.path(BPE_RANKS)
-    encoded = bpe.encode(docs, path, public_tokenizers.PATTERN, ["doc_id"])
-    return digests(bpe.decode(encoded, path, ["doc_id"], packed="packed"))
+    return round_trip(docs)
 
 
 STAGES = [("quality rules", rules), ("quality classifier", classifier), ("MinHash near-dedup", near_dedup), ("mixing sources to target weights", mixture),

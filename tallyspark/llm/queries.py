@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import ann, bpe, chat, license_scan, minhash, mixing, quality_gam, quality_rules, sharding, warc
+from .common import written
 
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
 SHARDS = 8
@@ -74,9 +75,15 @@ def op7_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document's whole text, and the bytes that they decode to, as digests."""
+    return round_trip(table(spark, sf_dir, "documents"))
+
+
+def round_trip(docs: DataFrame) -> DataFrame:
+    """Digests of the ids of each row's text and of the bytes that they decode to.  The ids are written before they are
+    decoded: a lost executor costs a reread, and a task holds either an encoder or a decoder."""
     path = public_tokenizers.path(BPE_RANKS)
-    encoded = bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, ["doc_id"])
-    return digests(bpe.decode(encoded, path, ["doc_id"], packed="packed"))
+    ids = written(bpe.encode(docs, path, public_tokenizers.PATTERN, ["doc_id"]), "ids")
+    return digests(bpe.decode(ids, path, ["doc_id"], packed="packed"))
 
 
 def digests(decoded: DataFrame) -> DataFrame:
