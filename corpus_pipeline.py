@@ -39,23 +39,22 @@ def classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, that of the smallest doc_id; of rows that repeat a doc_id one stays.
     Rows without a doc_id stay."""
-    kept = minhash.near_duplicates(docs, NEAR).where("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("__n"))
-    kept = written(kept, "kept-documents")
-    ids = lambda c: kept.where(c).select(F.col("doc_id").alias("__kept"))
-    taken = lambda c: docs.join(ids(c), docs["doc_id"] == F.col("__kept"), "left_semi")
-    return taken("__n = 1").unionByName(taken("__n > 1").dropDuplicates(["doc_id"])).unionByName(docs.where("doc_id IS NULL"))
+    kept = written(minhash.near_duplicates(docs, NEAR).where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__kept")).distinct(), "kept-documents")
+    # rows of one doc_id are folded before the shuffle, and the semi join uses the same shuffle: the texts move once
+    one = docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+    return one.join(kept, one["doc_id"] == kept["__kept"], "left_semi").unionByName(docs.where("doc_id IS NULL"))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it, up to 3 times or not at all."""
-    taken = mixing.mix(docs).where("copies > 0").groupBy("doc_id", "mark", "source").agg(F.sum("copies").alias("__copies"), F.count(F.lit(1)).alias("__rows"))
-    taken = written(taken.withColumnsRenamed({"doc_id": "__id", "mark": "__mark", "source": "__source"}), "copies")
-    marked = docs.withColumn("__own", F.xxhash64("doc_id", "text", "source"))
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__mark")) & F.col("source").eqNullSafe(F.col("__source"))
-    # rows equal in doc_id, text and source stand as one, with the copies of all
-    joined = marked.join(taken, same)
-    both = joined.where("__rows = 1").unionByName(joined.where("__rows > 1").dropDuplicates(["doc_id", "__own"]))
-    return both.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), F.col("__copies").cast("int")))).select(*docs.columns)
+    place = F.struct(F.col("doc_id"), F.col("source"))  # a struct equals another field by field, null like null
+    taken = mixing.mix(docs).where("copies > 0").select(F.col("mark").alias("__mark"), place.alias("__at"), "copies")
+    taken = written(taken.groupBy("__mark", "__at").agg(F.sum("copies").alias("__copies")), "copies")
+    # rows equal in doc_id, text and source stand as one, with the copies of all; they are folded before the shuffle, and
+    # the join uses the same shuffle
+    marked = docs.withColumn("__own", F.xxhash64("doc_id", "text", "source")).withColumn("__place", place).dropDuplicates(["__own", "__place"])
+    joined = marked.join(taken, (F.col("__own") == F.col("__mark")) & (F.col("__place") == F.col("__at")))
+    return joined.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), F.col("__copies").cast("int")))).select(*docs.columns)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
