@@ -30,6 +30,11 @@ def parse_pos_ts(c, strict: bool = True) -> Column:
     return F.when(F.try_to_timestamp(_c(c), F.lit(POS_TS_FORMAT)).isNotNull(), strict_parse)
 
 
+def bad_pos_ts(c) -> Column:
+    """Whether a time stamp is given but is no ``yyyy-MM-dd HH:mm:ss`` (never NULL; an absent stamp is not bad)."""
+    return _c(c).isNotNull() & parse_pos_ts(c, strict=False).isNull()
+
+
 def tran_kind(c) -> Column:
     """Transaction kind: text before the first ``#`` (whole text when absent)."""
     return F.split_part(_c(c), F.lit("#"), F.lit(1))

@@ -1,47 +1,31 @@
-"""Set operations on POS batches: new lines, archive, union of branches."""
+"""Set operations on POS batches: new lines, archive."""
 
 from __future__ import annotations
 
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 EXTRACT_STAMP = "hd_file_extract_date_time"
 
 
-def new_lines(batch: DataFrame, history: DataFrame, cols: list[str] | None = None,
-              prune_on: str | None = None) -> DataFrame:
+def new_lines(batch: DataFrame, history: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """Distinct batch lines not already in history (``EXCEPT``: set, NULL-safe).
 
-    - Duplicates are removed *before* the anti join: the partial aggregate
-      collapses re-delivered copies map-side, so a line repeated a million
-      times ships one row per map task instead of a million to one reducer.
+    - Duplicates are removed *before* the anti join, on both sides: the partial
+      aggregate collapses re-delivered copies map-side, so a line repeated a
+      million times ships one row per map task instead of a million to one reducer.
       The distinct and the join share one key and one shuffle.
-    - The whole row is one join key, ``struct(cols)``: struct equality is
-      field-wise with NULL equal to NULL (``EXCEPT`` semantics) and hashes and
-      sorts as a single key instead of two expressions per column.
-    - ``prune_on`` (e.g. ``EXTRACT_STAMP``): history rows whose stamp is not
-      among the batch's stamps can never equal a batch line, so history is
-      first semi-joined to the batch's distinct stamps (a few per drop; Spark
-      broadcasts that list when its runtime size is small).  Exact: NULL stamps
-      are kept on both sides.  Use it when the batch is materialised (a staged
-      table), since the stamps are a second scan of the batch; the job instead
-      prunes history *partitions* by extract day (``plans.pos_job``).
+    - A line travels as ``(hash, struct(cols))``: struct equality is field-wise
+      with NULL equal to NULL (``EXCEPT`` semantics), and the hash in front
+      decides nearly every comparison of the sort and the merge on one long.
     """
     cols = cols or batch.columns
-    row = F.struct(*[F.col(c) for c in cols])
-    h = history.select(*cols)
-    if prune_on is not None and prune_on in cols:
-        stamps = (batch.select(F.col(prune_on).alias("_stamp")).where(F.col("_stamp").isNotNull())
-                  .distinct())
-        h = (h.join(stamps, F.col(prune_on) == F.col("_stamp"), "left_semi")
-             .unionByName(h.where(F.col(prune_on).isNull())))
-    # each line travels as one struct: the distinct and the anti join then hash
-    # the same key, so the join reuses the distinct's partitioning (one shuffle
-    # of the batch, not two) and no column is shipped twice
-    b = batch.select(row.alias("_row")).dropDuplicates()
-    return (b.join(h.select(row.alias("_hrow")), F.col("_row") == F.col("_hrow"), "left_anti")
-            .select("_row.*"))
+
+    def lines(df: DataFrame, side: str) -> DataFrame:
+        return df.select(F.xxhash64(*cols).alias(f"_{side}_hash"), F.struct(*[F.col(c) for c in cols]).alias(f"_{side}_row")).distinct()
+
+    same = (F.col("_b_hash") == F.col("_h_hash")) & (F.col("_b_row") == F.col("_h_row"))
+    return lines(batch, "b").join(lines(history, "h"), same, "left_anti").select("_b_row.*")
 
 
 def archived_history(batch: DataFrame, history: DataFrame) -> DataFrame:

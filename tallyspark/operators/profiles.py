@@ -19,8 +19,9 @@ def contacts_in_zones(contacts: DataFrame, zones=PROGRAMME_ZONES, zone_col: str
 
 
 def profiles_in_zones(profiles: DataFrame, contacts: DataFrame, zones=PROGRAMME_ZONES) -> DataFrame:
-    """Active profiles whose e-mail is a contact in one of the zones (``IN`` subquery → semi join)."""
-    keys = contacts_in_zones(contacts, zones).select(F.col("email").alias("_zone_email"))
+    """Active profiles whose e-mail is a contact in one of the zones (``IN`` subquery → semi join).
+    A repeated e-mail is folded before the shuffle: the join cannot split its right side."""
+    keys = contacts_in_zones(contacts, zones).select(F.col("email").alias("_zone_email")).distinct()
     p = active(profiles)
     return p.join(keys, p["email_address"] == keys["_zone_email"], "left_semi")
 

@@ -79,14 +79,31 @@ def resolved_candidates(new: DataFrame, member: DataFrame, alt: DataFrame,
             .withColumn("kind", tran_kind("tran_id")))
 
 
-def _type_predicate(rules, kind: Column, typ: Column) -> Column | None:
+def _settles(rule: MatchRule) -> str:
+    return f"_t_settles_{rule.kind}"
+
+
+def _type_predicate(rules, kind: Column) -> Column | None:
     if all(r.header_types is None for r in rules):
         return None
-    terms = [(kind == r.kind) if r.header_types is None else ((kind == r.kind) & typ.isin(list(r.header_types)))
+    terms = [(kind == r.kind) if r.header_types is None else ((kind == r.kind) & F.col(_settles(r)))
              for r in rules]
     return reduce(lambda a, b: a | b, terms)
 
 
+def header_keys(txn: DataFrame, rules) -> DataFrame:
+    """One row per header key of the transactions, with a flag per type-bound rule: some transaction of that key
+    has a type that settles the rule's kind.
+
+    A semi or anti join cannot split its right side, so repeated keys are folded first: the partial aggregate ships one
+    row per key and map task, and the join reuses the aggregate's partitioning.  A transaction with a NULL key part can
+    never match (plain equality) and is dropped before the shuffle."""
+    keys = [F.col(tc).alias(f"_t_{tc}") for _, tc in HEADER_KEYS]
+    complete = txn.where(reduce(lambda a, b: a & b, [F.col(tc).isNotNull() for _, tc in HEADER_KEYS]))
+    flags = [F.max(F.col("type").isin(list(r.header_types))).alias(_settles(r)) for r in rules if r.header_types is not None]
+    return complete.groupBy(*keys).agg(*flags) if flags else complete.select(*keys).distinct()
+
+
 def missed(candidates: DataFrame, txn: DataFrame, rules=DEFAULT_RULES,
            header_txn: DataFrame | None = None) -> DataFrame:
     """Candidates (with ``memberid`` and ``kind``) that no loyalty transaction covers.
@@ -95,12 +112,9 @@ def missed(candidates: DataFrame, txn: DataFrame, rules=DEFAULT_RULES,
     only the candidates' transaction days); the original-transaction match
     always uses ``txn`` (an original sale can be from any day)."""
     c = candidates.withColumn("amount_real", amount_real("itm_amount"))
-    # a transaction with a NULL key part can never match (plain equality): drop it
-    # before the shuffle rather than ship it
-    t = ((header_txn if header_txn is not None else txn).where(reduce(lambda a, b: a & b, [F.col(tc).isNotNull() for _, tc in HEADER_KEYS]))
-         .select(*[F.col(tc).alias(f"_t_{tc}") for _, tc in HEADER_KEYS], F.col("type").alias("_t_type")))
+    t = header_keys(header_txn if header_txn is not None else txn, rules)
     cond = reduce(lambda a, b: a & b, [F.col(cc) == F.col(f"_t_{tc}") for cc, tc in HEADER_KEYS])
-    pred = _type_predicate(rules, F.col("kind"), F.col("_t_type"))
+    pred = _type_predicate(rules, F.col("kind"))
     if pred is not None:
         cond = cond & pred
     out = c.join(t, cond, "left_anti")
@@ -116,7 +130,8 @@ def missed(candidates: DataFrame, txn: DataFrame, rules=DEFAULT_RULES,
                         & F.col("referencenumber").isNotNull())
               .select(F.col("memberid").alias("_o_memberid"),
                       F.col("referencenumber").alias("_o_ref"),
-                      F.explode(kinds_of_type).alias("_o_kind")))
+                      F.explode(kinds_of_type).alias("_o_kind"))
+              .distinct())  # a reference number that repeats is folded before the shuffle
         cond2 = ((F.col("memberid") == F.col("_o_memberid")) & (F.col("orig_tran_id") == F.col("_o_ref"))
                  & (F.col("kind") == F.col("_o_kind")))
         out = out.join(t2, cond2, "left_anti")

@@ -16,7 +16,7 @@ from tallyspark import fixtures as FX
 from tallyspark import schemas as S
 from tallyspark.functions import tran_kind
 from tallyspark.operators.delta import new_lines
-from tallyspark.operators.reconcile import DEFAULT_RULES, missed, resolved_candidates
+from tallyspark.operators.reconcile import DEFAULT_RULES, missed, resolved_candidates, with_kind
 
 # Fixed value: example operating limit of the source job (strict "<" passes).
 DEFAULT_THRESHOLD = 10000
@@ -37,12 +37,16 @@ class ReconcileInputs:
                    FX.loyalty_txn(spark, sf_dir))
 
 
-def new_batch_lines(inp: ReconcileInputs) -> DataFrame:
-    return new_lines(inp.batch, inp.history, cols=S.POS_COLUMNS)
+def new_batch_lines(inp: ReconcileInputs, kinds: list[str] | None = None) -> DataFrame:
+    """New lines, of the given kinds only: equal lines are of one kind, so the filter may go first, on both sides."""
+    batch, history = inp.batch, inp.history
+    if kinds is not None:
+        batch, history = with_kind(batch, kinds), with_kind(history, kinds)
+    return new_lines(batch, history, cols=S.POS_COLUMNS)
 
 
 def candidates(inp: ReconcileInputs, rules=DEFAULT_RULES, new: DataFrame | None = None) -> DataFrame:
-    new = new if new is not None else new_batch_lines(inp)
+    new = new if new is not None else new_batch_lines(inp, [r.kind for r in rules])
     return resolved_candidates(new, inp.member, inp.alt, rules)
 
 

@@ -30,9 +30,9 @@ def _norm(v) -> str:
     if isinstance(v, float):
         if math.isnan(v):
             return "NaN"
-        return f"{v:.6g}"
+        return f"{v:.9g}"  # tells any two 32-bit floats apart
     if isinstance(v, decimal.Decimal):
-        return f"{float(v):.6g}"
+        return f"{float(v):.9g}"
     if isinstance(v, dt.datetime):
         return v.replace(tzinfo=None).isoformat()
     if isinstance(v, dt.date):

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
+from helpers import EMPTY_ALT, alt_ids, lines_df, members, pos_line, txn_df
 from tallyspark import fixtures as FX
 from tallyspark import schemas as S
 from tallyspark import streaming as ST
@@ -97,7 +98,7 @@ def new_lines_of(spark, batch, args):
     from tallyspark.plans.pos_job import archive_lines, history_for_batch, read_history
 
     history = read_history(spark, args[0])
-    found = batch.dropDuplicates() if history is None else new_lines(batch, history_for_batch(history, batch), cols=S.POS_COLUMNS, prune_on=None)
+    found = batch.dropDuplicates() if history is None else new_lines(batch, history_for_batch(history, batch), cols=S.POS_COLUMNS)
     found = found.select(*S.POS_COLUMNS)
     n = found.count()
     if n:
@@ -105,6 +106,22 @@ def new_lines_of(spark, batch, args):
     return n
 
 
+def test_bad_stamps_go_to_the_reject_table(spark, run_dir):
+    odd = [pos_line(hd_order_or_tran_id="SALE#1-1", hd_order_date_time="31/01/2024"), pos_line(hd_order_or_tran_id="SALE#2-1", hd_order_date_time=None),
+           pos_line(hd_order_or_tran_id="SALE#3-1", hd_file_extract_date_time=""), pos_line(hd_order_or_tran_id="SALE#4-1")]
+    args = (lines_df(spark, odd), f"{run_dir}/none-yet", members(spark, [(1, "C1", None)]), alt_ids(spark, EMPTY_ALT), txn_df(spark, []),
+            f"{run_dir}/w", f"{run_dir}/o")
+    r = run_pos_reconcile(spark, *args, threshold=None, run_ts=RUN, strict_ts=False)
+    assert (r.new_lines, r.rejected, r.missed, r.archived) == (4, 2, 2, 4)
+    assert {x[0] for x in spark.read.parquet(r.rejects_path).select("hd_order_or_tran_id").collect()} == {"SALE#1-1", "SALE#3-1"}
+    assert {x[0] for x in spark.read.parquet(r.missed_path).select("tran_id").collect()} == {"SALE#2-1", "SALE#4-1"}
+    again = run_pos_reconcile(spark, *args, threshold=None, run_ts=RUN, strict_ts=False)
+    assert (again.new_lines, again.rejected) == (0, 0)
+    strict = (args[0], f"{run_dir}/other", *args[2:])
+    with pytest.raises(Exception, match="CANNOT_PARSE_TIMESTAMP"):
+        run_pos_reconcile(spark, *strict, threshold=None, run_ts=RUN)
+
+
 def test_stream_equals_batch_and_archives_files(spark):
     root = work_dir(spark, "test-stream")
     d = SF_SMALL

@@ -106,6 +106,13 @@ def test_batch_difference_is_null_safe_and_distinct(spark):
     assert len(out) == 1 and out[0]["hd_store_id"] == "S9"
 
 
+def test_repeated_transactions_of_one_header_settle_by_any_of_their_types(spark):
+    sale, ret = pos_line(), pos_line(hd_order_or_tran_id="RETU#2-1")
+    rows = [txn_row(type=t) for t in (None, "RETURN", "PURCHASE", "PURCHASE")] + [txn_row(type=None, referencenumber="RETU#2-1")] * 3
+    assert _run(spark, [sale, ret], rows).count() == 0
+    assert _run(spark, [sale, ret], rows[:2] + rows[4:]).count() == 1   # no purchase: the sale is missed
+
+
 @pytest.mark.parametrize("missed,threshold,passed", [(4, 5, True), (5, 5, False), (6, 5, False), (0, 5, True)])
 def test_gate_is_strict(spark, missed, threshold, passed):
     rows = [pos_line(hd_order_or_tran_id=f"SALE#{i}-1") for i in range(missed)]
