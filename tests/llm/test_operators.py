@@ -276,3 +276,16 @@ def test_pipeline_stages_keep_columns_and_take_effect(spark, docs, empty, tmp_pa
     assert 6 not in ruled and 14 not in ruled
     last = corpus_pipeline.token_ids(spark, docs, d).collect()
     assert len(last) == docs.count()
+
+
+def test_pipeline_drops_near_copies_from_eighty_per_cent_on(spark, tmp_path):
+    import corpus_pipeline
+
+    words = [f"w{i}" for i in range(104)]  # 100 shingles; a changed word away from the others takes five of them
+    changed = lambda n, tag: " ".join(f"{tag}{i}" if i in (20, 50, 80)[:n] else w for i, w in enumerate(words))
+    rows = [(0, " ".join(words)), (1, changed(2, "a")), (2, changed(3, "b"))]
+    shared = {i: 100 * len(shingles(t) & shingles(rows[0][1])) / len(shingles(t) | shingles(rows[0][1])) for i, t in rows}
+    assert 80 < shared[1] < 85 and shared[2] < 80 and 100 * len(shingles(rows[1][1]) & shingles(rows[2][1])) < 80 * len(shingles(rows[1][1]) | shingles(rows[2][1]))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in corpus_pipeline.near_dedup(spark, frame, str(tmp_path)).collect()) == [0, 2]
+    assert minhash.near_duplicates(frame).where("kept").count() == 3  # op9 keeps its 85
