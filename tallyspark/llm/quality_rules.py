@@ -4,9 +4,13 @@
 2. ``sketch`` puts each ratio into logarithmic bins (relative error ``ERROR``) and counts the bins of each
    (lang, source): a mergeable sketch, since sketches merge by adding counts.  Spark adds them in the map
    tasks already, so a source with a third of all rows costs no more than any other.
-3. ``thresholds`` reads quartiles from the sketches.  A source with under ``LEAST`` measured documents of a language
-   takes the merged sketch of that language, a language with under ``LEAST`` the merged sketch of all.
-4. ``judge`` joins the thresholds to the documents and compares.
+   Only documents that the base rules keep are sketched, so the short and the repetitive set no limit.
+3. ``thresholds`` reads quantiles from the sketches.  A source with under ``LEAST`` sketched documents of a language
+   takes the merged sketch of that language, a language with under ``LEAST`` the merged sketch of all.  The limits lie
+   off the quartiles by the spread, and the spread is at least the mean spread inside the sources of the language (of all
+   sources if the language has under ``LEAST``), which differences between sources do not widen.
+4. ``judge`` joins the thresholds to the documents and compares.  What a document of n words, lines or characters has over a
+   limit by chance alone (``CHANCE`` standard deviations of a count) is no failure.
 """
 
 from __future__ import annotations
@@ -27,17 +31,22 @@ SYMBOLS = b"#*$%&|<>"
 WIDTH = 8  # words of a window
 ERROR = 0.01
 LEAST = 50
-#: ratio -> (fence in quartile distances, least distance of the fence from the median, sides).  A document
-#: falls if a ratio lies beyond the quartile by more than fence * (q75 - q25) and off the median by the least distance.
+FENCE = 5.0  # spreads between a quartile and the limit
+CHANCE = 3.0
+#: ratio -> (upper quantile of the least spread, what the ratio counts by, sides).  The spread is q75 - q25.  Where the quantile is
+#: above 0.75 the least FENCE * spread is ``REACH`` times its mean distance from the sources' medians, if that is more: clean
+#: texts with a refrain, a quoted passage or numbers are rare, so that both quartiles of these ratios are 0.  (In a source of under 100 documents that quantile is the largest.)
 RULES = {
-    "symbols": (4.0, 0.25, "high"),
-    "repeats": (4.0, 0.30, "high"),
-    "lines": (4.0, 0.50, "high"),
-    "runs": (4.0, 0.20, "high"),
-    "upper": (4.0, 0.30, "high"),
-    "digits": (4.0, 0.25, "high"),
-    "length": (4.0, 2.5, "both"),
+    "symbols": (0.75, "n_words", "high"),
+    "repeats": (0.99, "n_words", "high"),
+    "lines": (0.99, "n_lines", "high"),
+    "runs": (0.75, "n_words", "high"),
+    "upper": (0.75, "word_chars", "high"),
+    "digits": (0.99, "word_chars", "high"),
+    "length": (0.75, None, "both"),
 }
+REACH = 3.0
+UNIT = {"repeats": WIDTH}  # words that count as one, as they repeat by windows
 
 
 def count_text(raw: bytes, h: np.ndarray) -> tuple[int, ...]:
@@ -94,39 +103,48 @@ _ZERO_BIN = -100_000  # of ratios below 1e-9
 
 
 def sketch(measured: DataFrame) -> DataFrame:
-    """(lang, source, rule, bin, n): bin b counts the ratios in (gamma**(b-1), gamma**b], documents with words only."""
+    """(lang, source, rule, bin, n): bin b counts the ratios in (gamma**(b-1), gamma**b], documents that the base rules keep only."""
     pairs = F.array(*[F.struct(F.lit(k).alias("rule"), v.alias("ratio")) for k, v in ratios().items()])
-    return (measured.where("n_words > 0").select("lang", "source", F.explode(pairs).alias("x"))
+    return (measured.where(~base_failed()).select("lang", "source", F.explode(pairs).alias("x"))
             .select("lang", "source", F.col("x.rule").alias("rule"), F.when(F.col("x.ratio") < 1e-9, F.lit(_ZERO_BIN)).otherwise(
                 F.ceil(F.log("x.ratio") / F.lit(math.log(_GAMMA)))).cast("int").alias("bin"))
             .groupBy("lang", "source", "rule", "bin").agg(F.count(F.lit(1)).alias("n")))
 
 
 def quartiles(sketches: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, rule, total, q25, q50, q75) of the sketches merged by ``keys``; a group has as many rows as filled bins."""
+    """(keys, rule, total, q25, q50, q75, tail: the quantile of RULES) of the sketches merged by ``keys``; a group has as
+    many rows as filled bins."""
     by = [*keys, "rule"]
     merged = sketches.groupBy(*by, "bin").agg(F.sum("n").alias("n"))
     upto = Window.partitionBy(*by).orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     value = F.when(F.col("bin") == _ZERO_BIN, F.lit(0.0)).otherwise(2 * F.pow(F.lit(_GAMMA), F.col("bin")) / (_GAMMA + 1))
     seen = merged.withColumn("upto", F.sum("n").over(upto)).withColumn("total", F.sum("n").over(Window.partitionBy(*by))).withColumn("value", value)
-    at = lambda q: F.min(F.when(F.col("upto") >= F.ceil(F.col("total") * F.lit(q)), F.col("value")))
-    return seen.groupBy(*by).agg(F.max("total").alias("total"), at(0.25).alias("q25"), at(0.5).alias("q50"), at(0.75).alias("q75"))
+    at = lambda q: F.min(F.when(F.col("upto") >= F.ceil(F.col("total") * q), F.col("value")))
+    reached = F.coalesce(F.create_map(*[F.lit(x) for r, (q, _, _) in RULES.items() for x in (r, q)])[F.col("rule")], F.lit(0.75))
+    return seen.groupBy(*by).agg(F.max("total").alias("total"), *[at(F.lit(q)).alias(f"q{q * 100:.0f}") for q in (0.25, 0.5, 0.75)], at(reached).alias("tail"))
 
 
 def thresholds(sketches: DataFrame) -> DataFrame:
-    """One row per (lang, source) seen: low_<rule> and high_<rule>, null where a side has no limit."""
+    """One row per (lang, source) sketched: low_<rule> and high_<rule>, null where a side has no limit."""
+    fields = F.struct("total", "q25", "q50", "q75")
+    spread = F.col("q75") - F.col("q25")
     own = quartiles(sketches, ["lang", "source"])
-    lang = quartiles(sketches, ["lang"]).select(F.col("lang").alias("l_lang"), F.col("rule").alias("l_rule"), F.struct("total", "q25", "q50", "q75").alias("l"))
-    every = quartiles(sketches, []).select(F.col("rule").alias("e_rule"), F.struct("total", "q25", "q50", "q75").alias("e"))
+    mean = lambda x: F.sum(F.col("total") * x) / F.sum("total")  # noqa: E731  of the sources, each by its documents
+    inside = F.greatest(mean(spread) * FENCE, F.when(F.max(F.col("tail") - F.col("q75")) > 0, mean(F.col("tail") - F.col("q50")) * REACH))
+    lang = (quartiles(sketches, ["lang"]).select(F.col("lang").alias("l_lang"), F.col("rule").alias("l_rule"), fields.alias("l"))
+            .join(own.groupBy(F.col("lang").alias("i_lang"), F.col("rule").alias("i_rule")).agg(inside.alias("l_inside")),
+                  F.col("l_lang").eqNullSafe(F.col("i_lang")) & (F.col("l_rule") == F.col("i_rule"))))
+    every = (quartiles(sketches, []).select(F.col("rule").alias("e_rule"), fields.alias("e"))
+             .join(own.groupBy(F.col("rule").alias("j_rule")).agg(inside.alias("e_inside")), F.col("e_rule") == F.col("j_rule")))
     joined = (own.join(lang, F.col("lang").eqNullSafe(F.col("l_lang")) & (F.col("rule") == F.col("l_rule")))
               .join(every, F.col("rule") == F.col("e_rule")))
-    q = F.when(F.col("total") >= LEAST, F.struct("total", "q25", "q50", "q75")).when(F.col("l.total") >= LEAST, F.col("l")).otherwise(F.col("e"))
-    spread = lambda r: F.greatest(F.col("q.q75") - F.col("q.q25"), F.lit(0.0)) * F.lit(RULES[r][0])
-    high = lambda r: F.greatest(F.col("q.q75") + spread(r), F.col("q.q50") + F.lit(RULES[r][1]))
-    low = lambda r: F.least(F.col("q.q25") - spread(r), F.col("q.q50") - F.lit(RULES[r][1]))
-    pick = lambda r, side: F.max(F.when(F.col("rule") == r, side(r)))
-    return joined.select("lang", "source", "rule", q.alias("q")).groupBy("lang", "source").agg(
-        *[pick(r, high).alias(f"high_{r}") for r in RULES], *[pick(r, low).alias(f"low_{r}") for r in RULES if RULES[r][2] == "both"])
+    q = F.when(F.col("total") >= LEAST, fields).when(F.col("l.total") >= LEAST, F.col("l")).otherwise(F.col("e"))
+    least = F.when(F.col("l.total") >= LEAST, F.col("l_inside")).otherwise(F.col("e_inside"))
+    limits = joined.select("lang", "source", "rule", q.alias("q"), least.alias("least")).select("lang", "source", "rule", "least", "q.*")
+    off = F.greatest(spread * FENCE, F.col("least"))
+    pick = lambda r, limit: F.max(F.when(F.col("rule") == r, limit))
+    return limits.groupBy("lang", "source").agg(
+        *[pick(r, F.col("q75") + off).alias(f"high_{r}") for r in RULES], *[pick(r, F.col("q25") - off).alias(f"low_{r}") for r in RULES if RULES[r][2] == "both"])
 
 
 def base_failed() -> Column:
@@ -135,12 +153,16 @@ def base_failed() -> Column:
 
 def judge(measured: DataFrame, limits: DataFrame) -> DataFrame:
     """``measured`` with base_failed, failed_rules (names, sorted) and kept.  A document of a (lang, source) without
-    limits, which has no words then, falls by the base rules."""
+    limits has failed the base rules."""
     named = limits.withColumnsRenamed({"lang": "__lang", "source": "__source"})
     joined = measured.join(named, F.col("lang").eqNullSafe(F.col("__lang")) & F.col("source").eqNullSafe(F.col("__source")), "left")
     checks = []
     for rule, ratio in ratios().items():
-        bad = ratio > F.col(f"high_{rule}")
+        high, of = F.col(f"high_{rule}"), RULES[rule][1]
+        if of:
+            n = F.greatest(F.col(of), F.lit(1)) / UNIT.get(rule, 1)
+            high = high + CHANCE * F.sqrt(high / n) + CHANCE**2 / n
+        bad = ratio > high
         if RULES[rule][2] == "both":
             bad = bad | (ratio < F.col(f"low_{rule}"))
         checks.append(F.when((F.col("n_words") > 0) & bad, F.lit(rule)))

@@ -289,3 +289,22 @@ def test_pipeline_drops_near_copies_from_eighty_per_cent_on(spark, tmp_path):
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted(r["doc_id"] for r in corpus_pipeline.near_dedup(spark, frame, str(tmp_path)).collect()) == [0, 2]
     assert minhash.near_duplicates(frame).where("kept").count() == 3  # op9 keeps its 85
+
+
+def test_quality_limits_follow_the_source(spark):
+    def text(i, marks):
+        words = prose(200, 2000 + i).split()
+        return " ".join(w + "#" if k % 100 < marks else w for k, w in enumerate(words))
+
+    rows = [(i, text(i, 35 + i % 11), "en", "code") for i in range(120)] + [(200 + i, text(200 + i, 0), "en", "books") for i in range(120)]
+    rows += [(400, text(400, 45), "en", "code"), (401, text(400, 45), "en", "books"), (402, text(402, 30), "en", "books"), (403, text(403, 0), "fr", "few")]
+    # numbers, under a quarter of the characters, in a source that has none
+    rows += [(404, " ".join("1234" if k % 5 == 0 else w for k, w in enumerate(prose(200, 7).split())), "en", "books")]
+    got = {r["doc_id"]: r["failed_rules"] for r in quality_rules.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert "symbols" not in got[400] and "symbols" in got[401] and "symbols" in got[402]  # equal texts, and 0.3 in one of none
+    assert got[404] == ["digits"] and not any(got[i] for i in [*range(120), *range(200, 320)])
+    # a passage that stands twice, under the base rule's 30%, where no other text repeats any
+    words = prose(400, 9).split()
+    rows = [(i, prose(400, 3000 + i), "en", "s") for i in range(120)] + [(999, " ".join(words + words[50:100]), "en", "s")]
+    last = quality_rules.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).where("not kept").collect()
+    assert [(r["doc_id"], r["base_failed"], r["failed_rules"]) for r in last] == [(999, False, ["repeats"])]
