@@ -1,10 +1,12 @@
-"""Licence scan: sparse TF-IDF cosine of the lines of a text to licence templates, inheritance along directories.
+"""Licence scan: sparse TF-IDF cosine of the parts of a text to licence templates, inheritance along directories.
 
-A licence notice may stand anywhere in a file, as a header or by itself, so every line of the whole text is compared.  A
-line's vector has its words' counts times their inverse document frequencies.  Words that are in no template only
-lengthen a line's vector (they weigh as words that no document has), so a line is described by its template words and the
-number of its other words; lines with none of a template's heavy words are passed over, since they cannot reach ``LEAST``.  Document
-frequencies of the template words are counted over all documents.
+Templates are notices, file headers, titles, SPDX tags and licence texts, several a licence.  A notice may stand anywhere in
+a file, wrapped or inside a line, so the whole text, every block between empty lines, every line and windows of the text's
+words are compared: windows have a template's number of words, begin at every word (from 128 words on at every 64th of it) and go across line breaks.  Titles and
+tags, of under ``EMBEDDED`` words, count only as a line, block or text of their own.  A part's vector has its words' counts times
+their inverse document frequencies; words that are in no template weigh as words that no document has.  Parts with none of a
+template's heavy words are passed over, since they cannot reach ``LEAST``.  A part that is within ``MARGIN`` as near to another
+licence names neither.  Document frequencies of the template words are counted over all documents.
 
 A file without a notice of its own takes the licence of the nearest directory above it that has a licence file
 (``LICENSE`` by name): the directories above each file are joined to the table of licence files, and the longest path wins.
@@ -21,16 +23,63 @@ from pyspark.sql import functions as F
 from .common import written
 
 LEAST = 0.75  # cosine
-#: Short notices by licence identifier, as they are customary in file headers (fixed values).
-TEMPLATES = {
-    "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
-    "BSD-3-Clause": "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
-    "CC-BY-4.0": "This work is licensed under the Creative Commons Attribution 4.0 International License.",
-    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
-    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "MIT": "Released under the MIT License.",
-    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
-}
+MARGIN = 0.002  # of the cosines of a part to two licences
+EMBEDDED = 5
+_CC = {"BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-NC": "Attribution-NonCommercial", "BY-NC-SA": "Attribution-NonCommercial-ShareAlike",
+       "BY-ND": "Attribution-NoDerivatives", "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives"}
+_GNU = {"GPL-2.0": ("General", "2"), "GPL-3.0": ("General", "3"), "LGPL-2.1": ("Lesser General", "2.1"), "LGPL-3.0": ("Lesser General", "3"), "AGPL-3.0": ("Affero General", "3")}
+_GRANT = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
+          "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+          "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+          "documentation and/or other materials provided with the distribution. ")
+_NAMES = ("3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this "
+          "software without specific prior written permission. ")
+_NO_WARRANTY = ("THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED "
+                "TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.")
+_MIT = ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), "
+        "to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, "
+        "and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: ")
+_ISC = ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above "
+        "copyright notice and this permission notice appear in all copies. ")
+
+
+def _templates() -> dict[str, list[str]]:
+    out = {
+        "Apache-2.0": ["Licensed under the Apache License, Version 2.0.", "Apache License Version 2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/",
+                       "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a "
+                       "copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed "
+                       "under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for "
+                       "the specific language governing permissions and limitations under the License."],
+        "BSD-2-Clause": ["BSD 2-Clause License", _GRANT, _GRANT + _NO_WARRANTY],
+        "BSD-3-Clause": ["Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.", "BSD 3-Clause License", _GRANT + _NAMES,
+                         _GRANT + _NAMES + _NO_WARRANTY],
+        "ISC": ["ISC License", "Released under the ISC License.", _ISC, _ISC + "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS "
+                "SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS."],
+        "MIT": ["Released under the MIT License.", "MIT License", _MIT[:_MIT.index(", to deal")], _MIT, _MIT + "The above copyright notice and this permission notice shall be included in all "
+                "copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE "
+                "WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT."],
+        "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "Mozilla Public License Version 2.0",
+                    "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain "
+                    "one at https://mozilla.org/MPL/2.0/."],
+    }
+    for name, (kind, version) in _GNU.items():
+        its = f"the GNU {kind} Public License"
+        out[name] = [f"This work is licensed under {its}, version {version}.", f"GNU {kind} Public License Version {version}",
+                     f"This program is free software: you can redistribute it and/or modify it under the terms of {its} as published by the Free Software Foundation, either "
+                     f"version {version} of the License, or (at your option) any later version.",
+                     f"This program is free software: you can redistribute it and/or modify it under the terms of {its} as published by the Free Software Foundation, either "
+                     f"version {version} of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY "
+                     f"WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See {its} for more details."]
+    for short, long in _CC.items():
+        out[f"CC-{short}-4.0"] = [f"This work is licensed under the Creative Commons {long} 4.0 International License.", f"Licensed under CC {short} 4.0.",
+                                  f"Creative Commons {long} 4.0 International"]
+    for name, texts in out.items():
+        texts += [f"SPDX-License-Identifier: {name}"] + [f"SPDX-License-Identifier: {name}-{x}" for x in ("only", "or-later") if name in _GNU]
+    return out
+
+
+#: Texts by licence identifier, as they are customary in files (fixed values); of the long GNU, Apache and Mozilla texts title and header.
+TEMPLATES = _templates()
 #: ASCII characters that part words, besides white space.
 _PARTING = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~\t\r\f\v"
 
@@ -58,51 +107,89 @@ def frequencies(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
     return docs.select(F.explode(held).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
-def scan(files: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataFrame:
-    """``files`` (path, text) with own_licence and own_score: the template nearest to any line, if the cosine is LEAST
-    or more (ties to the smaller identifier); null and 0.0 otherwise.
+def scan(files: DataFrame, templates: dict[str, list[str]] = TEMPLATES) -> DataFrame:
+    """``files`` (path, text) with own_licence and own_score: the licence nearest to any part, if the cosine is LEAST
+    or more; null and 0.0 otherwise.  A template of twice the words has 0.02 more in the choice, as a licence can hold another's words; ties go to the smaller identifier.  A tag's identifier must stand there whole and counts 1.
 
     The weights (one number per template word) come to the driver and go into the plan as literals.
     """
-    vectors = {k: template_words(v) for k, v in templates.items()}
-    vocabulary = sorted({w for v in vectors.values() for w in v})
+    vectors = [(name, template_words(x), x.startswith("SPDX")) for name, texts in sorted(templates.items(), reverse=True) for x in texts]
+    vocabulary = sorted({w for _, v, _ in vectors for w in v})
     total = files.count()
     seen = {r["word"]: r["n"] for r in frequencies(files, vocabulary).collect()}  # at most one row per template word
     idf = {w: math.log((1 + total) / (1 + seen.get(w, 0))) + 1 for w in vocabulary}
     other = math.log(1 + total) + 1  # of a word that no document has
-    lengths = {k: math.sqrt(sum((n * idf[w]) ** 2 for w, n in v.items())) for k, v in vectors.items()}
-    known = F.array(*map(F.lit, vocabulary))
-    weight = F.create_map(*[F.lit(x) for w in vocabulary for x in (w, idf[w])])
+    lengths = [math.sqrt(sum((n * idf[w]) ** 2 for w, n in v.items())) for _, v, _ in vectors]
 
-    # a line without any of a template's heaviest words, which make up 1 - LEAST**2 of its squared length, stays below LEAST
+    # a part without any of a template's rarest words, which make up 1 - LEAST**2 of its squared length, stays below LEAST
     marks = set()
-    for k, v in vectors.items():
+    for (_, v, _), length in zip(vectors, lengths, strict=True):
         share = 0.0
-        for w in sorted(v, key=lambda w: (-v[w] * idf[w], w)):
+        for w in sorted(v, key=lambda w: (seen.get(w, 0), -v[w], w)):
             if share <= 1 - LEAST**2 + 1e-9:
                 marks.add(w)
-                share += (v[w] * idf[w] / lengths[k]) ** 2
-    marked = F.array(*map(F.lit, sorted(marks)))
-    lines = F.filter(F.transform(F.split(cleaned(F.col("text")), "\n"), words), lambda x: F.arrays_overlap(x, marked))
-
-    def count(of: Column, w: str | Column) -> Column:
-        return F.size(F.filter(of, lambda x: x == w))
-
-    def best(line: Column) -> Column:
-        """struct(score, place, licence) of the nearest template; the place puts the smaller identifier first in a tie."""
-        own = F.array_remove(line, "")
-        inside = F.array_intersect(own, known)
-        outside = F.size(F.filter(own, lambda x: ~F.array_contains(known, x)))
-        norm = F.sqrt(F.aggregate(inside, F.lit(0.0), lambda a, w: a + F.pow(count(own, w) * weight[w], F.lit(2.0))) + outside * F.lit(other**2))
-        scores = []
-        for i, (name, v) in enumerate(sorted(vectors.items(), reverse=True)):
-            dot = sum((count(own, w) * F.lit(n * idf[w] ** 2) for w, n in sorted(v.items())), F.lit(0.0))
-            scores.append(F.struct(F.round(dot / (norm * F.lit(lengths[name])), 9).alias("score"), F.lit(i).alias("place"), F.lit(name).alias("licence")))
-        return F.array_max(F.array(*scores))
-
-    found = files.withColumn("__lines", F.coalesce(lines, F.array().cast("array<array<string>>"))).withColumn("__top", F.array_max(F.transform("__lines", best)))
-    good = F.col("__top.score") >= LEAST
-    return found.select(*files.columns, F.when(good, F.col("__top.licence")).alias("own_licence"), F.coalesce(F.when(good, F.col("__top.score")), F.lit(0.0)).alias("own_score"))
+                share += (v[w] * idf[w] / length) ** 2
+    fixed = lambda x, kind: F.split(F.lit(" ".join(map(str, x))), " ").cast(f"array<{kind}>")  # noqa: E731  folded to one literal
+    bound = lambda x, f: F.get(F.transform(F.array(x), f), F.lit(0))  # noqa: E731  x is evaluated once
+    heavy = fixed(sorted(marks), "string")
+    known = fixed(vocabulary, "string")
+    heavy_ids = fixed([i + 1 for i, w in enumerate(vocabulary) if w in marks], "int")
+    weights = fixed([0.0] + [idf[w] for w in vocabulary], "double")
+
+    def ids(part: Column) -> Column:
+        """The words' places in the vocabulary from 1 on, 0 for other words."""
+        return F.transform(F.filter(words(part), lambda w: w != ""), lambda w: F.array_position(known, w).cast("int"))
+
+    def best(part: Column, which: list[int]) -> Column:
+        """struct(class, words, score, place, licence) of the nearest template, null if none is LEAST near or another licence
+        is about as near; the place puts the smaller identifier first in a tie."""
+        of = lambda i: F.size(F.filter(part, lambda x: x == i))
+        inside = F.array_distinct(F.filter(part, lambda x: x > 0))
+        norm = F.sqrt(F.aggregate(inside, F.lit(0.0), lambda a, i: a + F.pow(of(i) * F.get(weights, i), F.lit(2.0))) + of(F.lit(0)) * F.lit(other**2))
+        width = len(vocabulary) + 1
+        flat = fixed([x for k in which for x in [0.0] + [vectors[k][1].get(w, 0) * idf[w] ** 2 / lengths[k] for w in vocabulary]], "double")
+        name, n_words = fixed([vectors[k][0] for k in which], "string"), fixed([sum(vectors[k][1].values()) for k in which], "int")
+        place = fixed(which, "int")
+        dots = F.transform(fixed(range(len(which)), "int"), lambda k: F.aggregate(part, F.lit(0.0), lambda a, i: a + F.get(flat, k * width + i)))
+        scored = bound(norm, lambda n: F.transform(dots, lambda d: F.coalesce(F.round(d / n, 9), F.lit(0.0))))
+        structs = F.filter(F.transform(scored, lambda s, k: F.struct(F.round(s + 0.02 * F.log2(F.get(n_words, k).cast("double")), 9).alias("class"), F.get(n_words, k).alias("words"), s.alias("score"),
+                                                                     F.get(place, k).alias("place"), F.get(name, k).alias("licence"))), lambda s: s["score"] >= LEAST - MARGIN)
+
+        def clear(near: Column) -> Column:
+            nearest = F.array_max(F.transform(near, lambda s: F.struct(s["score"].alias("score"), s["licence"].alias("licence"))))
+            return bound(nearest, lambda top: F.when((top["score"] >= LEAST) & ~F.exists(near, lambda s: (s["licence"] != top["licence"]) & (s["score"] > top["score"] - MARGIN)),
+                                                     F.array_max(F.filter(near, lambda s: s["licence"] == top["licence"]))))
+
+        return bound(structs, clear)
+
+    # texts without a heavy word are not looked at again
+    plain = F.regexp_replace(F.regexp_replace("text", r"\r\n?", "\n"), r"\n[ \t]*(?=\n)", "\n")
+    flat = cleaned(F.col("text"), "\n")
+    lines = F.filter(F.split(cleaned(F.col("text")), "\n"), lambda x: F.arrays_overlap(words(x), heavy))
+    blocks = F.filter(F.transform(F.split(plain, "\n{2,}"), lambda x: cleaned(x, "\n")), lambda x: F.arrays_overlap(words(x), heavy))
+    every = [k for k, (_, _, tag) in enumerate(vectors) if not tag]
+    # a tag is read as a whole: its identifier is one word, so that an unknown one is near to none
+    tag_of = {x.split(": ")[1].lower(): (k, name) for name, texts in templates.items() for k, x in enumerate(texts) if x.startswith("SPDX")}
+    tagged = F.transform(F.regexp_extract_all("text", F.lit(r"(?i)\bSPDX-License-Identifier:[ \t]*([a-z0-9.+-]+)[ \t]*(?:\*/|-->)?[ \t\r]*(?:\n|$)"), F.lit(1)), F.lower)
+    tag_words, tag_names = fixed(tag_of, "string"), fixed([name for _, name in tag_of.values()], "string")
+    tag_names = F.transform(F.filter(tagged, lambda x: F.array_contains(tag_words, x)), lambda x: F.get(tag_names, F.array_position(tag_words, x).cast("int") - 1))
+    parts = F.array_distinct(F.transform(F.concat(lines, blocks, F.array(flat)), ids))
+    found = files.withColumn("__any", F.arrays_overlap(words(flat), heavy)).withColumn("__parts", F.when(F.col("__any"), parts)).withColumn("__ids", F.when(F.col("__any"), ids(flat))).withColumn("__tags", F.when(F.col("__any"), tag_names))
+    at = F.filter(F.transform("__ids", lambda x, i: F.when(F.array_contains(heavy_ids, x), i)), lambda i: i.isNotNull())
+    found = written(found.withColumn("__at", at).drop("text", "__any"), "parts")
+    tops = [F.transform("__parts", lambda x: best(x, every)),
+            F.transform("__tags", lambda x: F.struct(F.lit(1.04).alias("class"), F.lit(4).alias("words"), F.lit(1.0).alias("score"), F.lit(0).alias("place"), x.alias("licence")))]
+    sizes: dict[int, list[int]] = {}
+    for k, (_, v, tag) in enumerate(vectors):
+        if not tag and sum(v.values()) >= EMBEDDED:
+            sizes.setdefault(sum(v.values()), []).append(k)
+    for size, which in sorted(sizes.items()):
+        step = max(1, size // 64)
+        near = F.flatten(F.transform("__at", lambda i: F.sequence(F.greatest(F.floor((i - size + step) / step), F.lit(0)), F.floor(i / step))))  # noqa: B023
+        tops.append(F.transform(F.array_distinct(near), lambda s: bound(F.slice("__ids", (s * step + 1).cast("int"), size), lambda x: best(x, which))))  # noqa: B023
+    top = F.array_max(F.concat(*tops))
+    named = found.withColumn("__top", F.when(F.col("__at").isNotNull(), top))
+    return named.select(*[c for c in files.columns if c != "text"], F.col("__top.licence").alias("own_licence"), F.coalesce("__top.score", F.lit(0.0)).alias("own_score"))
 
 
 def inherit(files: DataFrame) -> DataFrame:
@@ -133,4 +220,4 @@ def licences(files: DataFrame) -> DataFrame:
     """
     made = {"own_licence", "own_score", "licence", "inherited_from"}
     files = files.select(*[c for c in files.columns if c not in made])
-    return inherit(written(scan(files).drop("text"), "scanned"))
+    return inherit(written(scan(files), "scanned"))

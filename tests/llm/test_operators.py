@@ -308,3 +308,22 @@ def test_quality_limits_follow_the_source(spark):
     rows = [(i, prose(400, 3000 + i), "en", "s") for i in range(120)] + [(999, " ".join(words + words[50:100]), "en", "s")]
     last = quality_rules.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).where("not kept").collect()
     assert [(r["doc_id"], r["base_failed"], r["failed_rules"]) for r in last] == [(999, False, ["repeats"])]
+
+
+def test_licence_texts_headers_tags_and_wrapped_notices(spark):
+    mit = license_scan.TEMPLATES["MIT"][-1].split()
+    wrapped = "\n".join(" ".join(mit[i:i + 9]) for i in range(0, len(mit), 9))
+    gpl = license_scan.TEMPLATES["GPL-2.0"][2].split()
+    bsd = license_scan.TEMPLATES["BSD-3-Clause"][-1].split()
+    cases = {
+        "MIT": ["MIT License", "MIT License\n\nCopyright (c) 2020 Some One\n\n" + wrapped, "// SPDX-License-Identifier: MIT", prose(60, 1) + "\n" + wrapped + "\n" + prose(300, 2)],
+        "GPL-2.0": ["/*\n * " + "\n * ".join(" ".join(gpl[i:i + 7]) for i in range(0, len(gpl), 7)) + "\n */\n" + prose(90, 3)],
+        "BSD-3-Clause": ["\n".join(" ".join(bsd[i:i + 11]) for i in range(0, len(bsd), 11))],
+        "CC-BY-SA-4.0": [prose(40, 4) + " This work is licensed under the Creative Commons\nAttribution-ShareAlike 4.0 International License. " + prose(40, 5)],
+        "Apache-2.0": [prose(30, 6) + " Licensed under the Apache\nLicense, Version 2.0. " + prose(30, 7)],
+        None: ["SPDX-License-Identifier: Zlib", prose(200, 8), "the software of this version"],
+    }
+    rows = [(f"f{i}", text, want) for i, (want, text) in enumerate((w, x) for w, xs in cases.items() for x in xs)]
+    rows += [(f"p{i}", prose(50, 4000 + i), None) for i in range(200)]
+    got = {r["path"]: r["own_licence"] for r in license_scan.licences(spark.createDataFrame([r[:2] for r in rows], "path string, text string")).collect()}
+    assert {p: got[p] for p, _, _ in rows} == {p: want for p, _, want in rows}
