@@ -2,7 +2,8 @@
 
 One module per operator (sharding, licence scan, quality rules, archive
 conversion, chat assembly, mixing, nearest neighbours, byte-level BPE, MinHash
-near-duplicates, additive quality model); ``queries`` binds them to the tables.
+near-duplicates, additive quality model, language identification, conversation
+repair, centroid clustering); ``queries`` binds them to the tables.
 Nothing else in the library imports this subpackage.
 """
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, chat, license_scan, minhash, mixing, quality_gam, quality_rules, sharding, warc
+from . import ann, bpe, chat, langid, license_scan, minhash, mixing, ns_clusters, quality_gam, quality_rules, repair, sharding, warc
 from .common import written
 
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -102,6 +102,26 @@ def op10_additive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_gam.score(docs, quality_gam.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by averaged subword embeddings."""
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.fit(docs))
+
+
+def op12_dawg_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and repaired text of every conversation, damaged by its rows' checksums."""
+    turns = repair.damage(table(spark, sf_dir, "conversations"))
+    plans = repair.plan_repairs(turns)
+    made = repair.digests(turns, plans).withColumnRenamed("conv_id", "__conv")
+    return plans.join(made, F.col("conv_id").eqNullSafe(F.col("__conv"))).drop("__conv")
+
+
+def op13_ns_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of every embedding after three rounds, its squared distance, the clusters' inertia and centroids."""
+    found, centroids, _ = ns_clusters.cluster(table(spark, sf_dir, "embeddings"))
+    return ns_clusters.with_inertia(found, centroids)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of corpus_pipeline over all documents."""
     import corpus_pipeline
@@ -111,6 +131,35 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_shard_tree, op2_license_scan, op3_quality_rules, op4_arc_to_warc, op5_chat_tokens, op6_entropy_mix, op7_projection_forest, op8_byte_bpe,
-    op9_minhash_near_dedup, op10_additive_quality, pipeline)}
-
-ORACLE: dict[str, str] = {}
+    op9_minhash_near_dedup, op10_additive_quality, op11_language_id, op12_dawg_repair, op13_ns_clusters, pipeline)}
+
+
+
+def _clusters_sql() -> str:
+    """op13 in SQL: integers, starting vectors, then assignment and floored means round by round (ties: the smaller centroid)."""
+    width, k, rounds = ns_clusters.WIDTH, ns_clusters.CLUSTERS, ns_clusters.ROUNDS
+    ctes = [f"""kept AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda e: CAST(floor({ns_clusters.SCALE} * CAST(e AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings WHERE len(embedding) = {width} AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = {width})""",
+            f"""c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY code, x) - 1 AS j, x AS c
+  FROM (SELECT x, sha256('{ns_clusters.SEED}:' || CAST(vec_id AS VARCHAR)) AS code FROM kept ORDER BY code, x LIMIT {k}))"""]
+    square = "list_sum(list_transform(list_zip(kept.x, c), lambda p: (p[1] - p[2]) * (p[1] - p[2])))"
+    for t in range(rounds + 1):
+        ctes.append(f"""a{t} AS MATERIALIZED (SELECT r, min_by(j, (d, j)) AS j, min(d) AS d FROM (SELECT r, j, CAST({square} AS BIGINT) AS d FROM kept, c{t}) GROUP BY r)""")
+        if t < rounds:
+            ctes.append(f"""m{t} AS MATERIALIZED (SELECT j, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS c
+  FROM (SELECT j, i, sum(v) AS s, count(*) AS n FROM (SELECT j, generate_subscripts(x, 1) AS i, unnest(x) AS v FROM a{t} JOIN kept USING (r)) GROUP BY j, i) GROUP BY j)""")
+            ctes.append(f"c{t + 1} AS MATERIALIZED (SELECT j, coalesce(m{t}.c, c{t}.c) AS c FROM c{t} LEFT JOIN m{t} USING (j))")
+    return f"""WITH {", ".join(ctes)}
+SELECT vec_id, CAST(j AS INTEGER) AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY j) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(c{rounds}.c, ',')) AS centroid_sha256
+  FROM a{rounds} JOIN kept USING (r) JOIN c{rounds} USING (j)"""
+
+
+#: op4: the archives' round trip must give back what the pages say; of equal payloads of 1000 bytes or more the last page answers
+_ARCHIVE_SQL = """WITH payload AS (SELECT page_id, encode(coalesce(html, '')) AS raw FROM pages),
+said AS (SELECT page_id, CAST(octet_length(raw) AS BIGINT) AS payload_bytes, sha1(raw) AS payload_digest FROM payload),
+seen AS (SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS answer FROM said)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN answer = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN answer <> page_id THEN answer END AS refers_to, '2024-03-01T00:00:00Z' AS date FROM seen"""
+
+ORACLE: dict[str, str] = {"op4_arc_to_warc": _ARCHIVE_SQL, "op13_ns_clusters": _clusters_sql()}
