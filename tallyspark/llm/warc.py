@@ -7,20 +7,21 @@ block digest and a payload digest.  Payloads that occur more than once become on
 ``write_warc`` and ``read_warc`` write WARC files and read them back by their declared lengths.
 
 Files are written by Spark's text sink with the record separator as line separator, so that commits, retries and any
-file system that Spark knows are Spark's business; they are gzipped whole, and hold at most ``records`` records each.
-They are read one file a row; a task unpacks its file as a stream and holds one record at a time.
+file system that Spark knows are Spark's business; they are gzipped whole, and hold at most ``records`` records each.  Gzipped
+files are read the same way: the text source streams a file through one task, cut at a string that every record has (its
+HTTP line, its WARC line), and the cuts are closed again before records are taken by their lengths.  A task so holds a
+batch of such pieces and one record, whatever the file's size.  Files that are not gzipped by name are read one a row.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import itertools
 import re
-import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,32 +35,24 @@ ARC_FIELDS = {  # of a record's header line, by the version that the version blo
     2: ["url", "ip", "date", "content_type", "result_code", "checksum", "location", "offset", "filename", "length"],
 }
 WARC_END = "\r\n\r\n"
+ARC_MARK, WARC_MARK = b"HTTP/1.", b"WARC/1."  # where the text source cuts files for reading: once a record, as a rule
+GZIP = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}  # archives are read far less often than payloads are packed
 
 
 # -- reading byte streams -------------------------------------------------------------------------------------------
 
 
 class Stream:
-    """Bytes of an archive, unpacked as they are asked for."""
+    """Bytes of an archive, taken from its pieces as they are asked for."""
 
-    def __init__(self, content: bytes):
-        self.left, self.held, self.offset = memoryview(content), bytearray(), 0
-        self.unpack = zlib.decompressobj(31) if content[:2] == b"\x1f\x8b" else None
+    def __init__(self, pieces: Iterable[bytes]):
+        self.pieces, self.held, self.offset = iter(pieces), bytearray(), 0
 
     def more(self) -> bool:
-        if not len(self.left):
-            return False
-        part, self.left = self.left[:1 << 16], self.left[1 << 16:]
-        if self.unpack is None:
-            self.held += part
-            return True
-        self.held += self.unpack.decompress(part)
-        while self.unpack.eof and (rest := self.unpack.unused_data or b""):  # the next member
-            self.unpack = zlib.decompressobj(31)
-            self.held += self.unpack.decompress(rest)
-        if self.unpack.eof:
-            self.unpack = zlib.decompressobj(31)
-        return True
+        piece = next(self.pieces, None)
+        if piece is not None:
+            self.held += piece
+        return piece is not None
 
     def take(self, n: int) -> bytes:
         while len(self.held) < n:
@@ -76,26 +69,67 @@ class Stream:
         while (at := self.held.find(mark, max(0, seen - len(mark)))) < 0:
             seen = len(self.held)
             if not self.more():
-                if self.held:
+                if bytes(self.held).strip():
                     raise ValueError(f"archive ends within a header at {self.offset}")
                 return None
         return self.take(at + len(mark))
 
 
-def arc_records(content: bytes) -> Iterator[dict]:
+def unpacked(content: bytes) -> Iterator[bytes]:
+    """Pieces of a file's content, of all its gzip members if it is gzipped."""
+    left = memoryview(content)
+    if content[:2] != b"\x1f\x8b":
+        for i in range(0, len(left), 1 << 16):
+            yield bytes(left[i:i + (1 << 16)])
+        return
+    unpack = zlib.decompressobj(31)
+    while len(left):
+        part, left = left[:1 << 16], left[1 << 16:]
+        yield unpack.decompress(part)
+        while unpack.eof and unpack.unused_data:  # the next member
+            rest, unpack = unpack.unused_data, zlib.decompressobj(31)
+            yield unpack.decompress(rest)
+        if unpack.eof:
+            unpack = zlib.decompressobj(31)
+
+
+_FRONT = re.compile(rb"(?P<url>.*) (?P<ip>[0-9A-Fa-f.:]+|-) (?P<date>\d{14}|-) (?P<content_type>.*)", re.DOTALL)
+
+
+def plain(raw: bytes) -> str:
+    """Header text: UTF-8 or, where it is none, Latin-1, which every byte is."""
+    try:
+        return raw.decode("utf-8")
+    except UnicodeDecodeError:
+        return raw.decode("latin-1")
+
+
+def header_fields(line: bytes, version: int) -> dict[str, str]:
+    """The fields of a record's header line, read from the right: the length, the fields of version 2 without blanks, then the content
+    type behind the last address and date; what stands before these is the URL, blanks and all.  Where they are
+    not found the URL is all that stands before the length and the other fields are '-'.  ValueError without a length."""
+    names = ARC_FIELDS[version]
+    parts = line.rstrip(b"\r\n").rsplit(b" ", len(names) - 4)
+    if not parts[-1].isdigit():
+        raise ValueError("no length in an ARC header")
+    found = _FRONT.fullmatch(parts[0]) if len(parts) == len(names) - 3 else None
+    if not found:
+        return dict.fromkeys(names, "-") | {"url": plain(line.rstrip(b"\r\n").rsplit(b" ", 1)[0]), "length": plain(parts[-1])}
+    return {n: plain(v) for n, v in found.groupdict().items()} | dict(zip(names[4:], map(plain, parts[1:]), strict=True))
+
+
+def arc_records(pieces: Iterable[bytes]) -> Iterator[dict]:
     """The records of an ARC file: the header line's fields, ``at`` (offset in the unpacked file) and ``body``."""
-    s = Stream(content)
+    s = Stream(pieces)
     head = s.until(b"\n")
     if head is None:
         return
-    line = head.decode("utf-8").rstrip("\r\n").split(" ")
-    if not line[0].startswith("filedesc://"):
+    if not head.startswith(b"filedesc://"):
         raise ValueError("no ARC version block")
-    block = s.take(int(line[-1]))
+    block = s.take(int(head.split()[-1]))
     version = int(block.split(b" ", 1)[0])
     if version not in ARC_FIELDS:
         raise ValueError(f"ARC version {version}")
-    names = ARC_FIELDS[version]
     while True:
         at = s.offset
         head = s.until(b"\n")
@@ -103,10 +137,10 @@ def arc_records(content: bytes) -> Iterator[dict]:
             return
         if not head.strip():  # line ends between records
             continue
-        values = head.decode("utf-8").rstrip("\r\n").split(" ")
-        if len(values) != len(names):
-            raise ValueError(f"ARC header of {len(values)} fields at {at}, version {version} has {len(names)}")
-        record = dict(zip(names, values, strict=True))
+        try:
+            record = header_fields(head, version)
+        except ValueError as e:
+            raise ValueError(f"{e} at {at}") from None
         yield record | {"at": at, "version": version, "body": s.take(int(record["length"]))}
 
 
@@ -118,9 +152,9 @@ def split_http(body: bytes) -> tuple[bytes, bytes]:
     return (body, b"") if at < 0 else (body[:at + 4], body[at + 4:])
 
 
-def warc_records(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
+def warc_records(pieces: Iterable[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
     """Header fields (names in lower case) and block of each record of a WARC file."""
-    s = Stream(content)
+    s = Stream(pieces)
     while (line := s.until(b"\n")) is not None:
         if not line.strip():
             continue
@@ -128,7 +162,7 @@ def warc_records(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
             raise ValueError(f"no WARC record at {s.offset - len(line)}")
         fields: dict[str, str] = {}
         while (line := s.until(b"\n")) is not None and line.strip():
-            name, _, value = line.decode("utf-8").partition(":")
+            name, _, value = plain(line).partition(":")
             fields[name.strip().lower()] = value.strip()
         yield fields, s.take(int(fields["content-length"]))
 
@@ -155,102 +189,116 @@ def write_arc(pages: DataFrame, path: str, version: int = 1, date: str = "202403
     block = " ".join({"url": "filedesc://pages.arc", "ip": "0.0.0.0", "date": date, "content_type": "text/plain", "length": str(len(about) + 1)}.get(x, "-")
                      for x in ARC_FIELDS[version]) + f"\n{about}"
 
-    def files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The version block goes before the first record of each file, that is of each ``records`` rows of a task."""
-        n = 0
-        for batch in batches:
-            values = batch.column(0).to_pylist()
-            yield pa.RecordBatch.from_pydict({"value": [f"{block}\n{v}" if (n + i) % records == 0 else v for i, v in enumerate(values)]})
-            n += len(values)
-
-    rows.mapInArrow(files, "value string").write.option("lineSep", "\n").option("compression", "gzip").option("maxRecordsPerFile", records).text(path)
+    # the version block goes before the first record of each file, that is of each ``records`` rows of a task; a row's number
+    # in its task is the lower 33 bits of this id
+    first = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) % records == 0
+    rows.select(F.concat(F.when(first, F.lit(f"{block}\n")).otherwise(F.lit("")), "value").alias("value")).write.options(**GZIP).option("lineSep", "\n").option("maxRecordsPerFile", records).text(path)
 
 
 def parse_arc(spark: SparkSession, path: str) -> DataFrame:
-    """The records of the ARC files below ``path``: file, at, version, url, ip, date, content_type, page_id, http_head, payload."""
+    """The records of the ARC files below ``path``: file, at, version, url, ip, date, content_type, page_id, digest (SHA-1 of the
+    payload in lower-case hex), size, http_head, payload."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                name, rows, size = batch.column(0)[k].as_py(), [], 0
-                for r in arc_records(batch.column(1)[k].as_py()):
-                    head, payload = split_http(r["body"])
-                    page = re.search(rb"\r\nX-Page-Id: (-?\d+)\r\n", head)
-                    rows.append((name, r["at"], r["version"], r["url"], r["ip"], r["date"], r["content_type"], page and int(page[1]), head, payload))
-                    size += len(r["body"])
-                    if size > 1 << 22:
-                        yield packed(rows, ARC_TYPES)
-                        rows, size = [], 0
-                yield packed(rows, ARC_TYPES)
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, int]]:
+        for name, pieces in files_of(batches, ARC_MARK):
+            for r in arc_records(pieces):
+                head, payload = split_http(r["body"])
+                page = re.search(rb"\r\nX-Page-Id: (-?\d+)\r\n", head)
+                yield (name, r["at"], r["version"], r["url"], r["ip"], r["date"], r["content_type"], page and int(page[1]), hashlib.sha1(payload).hexdigest(),
+                       len(payload), head, payload), len(r["body"])
 
-    return archives(spark, path).mapInArrow(run, ", ".join(f"{n} {sql}" for n, sql, _ in ARC_TYPES))
+    return archives(spark, path, ARC_MARK).mapInArrow(lambda batches: in_batches(made(batches), ARC_TYPES), ", ".join(f"{n} {sql}" for n, sql, _ in ARC_TYPES))
 
 
 ARC_TYPES = [("file", "string", pa.string()), ("at", "long", pa.int64()), ("version", "int", pa.int32()), ("url", "string", pa.string()),
-             ("ip", "string", pa.string()), ("date", "string", pa.string()), ("content_type", "string", pa.string()),
-             ("page_id", "long", pa.int64()), ("http_head", "binary", pa.binary()), ("payload", "binary", pa.binary())]
+             ("ip", "string", pa.string()), ("date", "string", pa.string()), ("content_type", "string", pa.string()), ("page_id", "long", pa.int64()),
+             ("digest", "string", pa.string()), ("size", "long", pa.int64()), ("http_head", "binary", pa.binary()), ("payload", "binary", pa.binary())]
+
+
+def in_batches(rows: Iterator[tuple[tuple, int]], types: list[tuple]) -> Iterator[pa.RecordBatch]:
+    """Rows, each with its bytes, in batches of about 4 MB."""
+    held, size = [], 0
+    for row, n in rows:
+        held.append(row)
+        size += n + 256
+        if size > 1 << 22:
+            yield packed(held, types)
+            held, size = [], 0
+    if held:
+        yield packed(held, types)
 
 
 def packed(rows: list[tuple], types: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, (_, _, t) in enumerate(types)], [n for n, _, _ in types])
 
 
-def archives(spark: SparkSession, path: str) -> DataFrame:
-    """(name, content) of the files below ``path``, a file a row and a batch, so that a task holds one file at a time."""
-    return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select(
-        F.element_at(F.split("path", "/"), -1).alias("name"), "content")
+def archives(spark: SparkSession, path: str, mark: bytes) -> DataFrame:
+    """(name, whole, piece) of the files below ``path``: gzipped ones in pieces cut at ``mark``, in order and all in one task, as gzip
+    cannot be split; others whole."""
+    name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("name")
+    pieces = spark.read.option("lineSep", mark.decode()).option("pathGlobFilter", "part-*.gz").text(path).select(
+        name, F.lit(False).alias("whole"), F.col("value").cast("binary").alias("piece"))
+    whole = spark.read.format("binaryFile").option("pathGlobFilter", "part-*[!z]").load(path).select(
+        F.element_at(F.split("path", "/"), -1).alias("name"), F.lit(True).alias("whole"), F.col("content").alias("piece"))
+    return pieces.unionByName(whole)
+
+
+def files_of(batches: Iterator[pa.RecordBatch], mark: bytes) -> Iterator[tuple[str, Iterator[bytes]]]:
+    """(name, pieces) of each file, its cuts at ``mark`` closed."""
+    def rows() -> Iterator[tuple[str, bool, bytes]]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                yield batch.column(0)[k].as_py(), batch.column(1)[k].as_py(), batch.column(2)[k].as_py()
+
+    for name, own in itertools.groupby(rows(), key=lambda r: r[0]):
+        yield name, itertools.chain.from_iterable(unpacked(piece) if whole else (piece,) if i == 0 else (mark, piece) for i, (_, whole, piece) in enumerate(own))
 
 
 # -- conversion -----------------------------------------------------------------------------------------------------
 
 
 def convert(parsed: DataFrame) -> DataFrame:
-    """WARC records of parsed ARC records: record_id, refers_to_id and refers_to (page_id; null unless a revisit),
-    record_type, url, ip, date (ISO), content_type, page_id, digest (lower-case hex SHA-1 of the payload), http_head, payload
-    (empty in a revisit).
+    """WARC records of parsed ARC records (``parse_arc``; read twice, so pass a written table): record_id, refers_to_id and
+    refers_to (page_id; null unless a revisit), record_type, url, ip, date (ISO), content_type, page_id, digest (lower-case
+    hex SHA-1 of the payload), size, http_head, payload (empty in a revisit).
 
-    Of records with equal payloads of SMALLEST_SHARED bytes or more the one with the largest page_id (then record
-    id; a null page_id comes last) is the response.  The groups are found from digests alone, added up in the map tasks; only
-    one row per repeated payload is kept, written, and joined back.
+    A record's id is made from its file and offset.  Of records with equal payloads of SMALLEST_SHARED bytes or more the one with
+    the largest page_id (then id; a null page_id comes last) is the response.  The groups are found from digests alone,
+    added up in the map tasks; only one row per repeated payload is kept, written, and joined back.
     """
-    name = F.concat_ws("|", "file", F.col("at").cast("string"))
-    digits = F.sha1(name)
-    record_id = F.concat(F.lit("urn:uuid:"), F.concat_ws("-", F.substring(digits, 1, 8), F.substring(digits, 9, 4), F.substring(digits, 13, 4),
-                                                         F.substring(digits, 17, 4), F.substring(digits, 21, 12)))
-    rows = parsed.withColumn("record_id", record_id).withColumn("digest", F.sha1("payload")).withColumn("size", F.octet_length("payload"))
-    # a number in place of the id while groups are added up: fixed width stays in a hash aggregation
-    order = F.struct(F.coalesce("page_id", F.lit(-(1 << 63))).alias("page"), F.xxhash64("file", "at").alias("mark"), "page_id")
+    marks = [F.xxhash64("file", "at"), F.xxhash64("at", "file")]
+    rows = parsed.withColumn("m1", marks[0]).withColumn("m2", marks[1])
+    # numbers only: groups of fixed width stay in a hash aggregation
+    order = F.struct(F.coalesce("page_id", F.lit(-(1 << 63))).alias("page"), "m1", "m2", "page_id")
     shared = (rows.where(F.col("size") >= SMALLEST_SHARED).groupBy("digest").agg(F.max(order).alias("top"), F.count(F.lit(1)).alias("n"))
-              .where("n > 1").select(F.col("digest").alias("s_digest"), F.col("top.mark").alias("s_mark"), F.col("top.page_id").alias("s_page")))
+              .where("n > 1").select(F.col("digest").alias("s_digest"), F.col("top.m1").alias("s_m1"), F.col("top.m2").alias("s_m2"), F.col("top.page_id").alias("s_page")))
     shared = written(shared, "shared")
-    ids = (rows.where(F.col("size") >= SMALLEST_SHARED).join(shared, (F.col("digest") == F.col("s_digest")) & (F.xxhash64("file", "at") == F.col("s_mark")))
-           .select("s_digest", "s_mark", "s_page", F.col("record_id").alias("s_id")))
-    ids = written(ids, "responses")
-    revisit = F.col("s_digest").isNotNull() & (F.xxhash64("file", "at") != F.col("s_mark"))
-    joined = rows.join(ids, (F.col("digest") == F.col("s_digest")) & (F.col("size") >= SMALLEST_SHARED), "left")
-    when = F.date_format(F.to_timestamp("date", "yyyyMMddHHmmss"), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    revisit = F.col("s_digest").isNotNull() & ((F.col("m1") != F.col("s_m1")) | (F.col("m2") != F.col("s_m2")))
+    joined = rows.join(shared, (F.col("digest") == F.col("s_digest")) & (F.col("size") >= SMALLEST_SHARED), "left")
+    when = F.date_format(F.try_to_timestamp("date", F.lit("yyyyMMddHHmmss")), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     return joined.select(
-        "record_id", F.when(revisit, F.col("s_id")).alias("refers_to_id"), F.when(revisit, F.col("s_page")).alias("refers_to"),
+        record_id("m1", "m2").alias("record_id"), F.when(revisit, record_id("s_m1", "s_m2")).alias("refers_to_id"), F.when(revisit, F.col("s_page")).alias("refers_to"),
         F.when(revisit, F.lit("revisit")).otherwise(F.lit("response")).alias("record_type"), "url", "ip", when.alias("date"), "content_type",
-        "page_id", "digest", "http_head", F.when(revisit, F.lit(b"")).otherwise(F.col("payload")).alias("payload"))
+        "page_id", "digest", "size", "http_head", F.when(revisit, F.lit(b"")).otherwise(F.col("payload")).alias("payload"))
+
+
+def record_id(*marks: str) -> Column:
+    """``urn:uuid:`` of two 64-bit numbers."""
+    digits = F.lower(F.concat(*[F.lpad(F.hex(m), 16, "0") for m in marks]))
+    return F.concat(F.lit("urn:uuid:"), F.concat_ws("-", *[F.substring(digits, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]))
 
 
 def write_warc(records: DataFrame, path: str, per_file: int = RECORDS) -> None:
     """WARC/1.1 records, each with its declared length, block digest and payload digest (base 32, as is the custom)."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, int]]:
         for batch in batches:
-            out, size = [], 0
-            for r in (batch.slice(k, 1).to_pylist()[0] for k in range(batch.num_rows)):
-                out.append(warc_bytes(r))
-                size += len(out[-1])
-                if size > 1 << 22:
-                    yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
-                    out, size = [], 0
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
+            for k in range(batch.num_rows):
+                raw = warc_bytes(batch.slice(k, 1).to_pylist()[0])
+                yield (raw,), len(raw)
 
-    made = records.mapInArrow(run, "value binary").select(F.col("value").cast("string").alias("value"))
-    made.write.option("lineSep", WARC_END).option("compression", "gzip").option("maxRecordsPerFile", per_file).text(path)
+    values = records.mapInArrow(lambda batches: in_batches(made(batches), [("value", "binary", pa.binary())]), "value binary").select(F.col("value").cast("string").alias("value"))
+    values.write.options(**GZIP).option("lineSep", WARC_END).option("maxRecordsPerFile", per_file).text(path)
 
 
 def warc_bytes(r: dict) -> bytes:
@@ -261,6 +309,7 @@ def warc_bytes(r: dict) -> bytes:
               ("WARC-Block-Digest", f"sha1:{base64.b32encode(hashlib.sha1(block).digest()).decode()}")]
     if r["record_type"] == "revisit":
         fields += [("WARC-Refers-To", f"<{r['refers_to_id']}>"), ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")]
+        fields.append(("X-Payload-Length", str(r["size"])))
         if r["refers_to"] is not None:
             fields.append(("X-Refers-To-Page-Id", str(r["refers_to"])))
     fields.append(("Content-Length", str(len(block))))
@@ -274,21 +323,14 @@ READ_TYPES = [("record_id", "string", pa.string()), ("record_type", "string", pa
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """The records of the WARC files below ``path``.  A stored payload is hashed again and must have the declared digest, as
-    must the block; a revisit has the length that its HTTP head declares and a null payload."""
+    must the block; a revisit has the length that its header declares and a null payload."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                rows, size = [], 0
-                for f, block in warc_records(batch.column(1)[k].as_py()):
-                    rows.append(read_record(f, block))
-                    size += len(block)
-                    if size > 1 << 22:
-                        yield packed(rows, READ_TYPES)
-                        rows, size = [], 0
-                yield packed(rows, READ_TYPES)
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, int]]:
+        for _, pieces in files_of(batches, WARC_MARK):
+            for fields, block in warc_records(pieces):
+                yield read_record(fields, block), len(block)
 
-    return archives(spark, path).mapInArrow(run, ", ".join(f"{n} {sql}" for n, sql, _ in READ_TYPES))
+    return archives(spark, path, WARC_MARK).mapInArrow(lambda batches: in_batches(made(batches), READ_TYPES), ", ".join(f"{n} {sql}" for n, sql, _ in READ_TYPES))
 
 
 def unpacked_digest(value: str) -> str:
@@ -302,7 +344,7 @@ def read_record(f: dict[str, str], block: bytes) -> tuple:
         raise ValueError(f"block of {f['warc-record-id']} differs from its digest")
     revisit = f["warc-type"] == "revisit"
     if revisit:
-        length = int(re.search(rb"\r\nContent-Length: (\d+)\r\n", head)[1])
+        length = int(f["x-payload-length"])
     elif hashlib.sha1(payload).hexdigest() != declared:
         raise ValueError(f"payload of {f['warc-record-id']} differs from its digest")
     else:
@@ -322,5 +364,5 @@ def archive_pages(pages: DataFrame, version: int = 1) -> DataFrame:
     spark = pages.sparkSession
     arc, out = fresh_dir(spark, "arc"), fresh_dir(spark, "warc")
     write_arc(pages, arc, version)
-    write_warc(convert(parse_arc(spark, arc)), out)
+    write_warc(convert(written(parse_arc(spark, arc), "parsed")), out)
     return read_warc(spark, out)
