@@ -240,6 +240,39 @@ def test_nearest_neighbours(spark):
     assert ann.nearest(frame.limit(0), F.col("vec_id") % 100 == 0).count() == 0
     few = ann.nearest(frame.where("vec_id < 3"), F.col("vec_id") == 0).collect()
     assert sorted(r["vec_id"] for r in few) == [1, 2]
+    # a row that a third of the table repeats, more queries than a block holds, and no floor under the search
+    many = frame.union(spark.createDataFrame([(777, x[777].tolist())] * 500, "vec_id long, embedding array<float>").withColumn("score", F.lit(0)))
+    block, ann.BLOCK = ann.BLOCK, 4
+    try:
+        again = ann.nearest(many, F.col("vec_id") % 100 == 0, trees=4, share=2.0, least=0).collect()
+    finally:
+        ann.BLOCK = block
+    pairs = {(r["query_id"], r["vec_id"]): r["score"] for r in again}
+    assert len(again) == len(pairs) == 90 and sorted(r["rank"] for r in again if r["query_id"] == 0) == list(range(1, 11))
+    assert sum(v in [w for _, w, _ in got[q]] for q, v in pairs) >= 0.85 * 90
+
+
+def recall(spark, sf_dir):
+    from tallyspark.llm import queries
+
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding").orderBy("vec_id").collect()
+    ids, x = np.array([r[0] for r in rows]), np.array([r[1] for r in rows], np.float64)
+    found = {}
+    for r in queries.op7_projection_forest(spark, sf_dir).collect():
+        found.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    assert sorted(found) == [int(i) for i in ids if i % 100 == 0]
+    hits = 0
+    for q, near in found.items():
+        d = np.sqrt(((x - x[np.flatnonzero(ids == q)[0]]) ** 2).sum(axis=1))
+        d[ids == q] = np.inf
+        assert all(abs(s - d[np.flatnonzero(ids == v)[0]]) < 1e-12 for _, v, s in near)
+        hits += len(set(ids[np.lexsort([ids, d])[:10]].tolist()) & {v for _, v, _ in near})
+    return hits / (10 * len(found))
+
+
+@pytest.mark.parametrize("size", ["sf0.001", "sf0.01", "sf0.1"])
+def test_recall_of_the_registered_search(spark, size):
+    assert recall(spark, f"/root/testdata/{size}") >= 0.95
 
 
 def test_bpe_equals_the_public_encoder(spark, docs, empty):
