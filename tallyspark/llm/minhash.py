@@ -4,7 +4,7 @@
    hashes x -> a * x + b (mod 2**32) give its minima; each of BANDS bands of ROWS minima becomes one key.  A pair of
    similarity s shares a band with probability 1 - (1 - s**ROWS)**BANDS: 1 - 3e-7 at s = 0.85.  Four bits of each
    of the minima make a sketch of 1536 bits.
-2. Documents with equal sets become one class, stood for by its smallest doc_id, before anything is paired.
+2. Documents with equal sets become one class, stood for by one of its rows, before anything is paired.
 3. Links in rounds.  In STAR_ROUNDS rounds every class is paired with one component of its buckets, by that component's
    smallest class: as many pairs as classes.  After each round buckets whose classes are all in one component are done;
    a group of near copies has few others.  The last round takes every pair left, that is of different components in
@@ -77,13 +77,14 @@ def sketch_bits(low: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, h0, h1: digest of the set, bands array<long>, the SKETCH words); a text without words has no bands."""
+    """(doc_id, mark: hash of the text, n_shingles, h0, h1: digest of the set, bands array<long>, the SKETCH words); a text without
+    words has no bands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, none = Hasher(), np.zeros(0, np.int64)
         for batch in batches:
             n, digest, bands, bits = [], [], [], []
-            for own in sets_of(batch.column(1), hasher):
+            for own in sets_of(batch.column(2), hasher):
                 n.append(len(own))
                 digest.append(np.frombuffer(hashlib.blake2b(own.tobytes(), digest_size=16).digest(), np.int64))
                 low = minima(own) if len(own) else None
@@ -93,15 +94,15 @@ def signatures(docs: DataFrame) -> DataFrame:
             digest, bits = np.array(digest, np.int64).reshape(-1, 2), np.array(bits, np.int64).reshape(-1, len(SKETCH))
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([none, *bands])))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), *map(pa.array, digest.T.copy()), lists, *map(pa.array, bits.T.copy())],
-                ["doc_id", "n_shingles", "h0", "h1", "bands", *SKETCH])
+                [batch.column(0), batch.column(1), pa.array(n, pa.int64()), *map(pa.array, digest.T.copy()), lists, *map(pa.array, bits.T.copy())],
+                ["doc_id", "mark", "n_shingles", "h0", "h1", "bands", *SKETCH])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        run, "doc_id long, n_shingles long, h0 long, h1 long, bands array<long>, " + ", ".join(f"{x} long" for x in SKETCH))
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("mark"), "text").mapInArrow(
+        run, "doc_id long, mark long, n_shingles long, h0 long, h1 long, bands array<long>, " + ", ".join(f"{x} long" for x in SKETCH))
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
-    """(doc_id, h0, h1, shingles): the full sets."""
+    """(node, shingles) of ``docs`` (node, text): the full sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
@@ -109,12 +110,11 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
             for k in range(0, batch.num_rows, 256):
                 part = batch.slice(k, 256)
                 sets = list(sets_of(part.column(1), hasher))
-                digest = np.array([np.frombuffer(hashlib.blake2b(s.tobytes(), digest_size=16).digest(), np.int64) for s in sets])
                 ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(sets).view(np.int64)))
-                yield pa.RecordBatch.from_arrays([part.column(0), *map(pa.array, digest.T.copy()), lists], ["doc_id", "h0", "h1", "shingles"])
+                yield pa.RecordBatch.from_arrays([part.column(0), lists], ["node", "shingles"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, h0 long, h1 long, shingles array<long>")
+    return docs.select("node", "text").mapInArrow(run, "node long, shingles array<long>")
 
 
 def most_differing(threshold: int) -> int:
@@ -143,18 +143,29 @@ def side(nodes: DataFrame, which: str) -> DataFrame:
     return nodes.select(F.col("node").alias(which), F.col("n_shingles").alias(f"{which}_n"), *[F.col(s).alias(f"{which}_{s}") for s in SKETCH])
 
 
+def of_row(doc_id: Column) -> Column:
+    """A doc_id to join by: a null one is a value as well."""
+    return F.coalesce(doc_id.cast("long"), F.lit(-(1 << 63)))
+
+
 def compared(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """(a, b, common, union) of the pairs' full sets.  The sets of the classes that still occur in a pair are
-    made again from their texts; no others are moved."""
-    wanted = written(pairs.select(F.col("a").alias("doc_id")).distinct().union(pairs.select("b").distinct()).distinct(), "wanted")
-    sets = written(shingle_sets(docs.join(wanted, "doc_id", "left_semi")).join(
-        nodes.select(F.col("node").alias("doc_id"), "h0", "h1"), ["doc_id", "h0", "h1"], "left_semi").select("doc_id", "shingles"), "sets")
-    one = lambda x: sets.select(F.col("doc_id").alias(x), F.col("shingles").alias(f"{x}_set"))
+    made again from their texts; no others are moved, and of equal rows one."""
+    in_pair = pairs.select(F.col("a").alias("node")).distinct().union(pairs.select("b").distinct()).distinct()
+    wanted = written(nodes.join(in_pair, "node").select("node", of_row(F.col("doc_id")).alias("__doc"), F.col("mark").alias("__mark")), "wanted")
+    texts = docs.select(of_row(F.col("doc_id")).alias("__doc"), F.xxhash64("text").alias("__mark"), "text").join(wanted, ["__doc", "__mark"]).dropDuplicates(["node"])
+    sets = written(shingle_sets(texts), "sets")
+    one = lambda x: sets.select(F.col("node").alias(x), F.col("shingles").alias(f"{x}_set"))
     both = pairs.join(one("a"), "a").join(one("b"), "b").select("a", "b", F.size(F.array_intersect("a_set", "b_set")).alias("common"),
                                                                 (F.size("a_set") + F.size("b_set")).alias("sizes"))
     return both.select("a", "b", "common", (F.col("sizes") - F.col("common")).alias("union")).distinct()
 
 
+def split_join(left: DataFrame, right: DataFrame, key: str, name: str, how: str = "inner") -> DataFrame:
+    """``left`` joined to one row a key: a merge of two shuffles, whose left side Spark splits where a key is frequent."""
+    return left.join(written(right, name).hint("merge"), key, how)
+
+
 _FIELDS = ["key", "i", "j", "side", "node", "root", "pivot", "n_shingles", *SKETCH]
 
 
@@ -172,7 +183,8 @@ def cross_pairs(placed: DataFrame, nodes: DataFrame, known: DataFrame, threshold
     size = counts.groupBy("key").agg(F.max("n").alias("n"), F.sum("n").alias("all"))
     size = (counts.join(size, ["key", "n"]).groupBy("key", "n", "all").agg(F.min("root").alias("main"))
             .select("key", "main", F.ceil(F.col("all") / BLOCK).alias("rights"), F.ceil((F.col("all") - F.col("n")) / BLOCK).alias("lefts")))
-    rows = written(placed.join(size, "key").join(nodes, "node").join(known, "node", "left"), "placed")
+    rows = written(split_join(placed, size, "key", "sizes"), "sized").join(nodes, "node").join(known, "node", "left")
+    rows = written(rows, "placed")
     block = lambda n: F.pmod(F.xxhash64("node"), F.col(n))
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     left = rows.where("root <> main").withColumn("i", block("lefts")).withColumn("j", every("rights")).withColumn("side", F.lit(0).cast("long"))
@@ -253,34 +265,32 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).union(now.select(F.col("v"), F.col("v")).distinct())
 
 
-def near_duplicates(docs: DataFrame, threshold: int = 85) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text; others are left out): doc_id, n_shingles, component_id, kept.
-
-    Two documents are linked if 100 * intersection >= threshold * union of their sets.  component_id is the
-    smallest doc_id reachable, kept tells doc_id = component_id.  Empty sets (null texts, texts without words) are
-    linked with nothing.  Rows that share a doc_id are one document: their texts' classes are linked.  A null doc_id takes
-    no part: its component_id is null and kept true.  An empty table gives an empty result.
-    """
-    sig = written(signatures(docs), "signatures")
-    full = sig.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = written(full.groupBy("h0", "h1").agg(F.min("doc_id").alias("node")), "classes")
-    member = written(full.select("doc_id", "h0", "h1").join(classes, ["h0", "h1"]).select("doc_id", "node"), "member")
-    nodes = written(full.join(classes.withColumnRenamed("node", "doc_id"), ["doc_id", "h0", "h1"], "left_semi")
-                    .withColumnRenamed("doc_id", "node"), "nodes")
+def linked(docs: DataFrame, threshold: int, by_id: bool) -> tuple[DataFrame, DataFrame]:
+    """Signatures of the rows of ``docs`` (doc_id, text), with ``node``, their class, and (node, root) of the classes that
+    have links.  ``by_id``: rows that share a doc_id are linked for that, and rows without one take no part."""
+    sig = written(signatures(docs).withColumn("row", F.monotonically_increasing_id()), "signatures")  # a number that writing fixes
+    full = sig.where("n_shingles > 0 AND doc_id IS NOT NULL" if by_id else "n_shingles > 0")
+    # equal sets are one class, which its first row stands for
+    classes = written(full.groupBy("h0", "h1").agg(F.min("row").alias("node")), "classes")
+    member = written(full.select("doc_id", "mark", "h0", "h1").join(classes, ["h0", "h1"]).select("doc_id", "mark", "node"), "member")
+    nodes = written(full.withColumnRenamed("row", "node").join(classes.select("node"), "node", "left_semi"), "nodes")
     slim = nodes.drop("bands")
 
     rows = nodes.select("node", F.explode("bands").alias("key"))
     shared = rows.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high").select("key")
-    in_bucket = written(rows.join(shared, "key", "left_semi"), "buckets")
-    # a doc_id of several texts ties its classes together
-    several = member.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("doc_id", "a")
-    found = written(components(member.join(several, "doc_id").where("node <> a").select("a", F.col("node").alias("b"))), "components")
+    in_bucket = written(split_join(rows, shared, "key", "shared", "left_semi"), "buckets")
+    edges = nodes.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
+    if by_id:  # a doc_id of several texts ties its classes together
+        several = member.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("doc_id", "a")
+        edges = member.join(several, "doc_id").where("node <> a").select("a", F.col("node").alias("b"))
+    found = written(components(edges), "components")
 
     for turn in range(STAR_ROUNDS + 1):
         # what is left are buckets with nodes of several components
         placed = in_bucket.join(found, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+        placed = written(placed, "rooted")
         ends = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-        in_bucket = written(placed.join(ends, "key"), "open")
+        in_bucket = written(split_join(placed, ends, "key", "ends"), "open")
         if turn < STAR_ROUNDS:
             pivot = F.when(F.col("root") != F.col("low"), F.col("low")).otherwise(F.col("high"))
             pairs = in_bucket.groupBy("node").agg((F.min if turn == 0 else F.max)(pivot).alias("b")).select(F.col("node").alias("a"), "b")
@@ -296,8 +306,30 @@ def near_duplicates(docs: DataFrame, threshold: int = 85) -> DataFrame:
         links = pairs.where(F.col("common") * 100 >= F.col("union") * threshold).select("a", "b")
         found = written(components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).union(links)), "components")
         in_bucket = in_bucket.select("key", "node")
+    return sig, member.join(found, "node", "left").select("doc_id", "mark", F.coalesce("root", "node").alias("root"))
 
-    reached = (member.join(found, "node", "left").groupBy("doc_id").agg(F.min(F.coalesce("root", "node")).alias("component_id")))
+
+def near_duplicates(docs: DataFrame, threshold: int = 85) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, text; others are left out): doc_id, n_shingles, component_id, kept.
+
+    Two documents are linked if 100 * intersection >= threshold * union of their sets.  component_id is the
+    smallest doc_id reachable, kept tells doc_id = component_id.  Empty sets (null texts, texts without words) are
+    linked with nothing.  Rows that share a doc_id are one document: their texts' classes are linked.  A null doc_id takes
+    no part: its component_id is null and kept true.  An empty table gives an empty result.
+    """
+    sig, member = linked(docs, threshold, True)
+    least = member.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    reached = member.select("doc_id", "root").distinct().join(least, "root").groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
     out = sig.select("doc_id", "n_shingles").join(reached, "doc_id", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+
+
+def representatives(docs: DataFrame, threshold: int) -> DataFrame:
+    """(doc_id, mark: xxhash64 of the text) of one document of each group of ``docs`` (doc_id, text): a document is a doc_id with a text,
+    and texts alone link documents.  The smallest doc_id stays (null last), of its texts the one with the smallest mark.
+    Documents without words are linked with nothing: each stays.  An empty table gives an empty result."""
+    sig, member = linked(docs, threshold, False)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")).alias("first")
+    best = member.groupBy("root").agg(first).select("first.doc_id", "first.mark")
+    return best.union(sig.where("n_shingles = 0").select("doc_id", "mark").distinct())

@@ -320,6 +320,29 @@ def test_near_duplicates_equal_brute_force(spark, docs, empty):
     assert {i: r["component_id"] for i, r in got.items()} == group and all(r["n_shingles"] == len(sets[i]) and r["kept"] == (i == group[i]) for i, r in got.items())
 
 
+def test_pipeline_near_dedup_loses_no_text(spark, tmp_path):
+    """A doc_id of several texts, rows that repeat, null ids, texts without words: by brute force."""
+    import corpus_pipeline
+
+    a, b, c = prose(90, 31), prose(90, 32), prose(90, 33)
+    near = a + " one more"
+    rows = [(1, a, "x"), (1, b, "x"), (2, b, "x"), (3, c, "x"), (3, c, "y"), (3, c, "x"), (4, near, "x"), (None, c, "x"), (None, prose(90, 34), "x"), (None, prose(90, 34), "x"),
+            (5, None, "x"), (6, None, "x"), (6, " \n", "x"), (6, " \n", "x"), (7, near + " and more", "x")]
+    rows += [(100 + i % 3, prose(40, 500 + i % 7), "x") for i in range(42)]  # few ids, many texts
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    got = sorted(((r["doc_id"], r["text"]) for r in corpus_pipeline.near_dedup(spark, frame, str(tmp_path)).collect()), key=str)
+    groups = {}
+    for d, t, _ in rows:
+        key = (d, t) if not shingles(t) else next((g for g in groups if shingles(g[1]) and 100 * len(shingles(g[1]) & shingles(t)) >= 80 * len(shingles(g[1]) | shingles(t))), (d, t))
+        groups.setdefault(key, set()).add((d, t))
+    want = []
+    for members in groups.values():
+        least = min((d is None, d or 0) for d, _ in members)
+        want.append([m for m in members if (m[0] is None, m[0] or 0) == least])
+    assert len(got) == len(want) and all(any(m in got for m in group) for group in want)
+    assert {t for _, t in got} >= {a, b, c, prose(90, 34), None, " \n"}
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.range(199).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b")).union(spark.createDataFrame([(500, 700), (700, 600), (5, 5)], "a long, b long"))
     got = {r["node"]: r["root"] for r in minhash.components(edges).collect()}
@@ -351,7 +374,7 @@ def test_pipeline_stages_keep_columns_and_take_effect(spark, docs, empty, tmp_pa
             out = stage(spark, frame, d)
             assert out.columns == frame.columns and (frame is docs or out.count() == 0)
     kept = [r["doc_id"] for r in corpus_pipeline.near_dedup(spark, docs, d).collect()]
-    assert kept.count(0) == 1 and 1 not in kept and 2 not in kept and len(set(kept)) == len(kept)
+    assert kept.count(0) == 1 and 1 not in kept and 2 not in kept and None not in kept
     ruled = {r["doc_id"] for r in corpus_pipeline.rules(spark, docs, d).collect()}
     assert 6 not in ruled and 14 not in ruled
     last = corpus_pipeline.token_ids(spark, docs, d).collect()
