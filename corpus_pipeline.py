@@ -38,13 +38,17 @@ def classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, that of the smallest doc_id; of rows that repeat a doc_id one stays.
-    Rows without a doc_id stay.  Near copies share NEAR per cent of their five-word shingles; the bands find 99.99% of the
-    pairs on that threshold."""
-    kept = written(minhash.near_duplicates(docs, NEAR).where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__kept")).distinct(), "kept-documents")
-    # rows of one doc_id are folded before the shuffle, and the semi join uses the same shuffle: the texts move once
-    one = docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
-    return one.join(kept, one["doc_id"] == kept["__kept"], "left_semi").unionByName(docs.where("doc_id IS NULL"))
+    """One document of each group of near-duplicates, that of the smallest doc_id (null last).  A document is a doc_id with a text:
+    texts alone link documents, so a doc_id of several texts keeps each that is nobody's near copy.  Of rows equal in
+    doc_id and text one stays, the least by a hash of all its columns.  Documents without words stay.  Near copies share
+    NEAR per cent of their five-word shingles; the bands find 99.99% of the pairs on that threshold."""
+    kept = minhash.representatives(docs, NEAR).select(minhash.of_row(F.col("doc_id")).alias("__doc"), F.col("mark").alias("__mark"))
+    kept = written(kept, "kept-documents")
+    # equal rows are folded before the shuffle, and the semi join uses the same shuffle: the texts move once
+    whole = F.struct(*docs.columns)
+    marked = docs.select(minhash.of_row(F.col("doc_id")).alias("__doc"), F.xxhash64("text").alias("__mark"), whole.alias("__row"), F.xxhash64(whole).alias("__hash"))
+    one = marked.groupBy("__doc", "__mark").agg(F.min_by("__row", "__hash").alias("__row"))
+    return one.join(kept, ["__doc", "__mark"], "left_semi").select("__row.*")
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
