@@ -169,7 +169,8 @@ def held_out() -> Column:
 def fit(docs: DataFrame, labels: DataFrame, bound: int = BOUND) -> Gam:
     """A model of ``labels`` (doc_id, quality 0 or 1), those not held out, joined to ``docs`` (doc_id, text).
 
-    Other quality values are passed over; a document with several labels takes their majority, 1 if they tie.  Without
+    A labelled doc_id counts once, however many rows it has: of several texts the least by a hash stands for it.  So at most about
+    ``bound`` rows of features come to the driver.  Other quality values are passed over; a document with several labels takes their majority, 1 if they tie.  Without
     both labels every document scores the share of label 1 (0.5 without any).
     """
     usable = labels.select("doc_id", "quality").where(F.col("quality").isin(0, 1) & ~held_out()).groupBy("doc_id").agg(
@@ -177,6 +178,7 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = BOUND) -> Gam:
     share = min(1.0, bound / max(1, usable.count()))
     sample = usable.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30))))
     texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")  # about ``bound`` rows of two numbers
+    texts = texts.groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"), F.first("__label").alias("__label"))  # folded before the shuffle
     rows = featured(texts, ["doc_id", "__label"]).toArrow()
     x = np.array(rows.column("features").to_pylist(), np.float64).reshape(rows.num_rows, len(FEATURES))
     order = np.lexsort([*x.T, rows.column("doc_id").to_numpy()])

@@ -283,7 +283,7 @@ def test_bpe_equals_the_public_encoder(spark, docs, empty):
     tokens = bpe.read_ranks(RANKS)
     coder = bpe.Texts(bpe.Bpe(tokens), PATTERN)
     alphabet = "ab é \n \t'sx1½漢　 —😀\0"
-    texts = [t or "" for t in TEXTS] + ["".join(_random.choice(list(alphabet), int(_random.integers(50)))) for _ in range(600)] + ["ab" * 900 + " " + "é" * 1500]
+    texts = [t or "" for t in TEXTS] + ["".join(_random.choice(list(alphabet), int(_random.integers(50)))) for _ in range(600)] + ["ab" * 900 + " " + "é" * 1500, "ab" * 5000 + " " + "".join(_random.choice(list("etaoinshr"), 9000)) + " " + "é" * 5000]
     ids, counts = coder.encode([t.encode() for t in texts])
     for t, part in zip(texts, np.split(ids, np.cumsum(counts)[:-1]), strict=True):
         assert part.tolist() == own.encode_ordinary(t) and coder.bpe.decode(part) == t.encode()
@@ -360,6 +360,17 @@ def test_additive_model_learns_and_holds_out(spark, docs, empty):
     assert np.mean([r["predicted"] == int(r["doc_id"] < 200) for r in rows if r["held_out"]]) >= 0.97
     assert quality_gam.score(docs, model).count() == docs.count() and quality_gam.score(empty, model).count() == 0
     assert quality_gam.keep_good(frame, model).columns == frame.columns and quality_gam.keep_good(frame, model).count() == sum(r["predicted"] for r in rows)
+    # a doc_id in a third of all rows, with texts of its own, is one row of the sample
+    hot = next(i for i in range(200) if zlib.crc32(str(i).encode()) % 5)
+    more = frame.unionByName(spark.createDataFrame([(hot, prose(30, 9000 + i % 50)) for i in range(150)], "doc_id long, text string").withColumn("score", F.lit("x")))
+    seen = []
+    made, quality_gam.Gam = quality_gam.Gam, lambda x, y: seen.append((len(x), y.sum())) or made(x, y)
+    try:
+        quality_gam.fit(more, labels)
+        quality_gam.fit(frame, labels)
+    finally:
+        quality_gam.Gam = made
+    assert seen[0] == seen[1] and seen[0][0] <= 300
     nothing = quality_gam.fit(frame, labels.limit(0))
     assert {r["score"] for r in quality_gam.score(frame, nothing).collect()} == {0.5}
 
