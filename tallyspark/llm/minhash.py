@@ -270,10 +270,12 @@ def linked(docs: DataFrame, threshold: int, by_id: bool) -> tuple[DataFrame, Dat
     have links.  ``by_id``: rows that share a doc_id are linked for that, and rows without one take no part."""
     sig = written(signatures(docs).withColumn("row", F.monotonically_increasing_id()), "signatures")  # a number that writing fixes
     full = sig.where("n_shingles > 0 AND doc_id IS NOT NULL" if by_id else "n_shingles > 0")
-    # equal sets are one class, which its first row stands for
-    classes = written(full.groupBy("h0", "h1").agg(F.min("row").alias("node")), "classes")
+    # equal sets are one class, which one row stands for; classes are numbered in the order of their least doc_ids, so that the first
+    # of a group, which its copies were made from if any was, is what the others are compared with first
+    classes = full.groupBy("h0", "h1").agg(F.min("row").alias("row"), F.min("doc_id").alias("low")).orderBy(F.col("low").asc_nulls_last(), "row")
+    classes = written(classes.withColumn("node", F.monotonically_increasing_id()).drop("low"), "classes")
     member = written(full.select("doc_id", "mark", "h0", "h1").join(classes, ["h0", "h1"]).select("doc_id", "mark", "node"), "member")
-    nodes = written(full.withColumnRenamed("row", "node").join(classes.select("node"), "node", "left_semi"), "nodes")
+    nodes = written(full.join(classes.select("row", "node"), "row").drop("row"), "nodes")
     slim = nodes.drop("bands")
 
     rows = nodes.select("node", F.explode("bands").alias("key"))
