@@ -102,19 +102,19 @@ def signatures(docs: DataFrame) -> DataFrame:
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
-    """(node, shingles) of ``docs`` (node, text): the full sets."""
+    """(doc, mark, shingles) of ``docs`` (doc, mark, text): the full sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
         for batch in batches:
             for k in range(0, batch.num_rows, 256):
                 part = batch.slice(k, 256)
-                sets = list(sets_of(part.column(1), hasher))
+                sets = list(sets_of(part.column(2), hasher))
                 ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(sets).view(np.int64)))
-                yield pa.RecordBatch.from_arrays([part.column(0), lists], ["node", "shingles"])
+                yield pa.RecordBatch.from_arrays([*part.columns[:2], lists], ["doc", "mark", "shingles"])
 
-    return docs.select("node", "text").mapInArrow(run, "node long, shingles array<long>")
+    return docs.select("doc", "mark", "text").mapInArrow(run, "doc long, mark long, shingles array<long>")
 
 
 def most_differing(threshold: int) -> int:
@@ -152,9 +152,10 @@ def compared(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """(a, b, common, union) of the pairs' full sets.  The sets of the classes that still occur in a pair are
     made again from their texts; no others are moved, and of equal rows one."""
     in_pair = pairs.select(F.col("a").alias("node")).distinct().union(pairs.select("b").distinct()).distinct()
-    wanted = written(nodes.join(in_pair, "node").select("node", of_row(F.col("doc_id")).alias("__doc"), F.col("mark").alias("__mark")), "wanted")
-    texts = docs.select(of_row(F.col("doc_id")).alias("__doc"), F.xxhash64("text").alias("__mark"), "text").join(wanted, ["__doc", "__mark"]).dropDuplicates(["node"])
-    sets = written(shingle_sets(texts), "sets")
+    named = written(nodes.join(in_pair, "node").select("node", of_row(F.col("doc_id")).alias("doc"), "mark"), "named")
+    wanted = written(named.select("doc").distinct(), "wanted")  # a number a class: small enough to be sent around far longer than the texts
+    texts = docs.select(of_row(F.col("doc_id")).alias("doc"), F.xxhash64("text").alias("mark"), "text").join(wanted, "doc", "left_semi")
+    sets = written(shingle_sets(texts).join(named, ["doc", "mark"]).select("node", "shingles"), "sets").dropDuplicates(["node"])
     one = lambda x: sets.select(F.col("node").alias(x), F.col("shingles").alias(f"{x}_set"))
     both = pairs.join(one("a"), "a").join(one("b"), "b").select("a", "b", F.size(F.array_intersect("a_set", "b_set")).alias("common"),
                                                                 (F.size("a_set") + F.size("b_set")).alias("sizes"))
