@@ -2,16 +2,16 @@
 
 Prints ONE JSON line:
   {"metric": "headline_total_sec", "value": N, "unit": "sec", "queries": {...}, "sf": ...,
-   "literal_plan": {...}, "duckdb_oracle": {...}}
+   "oracle_text_on_spark": {...}, "duckdb_oracle": {...}}
 
 Each query runs end to end (parquet scan → result) and is forced with the
-``noop`` sink, so nothing is collected to the driver.  ``literal_plan`` times
-the source system's own statement shapes (``EXCEPT`` per branch, ``LEFT JOIN …
-IS NULL``) on the same Spark session, paired warm with ``idiomatic_warm`` (best
-of two, back to back), and ``duckdb_oracle`` the same text on single-node
-DuckDB, as comparison points.  ``staged_inputs`` writes the input bindings
-once as parquet (tables at rest) and times the operators, idiomatic and
-literal, over those identical tables.
+``noop`` sink, so nothing is collected to the driver.  ``oracle_text_on_spark``
+times the oracle's own text (one chain of steps with ``EXCEPT`` and ``NOT EXISTS``)
+on the same Spark session, paired warm with ``idiomatic_warm`` (best of two, back
+to back), and ``duckdb_oracle`` the same text on single-node DuckDB, as
+comparison points; neither is the source system's shape of three statements.
+``staged_inputs`` writes the input bindings once as parquet (tables at rest) and
+times the operators and the oracle text over those identical tables.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ HEADLINE = [
     "check_identity_conflicts", "backfill_chain", "job_profile_backfill", "migrate_account_txn",
     "assign_txn_id", "job_contact_load", "check_primary_key",
 ]
-LITERAL = ["missed_sale", "missed_return", "missed_void", "missed_all"]
+PAIRED = ["missed_sale", "missed_return", "missed_void", "missed_all"]
 
 
 def _sf_value(path: str) -> float | str:
@@ -47,8 +47,9 @@ def _force(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
-def _spark_literal_sql(sql: str) -> str:
-    """DuckDB oracle text → Spark SQL (only the timestamp parser differs)."""
+def _spark_oracle_text(sql: str) -> str:
+    """DuckDB oracle text → Spark SQL (the timestamp parser and the repetition of a row differ)."""
+    sql = re.sub(r"unnest\(range\((greatest\(1, coalesce\(times, 0\)\))\)\)", r"explode(array_repeat(0, cast(\1 as int)))", sql)
     return re.sub(r"strptime\(([^,]+), '%Y-%m-%d %H:%M:%S'\)", r"to_timestamp_ntz(\1, 'yyyy-MM-dd HH:mm:ss')", sql)
 
 
@@ -77,10 +78,10 @@ def main() -> None:
     for fx in ["pos_lines", "pos_lines_history", "member", "member_alt_id", "loyalty_txn", "profile_dim",
                "web_user"]:
         FX.FIXTURES[fx](spark, SF_DIR).createOrReplaceTempView(fx)
-    # warm pairs: idiomatic and literal back to back, best of two each
-    literal: dict[str, float] = {}
+    # warm pairs: idiomatic and oracle text back to back, best of two each
+    oracle_text: dict[str, float] = {}
     idiomatic_warm: dict[str, float] = {}
-    for name in LITERAL:
+    for name in PAIRED:
         body = {"missed_sale": O.missed_sql("SALE"), "missed_return": O.missed_sql("RETU"),
                 "missed_void": O.missed_sql("VOID"), "missed_all": O.MISSED_ALL_SQL}[name]
         best_i, best_l = float("inf"), float("inf")
@@ -89,13 +90,13 @@ def main() -> None:
             _force(QUERIES[name](spark, SF_DIR))
             best_i = min(best_i, time.perf_counter() - t0)
             t0 = time.perf_counter()
-            _force(spark.sql(_spark_literal_sql(body)))
+            _force(spark.sql(_spark_oracle_text(body)))
             best_l = min(best_l, time.perf_counter() - t0)
         idiomatic_warm[name] = round(best_i, 3)
-        literal[name] = round(best_l, 3)
+        oracle_text[name] = round(best_l, 3)
 
     # operators over inputs staged once as parquet (tables at rest), idiomatic
-    # vs literal on identical tables; best of two each
+    # vs oracle text on identical tables; best of two each
     from tallyspark.operators.backfill import backfill_ids
     from tallyspark.plans import reconcile as R
     from tallyspark.session import work_dir
@@ -129,9 +130,9 @@ def main() -> None:
             _force(build())
             bi = min(bi, time.perf_counter() - t0)
             t0 = time.perf_counter()
-            _force(spark.sql(_spark_literal_sql(sql)))
+            _force(spark.sql(_spark_oracle_text(sql)))
             bl = min(bl, time.perf_counter() - t0)
-        staged_times[name] = {"idiomatic": round(bi, 3), "literal": round(bl, 3)}
+        staged_times[name] = {"idiomatic": round(bi, 3), "oracle_text": round(bl, 3)}
 
     duck: dict[str, float] = {}
     try:
@@ -140,7 +141,7 @@ def main() -> None:
         con.execute(f"SET threads TO {CPUS}")
         for t in ["customer", "orders", "lineitem", "events"]:
             con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_DIR}/{t}.parquet')")
-        for name in LITERAL:
+        for name in PAIRED:
             t0 = time.perf_counter()
             con.execute(f"SELECT count(*) FROM ({ORACLE[name]}) q").fetchall()
             duck[name] = round(time.perf_counter() - t0, 3)
@@ -155,7 +156,7 @@ def main() -> None:
         "sf": _sf_value(SF_DIR),
         "cpus": CPUS,
         "idiomatic_warm": idiomatic_warm,
-        "literal_plan": literal,
+        "oracle_text_on_spark": oracle_text,
         "staged_inputs": {"stage_sec": stage_sec, "queries": staged_times},
         "duckdb_oracle": duck,
     }))

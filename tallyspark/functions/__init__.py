@@ -35,6 +35,11 @@ def bad_pos_ts(c) -> Column:
     return _c(c).isNotNull() & parse_pos_ts(c, strict=False).isNull()
 
 
+def run_stamp(c) -> Column:
+    """Run time as ``yyyyMMdd_HHmm``, the prefix of export names."""
+    return F.date_format(_c(c), RUN_STAMP_FORMAT)
+
+
 def tran_kind(c) -> Column:
     """Transaction kind: text before the first ``#`` (whole text when absent)."""
     return F.split_part(_c(c), F.lit("#"), F.lit(1))

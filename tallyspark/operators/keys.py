@@ -21,12 +21,10 @@ from pyspark.sql import functions as F
 LOW_BITS = 33
 
 
-def assign_index(df: DataFrame, id_col: str = "_idx", order: list[str | Column] | None = None,
-                 start: int = 0) -> DataFrame:
-    """Gap-free index ``start, start+1, …``; in ``order`` when given (one range
-    shuffle and a local sort), else in the existing partition order (no shuffle)."""
-    cols = [c for c in df.columns if c != id_col]
-    base = df.select(*cols)
+def place_rows(df: DataFrame, order: list[str | Column] | None = None, path: str | None = None) -> DataFrame:
+    """Rows with a durable place (``_pid``, ``_pos``): in ``order`` when given (one range shuffle and a local sort), else in the
+    existing partition order (no shuffle).  Written to ``path``, which the caller removes after use, or checkpointed."""
+    base = df
     if order:
         # ties may be numbered in any order: a per-row tiebreaker lets the range
         # partitioner split a hot sort key (or many identical rows) over partitions
@@ -34,12 +32,31 @@ def assign_index(df: DataFrame, id_col: str = "_idx", order: list[str | Column]
                 .orderBy(*order, "_tb").drop("_tb"))
     placed = (base.withColumn("_pid", F.spark_partition_id().cast("long"))
               .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(F.col("_pid"), LOW_BITS)))
-    placed = placed.checkpoint(eager=True)
+    if path is None:
+        return placed.checkpoint(eager=True)
+    placed.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(placed.schema).parquet(path)
+
+
+def number_rows(placed: DataFrame, id_col: str, ranges: list[tuple[int, int | None]]) -> DataFrame:
+    """Placed rows with ids from ``ranges`` of (first id, count), one after the other; a count of None is without end."""
+    cols = [c for c in placed.columns if c not in ("_pid", "_pos")]
     counts = placed.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    numbered = placed.join(F.broadcast(offsets), "_pid")
-    return numbered.select((F.lit(start).cast("long") + F.col("_off") + F.col("_pos")).alias(id_col), *cols)
+    at, used, number = F.col("_off") + F.col("_pos"), 0, F.lit(None).cast("long")
+    for first, count in ranges:
+        inside = (at >= used) & (at < used + count if count is not None else F.lit(True))
+        number = F.when(inside, F.lit(first - used).cast("long") + at).otherwise(number)
+        used += count or 0
+    numbered = placed.join(F.broadcast(offsets), "_pid")  # one row a partition
+    return numbered.select(number.alias(id_col), *cols)
+
+
+def assign_index(df: DataFrame, id_col: str = "_idx", order: list[str | Column] | None = None,
+                 start: int = 0) -> DataFrame:
+    """Gap-free index ``start, start+1, …``, in ``order`` when given."""
+    return number_rows(place_rows(df.select(*[c for c in df.columns if c != id_col]), order), id_col, [(start, None)])
 
 
 def assign_sequential_ids(df: DataFrame, order: list[str | Column], start: int = 1001,

@@ -76,13 +76,20 @@ def contact_defaults(run_ts=None) -> dict[str, Column]:
     return {"crmid_reused": F.lit(False), "createdat": _ts(run_ts), "lastupdatedat": _ts(run_ts)}
 
 
+ACCOUNT_TXN_ORDER = ["referencenumber", "memberid"]
+
+
+def account_txn_layout(staged: DataFrame, alt: DataFrame, run_ts=None) -> DataFrame:
+    """Staged account transactions → loyalty-transaction rows, still without ids."""
+    j = join_alt_ids(staged, alt)
+    mapped = j.select("memberid", *[F.col(src).alias(dst) for src, dst in ACCOUNT_TXN_MAPPING.items()])
+    return conform(mapped, S.LOYALTY_TXN_SCHEMA, defaults=txn_defaults(run_ts))
+
+
 def account_txn_to_loyalty(staged: DataFrame, alt: DataFrame, run_ts=None, start: int = S.LOYALTY_TXN_ID_START,
                            order: list[str] | None = None) -> DataFrame:
     """Staged account transactions → loyalty-transaction rows with fresh ids."""
-    j = join_alt_ids(staged, alt)
-    mapped = j.select("memberid", *[F.col(src).alias(dst) for src, dst in ACCOUNT_TXN_MAPPING.items()])
-    laid_out = conform(mapped, S.LOYALTY_TXN_SCHEMA, defaults=txn_defaults(run_ts))
-    return assign_sequential_ids(laid_out, order or ["referencenumber", "memberid"], start=start)
+    return assign_sequential_ids(account_txn_layout(staged, alt, run_ts), order or ACCOUNT_TXN_ORDER, start=start)
 
 
 def contacts_to_target(stage: DataFrame, run_ts=None) -> DataFrame:

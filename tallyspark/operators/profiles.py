@@ -58,6 +58,22 @@ def latest_per_key(df: DataFrame, key: Column, ts: str, value: str,
         F.col("_best.v").alias(value), F.col(key_name))
 
 
+STATE = "email string, dated boolean, last_update_ts timestamp_ntz, uuid string"
+
+
+def latest_state(profiles: DataFrame, key: str = "email_address") -> DataFrame:
+    """The latest active profile of each lower-cased e-mail, as a state that can be merged (STATE)."""
+    best = F.max(F.struct(F.col("last_update_ts").isNotNull().alias("dated"), "last_update_ts", "uuid")).alias("best")
+    return active(profiles).groupBy(F.lower(key).alias("email")).agg(best).select("email", "best.*")
+
+
+def merge_latest(state: DataFrame, delivery: DataFrame) -> DataFrame:
+    """A state and another (of a later, a late or a repeated delivery) as one: a maximum of maxima, so the order of
+    deliveries does not matter and a repeated one changes nothing."""
+    best = F.max(F.struct("dated", "last_update_ts", "uuid")).alias("best")
+    return state.unionByName(delivery).groupBy("email").agg(best).select("email", "best.*")
+
+
 def top_k_per_key(df: DataFrame, key: str, order: list[Column], k: int) -> DataFrame:
     """Top-k rows per key (``row_number() <= k``; Spark inserts a partial
     group limit before the shuffle)."""
@@ -65,9 +81,12 @@ def top_k_per_key(df: DataFrame, key: str, order: list[Column], k: int) -> DataF
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k).drop("_rn")
 
 
-def latest_profile_per_email(profiles: DataFrame, web_users: DataFrame) -> DataFrame:
-    """Latest active profile per lower-cased e-mail among web users: (uuid, email)."""
-    known = match_case_insensitive(active(profiles), web_users, "email_address", "p_uid", how="left_semi")
+def latest_profile_per_email(profiles: DataFrame, users: DataFrame, user_col: str = "p_uid") -> DataFrame:
+    """Latest active profile per lower-cased e-mail among the users (web users, CRM contacts): (uuid, email).
+
+    The users' e-mails are folded before the shuffle: the semi join cannot split its right side."""
+    keys = users.select(F.lower(user_col).alias("_user_email")).where(F.col("_user_email").isNotNull()).distinct()
+    known = active(profiles).join(keys, F.lower("email_address") == F.col("_user_email"), "left_semi")
     return latest_per_key(known, F.lower("email_address"), "last_update_ts", "uuid", key_name="email")
 
 

@@ -33,6 +33,7 @@ def not_null_counts(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def foreign_key_violations(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
-    """Child rows whose non-NULL foreign key has no parent row."""
-    p = parent.select(F.col(pk).alias("_pk"))
+    """Child rows whose non-NULL foreign key has no parent row.  Parent keys are folded before the shuffle: nothing here relies on
+    their being unique, and the anti join cannot split its right side."""
+    p = parent.select(F.col(pk).alias("_pk")).distinct()
     return child.where(F.col(fk).isNotNull()).join(p, F.col(fk) == p["_pk"], "left_anti")

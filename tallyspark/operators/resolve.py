@@ -41,3 +41,22 @@ def resolve_members(lines: DataFrame, member: DataFrame, alt: DataFrame,
     resolved = (lines.where(F.col(key).isNotNull())
                 .join(lookup, F.col(key) == lookup["lookup_id"], "inner"))
     return resolved.drop("lookup_id").withColumnRenamed("memberid", out)
+
+
+def store_lookup(member: DataFrame, alt: DataFrame, table: str, path: str, buckets: int) -> None:
+    """Write the lookup as a table bucketed and sorted by ``lookup_id``: made once per change of the members, read by every batch."""
+    (member_lookup(member, alt).repartition(buckets, "lookup_id").write.mode("overwrite").option("path", path)
+     .bucketBy(buckets, "lookup_id").sortBy("lookup_id").saveAsTable(table))
+
+
+def stage_lines(lines: DataFrame, table: str, path: str, buckets: int, key: str = "hd_loyalty_id") -> None:
+    """Write the lines that can resolve (those with a loyalty id) in the same buckets."""
+    (lines.where(F.col(key).isNotNull()).repartition(buckets, key).write.mode("overwrite").option("path", path)
+     .bucketBy(buckets, key).sortBy(key).saveAsTable(table))
+
+
+def resolve_stored(lines: DataFrame, lookup: DataFrame, key: str = "hd_loyalty_id", out: str = "memberid") -> DataFrame:
+    """``resolve_members`` over a stored lookup.  Where both tables have the same buckets by their keys the join needs no shuffle;
+    a loyalty id with very many lines then stays in its bucket's task, so stage lines unbucketed where that matters (the join
+    then shuffles the lines alone, and Spark can split the frequent id)."""
+    return lines.join(lookup, F.col(key) == lookup["lookup_id"], "inner").drop("lookup_id").withColumnRenamed("memberid", out)

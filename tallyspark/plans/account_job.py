@@ -1,20 +1,25 @@
-"""Account-transaction migration job: stage a CRM export, migrate it under keys that continue the target's, and
-check the target's declared keys."""
+"""Account-transaction migration job: stage a CRM export, migrate it under keys of its own, and check the target's declared
+keys.
+
+The keys of a load are a range that the job reserves in a ledger beside the target before it writes a row.  So any load, not
+only the last, can be run again under its own ids, and two loads never share one.
+"""
 
 from __future__ import annotations
 
 import re
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyspark import schemas as S
-from tallyspark.operators.keys import next_start
-from tallyspark.operators.migrate import account_txn_to_loyalty
+from tallyspark.files import Files
+from tallyspark.operators.keys import next_start, number_rows, place_rows
+from tallyspark.operators.migrate import ACCOUNT_TXN_ORDER, account_txn_layout
 from tallyspark.operators.quality import foreign_key_violations, primary_key_violations
+from tallyspark.plans.ledger import KeyLedger
 from tallyspark.sinks import write_overwrite
 from tallyspark.sources import read_account_txn
 
@@ -33,27 +38,34 @@ class AccountMigration:
 
 def read_target(spark: SparkSession, target_path: str, but: str | None = None) -> DataFrame | None:
     """Migrated transactions, those of load ``but`` left out; None if nothing was loaded yet."""
-    schema = T.StructType([*S.LOYALTY_TXN_SCHEMA.fields, T.StructField(LOAD_PARTITION, T.StringType())])
-    try:
-        target = spark.read.schema(schema).parquet(target_path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not Files(spark).exists(target_path):
         return None
+    schema = T.StructType([*S.LOYALTY_TXN_SCHEMA.fields, T.StructField(LOAD_PARTITION, T.StringType())])
+    target = spark.read.schema(schema).parquet(target_path)
     return target if but is None else target.where(F.col(LOAD_PARTITION) != but)
 
 
+def key_folder(target_path: str) -> str:
+    return f"{target_path.rstrip('/')}-keys"
+
+
 def run_account_migration(spark: SparkSession, paths: str | list[str], alt: DataFrame, member: DataFrame, target_path: str,
                           run_dir: str, run_ts, load_id: str) -> AccountMigration:
-    """Load one export as load ``load_id``, a partition of the target.  Running the last load again replaces its own
-    rows and no others, under the same ids."""
+    """Load one export as load ``load_id``, a partition of the target.  Running a load again replaces its own rows and no
+    others, under the same ids; if it has grown, the rows more get a range behind all others."""
     if not re.fullmatch(r"[A-Za-z0-9_-]+", load_id):
         raise ValueError(f"load id {load_id!r}: letters, digits, - and _ only")
     staged = write_overwrite(read_account_txn(spark, paths), f"{run_dir}/staged")
-    earlier = read_target(spark, target_path, but=load_id)
-    first = S.LOYALTY_TXN_ID_START if earlier is None else next_start(earlier, default=S.LOYALTY_TXN_ID_START)
-    rows = account_txn_to_loyalty(spark.read.schema(S.ACCOUNT_TXN_SCHEMA).parquet(f"{run_dir}/staged"), alt, run_ts, start=first)
-    loaded = write_overwrite(rows, f"{target_path}/{LOAD_PARTITION}={load_id}")
+    laid_out = account_txn_layout(spark.read.schema(S.ACCOUNT_TXN_SCHEMA).parquet(f"{run_dir}/staged"), alt, run_ts).drop("id")
+    # ordered by all columns: rows that tie are equal, so a repeated load numbers its rows as it did before
+    rest = [c for c in laid_out.columns if c not in ACCOUNT_TXN_ORDER]
+    placed = place_rows(laid_out, [*ACCOUNT_TXN_ORDER, *rest], f"{run_dir}/placed")
+    keys = KeyLedger(spark, key_folder(target_path), S.LOYALTY_TXN_ID_START)
+    if not keys.ranges() and (earlier := read_target(spark, target_path)) is not None:  # rows from before there was a ledger
+        keys.start = next_start(earlier, default=S.LOYALTY_TXN_ID_START)
+    ranges = keys.reserve(load_id, placed.count())
+    loaded = write_overwrite(number_rows(placed, "id", ranges).select(*S.LOYALTY_TXN_COLUMNS), f"{target_path}/{LOAD_PARTITION}={load_id}")
+    Files(spark).delete(f"{run_dir}/placed")
     target = read_target(spark, target_path)
-    return AccountMigration(staged, loaded, first, target, primary_key_violations(target, ["id"]),
+    return AccountMigration(staged, loaded, ranges[0][0] if ranges else keys.start, target, primary_key_violations(target, ["id"]),
                             foreign_key_violations(target, "memberid", member, "id"))

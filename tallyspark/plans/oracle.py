@@ -1,10 +1,10 @@
 """Oracle SQL for the DuckDB correctness check.
 
 The input bindings are repeated here as SQL text (FIXTURES.md part C), written
-independently of the DataFrame bindings in ``tallyspark.fixtures``.  Query text
-keeps the source system's own form where it differs from the Spark one
-(``LEFT JOIN … IS NULL`` for anti joins, ``EXCEPT`` for the batch difference,
-two-step updates), so the rewrite is what gets tested.
+independently of the DataFrame bindings in ``tallyspark.fixtures``.  Where it can
+a statement takes another way than the Spark plan (``EXCEPT``, ``NOT EXISTS``,
+members repeated by a count instead of an outer join, updates in two steps), so
+that an error of the plan does not pass by being made twice.
 """
 
 from __future__ import annotations
@@ -182,15 +182,20 @@ CANDIDATE_FIELDS = ",\n       ".join([
 
 
 def _steps(kinds: tuple[str, ...]) -> str:
-    """fresh: lines that history lacks; owner: every loyalty id's member as often as it matches, that of the member
-    table before the alternate one; candidate: fresh lines of the kinds whose loyalty id has an owner."""
+    """fresh: lines that history lacks; direct: members by loyalty id, as often as alternate rows name that id, once at least;
+    owner: these, and alternate rows of the ids that no member has; candidate: fresh lines of the kinds that have an owner."""
     wanted = ", ".join(f"'{k}'" for k in kinds)
     return f"""fresh AS (
   SELECT * FROM pos_lines EXCEPT SELECT * FROM pos_lines_history
+), named AS (
+  SELECT altid, count(*) AS times FROM member_alt_id GROUP BY altid
+), direct AS (
+  SELECT consumerid AS loyalty, id AS memberid, unnest(range(greatest(1, coalesce(times, 0)))) AS copy
+    FROM member LEFT JOIN named ON altid = consumerid WHERE consumerid IS NOT NULL
 ), owner AS (
-  SELECT coalesce(d.consumerid, i.altid) AS loyalty, coalesce(d.id, i.memberid) AS memberid
-    FROM (SELECT consumerid, id FROM member WHERE consumerid IS NOT NULL) d
-    FULL OUTER JOIN (SELECT altid, memberid FROM member_alt_id WHERE altid IS NOT NULL) i ON d.consumerid = i.altid
+  SELECT loyalty, memberid FROM direct
+  UNION ALL
+  SELECT altid, memberid FROM member_alt_id WHERE memberid IS NOT NULL AND altid NOT IN (SELECT loyalty FROM direct)
 ), candidate AS (
   SELECT split_part(x.hd_order_or_tran_id, '#', 1) AS kind, owner.memberid AS memberid,
        {CANDIDATE_FIELDS}
@@ -236,14 +241,19 @@ ZONES_SQL = "('BEL', 'CZE', 'DEU', 'ESP', 'FRA', 'GBR', 'ITA', 'NLD')"
 IN_ZONE_WHERE = (f"active_flag = 1 AND email_address IN "
                  f"(SELECT email FROM crm_contact WHERE loyaltyzonecode IN {ZONES_SQL})")
 
-#: of each e-mail that a web user has, the active profile that changed last; undated ones come last, ties go to the larger uuid
-LATEST_PROFILE_SQL = """SELECT arg_max(struct_pack(u := p.uuid), struct_pack(dated := p.last_update_ts IS NOT NULL, at := coalesce(p.last_update_ts, TIMESTAMP '1000-01-01'), u := p.uuid)).u AS uuid,
+def latest_profile_sql(users: str, column: str) -> str:
+    """Of each e-mail that a user has, the active profile that changed last; undated ones come last, ties go to the larger uuid."""
+    return f"""SELECT arg_max(struct_pack(u := p.uuid), struct_pack(dated := p.last_update_ts IS NOT NULL, at := coalesce(p.last_update_ts, TIMESTAMP '1000-01-01'), u := p.uuid)).u AS uuid,
        lower(p.email_address) AS email
   FROM profile_dim p
- WHERE p.active_flag = 1 AND EXISTS (SELECT 1 FROM web_user w WHERE lower(w.p_uid) = lower(p.email_address))
+ WHERE p.active_flag = 1 AND EXISTS (SELECT 1 FROM {users} w WHERE lower(w.{column}) = lower(p.email_address))
  GROUP BY lower(p.email_address)"""
 
 
+LATEST_PROFILE_SQL = latest_profile_sql("web_user", "p_uid")
+LATEST_CRM_PROFILE_SQL = latest_profile_sql("crm_contact", "email")
+
+
 def backfill_step_sql(member_sql: str, source_sql: str, run_ts: str, by: str) -> str:
     """One ``UPDATE member SET consumerid = s.uuid, audit … FROM source s WHERE
     lower(member.email) = s.email AND consumerid IS NULL`` as a SELECT."""

@@ -14,11 +14,15 @@ from pyspark.sql import functions as F
 
 from tallyspark import fixtures as FX
 from tallyspark import schemas as S
-from tallyspark.functions import amount_real, country_prefix, parse_pos_ts, row_json, tran_kind
+from tallyspark.files import Files
+from tallyspark.functions import amount_real, country_prefix, parse_pos_ts, row_json, run_stamp, tran_kind
 from tallyspark.operators.delta import archived_history
-from tallyspark.operators.reconcile import candidate_layout
+from tallyspark.operators.reconcile import candidate_layout, with_kind
+from tallyspark.operators.resolve import resolve_stored, stage_lines, store_lookup
+from tallyspark.plans import backfill_job as BF
 from tallyspark.plans import oracle as O
 from tallyspark.plans import reconcile as R
+from tallyspark.session import work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -97,6 +101,11 @@ def q_fn_amount_real(spark, d):
                                          amount_real("itm_amt_after_disc").alias("amount"))
 
 
+@register("fn_run_stamp", "SELECT DISTINCT o_orderdate, strftime(o_orderdate, '%Y%m%d_%H%M') AS stamp FROM orders")
+def q_fn_run_stamp(spark, d):
+    return spark.read.parquet(f"{d}/orders.parquet").select("o_orderdate", run_stamp("o_orderdate").alias("stamp")).distinct()
+
+
 # ------------------------------------------------------------------ member resolution, reconciliation
 @register("join_resolve_member",
           "SELECT p.memberid, " + O.MISSED_SELECT + " FROM (" + O.candidate_sql(None) + ") p")
@@ -104,6 +113,16 @@ def q_join_resolve_member(spark, d):
     return R.candidates(_inputs(spark, d)).drop("kind")
 
 
+@register("join_resolve_bucketed", "SELECT p.memberid, " + O.MISSED_SELECT + " FROM (" + O.candidate_sql(None) + ") p")
+def q_join_resolve_bucketed(spark, d):
+    """New lines and the stored lookup in the same buckets, joined without a shuffle."""
+    run = work_dir(spark, "lookup")
+    lookup, lines = (f"{n}_{run.rsplit('-', 1)[1]}" for n in ("lookup", "lines"))
+    store_lookup(FX.member(spark, d), FX.member_alt_id(spark, d), lookup, f"{run}/lookup", 16)
+    stage_lines(with_kind(R.new_batch_lines(_inputs(spark, d)), ["SALE", "RETU", "VOID"]), lines, f"{run}/lines", 16)
+    return candidate_layout(resolve_stored(spark.table(lines), spark.table(lookup)), keep=("memberid",))
+
+
 @register("missed_sale", O.missed_sql("SALE"))
 def q_missed_sale(spark, d):
     return R.missed_lines(_inputs(spark, d), "SALE")
@@ -296,14 +315,40 @@ def q_backfill_chain(spark, d):
     return backfill_ids(FX.member(spark, d), [FX.crm_profile(spark, d), FX.web_profile(spark, d)], RUN_TS)
 
 
-@register("job_profile_backfill", O.backfill_step_sql(_CRM_STEP, O.LATEST_PROFILE_SQL, RUN_TS, BACKFILL_BY))
+_BACKFILLED = O.backfill_step_sql(O.backfill_step_sql("SELECT * FROM member", O.LATEST_CRM_PROFILE_SQL, RUN_TS, BACKFILL_BY), O.LATEST_PROFILE_SQL, RUN_TS, BACKFILL_BY)
+
+
+def _profile_sources(spark, d) -> list[DataFrame]:
+    """The latest active profile per e-mail (W1) among CRM contacts, then among web users."""
+    profiles = FX.profile_dim(spark, d)
+    return [P.latest_profile_per_email(profiles, FX.crm_contact(spark, d), "email"), P.latest_profile_per_email(profiles, FX.web_user(spark, d))]
+
+
+@register("job_profile_backfill", _BACKFILLED)
 def q_job_profile_backfill(spark, d):
-    """Web source = latest active profile per e-mail among web users (W1)."""
-    web_source = P.latest_profile_per_email(FX.profile_dim(spark, d), FX.web_user(spark, d))
-    return backfill_ids(FX.member(spark, d), [FX.crm_profile(spark, d), web_source], RUN_TS)
+    return backfill_ids(FX.member(spark, d), _profile_sources(spark, d), RUN_TS)
 
 
-_BACKFILLED = O.backfill_step_sql(_CRM_STEP, O.LATEST_PROFILE_SQL, RUN_TS, BACKFILL_BY)
+@register("job_backfill_landed", _BACKFILLED)
+def q_job_backfill_landed(spark, d):
+    """The member table after two landing runs, the second from the web profiles as well."""
+    run, (crm, web) = work_dir(spark, "member-target"), _profile_sources(spark, d)
+    BF.land_members(FX.member(spark, d), f"{run}/member", 64)
+    BF.run_backfill(spark, f"{run}/member", [crm], f"{run}/one", RUN_TS, "one")
+    BF.run_backfill(spark, f"{run}/member", [crm, web], f"{run}/two", RUN_TS, "two")
+    return BF.read_members(spark, f"{run}/member").select(*S.MEMBER_SCHEMA.names)
+
+
+@register("window_latest_state", O.latest_profile_sql("(SELECT email_address FROM profile_dim)", "email_address"))
+def q_window_latest_state(spark, d):
+    """The stored state after three deliveries of the profiles, the second one delivered again."""
+    run, profiles = work_dir(spark, "latest"), FX.profile_dim(spark, d)
+    state = spark.createDataFrame([], P.STATE)
+    for i, part in enumerate((2, 0, 1, 0)):
+        delivery = profiles.where(F.pmod(F.xxhash64("uuid", "email_address", "last_update_ts"), F.lit(3)) == part)
+        P.merge_latest(state, P.latest_state(delivery)).write.parquet(f"{run}/{i}")
+        state = spark.read.parquet(f"{run}/{i}")
+    return state.select("uuid", "email").where("email IS NOT NULL")
 
 
 @register("job_profile_conflicts", O.conflicts_sql(
@@ -355,8 +400,9 @@ from tallyspark import streaming as ST  # noqa: E402
 from tallyspark.functions import POS_TS_FORMAT  # noqa: E402
 from tallyspark.plans.account_job import run_account_migration  # noqa: E402
 from tallyspark.plans.contact_job import constraint_report, run_contact_load  # noqa: E402
-from tallyspark.plans.pos_job import archive_lines, run_pos_reconcile  # noqa: E402
-from tallyspark.session import work_dir  # noqa: E402
+from tallyspark.plans import history as H  # noqa: E402
+from tallyspark.plans.ledger import StepLedger  # noqa: E402
+from tallyspark.plans.pos_job import archive_lines, ledger_folder, run_pos_reconcile  # noqa: E402
 
 # Fixed values for the file fixtures: drop prefix and file-name stamps.
 DROP_PREFIX = "POSLOG_DAILY"
@@ -409,6 +455,25 @@ def q_src_account_csv(spark, d):
     return SRC.read_account_txn(spark, f"{folder}/accounttransaction_BE")
 
 
+def _load_with_bad_lines(spark, d) -> SRC.Load:
+    """Today's batch with a file of lines that have two fields."""
+    folder = work_dir(spark, "pos-bad")
+    lines = FX.pos_lines(spark, d)
+    _write_csv(lines, f"{folder}/in/good", "|")
+    _write_csv(lines.where(F.col("itm_sku").cast("long") % 97 == 0).select(F.lit("broken").alias("a"), "hd_order_or_tran_id"), f"{folder}/in/bad", "|")
+    return SRC.load_delimited(spark, [f"{folder}/in/good", f"{folder}/in/bad"], S.POS_SCHEMA, f"{folder}/staged", "|", most_bad=0.05)
+
+
+@register("src_bad_rows", "SELECT * FROM pos_lines")
+def q_src_bad_rows(spark, d):
+    return _load_with_bad_lines(spark, d).good
+
+
+@register("src_rejects", "SELECT 'bad' AS drop_name, concat('broken|', hd_order_or_tran_id) AS line FROM pos_lines WHERE CAST(itm_sku AS BIGINT) % 97 = 0")
+def q_src_rejects(spark, d):
+    return _load_with_bad_lines(spark, d).rejects.select(F.element_at(F.split("source_file", "/"), -2).alias("drop_name"), "line")
+
+
 def _contact_files(spark, d, stage: DataFrame | None = None) -> list[str]:
     """One contact file set per country, as the CRM export delivers them."""
     folder = work_dir(spark, "contact-csv")
@@ -445,10 +510,10 @@ def q_job_contact_checks(spark, d):
     return constraint_report(run_contact_load(spark, _contact_files(spark, d, untidy), target, RUN_TS))
 
 
-def _run_account_loads(spark, d):
+def _run_account_loads(spark, d, loads=(0, 1)):
     """The account transactions of even numbers and then those of odd numbers, loaded into one target."""
     run, staged = work_dir(spark, "account-run"), FX.crm_account_txn(spark, d)
-    for load in (0, 1):
+    for load in loads:
         _write_csv(staged.where(F.col("accounttransactionid").cast("long") % 2 == load), f"{run}/in{load}", ",")
         result = run_account_migration(spark, f"{run}/in{load}", FX.member_alt_id(spark, d), FX.member(spark, d), f"{run}/target",
                                        f"{run}/work{load}", RUN_TS, f"load{load}")
@@ -461,6 +526,12 @@ def q_job_account_migration(spark, d):
     return _run_account_loads(spark, d).target.select(*S.LOYALTY_TXN_COLUMNS)
 
 
+@register("job_account_reload", O.account_txn_sql(RUN_TS, "CAST(referencenumber AS BIGINT) % 2, "))
+def q_job_account_reload(spark, d):
+    """The target after both loads and the first one again: it gets its own ids."""
+    return _run_account_loads(spark, d, (0, 1, 0)).target.select(*S.LOYALTY_TXN_COLUMNS)
+
+
 @register("job_account_checks", """
 SELECT count(*) AS loaded, CAST(0 AS BIGINT) AS key_violations, count(*) - count(m.id) AS orphans
   FROM (SELECT a.memberid FROM member_alt_id a JOIN crm_account_txn t ON a.altid = t.altid) x LEFT JOIN member m ON x.memberid = m.id""")
@@ -511,6 +582,16 @@ def q_sink_bulk_payload(spark, d):
     return K.payload_rows(spark.read.json(path))
 
 
+@register("sink_payload_chunks", f"SELECT CAST(place // 1000 AS BIGINT) AS chunk_id, count(*) AS n_rows, count(*) AS rows_inside FROM "
+          f"(SELECT row_number() OVER () - 1 AS place FROM ({O.MISSED_ALL_SQL}) m) x GROUP BY 1")
+def q_sink_payload_chunks(spark, d):
+    """Chunks of the payload: their numbers, the rows that they say they hold and the rows that they do."""
+    path = work_dir(spark, "payload") + "/chunks"
+    K.bulk_payload_chunks(R.missed_lines(_inputs(spark, d)), max_rows=1000).write.mode("overwrite").json(path)
+    return spark.read.schema("chunk_id long, n_rows long, payload string").json(path).select(
+        "chunk_id", "n_rows", F.size(F.from_json("payload", "array<string>")).cast("long").alias("rows_inside"))
+
+
 @register("fn_row_json", O.row_json_sql(O.MISSED_ALL_SQL))
 def q_fn_row_json(spark, d):
     return R.missed_lines(_inputs(spark, d)).select(row_json(S.MISSED_COLUMNS).alias("row_json"))
@@ -545,6 +626,69 @@ def q_job_pos_export(spark, d):
     return K.payload_rows(spark.read.json(_run_job(spark, d)[0].payload_path))
 
 
+@register("job_history_compacted", "SELECT * FROM pos_lines_history UNION ALL "
+          "(SELECT * FROM pos_lines EXCEPT SELECT * FROM pos_lines_history)")
+def q_job_history_compacted(spark, d):
+    """History of eight batches and today's new lines after compaction: every line is there, every day in one part."""
+    run = work_dir(spark, "history")
+    lines = FX.pos_lines_history(spark, d)
+    for i in range(8):
+        H.archive_lines(lines.where(F.pmod(F.xxhash64("itm_sku"), F.lit(8)) == i), f"{run}/history", f"b{i}")
+    batch = FX.pos_lines(spark, d)
+    new = R.new_lines(batch, H.history_for_batch(H.read_history(spark, f"{run}/history"), H.batch_days(batch)), cols=S.POS_COLUMNS)
+    H.archive_lines(new, f"{run}/history", "today")
+    H.compact(spark, f"{run}/history")
+    return H.read_history(spark, f"{run}/history").select(*S.POS_COLUMNS)
+
+
+class _Broken(RuntimeError):
+    pass
+
+
+class _BreaksOff(StepLedger):
+    """A ledger whose run fails when ``last`` steps are done."""
+
+    last = 0
+
+    def step(self, name, mark, work):
+        out = super().step(name, mark, work)
+        if self.at == self.last:
+            raise _Broken(name)
+        return out
+
+
+def _resumed_run(spark, d) -> StepLedger:
+    """The job, broken off after each of its steps in turn and taken up again."""
+    run = work_dir(spark, "pos-resumed")
+    archive_lines(FX.pos_lines_history(spark, d), f"{run}/history", "before")
+    for steps in (1, 2, 3, 4, 5, 6, 0):
+        ledger = _BreaksOff(spark, ledger_folder(f"{run}/work", "today"))
+        ledger.last = steps
+        try:
+            run_pos_reconcile(spark, FX.pos_lines(spark, d), f"{run}/history", FX.member(spark, d), FX.member_alt_id(spark, d), FX.loyalty_txn(spark, d),
+                              f"{run}/work", f"{run}/out", None, run_ts=RUN_DT, batch_id="today", resume=ledger)
+        except _Broken:
+            pass
+    return ledger
+
+
+@register("job_pos_resumed", f"""
+SELECT s.step, CASE s.step WHEN 'stage' THEN (SELECT count(*) FROM pos_lines) WHEN 'new-lines' THEN n.n WHEN 'archive' THEN n.n ELSE m.n END AS n_rows, 1 AS ran
+  FROM (VALUES ('stage'), ('new-lines'), ('missed'), ('export'), ('payload'), ('archive')) s(step),
+       (SELECT count(*) AS n FROM (SELECT * FROM pos_lines EXCEPT SELECT * FROM pos_lines_history) x) n, (SELECT count(*) AS n FROM ({O.MISSED_ALL_SQL}) y) m""")
+def q_job_pos_resumed(spark, d):
+    """The ledger of a run that broke off after every step: each step is in it once and ran once."""
+    entries = _resumed_run(spark, d).entries()
+    return spark.createDataFrame([(e["step"], e["result"]["rows"], e["ran"]) for e in entries], "step string, n_rows long, ran int")
+
+
+@register("job_pos_ready_export", O.row_json_sql(O.MISSED_ALL_SQL))
+def q_job_pos_ready_export(spark, d):
+    """What a reader of finished exports sees after a run."""
+    run = _run_job(spark, d)[1].rsplit("/", 1)[0]
+    return K.read_ready(spark, f"{run}/out").select("row_json")
+
+
 @register("job_pos_gate_tripped", "SELECT count(*) AS history, false AS passed, CAST(0 AS BIGINT) AS exported, CAST(0 AS BIGINT) AS archived "
           "FROM pos_lines_history")
 def q_job_pos_gate_tripped(spark, d):
@@ -565,12 +709,10 @@ def q_job_run_summary(spark, d):
         F.lit(r.exported).cast("long").alias("exported"), F.lit(r.archived).cast("long").alias("archived"))
 
 
-@register("stream_ingest_archive", O.MISSED_ALL_SQL)
-def q_stream_ingest_archive(spark, d):
-    """Today's batch arrives as several files; the stream reconciles them one
-    micro-batch at a time and archives consumed files."""
+def _run_stream(spark, d) -> tuple[str, dict]:
+    """Today's batch arrives as several files; the stream reconciles them two files at a time and moves them away."""
     root = work_dir(spark, "stream")
-    _write_csv(FX.pos_lines(spark, d), f"{root}/in", "|")
+    _write_csv(FX.pos_lines(spark, d).repartition(4), f"{root}/in", "|")
     history = f"{root}/history"
     archive_lines(FX.pos_lines_history(spark, d), history, "before")
     # the lookups are tables at rest, read by every micro-batch
@@ -578,7 +720,22 @@ def q_stream_ingest_archive(spark, d):
     for name in ("member", "member_alt_id", "loyalty_txn"):
         FX.FIXTURES[name](spark, d).write.mode("overwrite").parquet(f"{root}/{name}")
         tables[name] = spark.read.parquet(f"{root}/{name}")
-    ST.reconcile_stream(spark, f"{root}/in", f"{root}/ckpt", f"{root}/out", history,
-                        tables["member"], tables["member_alt_id"], tables["loyalty_txn"],
-                        archive_dir=f"{root}/processed", file_glob="*.csv")
-    return ST.read_stream_output(spark, f"{root}/out")
+    results = ST.reconcile_stream(spark, f"{root}/in", f"{root}/ckpt", f"{root}/out", history, tables["member"], tables["member_alt_id"], tables["loyalty_txn"],
+                                  archive_dir=f"{root}/processed", max_files_per_trigger=2, file_glob="*.csv")
+    return root, results
+
+
+@register("stream_ingest_archive", O.MISSED_ALL_SQL)
+def q_stream_ingest_archive(spark, d):
+    """Missed lines of all micro-batches."""
+    return ST.read_stream_output(spark, _run_stream(spark, d)[0] + "/out")
+
+
+@register("stream_consumed_files", "SELECT CAST(0 AS BIGINT) AS left_in_drop, true AS all_moved, p.* FROM pos_lines p")
+def q_stream_consumed_files(spark, d):
+    """The lines of the files in the processed folder after one run, beside what is left in the drop folder."""
+    root, _ = _run_stream(spark, d)
+    left = [e for e in Files(spark).list(f"{root}/in") if e.name.endswith(".csv")]
+    moved = [e.path for e in Files(spark).walk(f"{root}/processed") if e.name.endswith(".csv")]
+    lines = SRC.read_pos_lines(spark, moved)
+    return lines.select(F.lit(len(left)).cast("long").alias("left_in_drop"), F.lit(len(moved) == 4).alias("all_moved"), *S.POS_COLUMNS)

@@ -10,6 +10,7 @@ we create one under the system temp folder.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -68,7 +69,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         spark.sparkContext.setCheckpointDir(conf_dir)
         return spark.sparkContext.getCheckpointDir()
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):  # local-cluster has executors of its own
         raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     local = tempfile.mkdtemp(prefix="tallyspark-ckpt-")
     spark.sparkContext.setCheckpointDir(local)

@@ -7,11 +7,13 @@ no second pass over the data is needed.
 from __future__ import annotations
 
 import datetime as dt
+import json
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyspark.files import Files
 from tallyspark.functions import JSON_TS_FORMAT, row_json
 from tallyspark.operators.keys import assign_index
 from tallyspark.operators.migrate import conform
@@ -89,3 +91,42 @@ def bulk_payload_chunks(df: DataFrame, max_rows: int = 1000, cols: list[str] | N
 def payload_rows(chunks: DataFrame) -> DataFrame:
     """The row objects inside payloads, one JSON text per row (for checks)."""
     return chunks.select(F.explode(F.from_json("payload", "array<string>")).alias("row_json"))
+
+
+READY = "_READY.json"
+
+
+def _content(spark: SparkSession, path: str) -> dict:
+    """Rows of a JSON-lines export and a sum of their hashes, which no order changes."""
+    one = spark.read.text(path).agg(F.count(F.lit(1)).alias("rows"), F.sum(F.xxhash64("value").cast("decimal(20,0)")).alias("sum")).first()
+    return {"rows": int(one["rows"]), "sum": str(one["sum"] or 0)}
+
+
+def mark_ready(spark: SparkSession, folder: str, export_path: str) -> None:
+    """Say that a batch's export may be read: its path, rows and checksum, written after all else of the batch."""
+    Files(spark).replace(f"{folder}/{READY}", json.dumps({"export": export_path} | _content(spark, export_path)))
+
+
+def unmark_ready(spark: SparkSession, folder: str) -> None:
+    """Take the mark back before a batch is written anew."""
+    Files(spark).delete(f"{folder}/{READY}")
+
+
+def ready_exports(spark: SparkSession, out_dir: str) -> dict[str, str]:
+    """Export path by batch folder, of the batches that are marked ready."""
+    files = Files(spark)
+    marked = [e for e in files.list(out_dir) if e.is_dir and files.exists(f"{e.path}/{READY}")]
+    return {e.name: json.loads(files.read(f"{e.path}/{READY}"))["export"] for e in marked}
+
+
+def read_ready(spark: SparkSession, out_dir: str) -> DataFrame:
+    """JSON lines (column ``row_json``, with the batch's folder) of all batches marked ready; ValueError if one is not what its
+    mark says."""
+    files, exports = Files(spark), ready_exports(spark, out_dir)
+    out = spark.createDataFrame([], "row_json string, batch string")
+    for batch, path in exports.items():
+        said = json.loads(files.read(f"{out_dir.rstrip('/')}/{batch}/{READY}"))
+        if _content(spark, path) != {k: said[k] for k in ("rows", "sum")}:
+            raise ValueError(f"export of {batch} differs from its mark")
+        out = out.union(spark.read.text(path).select(F.col("value").alias("row_json"), F.lit(batch).alias("batch")))
+    return out

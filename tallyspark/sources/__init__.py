@@ -13,8 +13,9 @@ Rules shared by every reader:
 from __future__ import annotations
 
 import re
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
@@ -23,6 +24,7 @@ from tallyspark import schemas as S
 from tallyspark.functions import POS_TS_FORMAT
 
 QUOTED_EMPTY = "\u0001<empty>\u0001"
+BAD_LINE = "_bad_line"
 
 
 def _csv_options(sep: str, keep_quoted_empty: bool, multi_line: bool = False) -> dict[str, str]:
@@ -55,6 +57,36 @@ def read_delimited(spark: SparkSession, paths: str | list[str], schema: T.Struct
     return _restore_empty(df, schema) if keep_quoted_empty else df
 
 
+class TooManyBadRows(ValueError):
+    pass
+
+
+@dataclass(frozen=True)
+class Load:
+    good: DataFrame
+    rejects: DataFrame  # source_file, line
+    rows: int
+    bad: int
+
+
+def load_delimited(spark: SparkSession, paths: str | list[str], schema: T.StructType, folder: str, sep: str = ",",
+                   most_bad: float = 0.01, multi_line: bool = False) -> Load:
+    """Stage delimited files below ``folder``, malformed lines apart: those of another number of fields or with a field that is not
+    of its type.  The files are parsed once.  A share of bad lines over ``most_bad`` raises ``TooManyBadRows``; the staged
+    lines are there to be looked at."""
+    read = spark.read.schema(T.StructType([*schema.fields, T.StructField(BAD_LINE, T.StringType())]))
+    options = _csv_options(sep, True, multi_line) | {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_LINE}
+    rows = _restore_empty(read.options(**options).csv(paths).withColumn("source_file", F.col("_metadata.file_path")), schema)
+    seen = Observation("load")
+    counted = rows.withColumn("rejected", F.col(BAD_LINE).isNotNull()).observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if("rejected").alias("bad"))
+    counted.write.mode("overwrite").partitionBy("rejected").parquet(folder)
+    n, bad = int(seen.get.get("rows") or 0), int(seen.get.get("bad") or 0)
+    if bad > most_bad * n:
+        raise TooManyBadRows(f"{bad} of {n} lines are malformed, see rejected=true below {folder}")
+    staged = spark.read.schema(T.StructType([*rows.schema.fields, T.StructField("rejected", T.BooleanType())])).parquet(folder)
+    return Load(staged.where(~F.col("rejected")).select(*schema.fieldNames()), staged.where("rejected").select("source_file", F.col(BAD_LINE).alias("line")), n, bad)
+
+
 def read_pos_lines(spark: SparkSession, paths: str | list[str], keep_quoted_empty: bool = True,
                    with_source: bool = False, multi_line: bool = False) -> DataFrame:
     """Pipe-delimited POS line files (42 text columns)."""

@@ -95,10 +95,10 @@ def test_odd_empty_and_null_stamps_are_not_new_twice(spark, run_dir):
 
 
 def new_lines_of(spark, batch, args):
-    from tallyspark.plans.pos_job import archive_lines, history_for_batch, read_history
+    from tallyspark.plans.history import archive_lines, batch_days, history_for_batch, read_history
 
     history = read_history(spark, args[0])
-    found = batch.dropDuplicates() if history is None else new_lines(batch, history_for_batch(history, batch), cols=S.POS_COLUMNS)
+    found = batch.dropDuplicates() if history is None else new_lines(batch, history_for_batch(history, batch_days(batch)), cols=S.POS_COLUMNS)
     found = found.select(*S.POS_COLUMNS)
     n = found.count()
     if n:
@@ -138,7 +138,8 @@ def test_stream_equals_batch_and_archives_files(spark):
     assert streamed.count() == 1685
     assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
     moved = [f for _, _, fs in os.walk(local_path(f"{root}/processed")) for f in fs if f.endswith(".csv")]
-    assert len(moved) >= 2   # the last batch's files move when a later batch commits
+    left = [f for f in os.listdir(local_path(f"{root}/in")) if f.endswith(".csv")]
+    assert len(moved) == 3 and left == []
 
 
 def test_partitioned_transactions_are_pruned_by_day(spark, run_dir):
@@ -196,6 +197,9 @@ def test_account_loads_continue_ids_and_repeat(spark, run_dir):
     rows = lambda: sorted(map(tuple, second.target.select("id", "referencenumber", "memberid").collect()))
     before = rows()
     assert [r[0] for r in before] == list(range(S.LOYALTY_TXN_ID_START, S.LOYALTY_TXN_ID_START + first.loaded + second.loaded))
+    earlier = load(0, "a")  # not the last load, and under its own ids
+    assert (earlier.first_id, earlier.loaded) == (first.first_id, first.loaded) and sorted(map(tuple, earlier.target.select("id", "referencenumber", "memberid").collect())) == before
+    assert not [f for f in os.listdir(local_path(run_dir)) if f == "placed"] and not os.path.exists(local_path(f"{run_dir}/work-a/placed"))
     again = load(1, "b")
     assert again.first_id == second.first_id and again.key_violations.count() == 0
     assert sorted(map(tuple, again.target.select("id", "referencenumber", "memberid").collect())) == before
