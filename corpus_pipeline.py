@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read again as the next
 stage's ``docs``.  All but the last return the columns of documents.  ``ORACLE_SQL`` is None: SQL can express neither the
-learnt classifier nor the merges of the encoder, so the tests hold each stage against a brute-force version.
+learnt classifier nor the merges of the encoder.  The tests hold near-dedup, the counts of the rules, the mixture's targets and the
+encoder against brute force, and the classifier by its behaviour on rows held out.
 """
 
 from __future__ import annotations
