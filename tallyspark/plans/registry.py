@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyspark import fixtures as FX
 from tallyspark import schemas as S
@@ -399,6 +400,7 @@ from tallyspark import sources as SRC  # noqa: E402
 from tallyspark import streaming as ST  # noqa: E402
 from tallyspark.functions import POS_TS_FORMAT  # noqa: E402
 from tallyspark.plans.account_job import run_account_migration  # noqa: E402
+from tallyspark.plans.key_store import KeyStore  # noqa: E402
 from tallyspark.plans.contact_job import constraint_report, run_contact_load  # noqa: E402
 from tallyspark.plans import history as H  # noqa: E402
 from tallyspark.plans.ledger import StepLedger  # noqa: E402
@@ -513,34 +515,75 @@ def q_job_contact_checks(spark, d):
 def _run_account_loads(spark, d, loads=(0, 1)):
     """The account transactions of even numbers and then those of odd numbers, loaded into one target."""
     run, staged = work_dir(spark, "account-run"), FX.crm_account_txn(spark, d)
+    results = []
     for load in loads:
         _write_csv(staged.where(F.col("accounttransactionid").cast("long") % 2 == load), f"{run}/in{load}", ",")
-        result = run_account_migration(spark, f"{run}/in{load}", FX.member_alt_id(spark, d), FX.member(spark, d), f"{run}/target",
-                                       f"{run}/work{load}", RUN_TS, f"load{load}")
-    return result
+        results.append(run_account_migration(spark, f"{run}/in{load}", FX.member_alt_id(spark, d), FX.member(spark, d), f"{run}/target",
+                                             f"{run}/work{load}", RUN_TS, f"load{load}"))
+    return results
 
 
 @register("job_account_migration", O.account_txn_sql(RUN_TS, "CAST(referencenumber AS BIGINT) % 2, "))
 def q_job_account_migration(spark, d):
     """The target after two loads: the second one's ids continue the first one's."""
-    return _run_account_loads(spark, d).target.select(*S.LOYALTY_TXN_COLUMNS)
+    return _run_account_loads(spark, d)[-1].target.select(*S.LOYALTY_TXN_COLUMNS)
 
 
 @register("job_account_reload", O.account_txn_sql(RUN_TS, "CAST(referencenumber AS BIGINT) % 2, "))
 def q_job_account_reload(spark, d):
     """The target after both loads and the first one again: it gets its own ids."""
-    return _run_account_loads(spark, d, (0, 1, 0)).target.select(*S.LOYALTY_TXN_COLUMNS)
+    return _run_account_loads(spark, d, (0, 1, 0))[-1].target.select(*S.LOYALTY_TXN_COLUMNS)
 
 
 @register("job_account_checks", """
 SELECT count(*) AS loaded, CAST(0 AS BIGINT) AS key_violations, count(*) - count(m.id) AS orphans
   FROM (SELECT a.memberid FROM member_alt_id a JOIN crm_account_txn t ON a.altid = t.altid) x LEFT JOIN member m ON x.memberid = m.id""")
 def q_job_account_checks(spark, d):
-    """Rows of the target, its primary-key violations and its rows without a member."""
-    r = _run_account_loads(spark, d)
+    """Rows of the target, and what the checks of the two loads found: ids that are not unique and rows without a member."""
+    first, second = _run_account_loads(spark, d)
     counted = lambda df, name: df.agg(F.count(F.lit(1)).alias(name))
-    return (counted(r.target, "loaded").withColumn("one", F.lit(1)).join(counted(r.key_violations, "key_violations").withColumn("one", F.lit(1)), "one")
-            .join(counted(r.orphans, "orphans").withColumn("one", F.lit(1)), "one").drop("one"))
+    violations, orphans = first.key_violations.unionByName(second.key_violations), first.orphans.unionByName(second.orphans)
+    return (counted(second.target, "loaded").withColumn("one", F.lit(1)).join(counted(violations, "key_violations").withColumn("one", F.lit(1)), "one")
+            .join(counted(orphans, "orphans").withColumn("one", F.lit(1)), "one").drop("one"))
+
+
+_TXN_KEY = T.StructType([T.StructField("referencenumber", T.StringType()), T.StructField("type", T.StringType())])
+
+
+@register("check_keys_by_load", """
+WITH delivered AS (SELECT referencenumber, type, CASE WHEN type = 'PURCHASE' THEN 'a' WHEN type IS NULL OR monetaryamount > 1000 THEN 'b' ELSE 'c' END AS load FROM loyalty_txn),
+  upto AS (SELECT * FROM delivered UNION ALL SELECT referencenumber, 'PURCHASE', 'b' FROM delivered WHERE type = 'VOID_RETURN'),
+  loads(load) AS (VALUES ('a'), ('b'), ('c'))
+SELECT s.load, u.referencenumber, u.type, count(*) AS n,
+       CASE WHEN u.referencenumber IS NULL OR u.type IS NULL THEN 'null' ELSE 'duplicate' END AS problem
+  FROM loads s JOIN upto u ON u.load <= s.load GROUP BY s.load, u.referencenumber, u.type
+HAVING count(*) FILTER (WHERE u.load = s.load) > 0 AND (count(*) > 1 OR u.referencenumber IS NULL OR u.type IS NULL)""")
+def q_check_keys_by_load(spark, d):
+    """Key violations that each of three loads reports when it is added, as a scan of all rows loaded until then would find them.  Load b also
+    delivers purchases under the numbers of voided returns."""
+    txn = FX.loyalty_txn(spark, d)
+    load = F.when(F.col("type") == "PURCHASE", "a").when(F.col("type").isNull() | (F.col("monetaryamount") > 1000), "b").otherwise("c")
+    again = txn.where("type = 'VOID_RETURN'").select("referencenumber", F.lit("PURCHASE").alias("type"), F.lit("b").alias("load"))
+    delivered = txn.select("referencenumber", "type", load.alias("load")).unionByName(again)
+    run = work_dir(spark, "key-store")
+    store, found = KeyStore(spark, f"{run}/store", _TXN_KEY, 16), []
+    for name in ("a", "b", "c"):
+        store.add(name, delivered.where(F.col("load") == name), run)
+        K.write_overwrite(store.violations(name).select(F.lit(name).alias("load"), "*"), f"{run}/found/{name}")
+        found.append(spark.read.parquet(f"{run}/found/{name}"))
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
+@register("check_orphans_by_bucket", """
+SELECT c.* FROM (SELECT CASE WHEN memberid % 10 = 0 THEN -memberid ELSE memberid END AS memberid, altid FROM member_alt_id) c
+ WHERE c.memberid IS NOT NULL AND c.memberid NOT IN (SELECT id FROM member WHERE id IS NOT NULL)""")
+def q_check_orphans_by_bucket(spark, d):
+    """As check_foreign_key, against the stored keys of the members."""
+    run = work_dir(spark, "member-keys")
+    store = KeyStore(spark, f"{run}/store", T.StructType([S.MEMBER_SCHEMA["id"]]), 16)
+    store.add("members", FX.member(spark, d), run)
+    child = FX.member_alt_id(spark, d).withColumn("memberid", F.when(F.col("memberid") % 10 == 0, -F.col("memberid")).otherwise(F.col("memberid")))
+    return store.missing(child, ["memberid"])
 
 
 @register("sink_overwrite", O.MISSED_ALL_SQL)

@@ -7,6 +7,7 @@ import os
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from conftest import SF_SMALL
 from helpers import EMPTY_ALT, alt_ids, lines_df, members, pos_line, txn_df
@@ -19,9 +20,12 @@ from tallyspark import streaming as ST
 from tallyspark.operators import profiles as P
 from tallyspark.operators.delta import new_lines
 from tallyspark.operators.keys import number_rows, place_rows
+from tallyspark.operators.quality import primary_key_violations
 from tallyspark.operators.resolve import member_lookup, resolve_members, resolve_stored, stage_lines, store_lookup
 from tallyspark.plans import backfill_job as BF
 from tallyspark.plans import history as H
+from tallyspark.plans import key_store as KS
+from tallyspark.plans.key_store import MERGE_AT, KeyStore
 from tallyspark.plans.ledger import KeyLedger, StepLedger, fingerprint
 from tallyspark.plans.pos_job import run_pos_reconcile, txn_for_days
 from tallyspark.session import local_path, work_dir
@@ -374,3 +378,66 @@ def test_state_of_deliveries_in_any_order(spark):
             state = P.merge_latest(state, parts[i])
         assert sorted(map(str, state.collect())) == whole
     assert {(r["email"], r["uuid"]) for r in P.latest_state(frame).collect()} == {("a@x", "u3"), ("b@x", "u4"), (None, "u5")}
+
+
+# -- keys by load ---------------------------------------------------------------------------------------------------
+
+
+KEY = T.StructType([T.StructField("k", T.LongType()), T.StructField("t", T.StringType())])
+
+
+def found(df):
+    return sorted(map(str, df.select("k", "t", "n", "problem").collect()))
+
+
+def test_keys_of_a_load_are_held_against_its_buckets_alone(spark):
+    run = work_dir(spark, "test-keys")
+    store, loads = KeyStore(spark, f"{run}/store", KEY, 32), {}
+    frame = lambda rows: spark.createDataFrame(rows, "k int, t string, other string")  # noqa: E731  an int is held as the long it stands for
+    given = [("a", [(i, "x", "-") for i in range(200)] + [(None, "x", "-"), (7, None, "-")]), ("b", [(3, "x", "-"), (3, "y", "-"), (1000, "x", "-"), (1000, "x", "-")]),
+             ("c", [(None, "x", "-")]), ("d", []), ("b", [(1000, "x", "-"), (3, "z", "-")]), ("a", [(3, "z", "-"), (None, None, "-")])]
+    for name, rows in given:
+        loads[name] = frame(rows)
+        store.add(name, loads[name], run)
+        table = loads[name].limit(0)
+        for rows_of in loads.values():
+            table = table.unionByName(rows_of)
+        whole = primary_key_violations(table.withColumn("k", F.col("k").cast("long")), ["k", "t"])
+        own = loads[name].select(F.col("k").cast("long").alias("_k"), F.col("t").alias("_t")).distinct()
+        assert found(store.violations(name)) == found(whole.join(own, F.col("k").eqNullSafe(F.col("_k")) & F.col("t").eqNullSafe(F.col("_t")), "left_semi")), name
+    assert store.loads() == ["a", "b", "c", "d"] and store.touched("d") == []
+    files = store.read(store.touched("b")).inputFiles()
+    assert files and {f.split("_bucket=")[1].split("/")[0] for f in files} == set(map(str, store.touched("b"))) and len(store.touched("b")) <= 2
+    assert sorted(r["k"] for r in store.missing(frame([(3, "z", "-"), (3, "q", "-"), (None, "z", "-"), (5, None, "-"), (1000, "x", "-")]), ["k", "t"]).collect()) == [3]
+
+
+def test_buckets_of_keys_are_merged(spark):
+    run = work_dir(spark, "test-keys-merged")
+    store = KeyStore(spark, f"{run}/store", KEY, 1)
+    for i in range(MERGE_AT + 3):
+        store.add(f"l{i}", spark.createDataFrame([(i, "x"), (0, "y")], KEY), run)
+        assert len(store._parts(0)) < MERGE_AT
+    assert found(store.violations("l5")) == [f"Row(k=0, t='y', n={MERGE_AT + 3}, problem='duplicate')"]
+    store.add("l5", spark.createDataFrame([(0, "z")], KEY), run)  # its keys lay in the merged part
+    assert found(store.violations("l5")) == [] and found(store.violations("l4")) == [f"Row(k=0, t='y', n={MERGE_AT + 2}, problem='duplicate')"]
+
+
+@pytest.mark.parametrize("at", ["before", "after"])
+def test_keys_of_a_load_that_broke_off_are_added_again(spark, monkeypatch, at):
+    run = work_dir(spark, "test-keys-broken")
+    store = KeyStore(spark, f"{run}/store", KEY, 4)
+    store.add("a", spark.createDataFrame([(1, "x")], KEY), run)
+    real = KS.publish
+
+    def broken(*args):
+        if at == "after":
+            real(*args)
+        raise OSError("broken off")
+
+    monkeypatch.setattr(KS, "publish", broken)
+    with pytest.raises(OSError, match="broken off"):
+        store.add("b", spark.createDataFrame([(1, "x"), (2, "x")], KEY), run)
+    monkeypatch.undo()
+    assert store.loads() == ["a"]
+    store.add("b", spark.createDataFrame([(1, "x"), (2, "x")], KEY), run)
+    assert store.loads() == ["a", "b"] and found(store.violations("b")) == ["Row(k=1, t='x', n=2, problem='duplicate')"]
