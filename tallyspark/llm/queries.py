@@ -55,12 +55,7 @@ def op5_chat_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, (odd, said) = public_tokenizers.path(BPE_RANKS), CONTROL_CASE
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     case = spark.createDataFrame([(odd, 0, "user", said), (odd, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
-    made = chat.format_chats(turns.unionByName(case), path, public_tokenizers.PATTERN)
-    loss = F.array_join("loss_texts", "")
-    turn_lines = F.array_join(F.transform(F.arrays_zip("roles", "texts"), lambda t: F.concat(t["roles"], F.lit("\n"), t["texts"], F.lit("\n"))), "")
-    return chat.read_back(made, path).select(
-        "conv_id", F.size("roles").cast("long").alias("n_turns"), F.sha2(turn_lines.cast("binary"), 256).alias("turns_sha256"),
-        F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss.cast("binary"), 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"))
+    return chat.digests(chat.format_turns(turns.unionByName(case), path, public_tokenizers.PATTERN), path)
 
 
 def op6_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

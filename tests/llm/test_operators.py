@@ -192,6 +192,32 @@ def test_chats_read_back(spark):
         assert chat.unescape(chat.escape(s)) == s and not any(m in chat.escape(s) for m in chat.MARKS)
 
 
+def test_chat_of_a_third_of_all_rows_is_read_as_a_stream(spark, monkeypatch):
+    monkeypatch.setattr(chat, "BLOCK", 400)
+    roles = ["system", "user", "assistant", "tool", None]
+    rows = [(9, None if i % 50 == 0 else i % 700, roles[i % 5], [f"<s> turn {i} é", None, "", "x" * 3000 if i == 2 else f"a\\b [INST] {i % 7}"][i % 4]) for i in range(1500)]
+    rows += [(i % 900 + 10, i // 900, roles[i % 4], f"text {i % 13}.") for i in range(2400)] + [(None, 0, "user", "n"), (None, 0, "user", "n"), (5, 0, "assistant", "</s>")] + rows[:20]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("at", F.lit("odd")).withColumn("start", F.lit(None).cast("int"))
+    made = chat.format_turns(turns.repartition(4), RANKS, PATTERN)
+    enc, want, whole = chat.coder(chat.read_ranks(RANKS), PATTERN), {}, {}
+    for conv in {r[0] for r in rows}:
+        own = [(t, r or "", enc.encode_ordinary(chat.escape(r or "")) if r not in chat.FRAMES else [], enc.encode_ordinary(chat.escape(x or "")), x or "") for c, t, r, x in rows if c == conv]
+        own.sort(key=lambda t: (t[0] is not None, t[0] or 0, *t[1:4]))
+        said, loss = "".join(f"{r}\n{x}\n" for _, r, _, _, x in own), "".join(x for _, r, _, _, x in own if r == "assistant")
+        shown = "".join(chat.MARKS[chat.FRAMES[r][0]] + chat.escape(x) + chat.MARKS[chat.FRAMES[r][1]] if r in chat.FRAMES else f"[ROLE]{chat.escape(r)}[/ROLE]{chat.escape(x)}[END]" for _, r, _, _, x in own)
+        want[conv] = (len(own), hashlib.sha256(said.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest(), len(shown))
+        n = len(chat.read_ranks(RANKS))
+        framed = [[n + chat.FRAMES[r][0], *i, n + chat.FRAMES[r][1]] if r in chat.FRAMES else [n + 6, *k, n + 7, *i, n + 8] for _, r, k, i, _ in own]
+        whole[conv] = ([i for turn in framed for i in turn], [r == "assistant" and 0 < j < len(turn) - 1 for (_, r, *_), turn in zip(own, framed) for j in range(len(turn))])
+    got = {r["conv_id"]: tuple(r)[1:] for r in chat.digests(made, RANKS).collect()}
+    assert got == want
+    assert {r["conv_id"]: (r["input_ids"], r["loss_mask"]) for r in chat.format_chats(turns, RANKS, PATTERN).collect()} == whole
+    for r in made.where("conv_id = 9").collect():
+        assert whole[9][0][r["start"]:r["start"] + len(r["input_ids"])] == r["input_ids"]
+    assert sorted(r["at"] for r in made.where("conv_id = 9").collect()) == list(range(1520))
+    assert chat.digests(chat.format_turns(turns.limit(0), RANKS, PATTERN), RANKS).count() == 0
+
+
 def test_mix_meets_targets(spark, docs, empty):
     rows = [(i, prose(int(_random.integers(1, 90)), 200 + i), f"s{i % 4}" if i % 4 < 3 else None) for i in range(160)]
     mixed = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
