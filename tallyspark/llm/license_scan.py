@@ -8,6 +8,10 @@ their inverse document frequencies; words that are in no template weigh as words
 template's heavy words are passed over, since they cannot reach ``LEAST``.  A part that is within ``MARGIN`` as near to another
 licence names neither.  Document frequencies of the template words are counted over all documents.
 
+Two things are taken out of a text before it is compared: clauses that deny a licence ("is not released under ..."), to the end of
+their sentence, and SPDX tags, which are read as expressions (identifiers with AND, OR, WITH) and name the whole expression; a
+tag with an identifier that no template has names none.
+
 A file without a notice of its own takes the licence of the nearest directory above it that has a licence file
 (``LICENSE`` by name): the directories above each file are joined to the table of licence files, and the longest path wins.
 Everything is DataFrame expressions.
@@ -84,6 +88,22 @@ TEMPLATES = _templates()
 _PARTING = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~\t\r\f\v"
 
 
+#: An SPDX tag with its expression (group 1), to the end of the line or comment.
+_TAG = r"(?i)\bSPDX-License-Identifier:[ \t]*((?:[a-z0-9.+()-]+[ \t]+(?:AND|OR|WITH)[ \t]+)*[a-z0-9.+()-]+)[ \t]*(?:\*/|-->)?[ \t\r]*(?:\n|$)"
+#: Any SPDX tag, with the rest of its line.
+_TAG_LINE = r"(?i)\bSPDX-License-Identifier:[^\n]*"
+#: A clause that denies a licence: up to a full stop that no digit follows, 300 characters at most.
+_DENIED = (r"(?i)(?:\bnot|\bnever|\bno longer|n['\u2019]t)\s+(?:\w+\s+)?(?:released|licen[sc]ed|distributed|covered|governed|available|published|offered)\s+(?:under|by)\b"
+           r"(?:[^.]|\.(?=\d)){0,300}")
+
+
+def compared(text: Column) -> Column:
+    """The text without SPDX tags and denied licences."""
+    low = F.lower(text)
+    plain = F.when(low.contains("spdx-license-identifier:"), F.regexp_replace(text, _TAG_LINE, " ")).otherwise(text)
+    return F.when(low.contains("licen"), F.regexp_replace(plain, _DENIED, " ")).otherwise(plain)
+
+
 def cleaned(text: Column, also: str = "") -> Column:
     """The text in lower case with a space for each parting character (and each of ``also``)."""
     return F.translate(F.lower(text), _PARTING + also, " " * len(_PARTING + also))
@@ -163,20 +183,28 @@ def scan(files: DataFrame, templates: dict[str, list[str]] = TEMPLATES) -> DataF
         return bound(structs, clear)
 
     # texts without a heavy word are not looked at again
-    plain = F.regexp_replace(F.regexp_replace("text", r"\r\n?", "\n"), r"\n[ \t]*(?=\n)", "\n")
-    flat = cleaned(F.col("text"), "\n")
-    lines = F.filter(F.split(cleaned(F.col("text")), "\n"), lambda x: F.arrays_overlap(words(x), heavy))
+    plain = F.regexp_replace(F.regexp_replace("__text", r"\r\n?", "\n"), r"\n[ \t]*(?=\n)", "\n")
+    flat = cleaned(F.col("__text"), "\n")
+    lines = F.filter(F.split(cleaned(F.col("__text")), "\n"), lambda x: F.arrays_overlap(words(x), heavy))
     blocks = F.filter(F.transform(F.split(plain, "\n{2,}"), lambda x: cleaned(x, "\n")), lambda x: F.arrays_overlap(words(x), heavy))
     every = [k for k, (_, _, tag) in enumerate(vectors) if not tag]
     # a tag is read as a whole: its identifier is one word, so that an unknown one is near to none
     tag_of = {x.split(": ")[1].lower(): (k, name) for name, texts in templates.items() for k, x in enumerate(texts) if x.startswith("SPDX")}
-    tagged = F.transform(F.regexp_extract_all("text", F.lit(r"(?i)\bSPDX-License-Identifier:[ \t]*([a-z0-9.+-]+)[ \t]*(?:\*/|-->)?[ \t\r]*(?:\n|$)"), F.lit(1)), F.lower)
-    tag_words, tag_names = fixed(tag_of, "string"), fixed([name for _, name in tag_of.values()], "string")
-    tag_names = F.transform(F.filter(tagged, lambda x: F.array_contains(tag_words, x)), lambda x: F.get(tag_names, F.array_position(tag_words, x).cast("int") - 1))
+    tag_words, names_of = fixed(tag_of, "string"), fixed([name for _, name in tag_of.values()], "string")
+    before = lambda x, i: F.lower(F.get(x, i - 1)) == "with"  # noqa: E731  what follows WITH is an exception, which stands as it is
+
+    def expression(x: Column) -> Column:
+        """The expression's words with the templates' identifiers; null if one of them is unknown."""
+        named = bound(F.split(F.trim(F.regexp_replace(F.regexp_replace(x, r"([()])", " $1 "), r"\s+", " ")), " "), lambda w: F.transform(w, lambda t, i: F.when(F.lower(t).isin("and", "or", "with", "(", ")"), F.upper(t))
+                      .when(F.coalesce(before(w, i), F.lit(False)), t).otherwise(F.get(names_of, F.array_position(tag_words, F.lower(t)).cast("int") - 1))))
+        return bound(named, lambda w: F.when(~F.exists(w, lambda t: t.isNull()), F.regexp_replace(F.array_join(w, " "), r"(?<=\() | (?=\))", "")))
+
+    tag_names = F.when(F.lower("text").contains("spdx-license-identifier:"), F.filter(F.transform(F.regexp_extract_all("text", F.lit(_TAG), F.lit(1)), expression), lambda x: x.isNotNull()))
     parts = F.array_distinct(F.transform(F.concat(lines, blocks, F.array(flat)), ids))
-    found = files.withColumn("__any", F.arrays_overlap(words(flat), heavy)).withColumn("__parts", F.when(F.col("__any"), parts)).withColumn("__ids", F.when(F.col("__any"), ids(flat))).withColumn("__tags", F.when(F.col("__any"), tag_names))
+    found = files.withColumn("__text", compared(F.col("text"))).withColumn("__any", F.arrays_overlap(words(flat), heavy)).withColumn("__parts", F.when(F.col("__any"), parts))
+    found = found.withColumn("__ids", F.when(F.col("__any"), ids(flat))).withColumn("__tags", tag_names)
     at = F.filter(F.transform("__ids", lambda x, i: F.when(F.array_contains(heavy_ids, x), i)), lambda i: i.isNotNull())
-    found = written(found.withColumn("__at", at).drop("text", "__any"), "parts")
+    found = written(found.withColumn("__at", at).drop("text", "__text", "__any"), "parts")
     tops = [F.transform("__parts", lambda x: best(x, every)),
             F.transform("__tags", lambda x: F.struct(F.lit(1.04).alias("class"), F.lit(4).alias("words"), F.lit(1.0).alias("score"), F.lit(0).alias("place"), x.alias("licence")))]
     sizes: dict[int, list[int]] = {}
@@ -187,8 +215,13 @@ def scan(files: DataFrame, templates: dict[str, list[str]] = TEMPLATES) -> DataF
         step = max(1, size // 64)
         near = F.flatten(F.transform("__at", lambda i: F.sequence(F.greatest(F.floor((i - size + step) / step), F.lit(0)), F.floor(i / step))))  # noqa: B023
         tops.append(F.transform(F.array_distinct(near), lambda s: bound(F.slice("__ids", (s * step + 1).cast("int"), size), lambda x: best(x, which))))  # noqa: B023
-    top = F.array_max(F.concat(*tops))
-    named = found.withColumn("__top", F.when(F.col("__at").isNotNull(), top))
+    # an absent list counts as an empty one: a text may have a tag and no heavy word
+    top = F.array_max(F.concat(*[F.coalesce(x, F.array()) for x in tops]))
+    some = F.col("__at").isNotNull() | (F.coalesce(F.size("__tags"), F.lit(0)) > 0)
+    # the few rows that have something to compare are a small part of the bytes and nearly all of the work: dealt by number
+    marked = found.where(some)
+    spread = max(files.sparkSession.sparkContext.defaultParallelism, marked.count() // 500)
+    named = marked.repartition(spread).withColumn("__top", top).unionByName(found.where(~some).withColumn("__top", F.lit(None)))
     return named.select(*[c for c in files.columns if c != "text"], F.col("__top.licence").alias("own_licence"), F.coalesce("__top.score", F.lit(0.0)).alias("own_score"))
 
 
@@ -201,19 +234,19 @@ def inherit(files: DataFrame) -> DataFrame:
              .select("folder", F.col("x.path").alias("from_path"), F.col("x.own_licence").alias("given")))
     named = written(named, "licence-files")
     # only files without a notice look upward; their folders are made distinct first
-    folders = files.where("own_licence IS NULL").select(folder.alias("at")).distinct()
-    steps = F.split(F.col("at"), "/")
-    above = folders.select("at", F.explode(F.transform(F.sequence(F.lit(0), F.size(steps)), lambda n: F.array_join(F.slice(steps, 1, n), "/"))).alias("folder"))
-    given = (above.distinct().join(named, "folder").groupBy("at").agg(F.max(F.struct(F.length("folder").alias("n"), "folder", "from_path", "given")).alias("x"))
-             .select("at", F.col("x.from_path").alias("from_path"), F.col("x.given").alias("given")))
-    joined = files.withColumn("__at", folder).join(given, F.col("__at") == F.col("at"), "left")
+    folders = files.where("own_licence IS NULL").select(folder.alias("__at")).distinct()
+    steps = F.split(F.col("__at"), "/")
+    above = folders.select("__at", F.explode(F.transform(F.sequence(F.lit(0), F.size(steps)), lambda n: F.array_join(F.slice(steps, 1, n), "/"))).alias("folder"))
+    given = (above.distinct().join(named, "folder").groupBy("__at").agg(F.max(F.struct(F.length("folder").alias("n"), "folder", "from_path", "given")).alias("x"))
+             .select("__at", F.col("x.from_path").alias("__from"), F.col("x.given").alias("__given")))
+    joined = files.withColumn("__at", folder).join(given, "__at", "left")
     own = F.col("own_licence").isNotNull()
-    return joined.select(*files.columns, F.coalesce("own_licence", "given").alias("licence"), F.when(~own, F.col("from_path")).alias("inherited_from"))
+    return joined.select(*files.columns, F.coalesce("own_licence", "__given").alias("licence"), F.when(~own, F.col("__from")).alias("inherited_from"))
 
 
 def licences(files: DataFrame) -> DataFrame:
     """path, own_licence, own_score, licence and inherited_from of each row of ``files`` (path, text; others stay as they are
-    unless they bear one of these names, and the text is left out).
+    unless they bear one of these names, and the text is left out; names that begin with two underscores are the operator's).
 
     A null or empty text has no notice; a null path inherits nothing; repeated rows are scanned alike; an empty table
     gives an empty result.

@@ -467,3 +467,64 @@ def test_licence_texts_headers_tags_and_wrapped_notices(spark):
     rows += [(f"p{i}", prose(50, 4000 + i), None) for i in range(200)]
     got = {r["path"]: r["own_licence"] for r in license_scan.licences(spark.createDataFrame([r[:2] for r in rows], "path string, text string")).collect()}
     assert {p: got[p] for p, _, _ in rows} == {p: want for p, _, want in rows}
+
+
+def test_licences_denied_expressions_and_clashing_names(spark):
+    rows = {
+        "This work is not released under the MIT License.": None, "It isn't currently licensed under\nthe Apache License, Version 2.0. " + prose(20, 71): None,
+        "It is no longer released under the MIT License. Released under the ISC License.": "ISC", "We cannot say more. Released under the MIT License.": "MIT",
+        "// SPDX-License-Identifier: MIT OR Apache-2.0\n" + prose(9, 72): "MIT OR Apache-2.0", "/* SPDX-License-Identifier: (mit and  isc) OR bsd-2-clause */\ncode": "(MIT AND ISC) OR BSD-2-Clause",
+        "# SPDX-License-Identifier: GPL-2.0-only WITH Classpath-exception-2.0\n": "GPL-2.0 WITH Classpath-exception-2.0", "# SPDX-License-Identifier: MIT OR Odd-1.0\ncode": None,
+        "# SPDX-License-Identifier: MIT\n": "MIT", "": None}
+    odd = [F.lit(i).alias(c) for i, c in enumerate(["at", "given", "folder", "from_path", "word", "x", "n", "licence"])]
+    files = spark.createDataFrame([(f"d{i}/f", t) for i, t in enumerate(rows)] + [("d0/f", None), (None, None)], "path string, text string").select("*", *odd)
+    got = license_scan.licences(files).collect()
+    assert len(got) == len(rows) + 2 and all((r["at"], r["given"], r["n"]) == (0, 1, 6) for r in got)
+    named = {r["path"]: r["own_licence"] for r in got if r["path"] != "d0/f"}
+    assert {t: named[f"d{i}/f"] for i, t in enumerate(rows) if i} == {t: x for i, (t, x) in enumerate(rows.items()) if i}
+    assert [r["own_licence"] for r in got if r["path"] == "d0/f"] == [None, None]
+
+
+def test_licence_scores_are_cosines_to_the_nearest_template(spark):
+    """Every part of every text against every template, in plain Python."""
+    templates = {k: [t for t in license_scan.TEMPLATES[k] if not t.startswith("SPDX") and len(t.split()) < 60] for k in ("MIT", "ISC", "GPL-2.0", "GPL-3.0", "CC-BY-4.0", "CC-BY-SA-4.0", "MPL-2.0")}
+    r, bag = np.random.default_rng(6), sorted({w for ts in templates.values() for t in ts for w in t.split()})
+    texts = [" ".join(r.choice(bag, 40)) for _ in range(20)]
+    for ts in templates.values():
+        for t in ts:
+            w = t.split()
+            keep = " ".join(x for x in w if r.random() > 0.12)
+            texts += [t, keep, f"{prose(12, len(texts))} {t} {prose(7, 3)}", f"{prose(5, 9)}\n{keep}\n\n{prose(30, 8)}", " ".join(w[::-1]), f"{prose(3, 1)} {keep} {w[0]}"]
+    texts += ["", prose(50, 2), "the of a", "Public License version GNU"]
+    files = spark.createDataFrame([(f"f{i}", t) for i, t in enumerate(texts)], "path string, text string").repartition(3)
+    split = lambda t: t.lower().translate({ord(c): " " for c in license_scan._PARTING + "\n"}).split()
+    vectors = [(k, license_scan.template_words(t)) for k, ts in sorted(templates.items(), reverse=True) for t in ts]
+    seen = {w: sum(w in split(t) for t in texts) for _, v in vectors for w in v}
+    idf = {w: np.log((1 + len(texts)) / (1 + n)) + 1 for w, n in seen.items()}
+    other = np.log(1 + len(texts)) + 1
+
+    def best(part, which):
+        norm = np.sqrt(sum((part.count(w) * idf[w]) ** 2 for w in set(part) if w in idf) + sum(w not in idf for w in part) * other**2)
+        near = []
+        for k in which:
+            name, v = vectors[k]
+            dot = sum(part.count(w) * n * idf[w] ** 2 for w, n in v.items())
+            cosine = round(float(dot / norm / np.sqrt(sum((n * idf[w]) ** 2 for w, n in v.items()))), 9) if part else 0.0
+            if cosine >= license_scan.LEAST - license_scan.MARGIN:
+                near.append((round(cosine + 0.02 * float(np.log2(sum(v.values()))), 9), sum(v.values()), cosine, k, name))
+        top = max(((s[2], s[4]) for s in near), default=(0, ""))
+        if top[0] < license_scan.LEAST or any(s[4] != top[1] and s[2] > top[0] - license_scan.MARGIN for s in near):
+            return None
+        return max(s for s in near if s[4] == top[1])
+
+    every, want = range(len(vectors)), {}
+    for i, text in enumerate(texts):
+        flat, found = split(text), []
+        found += [best(split(p), every) for p in [*text.split("\n"), *text.split("\n\n"), text]]
+        for size in {sum(v.values()) for _, v in vectors} - set(range(license_scan.EMBEDDED)):
+            which = [k for k in every if sum(vectors[k][1].values()) == size]
+            found += [best(flat[a:a + size], which) for a in range(len(flat))]
+        top = max((x for x in found if x), default=None)
+        want[f"f{i}"] = (top[4], round(top[2], 6)) if top else (None, 0.0)
+    got = {x["path"]: (x["own_licence"], round(x["own_score"], 6)) for x in license_scan.scan(files, templates).collect()}
+    assert got == want and len({x for x, _ in want.values()}) > 6
