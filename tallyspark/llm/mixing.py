@@ -25,7 +25,9 @@ from pyspark.sql import functions as F
 from .common import numbered, written
 
 CAP = 3  # copies of a document at most, and the target of a source in units of its size
-STEPS = 12
+CLOSE = 1e-9  # relative error of a target, and step of mu, at which the solution stands
+JOINT, ALONE = 20, 80  # steps at most of all unknowns together, then of lambda alone
+FAR = 200.0  # |lambda| at most: rates from 1e-87 to CAP
 SPACES = r"[\x20\x09-\x0D]+"
 
 
@@ -40,54 +42,77 @@ def size_class(size: Column) -> Column:
     return size - size % unit
 
 
+def ranked_sources(sources: DataFrame) -> DataFrame:
+    """``sources`` with ``at``: 0, 1, ... by code point of ``source``, null last.  Sorted in ranges, numbered inside each and moved by
+    the counts of the ranges before, so any number of sources spreads over many tasks."""
+    order = F.col("source").asc_nulls_last()
+    ranges = written(sources.repartitionByRange(order).withColumn("range", F.spark_partition_id()), "source-ranges")
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # a row a range
+    starts = ranges.groupBy("range").agg(F.count(F.lit(1)).alias("n")).select("range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    inside = F.row_number().over(Window.partitionBy("range").orderBy(order))
+    return ranges.withColumn("inside", inside).join(starts, "range").select("source", "source_size", (F.col("start") + F.col("inside") - 1).cast("long").alias("at"))
+
+
 def targets(sources: DataFrame) -> DataFrame:
     """(source, source_size, at, target) from (source, source_size).
 
     Sources by code point, null last, weigh 1, 2, 3, 1, ...; together they get the sum of all sizes by weight.  A source stops at
-    CAP times its size and what is over is shared by weight among the others, until none is above: the level where
-    sources stop is found in the order of CAP * size / weight.  One row per source, so the windows over all of them are small.
+    CAP times its size and what is over is shared by weight among the others, until none is above.  The level that a unit of
+    weight gets is raised round by round, each round one sum over the sources, until no further source stops.
     """
-    every = Window.partitionBy(F.lit(0))
-    at = F.row_number().over(every.orderBy(F.col("source").asc_nulls_last())).cast("long") - 1
-    s = sources.withColumn("at", at).withColumn("weight", (F.col("at") % 3 + 1).cast("double")).withColumn("cap", (F.col("source_size") * CAP).cast("double"))
-    s = s.withColumn("stop", F.col("cap") / F.col("weight")).withColumn("place", F.row_number().over(every.orderBy("stop", "at")))
-    before = every.orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
-    left = F.sum("source_size").over(every) - F.coalesce(F.sum("cap").over(before), F.lit(0.0))
-    weights = F.sum("weight").over(every) - F.coalesce(F.sum("weight").over(before), F.lit(0.0))
-    s = s.withColumn("level", left / weights)
-    first = F.min(F.when(F.col("stop") > F.col("level"), F.col("place"))).over(every)
-    s = s.withColumn("first", first).withColumn("level", F.max(F.when(F.col("place") == F.col("first"), F.col("level"))).over(every))
-    return s.select("source", "source_size", "at", F.least("cap", F.coalesce(F.col("weight") * F.col("level"), F.col("cap"))).alias("target"))
+    s = ranked_sources(sources).withColumn("weight", (F.col("at") % 3 + 1).cast("double")).withColumn("cap", (F.col("source_size") * CAP).cast("double"))
+    s = written(s.withColumn("stop", F.col("cap") / F.col("weight")), "weights")
+    level, stopped = -1.0, -1
+    while True:
+        over = F.col("stop") <= F.lit(level)
+        n, left, weights = s.agg(F.count(F.when(over, 1)), F.sum("source_size") - F.sum(F.when(over, F.col("cap")).otherwise(0.0)),
+                                 F.sum(F.when(over, 0.0).otherwise(F.col("weight")))).first()
+        if n == stopped or not weights:
+            break
+        stopped, level = n, left / weights
+    return s.select("source", "source_size", "at", F.least("cap", F.col("weight") * F.lit(max(level, 0.0))).alias("target"))
 
 
 def solve(cells: DataFrame, wanted: DataFrame) -> tuple[DataFrame, float]:
     """(at, target, lam) and mu.  ``cells``: at, class, n, tokens, x; ``wanted``: at, source_size, target, positive ones only.
 
-    Sources that take CAP copies of everything have no lambda to find (rate CAP throughout); Newton steps are cut to 1 in
-    each unknown, and the last ones move lambda alone, so that the sources' targets hold whatever mu has reached.
+    Sources that take CAP copies of everything have no lambda to find (rate CAP throughout).  Newton steps in all unknowns, cut to
+    1 in each, run until mu rests, or for JOINT steps.  From then on lambda moves alone, and a source's tokens are one growing
+    function of its lambda: a Newton step that leaves the bracket found for the root so far gives way to the bracket's middle, so
+    every source comes within CLOSE of its target whatever mu has reached; if one does not in ALONE steps, the job stops.
     """
-    full = F.col("target") >= F.col("source_size") * (CAP - 1e-9)
-    state = written(wanted.select("at", "target", F.when(full, F.lit(50.0)).otherwise(F.log(F.col("target") / F.col("source_size"))).alias("lam")), "lambda")
-    mu = 0.0
-    for step in range(STEPS):
+    full = F.col("target") >= F.col("source_size") * (CAP - CLOSE)
+    lam = F.when(full, F.lit(1e4)).otherwise(F.log(F.col("target") / F.col("source_size")))
+    state = written(wanted.select("at", "target", lam.alias("lam"), F.lit(-FAR).alias("low"), F.lit(FAR).alias("high")), "lambda")
+    mu, rests = 0.0, False
+    for step in range(JOINT + ALONE):
         tilted = F.least(F.lit(float(CAP)), F.exp(F.least(F.col("lam") + F.lit(mu) * F.col("x"), F.lit(60.0)))) * F.col("tokens")
         rows = cells.join(state, "at").withColumn("t", tilted).withColumn("free", F.when(F.col("t") < F.col("tokens") * CAP, F.col("t")).otherwise(0.0))
-        sums = written(rows.groupBy("at", "target", "lam").agg(
+        sums = written(rows.groupBy("at", "target", "lam", "low", "high").agg(
             (F.sum("t") - F.first("target")).alias("g"), F.sum("free").alias("ss"), F.sum(F.col("free") * F.col("x")).alias("sm"),
             F.sum(F.col("t") * F.col("x")).alias("gm"), F.sum(F.col("free") * F.col("x") * F.col("x")).alias("mm")), "newton")
         some = F.col("ss") > 0
         gm, mm, through, curve, off = sums.agg(
             F.sum("gm"), F.sum("mm"), F.sum(F.when(some, F.col("sm") * F.col("g") / F.col("ss"))), F.sum(F.when(some, F.col("sm") ** 2 / F.col("ss"))),
-            F.max(F.when(some, F.abs("g") / F.col("target")))).first()
-        schur = (mm or 0.0) - (curve or 0.0)
-        lead = step < STEPS - 4 and schur > 1e-9 * max(mm or 0.0, 1e-300)
+            F.max(F.abs("g") / F.col("target"))).first()
+        off, schur = off or 0.0, (mm or 0.0) - (curve or 0.0)
+        lead = not rests and step < JOINT and schur > 1e-9 * max(mm or 0.0, 1e-300)
         move = max(-1.0, min(1.0, -((gm or 0.0) - (through or 0.0)) / schur)) if lead else 0.0
-        if (off or 0.0) < 1e-10 and abs(move) < 1e-10:
-            break
-        turn = F.when(some, -(F.col("g") + F.col("sm") * F.lit(move)) / F.col("ss")).otherwise(F.lit(0.0))
-        state = written(sums.select("at", "target", (F.col("lam") + F.greatest(F.lit(-1.0), F.least(F.lit(1.0), turn))).alias("lam")), "lambda")
-        mu += move
-    return state, mu
+        if off < CLOSE and abs(move) < CLOSE:
+            return state.select("at", "target", "lam"), mu
+        rests = abs(move) < CLOSE
+        if rests:
+            low, high = F.when(F.col("g") < 0, F.col("lam")).otherwise(F.col("low")), F.when(F.col("g") > 0, F.col("lam")).otherwise(F.col("high"))
+            newton = F.col("lam") - F.col("g") / F.col("ss")
+            turned = F.when(some & (newton > low) & (newton < high), newton).otherwise((low + high) / 2)
+            turned = F.when(F.abs("g") < CLOSE * F.col("target"), F.col("lam")).otherwise(turned)
+            state = sums.select("at", "target", turned.alias("lam"), low.alias("low"), high.alias("high"))
+        else:
+            turn = F.when(some, -(F.col("g") + F.col("sm") * F.lit(move)) / F.col("ss")).otherwise(F.lit(0.0))
+            state = sums.select("at", "target", (F.col("lam") + F.greatest(F.lit(-1.0), F.least(F.lit(1.0), turn))).alias("lam"), "low", "high")
+            mu += move
+        state = written(state, "lambda")
+    raise RuntimeError(f"a source is {off:.3g} of its target away after {JOINT + ALONE} steps")
 
 
 def round_source(cells: pd.DataFrame) -> pd.DataFrame:

@@ -218,6 +218,35 @@ def test_chat_of_a_third_of_all_rows_is_read_as_a_stream(spark, monkeypatch):
     assert chat.digests(chat.format_turns(turns.limit(0), RANKS, PATTERN), RANKS).count() == 0
 
 
+def test_mix_targets_of_many_sources(spark):
+    sizes = {f"s{i:03d}": int(_random.pareto(0.4) * 20) for i in range(300)} | {None: 7, "": 0, "é": 10**9, "z": 3}
+    order = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + [None]
+    weight, want, left = {s: i % 3 + 1 for i, s in enumerate(order)}, {}, sum(sizes.values())
+    while full := [s for s in weight if s not in want and 3 * sizes[s] * sum(w for o, w in weight.items() if o not in want) <= weight[s] * left]:
+        want |= {s: 3 * sizes[s] for s in full}
+        left = sum(sizes.values()) - sum(want.values())
+    open_ = sum(w for s, w in weight.items() if s not in want)
+    want |= {s: weight[s] * left / open_ for s in weight if s not in want}
+    table = spark.createDataFrame(list(sizes.items()), "source string, source_size long").repartition(7)
+    got = {r["source"]: r for r in mixing.targets(table).collect()}
+    assert got.keys() == sizes.keys() and [got[s]["at"] for s in order] == list(range(len(order)))
+    assert all(abs(got[s]["target"] - want[s]) <= 1e-9 * max(want[s], 1) for s in order) and sum(s in want and want[s] == 3 * sizes[s] for s in order) > 50
+
+
+def test_mix_solution_meets_every_target(spark):
+    share = [0.001, 0.4, 1.0, 1.7, 2.9, 2.9999, 3.0]  # targets in units of the source's size
+    rows = [(i, c, int(n), int(c * n)) for i in range(len(share)) for c, n in zip([1, 30, 900, 40960, 10**7], _random.integers(1, 500, 5))]
+    tokens = sum(r[3] for r in rows)
+    mean = sum(r[3] * np.log1p(r[1]) for r in rows) / tokens
+    rows = [(*r, float(np.log1p(r[1]) - mean)) for r in rows]
+    size = [sum(r[3] for r in rows if r[0] == i) for i in range(len(share))]
+    wanted = spark.createDataFrame([(i, size[i], share[i] * size[i]) for i in range(len(share))], "at long, source_size long, target double")
+    state, mu = mixing.solve(spark.createDataFrame(rows, "at long, class long, n long, tokens long, x double"), wanted)
+    lam = {r["at"]: r["lam"] for r in state.collect()}
+    taken = [sum(min(3.0, np.exp(min(lam[i] + mu * r[4], 60.0))) * r[3] for r in rows if r[0] == i) for i in range(len(share))]
+    assert all(abs(t - s * z) <= 1e-8 * s * z for t, s, z in zip(taken, share, size))
+
+
 def test_mix_meets_targets(spark, docs, empty):
     rows = [(i, prose(int(_random.integers(1, 90)), 200 + i), f"s{i % 4}" if i % 4 < 3 else None) for i in range(160)]
     mixed = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
