@@ -1,15 +1,21 @@
 """What is shuffled and written: one shuffle where steps can share it, small files, nothing computed twice."""
 
+import datetime as dt
+import os
+
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from helpers import alt_ids, lines_df, members, pos_line, txn_df, txn_row
 from tallyspark import schemas as S
+from tallyspark import sinks as K
 from tallyspark.operators.delta import new_lines
 from tallyspark.operators.reconcile import missed, resolved_candidates
 from tallyspark.operators.resolve import SALT, SALTS, resolve_members, salted
 from tallyspark.plans import reconcile as R
 from tallyspark.plans import registry as REG
+from tallyspark.session import local_path, work_dir
 from test_plans import plan
 
 NO_BROADCAST = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
@@ -84,3 +90,38 @@ def test_near_lines_are_the_same_lines(spark):
 def test_bindings_scan_the_lines_once_each(spark):
     p = plan(REG.QUERIES["missed_all"](spark, SF_SMALL))
     assert p.count("ReadSchema: struct<l_orderkey") == 4  # batch, history, and the transactions in each of two matches
+
+
+def test_export_and_payload_are_compressed(spark):
+    df = lines_df(spark, [pos_line(hd_order_or_tran_id=f"SALE#{i}") for i in range(3000)])
+    out = work_dir(spark, "test-export")
+    path, n = K.export_json_lines(df, out, "missed.json", dt.datetime(2024, 3, 1, 7, 5))
+    K.write_payload(K.bulk_payload_chunks(df, 1000, stage=f"{out}/rows"), f"{out}/payload")
+    for folder in (path, f"{out}/payload"):
+        own = local_path(folder)
+        assert 0 < sum(os.path.getsize(f"{own}/{f}") for f in os.listdir(own) if f.startswith("part-")) < 300_000  # over 3,000,000 as text
+    assert n == 3000 == spark.read.text(path).distinct().count()
+    assert [r["n_rows"] for r in K.read_payload(spark, f"{out}/payload").orderBy("chunk_id").collect()] == [1000] * 3
+    assert K.payload_rows(K.read_payload(spark, f"{out}/payload")).distinct().count() == 3000
+    assert set(S.POS_COLUMNS) < set(spark.read.parquet(f"{out}/rows").columns)  # numbered as columns, not as JSON text
+
+
+@pytest.mark.parametrize("query", ["sink_overwrite", "sink_append"])
+def test_sinks_find_missed_lines_once(spark, query, monkeypatch):
+    plans = []
+    for name in ("write_overwrite", "write_append"):
+        plain = getattr(K, name)
+        monkeypatch.setattr(K, name, lambda df, *a, plain=plain, **kw: (plans.append("LeftAnti" in df._jdf.queryExecution().toString()), plain(df, *a, **kw))[1])
+    assert REG.QUERIES[query](spark, SF_SMALL).count() == 1685
+    assert sum(plans) == 1 < len(plans)
+
+
+def test_archive_shuffles_the_lines_and_their_day_alone(spark, monkeypatch):
+    from tallyspark.plans import history as H
+    frame = type(few_lines(spark))
+    seen, plain = [], frame.hint
+    monkeypatch.setattr(frame, "hint", lambda self, *a: (seen.append(self.columns), plain(self, *a))[1])
+    path = work_dir(spark, "test-archive") + "/history"
+    assert H.archive_lines(few_lines(spark), path, "b") == 48
+    assert seen == [[*S.POS_COLUMNS, H.DAY]]
+    assert H.read_history(spark, path).where(F.col(H.BATCH) == "b").select(*S.POS_COLUMNS).exceptAll(few_lines(spark)).count() == 0
