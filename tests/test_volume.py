@@ -10,6 +10,7 @@ from conftest import SF_SMALL
 from helpers import alt_ids, lines_df, members, pos_line, txn_df, txn_row
 from tallyspark import schemas as S
 from tallyspark import sinks as K
+from tallyspark.functions import pack, unpack
 from tallyspark.operators.delta import new_lines
 from tallyspark.operators.reconcile import missed, resolved_candidates
 from tallyspark.operators.resolve import SALT, SALTS, resolve_members, salted
@@ -125,3 +126,58 @@ def test_archive_shuffles_the_lines_and_their_day_alone(spark, monkeypatch):
     assert H.archive_lines(few_lines(spark), path, "b") == 48
     assert seen == [[*S.POS_COLUMNS, H.DAY]]
     assert H.read_history(spark, path).where(F.col(H.BATCH) == "b").select(*S.POS_COLUMNS).exceptAll(few_lines(spark)).count() == 0
+
+
+ODD = [None, "", "a", "\u001f", "\u001a", "\u001b", "\u001b0", "\u001b1\u001f", "\u001b\u001a2", "0", "\u001b\u001b", "\u00e9|\n\\"]
+
+
+def test_packed_columns_come_back(spark):
+    rows = [(a, b, c) for a in ODD for b in ODD for c in ODD]
+    packed = spark.createDataFrame(rows, "a string, b string, c string").select(pack(["a", "b", "c"]).alias("text"), F.struct("a", "b", "c").alias("was"))
+    assert packed.select("text").distinct().count() == len(rows)  # equal only where all columns are
+    back = unpack(packed, "text", ["a", "b", "c"], "was").collect()
+    assert len(back) == len(rows) and all((r["a"], r["b"], r["c"]) == tuple(r["was"]) for r in back)
+
+
+@pytest.mark.parametrize("a_place", [1_000_000, 10])
+def test_new_lines_lie_by_day(shuffled, a_place, monkeypatch):
+    from tallyspark.plans import history as H
+    monkeypatch.setattr(H, "LINES_A_PLACE", a_place)
+    batch = few_lines(shuffled).unionByName(lines_df(shuffled, [pos_line(hd_file_extract_date_time=t, itm_sku=f"{i}") for t in (None, "", "2024-02-02 00:00:00")
+                                                                for i in (1, 2, 2)]))
+    history = batch.where("hd_order_or_tran_id = 'SALE#7' OR itm_sku = '1'")
+    found = H.new_lines_by_day(batch, history)
+    shuffles = exchanges(found)
+    assert len([k for k in shuffles if "_place" in k]) == 1 and not [k for k in shuffles if "_line" in k or "hd_" in k]  # one shuffle, by day and place
+    rows = lambda df: sorted(map(str, df.collect()))
+    assert rows(found) == rows(new_lines(batch, history, cols=S.POS_COLUMNS))
+    assert rows(H.new_lines_by_day(batch, None)) == rows(batch.distinct())
+
+
+def test_job_archives_lines_as_they_lie(shuffled, monkeypatch):
+    from tallyspark.plans import history as H
+    from tallyspark.plans.pos_job import run_pos_reconcile
+    inp, run = inputs(shuffled), work_dir(shuffled, "test-laid")
+    H.archive_lines(inp.history, f"{run}/history", "before")
+    frame = type(inp.batch)
+    hints, plain = [], frame.hint
+    monkeypatch.setattr(frame, "hint", lambda self, *a: (hints.append(a), plain(self, *a))[1])
+    r = run_pos_reconcile(shuffled, inp.batch, f"{run}/history", inp.member, inp.alt, inp.txn, f"{run}/work", f"{run}/out", None, run_ts=dt.datetime(2024, 3, 1), batch_id="b")
+    assert r.archived == r.new_lines == 42 and not [a for a in hints if a[0] == "rebalance"]
+    new = new_lines(inp.batch, inp.history, cols=S.POS_COLUMNS)
+    archived = H.read_history(shuffled, f"{run}/history").where(F.col(H.BATCH) == "b")
+    rows = lambda df: sorted(map(str, df.select(*S.POS_COLUMNS).collect()))
+    assert rows(archived) == rows(new)
+    assert len(os.listdir(local_path(f"{run}/history/{H.DAY}=2024-02-01/{H.PART}=b"))) <= 2 * 2  # a file of the day, or two, and their checksums
+    assert sorted(map(str, shuffled.read.parquet(r.missed_path).select(*S.MISSED_COLUMNS).collect())) == sorted(map(str, R.missed_lines(inp).collect()))
+
+
+@pytest.mark.parametrize("query", ["_run_job", "_run_stream"])
+def test_jobs_bind_their_tables_from_one_join(spark, query, monkeypatch):
+    from tallyspark import fixtures as FX
+    joins, plain = [], FX.pos_join
+    monkeypatch.setattr(FX, "pos_join", lambda *a: (joins.append(a), plain(*a))[1])
+    for name in ("pos_base", "pos_lines", "pos_lines_history", "loyalty_txn"):
+        monkeypatch.setattr(FX, name, None)
+    getattr(REG, query)(spark, SF_SMALL)
+    assert len(joins) == 1
