@@ -181,3 +181,21 @@ def test_jobs_bind_their_tables_from_one_join(spark, query, monkeypatch):
         monkeypatch.setattr(FX, name, None)
     getattr(REG, query)(spark, SF_SMALL)
     assert len(joins) == 1
+
+
+def test_stream_leaves_no_shuffle_files(shuffled):
+    from tallyspark.session import SHUFFLE_CLEANUP
+    from tallyspark import streaming as ST
+    inp, root = inputs(shuffled), work_dir(shuffled, "test-stream-disk")
+    tables = {}
+    for name, df in (("member", inp.member), ("alt", inp.alt), ("txn", inp.txn)):
+        df.write.parquet(f"{root}/{name}")
+        tables[name] = shuffled.read.parquet(f"{root}/{name}")
+    REG._write_csv(inp.batch.repartition(2), f"{root}/in", "|")
+    files = lambda: {f for d in shuffled.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+                     for _, _, fs in os.walk(d.getPath()) for f in fs if f.startswith("shuffle_") and f.endswith(".data")}
+    was, before = shuffled.conf.get(SHUFFLE_CLEANUP, None), files()
+    results = ST.reconcile_stream(shuffled, f"{root}/in", f"{root}/ckpt", f"{root}/out", f"{root}/history", tables["member"], tables["alt"], tables["txn"],
+                                  max_files_per_trigger=1, file_glob="*.csv")
+    assert sum(r.new_lines for r in results.values()) == 43 and shuffled.conf.get(SHUFFLE_CLEANUP, None) == was
+    assert len(files() - before) <= 2, files() - before
