@@ -29,6 +29,7 @@ from .common import written
 LEAST = 0.75  # cosine
 MARGIN = 0.002  # of the cosines of a part to two licences
 EMBEDDED = 5
+FEW = 8  # templates that are all measured
 _CC = {"BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-NC": "Attribution-NonCommercial", "BY-NC-SA": "Attribution-NonCommercial-ShareAlike",
        "BY-ND": "Attribution-NoDerivatives", "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives"}
 _GNU = {"GPL-2.0": ("General", "2"), "GPL-3.0": ("General", "3"), "LGPL-2.1": ("Lesser General", "2.1"), "LGPL-3.0": ("Lesser General", "3"), "AGPL-3.0": ("Affero General", "3")}
@@ -121,6 +122,12 @@ def template_words(text: str) -> dict[str, int]:
     return out
 
 
+def windows(at: Column, ids: Column, rare: Column, size: int, step: int) -> Column:
+    """Numbers of the windows of ``size`` words, beginning at every ``step``-th one, that hold a word of ``rare`` at one of the places ``at``."""
+    held = F.filter(at, lambda i: F.array_contains(rare, F.get(ids, i)))
+    return F.array_distinct(F.flatten(F.transform(held, lambda i: F.sequence(F.greatest(F.floor((i - size + step) / step), F.lit(0)), F.floor(i / step)))))
+
+
 def frequencies(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
     """(word, n): documents that have the template word, over all documents; a document counts once."""
     held = F.array_intersect(words(cleaned(F.col("text"), "\n")), F.array(*map(F.lit, vocabulary)))
@@ -141,14 +148,17 @@ def scan(files: DataFrame, templates: dict[str, list[str]] = TEMPLATES) -> DataF
     other = math.log(1 + total) + 1  # of a word that no document has
     lengths = [math.sqrt(sum((n * idf[w]) ** 2 for w, n in v.items())) for _, v, _ in vectors]
 
-    # a part without any of a template's rarest words, which make up 1 - LEAST**2 of its squared length, stays below LEAST
-    marks = set()
-    for (_, v, _), length in zip(vectors, lengths, strict=True):
-        share = 0.0
+    def rarest(k: int, least: float) -> list[str]:
+        """A template's rarest words, which make up 1 - least**2 of its squared length: a part without any of them stays below least."""
+        (_, v, _), out, share = vectors[k], [], 0.0
         for w in sorted(v, key=lambda w: (seen.get(w, 0), -v[w], w)):
-            if share <= 1 - LEAST**2 + 1e-9:
-                marks.add(w)
-                share += (v[w] * idf[w] / length) ** 2
+            if share <= 1 - least**2 + 1e-9:
+                out.append(w)
+                share += (v[w] * idf[w] / lengths[k]) ** 2
+        return out
+
+    marks = {w for k in range(len(vectors)) for w in rarest(k, LEAST)}
+    own = [set(rarest(k, LEAST - MARGIN)) for k in range(len(vectors))]  # without these a template is not even about as near as another
     fixed = lambda x, kind: F.split(F.lit(" ".join(map(str, x))), " ").cast(f"array<{kind}>")  # noqa: E731  folded to one literal
     bound = lambda x, f: F.get(F.transform(F.array(x), f), F.lit(0))  # noqa: E731  x is evaluated once
     heavy = fixed(sorted(marks), "string")
@@ -163,17 +173,25 @@ def scan(files: DataFrame, templates: dict[str, list[str]] = TEMPLATES) -> DataF
     def best(part: Column, which: list[int]) -> Column:
         """struct(class, words, score, place, licence) of the nearest template, null if none is LEAST near or another licence
         is about as near; the place puts the smaller identifier first in a tie."""
-        of = lambda i: F.size(F.filter(part, lambda x: x == i))
-        inside = F.array_distinct(F.filter(part, lambda x: x > 0))
-        norm = F.sqrt(F.aggregate(inside, F.lit(0.0), lambda a, i: a + F.pow(of(i) * F.get(weights, i), F.lit(2.0))) + of(F.lit(0)) * F.lit(other**2))
+        return bound(F.filter(part, lambda x: x > 0), lambda known: bound(F.array_distinct(known), lambda inside: nearest(part, known, inside, which)))
+
+    def nearest(part: Column, known: Column, inside: Column, which: list[int]) -> Column:
+        """``best`` with the part's template words and these once each."""
+        of = lambda i: F.size(F.filter(known, lambda x: x == i))
+        norm = F.sqrt(F.aggregate(inside, F.lit(0.0), lambda a, i: a + F.pow(of(i) * F.get(weights, i), F.lit(2.0))) + (F.size(part) - F.size(known)) * F.lit(other**2))
         width = len(vocabulary) + 1
         flat = fixed([x for k in which for x in [0.0] + [vectors[k][1].get(w, 0) * idf[w] ** 2 / lengths[k] for w in vocabulary]], "double")
         name, n_words = fixed([vectors[k][0] for k in which], "string"), fixed([sum(vectors[k][1].values()) for k in which], "int")
         place = fixed(which, "int")
-        dots = F.transform(fixed(range(len(which)), "int"), lambda k: F.aggregate(part, F.lit(0.0), lambda a, i: a + F.get(flat, k * width + i)))
-        scored = bound(norm, lambda n: F.transform(dots, lambda d: F.coalesce(F.round(d / n, 9), F.lit(0.0))))
-        structs = F.filter(F.transform(scored, lambda s, k: F.struct(F.round(s + 0.02 * F.log2(F.get(n_words, k).cast("double")), 9).alias("class"), F.get(n_words, k).alias("words"), s.alias("score"),
-                                                                     F.get(place, k).alias("place"), F.get(name, k).alias("licence"))), lambda s: s["score"] >= LEAST - MARGIN)
+        # of many templates only those are measured of which the part has one of their own rarest words
+        held = [[j for j, k in enumerate(which) if w in own[k]] for w in ["", *vocabulary]]
+        starts, counts = fixed([1 + sum(map(len, held[:i])) for i in range(width)], "int"), fixed(map(len, held), "int")
+        near_to = fixed([j for x in held for j in x], "int")
+        chosen = F.array_distinct(F.flatten(F.transform(inside, lambda i: F.slice(near_to, F.get(starts, i), F.get(counts, i))))) if len(which) > FEW else fixed(range(len(which)), "int")
+        dots = F.transform(chosen, lambda k: F.struct(k.alias("k"), F.aggregate(known, F.lit(0.0), lambda a, i: a + F.get(flat, k * width + i)).alias("dot")))
+        scored = bound(norm, lambda n: F.filter(F.transform(dots, lambda d: F.struct(d["k"].alias("k"), F.coalesce(F.round(d["dot"] / n, 9), F.lit(0.0)).alias("score"))), lambda d: d["score"] >= LEAST - MARGIN))
+        structs = F.transform(scored, lambda d: F.struct(F.round(d["score"] + 0.02 * F.log2(F.get(n_words, d["k"]).cast("double")), 9).alias("class"), F.get(n_words, d["k"]).alias("words"), d["score"].alias("score"),
+                                                         F.get(place, d["k"]).alias("place"), F.get(name, d["k"]).alias("licence")))
 
         def clear(near: Column) -> Column:
             nearest = F.array_max(F.transform(near, lambda s: F.struct(s["score"].alias("score"), s["licence"].alias("licence"))))
@@ -213,8 +231,10 @@ def scan(files: DataFrame, templates: dict[str, list[str]] = TEMPLATES) -> DataF
             sizes.setdefault(sum(v.values()), []).append(k)
     for size, which in sorted(sizes.items()):
         step = max(1, size // 64)
-        near = F.flatten(F.transform("__at", lambda i: F.sequence(F.greatest(F.floor((i - size + step) / step), F.lit(0)), F.floor(i / step))))  # noqa: B023
-        tops.append(F.transform(F.array_distinct(near), lambda s: bound(F.slice("__ids", (s * step + 1).cast("int"), size), lambda x: best(x, which))))  # noqa: B023
+        # windows with a heavy word that is among the rarest of a template of theirs
+        rare = fixed([i + 1 for i, w in enumerate(vocabulary) if any(w in own[k] for k in which)], "int")
+        near = windows(F.col("__at"), F.col("__ids"), rare, size, step)
+        tops.append(F.transform(near, lambda s: bound(F.slice("__ids", (s * step + 1).cast("int"), size), lambda x: best(x, which))))  # noqa: B023
     # an absent list counts as an empty one: a text may have a tag and no heavy word
     top = F.array_max(F.concat(*[F.coalesce(x, F.array()) for x in tops]))
     some = F.col("__at").isNotNull() | (F.coalesce(F.size("__tags"), F.lit(0)) > 0)

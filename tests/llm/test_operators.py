@@ -557,3 +557,24 @@ def test_licence_scores_are_cosines_to_the_nearest_template(spark):
         want[f"f{i}"] = (top[4], round(top[2], 6)) if top else (None, 0.0)
     got = {x["path"]: (x["own_licence"], round(x["own_score"], 6)) for x in license_scan.scan(files, templates).collect()}
     assert got == want and len({x for x, _ in want.values()}) > 6
+
+
+def test_licence_windows_hold_rare_words_of_their_templates(spark):
+    ids = [7, 0, 3, 0, 0, 0, 0, 0, 5, 0, 0, 3]  # 3, 5 and 7 are heavy, 3 and 5 rare in the windows' templates
+    at, rare = [0, 2, 8, 11], {3, 5}
+    row = spark.createDataFrame([(ids, at)], "ids array<int>, at array<int>")
+    for size, step in ((1, 1), (4, 1), (4, 2), (5, 3)):
+        got = row.select(license_scan.windows(F.col("at"), F.col("ids"), F.array(*map(F.lit, sorted(rare))), size, step)).first()[0]
+        want = {s for s in range(len(ids)) if rare & set(ids[s * step:s * step + size])}
+        assert sorted(got) == sorted(want), (size, step)
+
+
+def test_licence_parts_among_many_templates_score_as_among_few(spark):
+    rows = [(k, t + " " + prose(n, 7)) for k, ts in license_scan.TEMPLATES.items() for t in ts[:4] for n in (1, 30)]
+    files = spark.createDataFrame(rows, "path string, text string")
+    few, license_scan.FEW = license_scan.FEW, 10**6  # every template is measured
+    try:
+        want = sorted(map(tuple, license_scan.scan(files).collect()), key=str)
+    finally:
+        license_scan.FEW = few
+    assert sorted(map(tuple, license_scan.scan(files).collect()), key=str) == want and any(x[1] for x in want)
