@@ -199,3 +199,30 @@ def test_stream_leaves_no_shuffle_files(shuffled):
                                   max_files_per_trigger=1, file_glob="*.csv")
     assert sum(r.new_lines for r in results.values()) == 43 and shuffled.conf.get(SHUFFLE_CLEANUP, None) == was
     assert len(files() - before) <= 2, files() - before
+
+
+RUN_MARKS = [None, "", "a", "\u001c", "\u001d", "\u001e", "\u001b3", "\u001d\u001b4\u001f"]
+
+
+def test_runs_of_absent_fields_are_packed_short(spark):
+    cols = [f"c{i}" for i in range(30)]
+    rows = [tuple(RUN_MARKS[(7 * i + n) % 8] if at <= i < at + n else None for i in range(30)) for at in range(30) for n in range(1, 31 - at)]
+    rows = sorted({*rows, (None,) * 30}, key=str)
+    packed = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in cols)).select(pack(cols).alias("text"), F.array(*cols).alias("was"))
+    assert packed.select("text").distinct().count() == len(rows)  # equal only where all columns are
+    assert all([r[c] for c in cols] == list(r["was"]) for r in unpack(packed, "text", cols, "was").collect())
+    assert packed.where("forall(was, x -> x is null)").select(F.length("text")).first()[0] <= 10  # 59 with a mark and a separator each
+
+
+def test_job_writes_missed_lines_once(shuffled):
+    from tallyspark.plans import history as H
+    from tallyspark.plans.pos_job import run_pos_reconcile
+    inp, run = inputs(shuffled), work_dir(shuffled, "test-placed")
+    H.archive_lines(inp.history, f"{run}/history", "before")
+    r = run_pos_reconcile(shuffled, inp.batch, f"{run}/history", inp.member, inp.alt, inp.txn, f"{run}/work", f"{run}/out", None, run_ts=dt.datetime(2024, 3, 1),
+                          batch_id="b", payload_rows=10)
+    assert not os.path.exists(local_path(f"{run}/work/payload_rows"))
+    chunks = K.read_payload(shuffled, r.payload_path)
+    assert sorted((c["chunk_id"], c["n_rows"]) for c in chunks.collect()) == [(i, min(10, r.missed - 10 * i)) for i in range(-(-r.missed // 10))] and r.missed > 10
+    lines = lambda df: sorted(x["row_json"] for x in df.collect())
+    assert lines(K.payload_rows(chunks)) == lines(shuffled.read.text(r.export_path).withColumnRenamed("value", "row_json"))
