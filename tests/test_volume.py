@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -226,3 +227,91 @@ def test_job_writes_missed_lines_once(shuffled):
     assert sorted((c["chunk_id"], c["n_rows"]) for c in chunks.collect()) == [(i, min(10, r.missed - 10 * i)) for i in range(-(-r.missed // 10))] and r.missed > 10
     lines = lambda df: sorted(x["row_json"] for x in df.collect())
     assert lines(K.payload_rows(chunks)) == lines(shuffled.read.text(r.export_path).withColumnRenamed("value", "row_json"))
+
+
+def shuffle_files(spark) -> set[str]:
+    return {f for d in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+            for _, _, fs in os.walk(d.getPath()) for f in fs if f.startswith("shuffle_") and f.endswith(".data")}
+
+
+def left_behind(spark, before: set[str], most: int = 0) -> set[str]:
+    """Shuffle files that are there since; they are removed in the background, so it is waited for."""
+    for _ in range(50):
+        if len(shuffle_files(spark) - before) <= most:
+            break
+        time.sleep(0.1)
+    return shuffle_files(spark) - before
+
+
+def test_writes_leave_no_shuffle_files(shuffled):
+    from tallyspark.operators.keys import place_rows
+    from tallyspark.plans import history as H
+    from tallyspark.session import SHUFFLE_CLEANUP
+    batch, run = few_lines(shuffled), work_dir(shuffled, "test-no-shuffles")
+    found = batch.groupBy(*S.POS_COLUMNS).count().select(*S.POS_COLUMNS)
+    writes = {
+        "overwrite": lambda: K.write_overwrite(found, f"{run}/overwrite"),
+        "append": lambda: K.write_append(found, f"{run}/append"),
+        "export": lambda: K.export_json_lines(found, run, "export.json", dt.datetime(2024, 3, 1)),
+        "place": lambda: place_rows(found, path=f"{run}/placed"),
+        "payload": lambda: K.write_payload(K.bulk_payload_chunks(found, 10, stage=f"{run}/rows"), f"{run}/payload"),
+        "csv": lambda: REG._write_csv(found, f"{run}/csv", "|"),
+        "archive": lambda: [H.archive_lines(found, f"{run}/history", b) for b in ("a", "b")],
+        "compact": lambda: H.compact(shuffled, f"{run}/history"),
+    }
+    was = shuffled.conf.get(SHUFFLE_CLEANUP, None)
+    for name, write in writes.items():
+        before = shuffle_files(shuffled)
+        write()
+        assert not left_behind(shuffled, before), name
+    assert shuffled.conf.get(SHUFFLE_CLEANUP, None) == was
+    assert H.read_history(shuffled, f"{run}/history").count() == 2 * found.count()
+
+
+def test_job_keeps_shuffle_files_of_one_step_at_a_time(shuffled, monkeypatch):
+    from tallyspark.plans import history as H
+    from tallyspark.plans import pos_job as J
+    inp, run, seen = inputs(shuffled), work_dir(shuffled, "test-one-step"), []
+    H.archive_lines(inp.history, f"{run}/history", "before")
+    before = shuffle_files(shuffled)
+    for name in ("write_overwrite", "place_rows", "archive_lines", "export_json_lines"):
+        plain = getattr(J, name)
+        monkeypatch.setattr(J, name, lambda *a, plain=plain, **kw: (seen.append(len(left_behind(shuffled, before, 2))), plain(*a, **kw))[1])
+    r = J.run_pos_reconcile(shuffled, inp.batch, f"{run}/history", inp.member, inp.alt, inp.txn, f"{run}/work", f"{run}/out", None, run_ts=dt.datetime(2024, 3, 1), batch_id="b")
+    assert len(seen) >= 6 and max(seen) <= 2, seen  # the two small ones are the count by kind, which is collected
+    assert not os.path.exists(local_path(f"{run}/work/matching"))
+    assert sorted(map(str, shuffled.read.parquet(r.missed_path).select(*S.MISSED_COLUMNS).collect())) == sorted(map(str, R.missed_lines(inp).collect()))
+
+
+KINDS = [("SALE#1", None), ("SALE#1", "SALE#1"), ("RETU#2", "SALE#1"), ("RETU#2", None), ("RETU#2", "SALE#8"), ("VOID#3", "SALE#1"), ("VOID#3", "SALE#9"),
+         ("OTHER#4", "SALE#1"), (None, "SALE#1")]
+
+
+def test_lines_without_an_original_pass_the_join_by(shuffled):
+    from tallyspark.functions import tran_kind
+    from tallyspark.operators.reconcile import DEFAULT_RULES, without_original
+    rows = [(member, *ids) for ids in KINDS for member in (1, 2, None)]
+    cands = shuffled.createDataFrame(rows, "memberid int, tran_id string, orig_tran_id string").withColumn("kind", tran_kind("tran_id"))
+    txn = txn_df(shuffled, [txn_row(referencenumber="SALE#1", type="RETURN"), txn_row(referencenumber="SALE#9", type="VOID_RETURN"), txn_row(referencenumber=None, type="RETURN")])
+    text = lambda df: sorted(map(str, df.select(*cands.columns).collect()))
+    found = without_original(cands, txn, staged=True)
+    assert text(found) == text(without_original(cands, txn)) and 0 < found.count() < len(rows)
+    assert text(without_original(cands, txn, DEFAULT_RULES[:1], staged=True)) == text(cands)
+    p = plan(found)
+    assert "Union" in p and "isnotnull(orig_tran_id" in p.replace(" ", "")
+
+
+def test_compaction_shuffles_lines_as_texts(shuffled, monkeypatch):
+    from tallyspark.plans import history as H
+    lines = few_lines(shuffled).unionByName(lines_df(shuffled, [pos_line(hd_file_extract_date_time=t, itm_sku="x\u001fy") for t in (None, "", "2024-02-02 00:00:00")]))
+    path = work_dir(shuffled, "test-compact-texts") + "/history"
+    for batch in ("a", "b"):
+        H.archive_lines(lines, path, batch)
+    was = sorted(map(str, H.read_history(shuffled, path).drop(H.PART).collect()))
+    frame = type(lines)
+    seen, plain = [], frame.hint
+    monkeypatch.setattr(frame, "hint", lambda self, *a: (seen.append(self.columns), plain(self, *a))[1])
+    assert H.compact(shuffled, path) == 3  # two days and the lines without one
+    assert seen == [["_line", H.BATCH, H.DAY]]
+    assert sorted(map(str, H.read_history(shuffled, path).drop(H.PART).collect())) == was
+    assert all(len(parts) == 1 and parts[0].startswith("compacted-") for parts in H.open_parts(shuffled, path).values())
