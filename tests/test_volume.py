@@ -315,3 +315,17 @@ def test_compaction_shuffles_lines_as_texts(shuffled, monkeypatch):
     assert seen == [["_line", H.BATCH, H.DAY]]
     assert sorted(map(str, H.read_history(shuffled, path).drop(H.PART).collect())) == was
     assert all(len(parts) == 1 and parts[0].startswith("compacted-") for parts in H.open_parts(shuffled, path).values())
+
+
+@pytest.mark.parametrize("query, rows", [("sink_json_lines", 1685), ("sink_bulk_payload", 1685), ("sink_payload_chunks", 2), ("job_history_compacted", None)])
+def test_queries_bind_once_and_remove_their_steps(spark, query, rows, monkeypatch):
+    from tallyspark import fixtures as FX
+    joins, folders, plain, work = [], [], FX.pos_join, REG.work_dir
+    monkeypatch.setattr(FX, "pos_join", lambda *a: (joins.append(a), plain(*a))[1])
+    monkeypatch.setattr(REG, "work_dir", lambda *a: (folders.append(work(*a)), folders[-1])[1])
+    for name in ("pos_base", "pos_lines", "pos_lines_history", "loyalty_txn"):
+        monkeypatch.setattr(FX, name, None)
+    found = REG.QUERIES[query](spark, SF_SMALL)
+    assert len(joins) == 1 and found.count() == (rows or 900 + 5100)
+    left = {f for f in os.listdir(local_path(folders[0])) if not f.startswith(".")}
+    assert left in ({"20240301_0000_missed_transactions.json"}, {"chunks"}, {"history"}), left
