@@ -329,3 +329,29 @@ def test_queries_bind_once_and_remove_their_steps(spark, query, rows, monkeypatc
     assert len(joins) == 1 and found.count() == (rows or 900 + 5100)
     left = {f for f in os.listdir(local_path(folders[0])) if not f.startswith(".")}
     assert left in ({"20240301_0000_missed_transactions.json"}, {"chunks"}, {"history"}), left
+
+
+def test_stream_keeps_little_beside_its_output(spark):
+    root, results = REG._run_stream(spark, SF_SMALL)
+    own = local_path(root)
+    assert len(results) == 2 and not os.path.exists(f"{own}/joined")
+    moved = [f"{p}/{f}" for p, _, fs in os.walk(f"{own}/processed") for f in fs if f.startswith("part-")]
+    assert len(moved) == 4 and all(f.endswith(".csv.bz2") for f in moved)
+    assert sum(map(os.path.getsize, moved)) < 6559 * 50  # over 120 bytes a line as text
+    assert not [e for e in results if {"batch", "new_lines"} & set(os.listdir(f"{own}/out/epoch={e}/work"))]
+
+
+def test_packed_drops_are_read_whole_in_several_splits(spark):
+    folder = work_dir(spark, "test-splits")
+    lines = spark.range(60_000).select(*[F.sha2(F.concat(F.col("id"), F.lit(c)), 256).alias(c) if c in S.POS_COLUMNS[:3] else F.lit(None).cast("string").alias(c) for c in S.POS_COLUMNS])
+    REG._write_csv(lines.coalesce(1), folder, "|", compression=REG.DROP_CODEC)
+    before = {k: spark.conf.get(k, None) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for k, v in zip(before, ("1m", "1k"), strict=True):
+            spark.conf.set(k, v)
+        back = REG.SRC.read_pos_lines(spark, folder)
+        assert back.select(F.spark_partition_id()).distinct().count() > 2
+        assert back.exceptAll(lines).count() == 0 == lines.exceptAll(back).count()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
